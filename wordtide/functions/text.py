@@ -65,7 +65,9 @@ def safe_udf_tokenizer(fn: Callable[[str], Iterable[str]]):
 
 
 def _nfkc_one(x: Optional[str]) -> Optional[str]:
-    return None if x is None else unicodedata.normalize("NFKC", x)
+    if x is None or x.isascii():  # ASCII is NFKC-stable
+        return x
+    return unicodedata.normalize("NFKC", x)
 
 
 @F.pandas_udf(T.StringType())

@@ -144,7 +144,8 @@ def run_daily(posts: DataFrame, terms: DataFrame, targets: Optional[DataFrame] =
     return DailyResult(new_terms, stats, metrics, mapped)
 
 
-def top_terms_of_day(stats: DataFrame, limit: Optional[int] = None, offset: int = 0) -> DataFrame:
+def top_terms_of_day(stats: DataFrame, limit: Optional[int] = None, offset: int = 0,
+                     tie_col: str = "term_id") -> DataFrame:
     """A9 for every (date, board): ``post_hits`` desc, ``term_id`` asc as tie-break.
 
     ``limit`` None or 0 means all rows, and then the offset is ignored (as in the
@@ -153,7 +154,7 @@ def top_terms_of_day(stats: DataFrame, limit: Optional[int] = None, offset: int
     """
     from pyspark.sql import Window
 
-    w = Window.partitionBy(*DAY).orderBy(F.desc("post_hits"), F.asc("term_id"))
+    w = Window.partitionBy(*DAY).orderBy(F.desc("post_hits"), F.asc(tie_col))
     ranked = stats.withColumn("rank", F.row_number().over(w))
     if not limit:
         return ranked

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordtide import schemas
-from wordtide.functions.text import is_ascii, nfkc, normalize_after_nfkc, regex_tokens
+from wordtide.functions.text import nfkc, normalize_after_nfkc, regex_tokens
 
 # --- fixed values ------------------------------------------------------------
 # Part-of-speech tag kept from a lexicon (noun).
@@ -47,13 +47,10 @@ def tokenize_posts(posts: DataFrame, tokenizer: Optional[Callable[[Column], Colu
 def normalize_surfaces(surfaces: DataFrame, col: str = "surface") -> DataFrame:
     """T3/T4 on a DataFrame of *distinct* surfaces -> adds ``normalized``.
 
-    ASCII surfaces are NFKC-stable and stay in the JVM; only the rest pass through
-    the Arrow NFKC UDF.
+    NFKC runs in the Arrow UDF (ASCII strings return at once); the rest of the
+    rules are JVM expressions.
     """
-    s = F.col(col)
-    ascii_part = surfaces.filter(is_ascii(s)).withColumn("normalized", normalize_after_nfkc(s))
-    other = surfaces.filter(~is_ascii(s)).withColumn("normalized", normalize_after_nfkc(nfkc(s)))
-    return ascii_part.unionByName(other)
+    return surfaces.withColumn("normalized", normalize_after_nfkc(nfkc(F.col(col))))
 
 
 def surface_map(surfaces: DataFrame, lexicon: Optional[DataFrame] = None) -> DataFrame:

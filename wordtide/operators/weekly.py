@@ -115,9 +115,10 @@ def with_history(current: DataFrame, history: Optional[DataFrame], keys=("week_s
     return h.withColumn("_current", F.lit(False)).unionByName(current.withColumn("_current", F.lit(True)))
 
 
-def trending(trends: DataFrame, limit: Optional[int] = 10, order_col: str = "zscore") -> DataFrame:
+def trending(trends: DataFrame, limit: Optional[int] = 10, order_col: str = "zscore",
+             tie_col: str = "term_id") -> DataFrame:
     """W15 for every (week, board): ``zscore`` desc nulls last, ``term_id`` asc; top ``limit``."""
-    w = Window.partitionBy(*WEEK).orderBy(F.desc_nulls_last(order_col), F.asc("term_id"))
+    w = Window.partitionBy(*WEEK).orderBy(F.desc_nulls_last(order_col), F.asc(tie_col))
     ranked = trends.withColumn("rank", F.row_number().over(w))
     return ranked.where(F.col("rank") <= limit) if limit else ranked
 
@@ -130,9 +131,10 @@ def term_history(trends: DataFrame, term_id, board_key: str, start, end, ascendi
             .orderBy(o))
 
 
-def growth_ranking(regressions: DataFrame, limit: Optional[int] = 10) -> DataFrame:
+def growth_ranking(regressions: DataFrame, limit: Optional[int] = 10, order_col: str = "slope",
+                   tie_col: str = "term_id") -> DataFrame:
     """W17 for every board: slope desc, term_id asc; top ``limit``."""
-    w = Window.partitionBy("board_key").orderBy(F.desc("slope"), F.asc("term_id"))
+    w = Window.partitionBy("board_key").orderBy(F.desc(order_col), F.asc(tie_col))
     ranked = regressions.withColumn("rank", F.row_number().over(w))
     return ranked.where(F.col("rank") <= limit) if limit else ranked
 

@@ -115,8 +115,282 @@ trends AS (
 def flagship_sql(limit: int) -> str:
     return weekly_ctes() + f"""
 SELECT strftime(week_start_date, '%Y-%m-%d') AS week_start_date, board_key, term, post_hits, total_posts,
-       round(appearance_rate, 9) AS appearance_rate, round(zscore, 9) AS zscore, rank
+       (round(appearance_rate, 9) + 0.0) AS appearance_rate, (round(zscore, 9) + 0.0) AS zscore, rank
 FROM (SELECT *, row_number() OVER (PARTITION BY week_start_date, board_key
                                    ORDER BY round(zscore, 9) DESC NULLS LAST, term) AS rank
       FROM trends)
 WHERE rank <= {limit}"""
+
+
+def rnd(e: str) -> str:
+    return f"(round({e}, 9) + 0.0)"
+
+
+def iso(e: str) -> str:
+    return f"strftime({e}, '%Y-%m-%d')"
+
+
+def regression_ctes() -> str:
+    exprs = regression_sql("_n", "_slope", "_ybar", "_sxx", "_sxy", "_syy")
+    cols = ",\n         ".join(f"{e} AS {k}" for k, e in exprs.items())
+    return f""",
+reg AS (
+  SELECT *, regr_count(appearance_rate, x) OVER g AS _n, regr_slope(appearance_rate, x) OVER g AS _slope,
+         regr_avgy(appearance_rate, x) OVER g AS _ybar, regr_sxx(appearance_rate, x) OVER g AS _sxx,
+         regr_sxy(appearance_rate, x) OVER g AS _sxy, regr_syy(appearance_rate, x) OVER g AS _syy
+  FROM (SELECT *, (dnum - date_diff('day', DATE '1970-01-01', DATE '2000-01-03')) / 7.0 AS x FROM trends)
+  WINDOW g AS (PARTITION BY board_key, term ORDER BY dnum RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
+regcols AS (
+  SELECT *, {cols},
+         CAST(week_start_date - 49 AS DATE) AS analysis_start_date,
+         CAST(week_start_date + 6 AS DATE) AS analysis_end_date
+  FROM reg WHERE _n = {REGRESSION_POINTS}),
+latest AS (
+  SELECT * FROM regcols
+  QUALIFY row_number() OVER (PARTITION BY board_key, term ORDER BY week_start_date DESC) = 1)"""
+
+
+REG_OUT = ["intercept", "slope", "intercept_ci_lower", "intercept_ci_upper", "slope_ci_lower",
+           "slope_ci_upper", "p_value"]
+
+CRAWL_SQL = """,
+lp AS (
+  SELECT * FROM posts
+  QUALIFY row_number() OVER (PARTITION BY board_key, thread_path ORDER BY post_no DESC, date DESC, content) <= 3),
+days AS (SELECT DISTINCT board_key, thread_path, date FROM lp),
+crawl_days AS (SELECT DISTINCT board_key, date AS target_date FROM lp),
+listing AS (
+  SELECT DISTINCT d.board_key, d.thread_path, CAST(d.date + CAST(k AS INTEGER) AS DATE) AS target_date
+  FROM days d, range(-1, 7) t(k)
+  SEMI JOIN crawl_days c ON c.board_key = d.board_key AND c.target_date = CAST(d.date + CAST(k AS INTEGER) AS DATE)),
+flag AS (
+  SELECT l.board_key, l.target_date, l.thread_path, -CAST(l.thread_path AS BIGINT) AS position,
+         coalesce(p.date = l.target_date, false) AS is_target,
+         coalesce(p.date = l.target_date + 1, false) AS is_next
+  FROM listing l LEFT JOIN lp p ON p.board_key = l.board_key AND p.thread_path = l.thread_path),
+act AS (
+  SELECT board_key, target_date, thread_path, position, bool_or(is_target OR is_next) AS active
+  FROM flag GROUP BY ALL),
+cut AS (SELECT board_key, target_date, min(position) AS cutoff FROM act WHERE NOT active GROUP BY ALL),
+kept AS (
+  SELECT f.* FROM flag f LEFT JOIN cut c USING (board_key, target_date)
+  WHERE f.is_target AND (c.cutoff IS NULL OR f.position < c.cutoff))"""
+
+PATH_RE_SQL = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)"
+
+
+def thread_id_sql(u: str) -> str:
+    parts = f"list_filter(string_split(regexp_extract({u}, '{PATH_RE_SQL}', 1), '/'), lambda z: z <> '')"
+    return (f"(CASE WHEN list_position({parts}, 'read.cgi') > 0 "
+            f"THEN {parts}[list_position({parts}, 'read.cgi') + 2] END)")
+
+
+NAV_LINKS_SQL = r"""
+links AS (
+  SELECT page_id, url, unnest(hrefs) AS href, unnest(titles) AS raw_title,
+         CAST(unnest(range(len(hrefs))) AS INTEGER) AS position
+  FROM (SELECT page_id, url,
+               regexp_extract_all(html, '<li><a href="(/[^"]*)">[^<]*</a>', 1) AS hrefs,
+               regexp_extract_all(html, '<li><a href="/[^"]*">([^<]*)</a>', 1) AS titles
+        FROM pages)),
+threads AS (
+  SELECT page_id, url, position,
+         regexp_replace(regexp_replace(href, '/l\d+/?$', ''), '/+$', '') AS thread_path,
+         regexp_replace(regexp_replace(trim(raw_title), '^\d+:\s*', ''), '\s*\(\d+\)$', '') AS title
+  FROM links)"""
+
+
+def build(limit: int) -> dict[str, str]:
+    w = weekly_ctes()
+    d = daily_ctes()
+    reg = w + regression_ctes()
+    q = {}
+    q["flagship_trending"] = flagship_sql(limit)
+    q["w2_weekly_aggregation"] = w + """,
+wall AS (
+  SELECT CAST(date_trunc('week', date) AS DATE) AS week_start_date, board_key,
+         CAST(sum(fetched_posts) AS INTEGER) AS total_posts_all
+  FROM metrics GROUP BY 1, 2)
+SELECT strftime(r.week_start_date, '%Y-%m-%d') AS week_start_date, r.board_key, r.term, r.post_hits,
+       r.thread_hits, r.total_posts, coalesce(a.total_posts_all, 0) AS total_posts_all
+FROM rates r LEFT JOIN wall a USING (week_start_date, board_key)"""
+    q["w7_weekly_trends"] = w + f"""
+SELECT {iso('week_start_date')} AS week_start_date, board_key, term, post_hits, total_posts,
+       {rnd('appearance_rate')} AS appearance_rate, {rnd('zscore')} AS zscore
+FROM trends"""
+    q["w8_regression"] = reg + f"""
+SELECT {iso('week_start_date')} AS week_start_date, board_key, term,
+       {', '.join(f'{rnd(c)} AS {c}' for c in REG_OUT + ['r_squared'])},
+       {iso('analysis_start_date')} AS analysis_start_date, {iso('analysis_end_date')} AS analysis_end_date
+FROM regcols"""
+    q["w14_latest_regression"] = reg + f"""
+SELECT board_key, term, {', '.join(f'{rnd(c)} AS {c}' for c in REG_OUT)},
+       {iso('analysis_start_date')} AS analysis_start_date, {iso('analysis_end_date')} AS analysis_end_date
+FROM latest"""
+    q["w17_growth_ranking"] = reg + f"""
+SELECT board_key, term, {rnd('slope')} AS slope, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY board_key ORDER BY round(slope, 9) DESC, term) AS rank FROM latest)
+WHERE rank <= 5"""
+    q["w16_w18_lookups"] = reg + f"""
+SELECT 'history' AS lookup, {iso('week_start_date')} AS week_start_date, board_key, term,
+       {rnd('appearance_rate')} AS value
+FROM trends WHERE term = 'ring' AND board_key = 'A'
+  AND week_start_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'
+UNION ALL
+SELECT 'regression', {iso('analysis_start_date')}, board_key, term, {rnd('slope')}
+FROM latest WHERE board_key = 'R' AND term = 'gear'"""
+    cal = """,
+weeks AS (SELECT DISTINCT CAST(date_trunc('week', date) AS DATE) AS week_start_date, board_key FROM posts),
+cal AS (SELECT week_start_date, board_key, CAST(week_start_date + CAST(k AS INTEGER) AS DATE) AS date FROM weeks, range(7) t(k)),
+calv AS (
+  SELECT c.*, coalesce(r.status = 'success' OR r.is_recovered, false) AS is_valid
+  FROM cal c LEFT JOIN runs r ON r.date = c.date AND r.board_key = c.board_key),
+summ AS (
+  SELECT week_start_date, board_key, CAST(count(*) FILTER (WHERE is_valid) AS INTEGER) AS valid_days,
+         coalesce(string_agg(strftime(date, '%Y-%m-%d'), ',' ORDER BY date) FILTER (WHERE NOT is_valid), '')
+           AS invalid_dates
+  FROM calv GROUP BY 1, 2)"""
+    q["w21_weekly_summary"] = w + cal + f"""
+SELECT {iso('s.week_start_date')} AS week_start_date, s.board_key,
+       coalesce(g.n_ok, 0) AS processed_terms, coalesce(g.n_bad, 0) AS error_terms, s.valid_days, s.invalid_dates
+FROM summ s LEFT JOIN (
+  SELECT week_start_date, board_key,
+         count(*) FILTER (WHERE appearance_rate BETWEEN 0 AND 1 AND post_hits >= 0 AND total_posts >= 0) AS n_ok,
+         count(*) FILTER (WHERE NOT (appearance_rate BETWEEN 0 AND 1 AND post_hits >= 0 AND total_posts >= 0))
+           AS n_bad
+  FROM rates GROUP BY 1, 2) g USING (week_start_date, board_key)"""
+    q["l6_collection_check"] = d + cal + f"""
+SELECT {iso('week_start_date')} AS week_start_date, board_key, valid_days, invalid_dates FROM summ"""
+    q["a_daily_term_stats"] = d + """
+SELECT strftime(date, '%Y-%m-%d') AS date, board_key, term, post_hits, thread_hits FROM stats"""
+    q["a_daily_metrics"] = d + """
+SELECT strftime(m.date, '%Y-%m-%d') AS date, m.board_key,
+       m.board_key || ':' || strftime(m.date, '%Y-%m-%d') AS run_id,
+       fetched_threads, fetched_posts, fetched_posts AS parsed_posts, 0 AS parse_fail_posts,
+       0 AS tokenize_fail_posts, filtered_tokens, total_tokens,
+       (round(CASE WHEN total_tokens = 0 THEN 0.0 ELSE filtered_tokens / CAST(total_tokens AS DOUBLE) END, 9) + 0.0)
+         AS filtered_rate,
+       CAST(dayofyear(m.date) % 50 + 10 AS INTEGER) AS duration_sec
+FROM metrics m"""
+    q["a9_top_terms"] = d + """
+SELECT strftime(date, '%Y-%m-%d') AS date, board_key, term, post_hits, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY date, board_key ORDER BY post_hits DESC, term) AS rank FROM stats)
+WHERE rank > 1 AND rank <= 4"""
+    q["a10_metrics_lookup"] = d + """
+SELECT strftime(date, '%Y-%m-%d') AS date, board_key, fetched_posts, total_tokens, filtered_tokens
+FROM metrics WHERE date = DATE '1996-03-04' AND board_key = 'R'"""
+    dc = daily_ctes(POSTS_CONVERSATIONS)
+    q["t_conversation_stats"] = dc + """
+SELECT strftime(date, '%Y-%m-%d') AS date, board_key, term, post_hits, thread_hits FROM stats"""
+    q["t_conversation_metrics"] = dc + """
+SELECT strftime(date, '%Y-%m-%d') AS date, board_key, fetched_threads, fetched_posts, total_tokens,
+       filtered_tokens,
+       (round(CASE WHEN total_tokens = 0 THEN 0.0 ELSE filtered_tokens / CAST(total_tokens AS DOUBLE) END, 9) + 0.0)
+         AS filtered_rate
+FROM metrics"""
+    q["t3_document_terms"] = f"""
+SELECT surface, {norm_sql('surface')} AS normalized FROM (
+  SELECT DISTINCT unnest(regexp_extract_all(text, {_sql_str(TOKEN_PATTERN_RE2)})) AS surface FROM documents)
+WHERE surface IS NOT NULL"""
+    terms = d + f""",
+dict AS (SELECT DISTINCT t AS normalized FROM (SELECT unnest(nterms) AS t FROM normed) WHERE t <> '')"""
+    q["d3_dictionary"] = terms + f"""
+SELECT count(*) AS n_terms, CAST(1 AS BIGINT) AS min_id, count(*) AS max_id, count(*) AS n_ids,
+       count(*) AS n_texts, count(*) FILTER (WHERE normalized IN {BLOCKED_SQL}) AS n_blocked
+FROM dict"""
+    q["d5_dictionary_terms"] = terms + f"""
+SELECT normalized, normalized IN {BLOCKED_SQL} AS is_blocked,
+       CASE WHEN normalized IN {BLOCKED_SQL} THEN 'stopword' END AS blocked_reason, false AS needs_review
+FROM dict"""
+    ledger = d + """,
+fin AS (
+  SELECT *, CAST(date AS TIMESTAMP) + INTERVAL 17 HOUR + to_seconds(dayofyear(date) % 50 + 10) AS finished_at,
+         board_key || ':' || strftime(date, '%Y-%m-%d') AS run_id
+  FROM runs)"""
+    q["l1_l5_ledger"] = ledger + """
+SELECT run_id, strftime(date, '%Y-%m-%d') AS target_date, board_key,
+       CASE WHEN status = 'failed' AND is_recovered THEN 'success' ELSE status END AS status,
+       is_recovered, strftime(finished_at, '%Y-%m-%d %H:%M:%S') AS finished_at
+FROM fin"""
+    q["l2_l4_lookups"] = ledger + """
+SELECT 'range' AS lookup, run_id, strftime(date, '%Y-%m-%d') AS target_date, board_key, status FROM fin
+WHERE board_key = 'N' AND date BETWEEN DATE '1996-01-01' AND DATE '1996-01-31'
+UNION ALL
+SELECT 'date_board', run_id, strftime(date, '%Y-%m-%d'), board_key, status FROM fin
+WHERE board_key = 'A' AND date = DATE '1997-05-05'
+UNION ALL
+SELECT 'id', run_id, strftime(date, '%Y-%m-%d'), board_key, status FROM fin WHERE run_id = 'R:1998-02-09'"""
+    q["s3_page_links"] = "WITH " + NAV_LINKS_SQL.strip() + """
+SELECT page_id, position, thread_path, title FROM threads WHERE thread_path <> ''"""
+    q["s16_s18_urls"] = "WITH " + NAV_LINKS_SQL.strip() + f"""
+SELECT page_id, position,
+       coalesce(regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+'), false) AS url_valid,
+       {thread_id_sql('url')} AS url_thread_id,
+       {thread_id_sql("regexp_extract(url, '^([^?#]*)', 1) || '/test/read.cgi/b/' || CAST(page_id AS VARCHAR) || '/l50'")}
+         AS thread_id,
+       regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || thread_path AS resolved
+FROM threads WHERE thread_path <> ''"""
+    q["s2_page_decode"] = "SELECT page_id, CAST(length(html) AS INTEGER) AS n_chars FROM pages"
+    q["s11_crawl_cutoff"] = "WITH " + POSTS_LINEITEM.strip() + CRAWL_SQL + """
+SELECT strftime(target_date, '%Y-%m-%d') AS target_date, board_key,
+       count(DISTINCT thread_path) AS kept_threads, count(*) AS kept_posts
+FROM kept GROUP BY ALL"""
+    q["s14_dates"] = """
+SELECT strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS ts,
+       strftime(CAST(l_shipdate + INTERVAL 9 HOUR AS DATE) - 1, '%Y-%m-%d') AS target_date,
+       strftime(l_shipdate, '%Y/%m/%d') || '(' AS day_prefix,
+       strftime(CAST(date_trunc('week', l_shipdate) AS DATE) - 7, '%Y-%m-%d') AS week_start,
+       strftime(CAST(date_trunc('week', l_shipdate) AS DATE) - 1, '%Y-%m-%d') AS week_end,
+       strftime(CAST(date_trunc('week', l_shipdate) AS DATE) - 56, '%Y-%m-%d') AS analysis_start,
+       strftime(CAST(date_trunc('week', l_shipdate) AS DATE) - 1, '%Y-%m-%d') AS analysis_end
+FROM (SELECT DISTINCT l_shipdate FROM lineitem)"""
+    q["u1_upsert"] = w + """,
+uagg AS (
+  SELECT CAST(date_trunc('week', date) AS DATE) AS week_start_date, board_key, term,
+         CAST(sum(post_hits) AS INTEGER) AS post_hits FROM stats GROUP BY 1, 2, 3),
+utot AS (
+  SELECT CAST(date_trunc('week', date) AS DATE) AS week_start_date, board_key,
+         CAST(sum(fetched_posts) AS INTEGER) AS total_posts FROM metrics GROUP BY 1, 2),
+upd AS (
+  SELECT a.week_start_date, a.board_key, a.term, a.post_hits, coalesce(t.total_posts, 0) AS total_posts,
+         CASE WHEN coalesce(t.total_posts, 0) = 0 THEN 0.0 ELSE a.post_hits / CAST(t.total_posts AS DOUBLE) END
+           AS appearance_rate
+  FROM uagg a LEFT JOIN utot t USING (week_start_date, board_key)
+  WHERE year(a.week_start_date) = 1997)
+SELECT strftime(coalesce(u.week_start_date, s.week_start_date), '%Y-%m-%d') AS week_start_date,
+       coalesce(u.board_key, s.board_key) AS board_key, coalesce(u.term, s.term) AS term,
+       CASE WHEN u.term IS NOT NULL THEN u.post_hits ELSE s.post_hits END AS post_hits,
+       CASE WHEN u.term IS NOT NULL THEN u.total_posts ELSE s.total_posts END AS total_posts,
+       (round(CASE WHEN u.term IS NOT NULL THEN u.appearance_rate ELSE s.appearance_rate END, 9) + 0.0)
+         AS appearance_rate,
+       CASE WHEN u.term IS NOT NULL THEN NULL ELSE (round(s.zscore, 9) + 0.0) END AS zscore
+FROM trends s FULL OUTER JOIN upd u
+  ON s.week_start_date = u.week_start_date AND s.board_key = u.board_key AND s.term = u.term"""
+    q["i1_checks"] = w + """
+SELECT 'pipeline_metrics_daily' AS table_name, count(*) AS n_rows,
+       count(*) FILTER (WHERE NOT (fetched_threads >= 0 AND fetched_posts >= 0 AND total_tokens >= 0
+         AND filtered_tokens >= 0 AND filtered_tokens <= total_tokens)) AS n_violating
+FROM metrics
+UNION ALL
+SELECT 'weekly_term_trends', count(*),
+       count(*) FILTER (WHERE NOT (post_hits >= 0 AND total_posts >= 0 AND appearance_rate BETWEEN 0 AND 1))
+FROM rates
+UNION ALL
+SELECT 'daily_term_stats', count(*), count(*) FILTER (WHERE NOT (post_hits >= 0 AND thread_hits >= 0))
+FROM stats"""
+    q["i2_duplicate_keys"] = "WITH " + POSTS_LINEITEM.strip() + """
+SELECT thread_path, post_no, count(*) AS n FROM posts GROUP BY 1, 2 HAVING count(*) > 1"""
+    q["i3_orphans"] = """
+SELECT 'l_partkey' AS fk, count(*) AS n_orphans FROM lineitem
+WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey IS NOT NULL)
+UNION ALL
+SELECT 'l_orderkey', count(*) FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL)"""
+    q["i5_schema_evolution"] = d + """
+SELECT board_key || ':' || strftime(date, '%Y-%m-%d') AS run_id, status,
+       CASE WHEN year(date) = 1995 THEN false ELSE is_recovered END AS is_recovered
+FROM runs"""
+    q["j4_runs_metrics"] = d + """
+SELECT strftime(m.date, '%Y-%m-%d') AS date, m.board_key, r.status, r.is_recovered, m.fetched_posts
+FROM metrics m LEFT JOIN runs r ON r.date = m.date AND r.board_key = m.board_key"""
+    return q

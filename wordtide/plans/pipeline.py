@@ -46,3 +46,13 @@ def weekly_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship chain: weekly rates and z-scores for all weeks and boards."""
     posts, res = lineitem_daily(spark, sf_dir)
     return weekly.with_zscore(weekly_rates(posts, res))
+
+
+def weekly_with_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship chain plus the 8-week regression columns for every week."""
+    return weekly.with_regression(weekly_trends(spark, sf_dir))
+
+
+def conversation_daily(spark: SparkSession, sf_dir: str) -> daily.DailyResult:
+    posts = A.posts_from_conversations(spark, sf_dir)
+    return daily_for_posts(spark, posts)

@@ -1,23 +1,28 @@
-"""Registered queries: one per SURVEY §2 operator (or a few operators sharing one).
+"""Registered queries: one per SURVEY §2 operator group, each over whole driver tables.
 
 Every query reads the driver tables (whole tables, whole texts) and returns a
-DataFrame whose columns match its oracle SQL in ``plans.oracle``: dates as ISO
-text, doubles rounded to 9 decimals, terms by their normalised text (ids are an
-implementation detail that no other engine reproduces).
+DataFrame whose columns match its oracle SQL in ``ORACLE``: dates as ISO text,
+doubles rounded to 9 decimals, terms by their normalised text (term ids are an
+implementation detail no other engine reproduces).  Queries without an ORACLE
+entry (HTML parsing, the exact binomial interval) get the driver's rows-only
+check and are covered by goldens in ``tests/``.
 """
 
 from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
+from wordtide.functions import dates as Dt
+from wordtide.functions import urls as U
 from wordtide.functions.dates import iso
-from wordtide.operators import weekly
+from wordtide.operators import daily, extraction as X, ledger, tables, terms as T, weekly
 from wordtide.plans import oracle as O
 from wordtide.plans import pipeline as P
+from wordtide.sources import adapters as A
+from wordtide.sources import html as H
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,52 +30,410 @@ TRENDING_LIMIT = 10
 ROUND = 9
 
 
-def _r(c: str):
-    return F.round(F.col(c), ROUND).alias(c)
+def _r(c, name=None):
+    col = F.col(c) if isinstance(c, str) else c
+    return (F.round(col, ROUND) + F.lit(0.0)).alias(name or (c if isinstance(c, str) else "x"))
+
+
+def _d(c, name=None):
+    return iso(F.col(c)).alias(name or c)
+
+
+# ----------------------------------------------------------------- weekly
 
 
 def flagship_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W2 + W3 + W5 + W7 + W15: per (week, board) the top-10 terms by z-score."""
     t = P.weekly_trends(spark, sf_dir).withColumnRenamed("normalized", "term")
     t = t.withColumn("_z", F.round("zscore", ROUND))
-    w = Window.partitionBy("week_start_date", "board_key").orderBy(F.desc_nulls_last("_z"), F.asc("term"))
-    top = t.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= TRENDING_LIMIT)
-    return top.select(iso(F.col("week_start_date")).alias("week_start_date"), "board_key", "term",
-                      "post_hits", "total_posts", _r("appearance_rate"), _r("zscore"), "rank")
+    top = weekly.trending(t, TRENDING_LIMIT, order_col="_z", tie_col="term")
+    return top.select(_d("week_start_date"), "board_key", "term", "post_hits", "total_posts",
+                      _r("appearance_rate"), _r("zscore"), "rank")
+
+
+def w2_weekly_aggregation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 + W3 + W4: weekly hits over valid days, totals over valid days and all days."""
+    posts, res = P.lineitem_daily(spark, sf_dir)
+    rates = P.weekly_rates(posts, res)
+    all_days = weekly.weekly_total_posts(res.metrics).withColumnRenamed("total_posts", "total_posts_all")
+    return (rates.join(all_days, weekly.WEEK, "left")
+            .select(_d("week_start_date"), "board_key", F.col("normalized").alias("term"), "post_hits",
+                    "thread_hits", "total_posts", F.coalesce("total_posts_all", F.lit(0)).alias("total_posts_all")))
+
+
+def w7_weekly_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W5 + W7: appearance rate and z-score of every (week, board, term)."""
+    t = P.weekly_trends(spark, sf_dir)
+    return t.select(_d("week_start_date"), "board_key", F.col("normalized").alias("term"), "post_hits",
+                    "total_posts", _r("appearance_rate"), _r("zscore"))
+
+
+REG_OUT = ["intercept", "slope", "intercept_ci_lower", "intercept_ci_upper", "slope_ci_lower",
+           "slope_ci_upper", "p_value"]
+
+
+def w8_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """8-week OLS (coefficients, t-intervals, p-value, r²) for every week with 8 points."""
+    r = P.weekly_with_regression(spark, sf_dir).where("has_regression")
+    return r.select(_d("week_start_date"), "board_key", F.col("normalized").alias("term"),
+                    *[_r(c) for c in REG_OUT + ["r_squared"]], _d("analysis_start_date"), _d("analysis_end_date"))
+
+
+def _latest(spark, sf_dir):
+    r = P.weekly_with_regression(spark, sf_dir)
+    latest = weekly.latest_regressions(r)
+    terms = r.select("term_id", "normalized").distinct()
+    return latest.join(terms, "term_id")
+
+
+def w14_latest_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The regression row kept per (board, term) after a backfill of all weeks."""
+    return _latest(spark, sf_dir).select("board_key", F.col("normalized").alias("term"),
+                                         *[_r(c) for c in REG_OUT], _d("analysis_start_date"),
+                                         _d("analysis_end_date"))
+
+
+def w17_growth_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per board the 5 terms with the steepest latest slope."""
+    lt = _latest(spark, sf_dir).withColumn("_s", F.round("slope", ROUND)).withColumnRenamed("normalized", "term")
+    top = weekly.growth_ranking(lt, 5, order_col="_s", tie_col="term")
+    return top.select("board_key", "term", _r("slope"), "rank")
+
+
+def w16_w18_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W16 (one term's weekly history in a range) and W18 (its regression row)."""
+    t = P.weekly_trends(spark, sf_dir)
+    ring = t.where(F.col("normalized") == "ring").select("term_id").distinct()
+    hist = weekly.term_history(t.join(ring, "term_id", "left_semi"), ring.scalar(), "A", "1996-01-01", "1996-12-31")
+    h = hist.select(F.lit("history").alias("lookup"), _d("week_start_date"), "board_key",
+                    F.col("normalized").alias("term"), _r("appearance_rate", "value"))
+    lt = _latest(spark, sf_dir)
+    gear = lt.where(F.col("normalized") == "gear").select("term_id").distinct()
+    rl = weekly.regression_lookup(lt, "R", gear.scalar())
+    r = rl.select(F.lit("regression").alias("lookup"), _d("analysis_start_date", "week_start_date"), "board_key",
+                  F.col("normalized").alias("term"), _r("slope", "value"))
+    return h.unionByName(r)
+
+
+def _weekly_job(spark, sf_dir):
+    posts, res = P.lineitem_daily(spark, sf_dir)
+    runs = A.runs_for_posts(posts)
+    weeks = posts.select(Dt.week_start(F.col("date")).alias("week_start_date"), "board_key").distinct()
+    return weekly.run_weekly(weeks, runs, res.stats, res.metrics), res
+
+
+def w21_weekly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L6 + L7 + W20 + W21: per (week, board) processed / error terms and invalid dates."""
+    out, _ = _weekly_job(spark, sf_dir)
+    return out.summary.select(_d("week_start_date"), "board_key", "processed_terms", "error_terms",
+                              F.col("valid_days").cast("int").alias("valid_days"),
+                              F.array_join(F.transform("invalid_dates", lambda d: iso(d)), ",").alias("invalid_dates"))
+
+
+def w22_weekly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W22 end to end (with the W6 interval and the W13/W14 upserts): stored trend rows."""
+    out, res = _weekly_job(spark, sf_dir)
+    tr = tables.with_term_text(out.trends, res.terms)
+    return tr.select(_d("week_start_date"), "board_key", F.col("normalized").alias("term"), "post_hits",
+                     "total_posts", _r("appearance_rate"), _r("appearance_rate_ci_lower"),
+                     _r("appearance_rate_ci_upper"), _r("zscore"))
+
+
+def w6_binomial_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact interval for every distinct (post_hits, total_posts) of the weekly rows."""
+    t = P.weekly_trends(spark, sf_dir).select("post_hits", "total_posts").distinct()
+    ci = weekly.with_binomial_ci(t)
+    return ci.select("post_hits", "total_posts", _r("appearance_rate_ci_lower"), _r("appearance_rate_ci_upper"))
+
+
+# ------------------------------------------------------------------ daily
 
 
 def daily_term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1-T5 + D3 + D6 + A2/A3: daily post and thread hits for every (date, board, term)."""
     _, res = P.lineitem_daily(spark, sf_dir)
-    return res.stats.select(iso(F.col("date")).alias("date"), "board_key", F.col("normalized").alias("term"),
-                            "post_hits", "thread_hits")
+    return res.stats.select(_d("date"), "board_key", F.col("normalized").alias("term"), "post_hits", "thread_hits")
 
 
 def daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + A4 + A5 + A6 + A8: per-(date, board) run metrics."""
     _, res = P.lineitem_daily(spark, sf_dir)
-    return res.metrics.select(iso(F.col("date")).alias("date"), "board_key", "run_id", "fetched_threads",
+    return res.metrics.select(_d("date"), "board_key", "run_id", "fetched_threads",
                               "fetched_posts", "parsed_posts", "parse_fail_posts", "tokenize_fail_posts",
                               "filtered_tokens", "total_tokens", _r("filtered_rate"), "duration_sec")
 
 
+def a9_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 (limit 3, offset 1) for every (date, board), and A10 for one day."""
+    _, res = P.lineitem_daily(spark, sf_dir)
+    top = daily.top_terms_of_day(res.stats, limit=3, offset=1, tie_col="normalized")
+    return top.select(_d("date"), "board_key", F.col("normalized").alias("term"), "post_hits", "rank")
+
+
+def a10_metrics_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: the metrics row of one (date, board)."""
+    _, res = P.lineitem_daily(spark, sf_dir)
+    m = daily.metrics_lookup(res.metrics, "1996-03-04", "R")
+    return m.select(_d("date"), "board_key", "fetched_posts", "total_tokens", "filtered_tokens")
+
+
+def t_conversation_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 + T3 (NFKC) + A2/A3 on free text: conversations as posts."""
+    res = P.conversation_daily(spark, sf_dir)
+    return res.stats.select(_d("date"), "board_key", F.col("normalized").alias("term"), "post_hits", "thread_hits")
+
+
+def t_conversation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4/A5 on free text: token and filter counters per (date, role)."""
+    res = P.conversation_daily(spark, sf_dir)
+    return res.metrics.select(_d("date"), "board_key", "fetched_threads", "fetched_posts", "total_tokens",
+                              "filtered_tokens", _r("filtered_rate"))
+
+
+def t3_document_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 + T3 + T4 on whole documents: every distinct surface and its normalised term."""
+    docs = A.table(spark, sf_dir, "documents")
+    s = docs.select(F.explode(T.regex_tokens(F.col("text"))).alias("surface")).distinct()
+    return T.normalize_surfaces(s).select("surface", "normalized")
+
+
+def d3_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids are dense 1..n, unique, one per term; D5/D6 blocked count."""
+    _, res = P.lineitem_daily(spark, sf_dir)
+    return res.terms.agg(F.count(F.lit(1)).alias("n_terms"), F.min("term_id").alias("min_id"),
+                         F.max("term_id").alias("max_id"), F.count_distinct("term_id").alias("n_ids"),
+                         F.count_distinct("normalized").alias("n_texts"),
+                         F.count_if("is_blocked").alias("n_blocked"))
+
+
+def d5_dictionary_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dictionary term with its block flag and reason, looked up by id."""
+    _, res = P.lineitem_daily(spark, sf_dir)
+    t = res.terms
+    ids = t.select("term_id")
+    looked = t.join(ids, "term_id", "left_semi")  # D1 by id, set-wise
+    return looked.select("normalized", "is_blocked", "blocked_reason", "needs_review")
+
+
+# ----------------------------------------------------------------- ledger
+
+
+def l1_l5_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 (append with key checks) + L5 (status update): recovered failures become success."""
+    posts = A.posts_from_lineitem(spark, sf_dir)
+    new = A.runs_for_posts(posts)
+    runs = ledger.append_runs(tables.align(new.limit(0), new.schema), new)
+    upd = runs.where((F.col("status") == "failed") & F.col("is_recovered")).select("run_id", F.lit("success").alias("status"))
+    out = ledger.update_status(runs, upd)
+    return out.select("run_id", _d("target_date"), "board_key", "status", "is_recovered",
+                      F.date_format("finished_at", "yyyy-MM-dd HH:mm:ss").alias("finished_at"))
+
+
+def l2_l4_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2 (by id), L3 (by date and board), L4 (inclusive date range for a board)."""
+    runs = A.runs_for_posts(A.posts_from_lineitem(spark, sf_dir))
+    a = ledger.runs_in_range(runs, "1996-01-01", "1996-01-31", "N").withColumn("lookup", F.lit("range"))
+    b = ledger.run_by_date_and_board(runs, "1997-05-05", "A").withColumn("lookup", F.lit("date_board"))
+    c = ledger.run_by_id(runs, "R:1998-02-09").withColumn("lookup", F.lit("id"))
+    return a.unionByName(b).unionByName(c).select("lookup", "run_id", _d("target_date"), "board_key", "status")
+
+
+def l6_collection_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L6 + L7: per (week, board) the valid days and the invalid dates in order."""
+    posts = A.posts_from_lineitem(spark, sf_dir)
+    runs = A.runs_for_posts(posts)
+    weeks = posts.select(Dt.week_start(F.col("date")).alias("week_start_date"), "board_key").distinct()
+    inv = ledger.invalid_dates(ledger.validate_collection(weeks, runs))
+    return inv.select(_d("week_start_date"), "board_key", F.col("valid_days").cast("int").alias("valid_days"),
+                      F.array_join(F.transform("invalid_dates", lambda d: iso(d)), ",").alias("invalid_dates"))
+
+
+# ------------------------------------------------------------- extraction
+
+
+NAV_LINKS = dict(container_tag="li", style_pattern=None, link_pattern=r"^/")
+
+
+def s3_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3-S6 with list-item / root-link parameters: every navigation link of every page."""
+    pages = A.table(spark, sf_dir, "pages")
+    th = X.board_threads(pages, keys=["page_id"], **NAV_LINKS)
+    return th.select("page_id", F.col("position").cast("int").alias("position"), "thread_path", "title")
+
+
+def s7_page_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7-S9 with article/h1/p parameters: one post per article, content as text lines."""
+    pages = A.table(spark, sf_dir, "pages")
+    posts = X.parse_thread_pages(pages, keys=["page_id"], post_tag="article", post_class=None,
+                                 date_tag="h1", date_class=None, content_tag="p", content_class=None)
+    return posts.select("page_id", "post_no", "date_text", "content")
+
+
+def s8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 column function on whole pages: text lines and their count."""
+    pages = A.table(spark, sf_dir, "pages")
+    t = pages.select("page_id", H.html_text(F.col("html")).alias("text"))
+    return t.select("page_id", F.size(F.split("text", "\n")).alias("n_lines"), F.length("text").alias("n_chars"))
+
+
+def s16_s18_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S16 (thread id), S17 (URL validity) on page URLs and derived thread URLs; S18
+    (resolve each navigation link against its page URL)."""
+    pages = A.table(spark, sf_dir, "pages")
+    links = X.board_threads(pages.select("page_id", "url", "html"), keys=["page_id", "url"], **NAV_LINKS)
+    thread_url = F.concat(F.regexp_extract("url", r"^([^?#]*)", 1), F.lit("/test/read.cgi/b/"),
+                          F.col("page_id").cast("string"), F.lit("/l50"))
+    return links.select(
+        "page_id", F.col("position").cast("int").alias("position"),
+        U.is_valid_url(F.col("url")).alias("url_valid"),
+        U.thread_id(F.col("url")).alias("url_thread_id"),
+        U.thread_id(thread_url).alias("thread_id"),
+        U.build_url(F.col("url"), F.col("thread_path")).alias("resolved"))
+
+
+def s2_page_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2: page bodies as bytes decoded with their declared charset."""
+    pages = A.table(spark, sf_dir, "pages")
+    body = pages.select("page_id", F.encode("html", "UTF-8").alias("body"),
+                        F.lower(F.regexp_extract("html", r'<meta charset="([^"]+)"', 1)).alias("charset"))
+    txt = body.select("page_id", H.decode(F.col("body"), F.col("charset")).alias("text"))
+    return txt.select("page_id", F.length("text").alias("n_chars"))
+
+
+def s11_crawl_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10-S13 + S15: each (board, day) is a crawl whose board page lists the threads
+    active in the past week, newest thread first; the scan stops at the first thread
+    without posts on the day or the next day.  Threads keep their latest 3 posts."""
+    posts = X.latest_posts(A.posts_from_lineitem(spark, sf_dir), 3, thread_keys=("board_key", "thread_path"),
+                           tie_break=(F.desc("date"), F.asc("content")))
+    days = posts.select("board_key", "thread_path", "date").distinct()
+    listing = (days.select("board_key", "thread_path",
+                           F.explode(F.sequence(F.date_sub("date", 1), F.date_add("date", 6))).alias("target_date"))
+               .distinct()
+               .join(posts.select("board_key", F.col("date").alias("target_date")).distinct(),
+                     ["board_key", "target_date"], "left_semi")
+               .withColumn("position", -F.col("thread_path").cast("long"))
+               .withColumn("page_ok", F.lit(True)))
+    # Thread pages are per board here, so posts join on (board_key, thread_path).
+    kept = X.collect_target_posts(listing, posts.drop("date"), join_keys=("board_key", "thread_path"))
+    return (kept.groupBy("board_key", "date")
+            .agg(F.count_distinct("thread_path").alias("kept_threads"), F.count(F.lit(1)).alias("kept_posts"))
+            .select(_d("date", "target_date"), "board_key", "kept_threads", "kept_posts"))
+
+
+def s14_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10 prefix, S14 JST target date, W1 previous week, W12 window for every ship time."""
+    ts = A.table(spark, sf_dir, "lineitem").select("l_shipdate").distinct()
+    ws, we = Dt.previous_week(F.to_date("l_shipdate"))
+    a, b = Dt.analysis_window(ws)
+    return ts.select(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("ts"),
+                     iso(Dt.target_date_jst(F.col("l_shipdate"))).alias("target_date"),
+                     Dt.day_prefix(F.col("l_shipdate")).alias("day_prefix"),
+                     iso(ws).alias("week_start"), iso(we).alias("week_end"),
+                     iso(a).alias("analysis_start"), iso(b).alias("analysis_end"))
+
+
+# ----------------------------------------------------------------- tables
+
+
+def u1_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upsert 1997's rows recomputed over all days (W4 totals, z-score NULL) into
+    the stored trends: matched keys change, unseen keys are inserted, others stay."""
+    posts, res = P.lineitem_daily(spark, sf_dir)
+    stored = weekly.with_zscore(P.weekly_rates(posts, res))
+    agg = weekly.weekly_aggregation(res.stats, term_cols=("term_id", "normalized"))
+    upd = weekly.with_rates(agg, weekly.weekly_total_posts(res.metrics))
+    upd = upd.where(F.year("week_start_date") == 1997).withColumn("zscore", F.lit(None).cast("double"))
+    cols = ["week_start_date", "board_key", "term_id", "normalized", "post_hits", "total_posts",
+            "appearance_rate", "zscore"]
+    out = tables.upsert(stored.select(*cols), upd.select(*cols), ["week_start_date", "board_key", "term_id"],
+                        ["post_hits", "total_posts", "appearance_rate", "zscore"])
+    return out.select(_d("week_start_date"), "board_key", F.col("normalized").alias("term"), "post_hits",
+                      "total_posts", _r("appearance_rate"), _r("zscore"))
+
+
+def i1_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Check-constraint violations per table over daily metrics and weekly rates."""
+    posts, res = P.lineitem_daily(spark, sf_dir)
+    tr = P.weekly_rates(posts, res).withColumn("appearance_rate_ci_lower", F.lit(None).cast("double")) \
+        .withColumn("appearance_rate_ci_upper", F.lit(None).cast("double"))
+    out = []
+    for name, df in (("pipeline_metrics_daily", res.metrics), ("weekly_term_trends", tr),
+                     ("daily_term_stats", res.stats)):
+        v = df.withColumn("_v", tables.violations(df, name))
+        out.append(v.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                         F.count_if(F.size("_v") > 0).alias("n_violating")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def i2_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(thread, post number) keys of the structured posts that occur more than once."""
+    posts = A.posts_from_lineitem(spark, sf_dir)
+    return tables.duplicate_keys(posts, ["thread_path", "post_no"])
+
+
+def i3_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Foreign-key orphans of lineitem -> part and lineitem -> orders."""
+    li = A.table(spark, sf_dir, "lineitem")
+    a = tables.orphans(li, A.table(spark, sf_dir, "part"), "l_partkey", "p_partkey")
+    b = tables.orphans(li, A.table(spark, sf_dir, "orders"), "l_orderkey", "o_orderkey")
+    return (a.agg(F.lit("l_partkey").alias("fk"), F.count(F.lit(1)).alias("n_orphans"))
+            .unionByName(b.agg(F.lit("l_orderkey").alias("fk"), F.count(F.lit(1)).alias("n_orphans"))))
+
+
+def i5_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4 + I5: 1995 ledger rows written before ``is_recovered`` existed read as false."""
+    runs = A.runs_for_posts(A.posts_from_lineitem(spark, sf_dir))
+    old = runs.where(F.year("target_date") == 1995).drop("is_recovered")
+    new = runs.where(F.year("target_date") > 1995)
+    ev = tables.read_runs_evolved(old, new)
+    return ev.select("run_id", "status", "is_recovered")
+
+
+def j4_runs_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + J4: metrics with their run (left join) and stats with their term text."""
+    posts, res = P.lineitem_daily(spark, sf_dir)
+    runs = A.runs_for_posts(posts)
+    j = tables.runs_with_metrics(res.metrics, runs)
+    return j.select(_d("date"), "board_key", "status", "is_recovered", "fetched_posts")
+
+
 QUERIES: dict[str, Query] = {
     "flagship_trending": flagship_trending,
+    "w2_weekly_aggregation": w2_weekly_aggregation,
+    "w7_weekly_trends": w7_weekly_trends,
+    "w8_regression": w8_regression,
+    "w14_latest_regression": w14_latest_regression,
+    "w17_growth_ranking": w17_growth_ranking,
+    "w16_w18_lookups": w16_w18_lookups,
+    "w21_weekly_summary": w21_weekly_summary,
+    "w22_weekly_job": w22_weekly_job,
+    "w6_binomial_ci": w6_binomial_ci,
     "a_daily_term_stats": daily_term_stats,
     "a_daily_metrics": daily_metrics,
+    "a9_top_terms": a9_top_terms,
+    "a10_metrics_lookup": a10_metrics_lookup,
+    "t_conversation_stats": t_conversation_stats,
+    "t_conversation_metrics": t_conversation_metrics,
+    "t3_document_terms": t3_document_terms,
+    "d3_dictionary": d3_dictionary,
+    "d5_dictionary_terms": d5_dictionary_terms,
+    "l1_l5_ledger": l1_l5_ledger,
+    "l2_l4_lookups": l2_l4_lookups,
+    "l6_collection_check": l6_collection_check,
+    "s3_page_links": s3_page_links,
+    "s7_page_posts": s7_page_posts,
+    "s8_page_text": s8_page_text,
+    "s16_s18_urls": s16_s18_urls,
+    "s2_page_decode": s2_page_decode,
+    "s11_crawl_cutoff": s11_crawl_cutoff,
+    "s14_dates": s14_dates,
+    "u1_upsert": u1_upsert,
+    "i1_checks": i1_checks,
+    "i2_duplicate_keys": i2_duplicate_keys,
+    "i3_orphans": i3_orphans,
+    "i5_schema_evolution": i5_schema_evolution,
+    "j4_runs_metrics": j4_runs_metrics,
 }
 
-ORACLE: dict[str, str] = {
-    "flagship_trending": O.flagship_sql(TRENDING_LIMIT),
-    "a_daily_term_stats": O.daily_ctes() + """
-SELECT strftime(date, '%Y-%m-%d') AS date, board_key, term, post_hits, thread_hits FROM stats""",
-    "a_daily_metrics": O.daily_ctes() + """
-SELECT strftime(m.date, '%Y-%m-%d') AS date, m.board_key,
-       m.board_key || ':' || strftime(m.date, '%Y-%m-%d') AS run_id,
-       fetched_threads, fetched_posts, fetched_posts AS parsed_posts, 0 AS parse_fail_posts,
-       0 AS tokenize_fail_posts, filtered_tokens, total_tokens,
-       round(CASE WHEN total_tokens = 0 THEN 0.0 ELSE filtered_tokens / CAST(total_tokens AS DOUBLE) END, 9)
-         AS filtered_rate,
-       CAST(dayofyear(m.date) % 50 + 10 AS INTEGER) AS duration_sec
-FROM metrics m""",
-}
+ORACLE: dict[str, str] = O.build(TRENDING_LIMIT)
