@@ -71,11 +71,17 @@ def _nfkc_one(x: Optional[str]) -> Optional[str]:
 
 
 @F.pandas_udf(T.StringType())
-def nfkc(s: pd.Series) -> pd.Series:
-    """NFKC via ``unicodedata`` (pyarrow's utf8_normalize disagrees on composed forms)."""
+def _nfkc_udf(s: pd.Series) -> pd.Series:
     return s.map(_nfkc_one)
 
 
+# NFKC via ``unicodedata`` (pyarrow's utf8_normalize disagrees on composed forms).
+# Marked non-deterministic so Catalyst cannot infer constraints through it and
+# push the Python call below the distinct/join it is meant to follow: it must run
+# once per distinct surface, never per token occurrence.
+nfkc = _nfkc_udf.asNondeterministic()
+
+
 def normalize_after_nfkc(c: Column) -> Column:
     """T3 minus NFKC, then T4: lower → delete symbols and long marks →
     collapse whitespace → trim → '' when at most one code point remains."""

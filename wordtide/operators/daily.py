@@ -132,15 +132,31 @@ def run_daily(posts: DataFrame, terms: DataFrame, targets: Optional[DataFrame] =
     ``prepare_terms`` edits the grown dictionary before it is applied (e.g. blocks).
     """
     tok = T.tokenize_posts(posts, tokenizer)
+    tgt = targets if targets is not None else posts.select(*DAY).distinct()
+    return run_daily_tokens(tok, terms, tgt, lexicon, prepare_terms)
+
+
+def run_daily_tokens(tok: DataFrame, terms: DataFrame, targets: DataFrame,
+                     lexicon: Optional[DataFrame] = None,
+                     prepare_terms: Optional[Callable[[DataFrame], DataFrame]] = None,
+                     materialize: Optional[Callable[[DataFrame], DataFrame]] = None) -> DailyResult:
+    """The daily job from tokenised posts (date, board_key, thread_path, post_key, tokens).
+
+    ``materialize`` (e.g. a reliable checkpoint) is applied to the vocabulary-sized
+    surface map, which three branches read.
+    """
     scounts = surface_counts(tok)
     smap = T.surface_map(scounts.select("surface"), lexicon)
+    if materialize is not None:
+        smap = materialize(smap)
     new_terms = T.get_or_create_terms(terms, smap.where("keep").select("normalized"))
     if prepare_terms is not None:
         new_terms = prepare_terms(new_terms)
+    if materialize is not None:
+        new_terms = materialize(new_terms)
     mapped = T.map_surfaces_to_terms(smap, new_terms)
     stats = term_hits(post_surfaces(tok), mapped).withColumn("created_at", F.localtimestamp())
-    tgt = targets if targets is not None else posts.select(*DAY).distinct()
-    metrics = daily_metrics(tgt, post_metrics(tok), token_metrics(scounts, mapped))
+    metrics = daily_metrics(targets, post_metrics(tok), token_metrics(scounts, mapped))
     return DailyResult(new_terms, stats, metrics, mapped)
 
 

@@ -50,7 +50,8 @@ def normalize_surfaces(surfaces: DataFrame, col: str = "surface") -> DataFrame:
     NFKC runs in the Arrow UDF (ASCII strings return at once); the rest of the
     rules are JVM expressions.
     """
-    return surfaces.withColumn("normalized", normalize_after_nfkc(nfkc(F.col(col))))
+    return (surfaces.withColumn("_nfkc", nfkc(F.col(col)))
+            .withColumn("normalized", normalize_after_nfkc(F.col("_nfkc"))).drop("_nfkc"))
 
 
 def surface_map(surfaces: DataFrame, lexicon: Optional[DataFrame] = None) -> DataFrame:

@@ -161,7 +161,7 @@ def latest_regressions(with_reg: DataFrame) -> DataFrame:
 
 class WeeklyResult:
     def __init__(self, trends, regressions, quarantine, summary, calendar):
-        self.trends = trends            # upserted weekly_term_trends
+        self.trends = trends            # upserted weekly_term_trends (affected week partitions)
         self.regressions = regressions  # upserted term_regression_results
         self.quarantine = quarantine    # rows failing the checks (W20)
         self.summary = summary          # W21 per (week, board)
@@ -188,7 +188,14 @@ def run_weekly(weeks: DataFrame, runs: DataFrame, daily_stats: DataFrame, metric
     cur = with_binomial_ci(with_rates(agg, totals), alpha=alpha)
     cur = cur.select(*WEEK, "term_id", *[c for c in TREND_COLS if c != "zscore"])
     good, bad = tables.split_valid(cur, "weekly_term_trends")
-    hist = trends.select(*WEEK, "term_id", *TREND_COLS) if trends is not None else None
+    hist = None
+    if trends is not None:
+        # Only the 7 weeks before the earliest analysed week are history; the range
+        # filter prunes the partitions of a week-partitioned trends table.
+        lo = F.date_sub(weeks.select(F.min("week_start_date")).scalar(), HISTORY_DAYS)
+        hi = weeks.select(F.max("week_start_date")).scalar()
+        hist = (trends.where(F.col("week_start_date").between(lo, hi))
+                .select(*WEEK, "term_id", *TREND_COLS))
     series = with_history(good.withColumn("zscore", F.lit(None).cast("double")), hist)
     zs = with_zscore(series.withColumnRenamed("zscore", "_stored_z"))
     zs = (zs.withColumn("zscore", F.when(F.col("_current"), F.col("zscore")).otherwise(F.col("_stored_z")))
@@ -196,9 +203,11 @@ def run_weekly(weeks: DataFrame, runs: DataFrame, daily_stats: DataFrame, metric
     reg = with_regression(zs).where("_current")
     trend_rows = reg.select(*WEEK, "term_id", *TREND_COLS).withColumn("created_at", F.localtimestamp())
     t_schema, r_schema = schemas.WEEKLY_TERM_TRENDS, schemas.TERM_REGRESSION_RESULTS
+    upd_trends = tables.align(trend_rows, t_schema)
     base_trends = tables.align(trends if trends is not None else trend_rows.limit(0), t_schema)
-    new_trends = tables.upsert(base_trends, tables.align(trend_rows, t_schema),
-                               ["week_start_date", "board_key", "term_id"], TREND_COLS)
+    # Upsert only the week partitions being written (dynamic partition overwrite).
+    base_trends = tables.affected_partitions(base_trends, upd_trends, ["week_start_date"])
+    new_trends = tables.upsert(base_trends, upd_trends, ["week_start_date", "board_key", "term_id"], TREND_COLS)
     reg_rows = (latest_regressions(reg).withColumn("created_at", F.localtimestamp())
                 .withColumn("updated_at", F.localtimestamp()))
     base_reg = tables.align(regressions if regressions is not None else reg_rows.limit(0), r_schema)
