@@ -11,6 +11,7 @@ from typing import Iterable, Optional, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordtide import schemas
 
@@ -38,8 +39,9 @@ def upsert(existing: DataFrame, updates: DataFrame, keys: Sequence[str], update_
     * existing keys missing from ``updates`` stay untouched (no delete).
     """
     if seq_col:
-        updates = dedupe_updates(updates, keys, seq_col).drop(seq_col) if seq_col not in existing.columns \
-            else dedupe_updates(updates, keys, seq_col)
+        updates = dedupe_updates(updates, keys, seq_col)
+        if seq_col not in existing.columns:
+            updates = updates.drop(seq_col)
     touch_cols, keep_cols = set(touch_cols), set(keep_cols)
     ucols = [c for c in updates.columns if c not in keys]
     u = updates.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in ucols], F.lit(True).alias("_um"))
@@ -57,7 +59,9 @@ def upsert(existing: DataFrame, updates: DataFrame, keys: Sequence[str], update_
         elif c in update_cols:
             val = F.when(F.col("_um"), new_val).otherwise(F.col(c))
         elif c in keep_cols:
-            val = F.when(F.col("_em"), F.col(c)).otherwise(F.coalesce(new_val, F.localtimestamp()))
+            fresh = F.coalesce(new_val, F.localtimestamp()) if isinstance(dtype, (T.TimestampNTZType,
+                                                                                  T.TimestampType)) else new_val
+            val = F.when(F.col("_em"), F.col(c)).otherwise(fresh)
         else:
             val = F.when(F.col("_em"), F.col(c)).otherwise(new_val)
         out.append(val.cast(dtype).alias(c))
