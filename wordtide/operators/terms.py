@@ -144,11 +144,12 @@ def update_blocked(terms: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def block_by_text(terms: DataFrame, words: list[str], reason: Optional[str] = None) -> DataFrame:
-    """D5 convenience: block the terms whose normalized text is in ``words``."""
-    upd = (terms.where(F.col("normalized").isin(words))
-           .select("term_id", F.lit(True).alias("is_blocked"),
-                   F.lit(reason).cast("string").alias("blocked_reason")))
-    return update_blocked(terms, upd)
+    """D5 for a short word list: a projection, no join (the reason is overwritten,
+    NULL when not given)."""
+    hit = F.col("normalized").isin(words)
+    return (terms.withColumn("blocked_reason", F.when(hit, F.lit(reason).cast("string"))
+                             .otherwise(F.col("blocked_reason")))
+            .withColumn("is_blocked", F.when(hit, F.lit(True)).otherwise(F.col("is_blocked"))))
 
 
 def map_surfaces_to_terms(smap: DataFrame, terms: DataFrame) -> DataFrame:
