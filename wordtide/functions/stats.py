@@ -131,16 +131,18 @@ def _betacf(a, b, x, iters: int = 300, eps: float = 1e-16):
     return h
 
 
-def betainc(a, b, x) -> np.ndarray:
-    """Regularised incomplete beta I_x(a, b) for a, b > 0 and 0 <= x <= 1."""
+def betainc(a, b, x, lbeta=None) -> np.ndarray:
+    """Regularised incomplete beta I_x(a, b) for a, b > 0 and 0 <= x <= 1.
+    ``lbeta`` (log B(a, b)) may be passed in when it is reused across calls."""
     a, b, x = np.broadcast_arrays(np.asarray(a, float), np.asarray(b, float), np.asarray(x, float))
+    lb = _lbeta(a, b) if lbeta is None else np.broadcast_to(np.asarray(lbeta, float), a.shape)
     out = np.empty_like(x)
     lo, hi = x <= 0.0, x >= 1.0
     mid = ~(lo | hi)
     out[lo], out[hi] = 0.0, 1.0
     if mid.any():
         am, bm, xm = a[mid], b[mid], x[mid]
-        front = np.exp(np.log(xm) * am + np.log1p(-xm) * bm - _lbeta(am, bm))
+        front = np.exp(np.log(xm) * am + np.log1p(-xm) * bm - lb[mid])
         direct = xm < (am + 1.0) / (am + bm + 2.0)
         res = np.empty_like(xm)
         if direct.any():
@@ -152,16 +154,34 @@ def betainc(a, b, x) -> np.ndarray:
     return out
 
 
-def beta_ppf(p, a, b, iters: int = 64) -> np.ndarray:
-    """Inverse of I_x(a, b) in x by bisection (I is increasing in x)."""
+def beta_ppf(p, a, b, iters: int = 60, tol: float = 1e-15) -> np.ndarray:
+    """Inverse of I_x(a, b) in x: Newton steps on the beta density, kept inside a
+    shrinking bisection bracket (I is increasing in x), so it always converges."""
     p, a, b = np.broadcast_arrays(np.asarray(p, float), np.asarray(a, float), np.asarray(b, float))
+    lb = _lbeta(a, b)
     lo, hi = np.zeros_like(p), np.ones_like(p)
+    # Start at the mean of the beta distribution.
+    x = a / (a + b)
+    active = np.ones(p.shape, dtype=bool)
     for _ in range(iters):
-        mid = 0.5 * (lo + hi)
-        below = betainc(a, b, mid) < p
-        lo = np.where(below, mid, lo)
-        hi = np.where(below, hi, mid)
-    return 0.5 * (lo + hi)
+        if not active.any():
+            break
+        xa = x[active]
+        f = betainc(a[active], b[active], xa, lb[active]) - p[active]
+        below = f < 0
+        lo[active] = np.where(below, xa, lo[active])
+        hi[active] = np.where(below, hi[active], xa)
+        with np.errstate(divide="ignore", over="ignore", invalid="ignore"):
+            logpdf = (a[active] - 1.0) * np.log(xa) + (b[active] - 1.0) * np.log1p(-xa) - lb[active]
+            step = f / np.exp(logpdf)
+            xn = xa - step
+        bad = ~np.isfinite(xn) | (xn <= lo[active]) | (xn >= hi[active])
+        xn = np.where(bad, 0.5 * (lo[active] + hi[active]), xn)
+        done = (np.abs(xn - xa) <= tol * np.maximum(xn, 1e-300)) | (hi[active] - lo[active] <= tol)
+        x[active] = xn
+        idx = np.flatnonzero(active)
+        active[idx[done]] = False
+    return x
 
 
 def clopper_pearson(k, n, alpha: float = DEFAULT_ALPHA):
