@@ -97,7 +97,7 @@ def regression_sql(n: str, slope: str, ybar: str, sxx: str, sxy: str, syy: str)
 
 def _lbeta(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     lg = np.frompyfunc(math.lgamma, 1, 1)
-    return (lg(a) + lg(b) - lg(a + b)).astype(float)
+    return np.asarray(lg(a) + lg(b) - lg(a + b), dtype=float)
 
 
 def _betacf(a, b, x, iters: int = 300, eps: float = 1e-16):
