@@ -107,3 +107,15 @@ def test_decode_charsets(spark):
                                 (bytearray(b"\xff\xfe"), "utf-8")], "body binary, charset string")
     got = [r.t for r in df.select(H.decode(F.col("body"), F.col("charset")).alias("t")).collect()]
     assert got[0] == "日本語テキスト" and got[1] == "é" and "�" in got[2]
+
+
+def test_append_terms_unique(spark):
+    from wordtide.operators import terms as T
+
+    t = T.append_terms(T.empty_terms(spark), spark.createDataFrame([(1, "python")], "term_id long, normalized string"))
+    row = t.collect()[0]
+    assert row.is_blocked is False and row.needs_review is False and row.created_at is not None
+    with pytest.raises(ValueError):
+        T.append_terms(t, spark.createDataFrame([(2, "python")], "term_id long, normalized string"))
+    with pytest.raises(ValueError):
+        T.append_terms(t, spark.createDataFrame([(1, "java")], "term_id long, normalized string"))

@@ -130,6 +130,12 @@ def assert_unique_against(existing: DataFrame, new: DataFrame, keys: Sequence[st
         raise ValueError(f"unique constraint violated: {name}")
 
 
+def append(existing: DataFrame, new: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Insert rows, rejecting keys already stored or repeated."""
+    assert_unique_against(existing, new, keys, name)
+    return existing.unionByName(new.select(*existing.columns))
+
+
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: Optional[str] = None) -> DataFrame:
     """Child rows whose non-NULL ``key`` has no parent row."""
     pk = parent_key or key

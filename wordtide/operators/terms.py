@@ -129,6 +129,15 @@ def get_or_create_terms(terms: DataFrame, normalized: DataFrame,
     return terms.unionByName(created.select(*terms.columns))
 
 
+def append_terms(terms: DataFrame, new: DataFrame) -> DataFrame:
+    """Insert terms with defaults; an existing id or normalized text raises."""
+    from wordtide.operators import tables
+
+    new = tables.with_term_defaults(new)
+    tables.assert_unique_against(terms, new, ["normalized"], "terms(normalized)")
+    return tables.append(terms, new, ["term_id"], "terms(term_id)")
+
+
 def update_blocked(terms: DataFrame, updates: DataFrame) -> DataFrame:
     """``updates(term_id, is_blocked[, blocked_reason])``; a missing reason
     overwrites with NULL.  Unknown ids are ignored; last row per id wins only if

@@ -124,11 +124,14 @@ def trending(trends: DataFrame, limit: Optional[int] = 10, order_col: str = "zsc
 
 
 def term_history(trends: DataFrame, term_id, board_key: str, start, end, ascending: bool = True) -> DataFrame:
-    """W16."""
+    """One term's weeks in [start, end] for a board, ordered by week.
+    ``term_id=None`` keeps every term of ``trends`` (pre-filtered by the caller)."""
     o = F.asc("week_start_date") if ascending else F.desc("week_start_date")
-    return (trends.where((F.col("term_id") == F.lit(term_id)) & (F.col("board_key") == board_key)
-                         & F.col("week_start_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-            .orderBy(o))
+    cond = (F.col("board_key") == board_key) & F.col("week_start_date").between(
+        F.lit(start).cast("date"), F.lit(end).cast("date"))
+    if term_id is not None:
+        cond = cond & (F.col("term_id") == F.lit(term_id))
+    return trends.where(cond).orderBy(o)
 
 
 def growth_ranking(regressions: DataFrame, limit: Optional[int] = 10, order_col: str = "slope",
@@ -139,9 +142,12 @@ def growth_ranking(regressions: DataFrame, limit: Optional[int] = 10, order_col:
     return ranked.where(F.col("rank") <= limit) if limit else ranked
 
 
-def regression_lookup(regressions: DataFrame, board_key: str, term_id) -> DataFrame:
-    """W18."""
-    return regressions.where((F.col("board_key") == board_key) & (F.col("term_id") == F.lit(term_id)))
+def regression_lookup(regressions: DataFrame, board_key: str, term_id=None) -> DataFrame:
+    """W18 (``term_id=None``: every term of the pre-filtered input)."""
+    cond = F.col("board_key") == board_key
+    if term_id is not None:
+        cond = cond & (F.col("term_id") == F.lit(term_id))
+    return regressions.where(cond)
 
 
 REGRESSION_COLS = ["intercept", "slope", "intercept_ci_lower", "intercept_ci_upper", "slope_ci_lower",

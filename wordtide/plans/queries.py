@@ -103,13 +103,12 @@ def w17_growth_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 def w16_w18_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W16 (one term's weekly history in a range) and W18 (its regression row)."""
     t = P.weekly_trends(spark, sf_dir)
-    ring = t.where(F.col("normalized") == "ring").select("term_id").distinct()
-    hist = weekly.term_history(t.join(ring, "term_id", "left_semi"), ring.scalar(), "A", "1996-01-01", "1996-12-31")
+    # D2 (lookup by text) then W16 for that term.
+    hist = weekly.term_history(t.where(F.col("normalized") == "ring"), None, "A", "1996-01-01", "1996-12-31")
     h = hist.select(F.lit("history").alias("lookup"), _d("week_start_date"), "board_key",
                     F.col("normalized").alias("term"), _r("appearance_rate", "value"))
     lt = _latest(spark, sf_dir)
-    gear = lt.where(F.col("normalized") == "gear").select("term_id").distinct()
-    rl = weekly.regression_lookup(lt, "R", gear.scalar())
+    rl = weekly.regression_lookup(lt.where(F.col("normalized") == "gear"), "R")
     r = rl.select(F.lit("regression").alias("lookup"), _d("analysis_start_date", "week_start_date"), "board_key",
                   F.col("normalized").alias("term"), _r("slope", "value"))
     return h.unionByName(r)
