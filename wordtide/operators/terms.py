@@ -50,8 +50,12 @@ def normalize_surfaces(surfaces: DataFrame, col: str = "surface") -> DataFrame:
     NFKC runs in the Arrow UDF (ASCII strings return at once); the rest of the
     rules are JVM expressions.
     """
-    return (surfaces.withColumn("_nfkc", nfkc(F.col(col)))
-            .withColumn("normalized", normalize_after_nfkc(F.col("_nfkc"))).drop("_nfkc"))
+    keys = surfaces.columns
+    withn = surfaces.withColumn("normalized", normalize_after_nfkc(nfkc(F.col(col))))
+    others = [c for c in keys if c != col]
+    return (withn.groupBy(col).agg(*[F.first(c).alias(c) for c in others],
+                                   F.first("normalized").alias("normalized"), F.count(F.lit(1)).alias("_rows"))
+            .where(F.col("_rows") > 0).drop("_rows"))
 
 
 def surface_map(surfaces: DataFrame, lexicon: Optional[DataFrame] = None) -> DataFrame:
