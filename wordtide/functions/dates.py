@@ -18,8 +18,9 @@ HISTORY_DAYS = 49
 
 
 def target_date_jst(ts_utc: Column) -> Column:
-    """The JST calendar date of a UTC instant, minus one day."""
-    return F.date_sub(F.to_date(F.from_utc_timestamp(ts_utc, BUSINESS_TZ)), 1)
+    """The JST calendar date of a UTC wall-clock time (``timestamp_ntz``), minus
+    one day.  ``convert_timezone`` does not depend on the session time zone."""
+    return F.date_sub(F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(BUSINESS_TZ), ts_utc.cast("timestamp_ntz"))), 1)
 
 
 def day_prefix(d: Column) -> Column:
