@@ -134,3 +134,43 @@ def test_crawl_cutoff(spark):
 def test_latest_posts(spark):
     df = spark.createDataFrame([("/t", i) for i in range(1, 11)], "thread_path string, post_no int")
     assert sorted(r.post_no for r in X.latest_posts(df, 3).collect()) == [8, 9, 10]
+
+
+def _thread_page(posts):
+    body = "".join(f'<div class="clear post"><span class="date">{d}</span><div class="post-content">{c}</div></div>'
+                   for d, c in posts)
+    return f"<html><body>{body}</body></html>"
+
+
+def test_collect_posts_end_to_end(spark, tmpdir_path):
+    import os
+
+    from wordtide.plans.collect import collect_posts
+    from wordtide.sources.pages import read_page_files
+
+    board = ("<html><body>"
+             + "".join(f'<p style="background:#BEB"><a href="/test/read.cgi/news/{i}/l50">{i}: t{i} ({i})</a></p>'
+                       for i in range(1, 6)) + "</body></html>")
+    d0, d1, dx = "2025/03/04(火) 10:00:00.00", "2025/03/05(水) 01:00:00.00", "2025/03/01(土) 01:00:00.00"
+    threads = {
+        1: [(d0, "一"), (dx, "古い")],
+        2: [(d1, "翌日だけ")],
+        # 3 is missing (not fetched): skipped, does not stop the scan
+        4: [(d0, "四"), (d0, "四の二")],
+        5: [(dx, "止まる")],
+    }
+    folder = os.path.join(tmpdir_path, "pages")
+    os.makedirs(folder)
+    for i, posts in threads.items():
+        with open(os.path.join(folder, f"{i}.html"), "wb") as f:
+            f.write(_thread_page(posts).encode("shift_jis"))
+    files = read_page_files(spark, folder, glob="*.html")
+    thread_pages = files.select(
+        F.concat(F.lit("https://host.example/test/read.cgi/news/"),
+                 F.regexp_extract("url", r"/(\d+)\.html$", 1), F.lit("/l300")).alias("url"), "html")
+    boards = spark.createDataFrame([("news", "2025-03-04", board)], "board_key string, target_date string, html string") \
+        .withColumn("target_date", F.col("target_date").cast("date"))
+    out = collect_posts(boards, thread_pages).orderBy("thread_path", "post_no").collect()
+    assert [(r.thread_path, r.content) for r in out] == [
+        ("/test/read.cgi/news/1", "一"), ("/test/read.cgi/news/4", "四"), ("/test/read.cgi/news/4", "四の二")]
+    assert str(out[0].date) == "2025-03-04"
