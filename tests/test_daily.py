@@ -1,6 +1,5 @@
 """Daily counting (FIXTURES §4) with an exact token list per post."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from wordtide.operators import daily, terms as T

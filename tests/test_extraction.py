@@ -1,6 +1,5 @@
 """Extraction from our own board/thread page fixtures and URL goldens."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from wordtide.functions import dates as Dt

@@ -17,7 +17,6 @@ by the writing plan.
 
 from __future__ import annotations
 
-import os
 from typing import Callable, Iterable, Optional
 
 from pyspark.sql import Column, DataFrame, SparkSession

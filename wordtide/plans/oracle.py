@@ -7,7 +7,7 @@ stands in (checked over sf0.01 and sf0.1 documents, conversations and pages).
 
 from __future__ import annotations
 
-from wordtide.functions.stats import REGRESSION_POINTS, T_975_DF6, regression_sql  # noqa: F401
+from wordtide.functions.stats import REGRESSION_POINTS, regression_sql
 from wordtide.functions.text import DELETED_LONG_MARKS, DELETED_SYMBOLS, TOKEN_PATTERN_RE2
 from wordtide.sources.adapters import BLOCKED_WORDS, CONVERSATION_DAYS, CONVERSATION_EPOCH
 
