@@ -22,6 +22,7 @@ THREAD = """<!DOCTYPE HTML><html><body>
 <div class="post-content">一行目<br>二行目 &amp; 記号</div></div>
 <div class="clear post extra"><span class="date">2025/03/04(火) 10:00:00.00</span><div class="post-content">クラス違い</div></div>
 <div class="clear post"><span class="date"></span><div class="post-content">日付なし</div></div>
+<div class="clear post"><span class="date small">2025/03/04(火) 11:00:00.00</span><div class="post-content x">複数クラス</div></div>
 <div class="clear post"><span class="date">2025/03/05(水) 00:01:00.00</span><div class="post-content">   </div></div>
 </body></html>"""
 
@@ -46,13 +47,14 @@ def test_board_threads_clean_and_exclude(spark):
 
 def test_thread_posts(spark):
     posts = H.thread_posts(THREAD)
-    assert len(posts) == 4  # the 'clear post extra' div does not match the exact class string
+    assert len(posts) == 5  # the 'clear post extra' div does not match the exact class string
     pages = spark.createDataFrame([("/t", THREAD), ("/empty", ""), ("/broken", "<div class='clear post'><span"),
                                    ("/none", None)], "thread_path string, html string")
     out = X.parse_thread_pages(pages).orderBy("thread_path", "post_no").collect()
     assert [(r.post_no, r.date_text, r.content) for r in out] == [
         (1, "2025/03/04(火) 08:00:00.00", "最初の書き込み"),
         (2, "2025/03/04(火) 09:30:00.00", "一行目\n二行目 & 記号"),
+        (4, "2025/03/04(火) 11:00:00.00", "複数クラス"),
     ]
 
 

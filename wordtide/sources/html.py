@@ -46,19 +46,30 @@ class Node:
         self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
 
     def iter(self):
-        """Descendant elements in document order."""
-        for c in self.children:
-            if isinstance(c, Node):
-                yield c
-                yield from c.iter()
+        """Descendant elements in document order (iterative: deep pages are fine)."""
+        stack = [iter(self.children)]
+        while stack:
+            for c in stack[-1]:
+                if isinstance(c, Node):
+                    yield c
+                    stack.append(iter(c.children))
+                    break
+            else:
+                stack.pop()
 
     def strings(self):
-        for c in self.children:
-            if isinstance(c, Node):
-                if c.tag not in SKIP_TEXT:
-                    yield from c.strings()
+        """Text nodes in document order, skipping script/style contents."""
+        stack = [iter(self.children)]
+        while stack:
+            for c in stack[-1]:
+                if isinstance(c, Node):
+                    if c.tag not in SKIP_TEXT:
+                        stack.append(iter(c.children))
+                        break
+                else:
+                    yield c
             else:
-                yield c
+                stack.pop()
 
     def text(self, sep: str = "", strip: bool = True) -> str:
         parts = [s.strip() for s in self.strings()] if strip else list(self.strings())
@@ -109,7 +120,14 @@ def parse(html: Optional[str]) -> Node:
 
 
 def _class_is(node: Node, cls: Optional[str]) -> bool:
-    return cls is None or node.attrs.get("class") == cls
+    """A one-word class matches any element carrying that class; a value with
+    spaces must equal the whole class attribute (``clear post``)."""
+    if cls is None:
+        return True
+    value = node.attrs.get("class")
+    if value is None:
+        return False
+    return value == cls or (not any(ch.isspace() for ch in cls) and cls in value.split())
 
 
 def _first(node: Node, tag: str, cls: Optional[str]) -> Optional[Node]:
