@@ -68,3 +68,24 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: Optional[str] = None) -
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     return df.checkpoint(eager=True)
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized for an input volume, so every task's shuffle block fits in
+    executor memory without relying on spills (e.g. 100 TB on 1000 x 16 cores).
+
+    * splits of ``target_partition_bytes`` for scans;
+    * an initial shuffle width of input / target (at least 2 x cores), which AQE
+      then coalesces towards the advisory size;
+    * AQE skew splitting for partitions over 4 x the median and the advisory size.
+    """
+    width = max(2 * total_cores, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+    }
