@@ -366,6 +366,19 @@ SELECT strftime(coalesce(u.week_start_date, s.week_start_date), '%Y-%m-%d') AS w
        CASE WHEN u.term IS NOT NULL THEN NULL ELSE (round(s.zscore, 9) + 0.0) END AS zscore
 FROM trends s FULL OUTER JOIN upd u
   ON s.week_start_date = u.week_start_date AND s.board_key = u.board_key AND s.term = u.term"""
+    ci = w + """,
+pairs AS (SELECT DISTINCT post_hits AS k, total_posts AS n FROM rates WHERE total_posts > 0 AND post_hits <= total_posts)
+""" + binomial_ci_ctes("pairs")
+    q["w6_binomial_ci"] = ci + f"""
+SELECT p.post_hits, p.total_posts, {rnd('c.ci_lower')} AS appearance_rate_ci_lower,
+       {rnd('c.ci_upper')} AS appearance_rate_ci_upper
+FROM (SELECT DISTINCT post_hits, total_posts FROM rates) p
+LEFT JOIN ci c ON c.k = p.post_hits AND c.n = p.total_posts"""
+    q["w22_weekly_job"] = ci + f"""
+SELECT {iso('t.week_start_date')} AS week_start_date, t.board_key, t.term, t.post_hits, t.total_posts,
+       {rnd('t.appearance_rate')} AS appearance_rate, {rnd('c.ci_lower')} AS appearance_rate_ci_lower,
+       {rnd('c.ci_upper')} AS appearance_rate_ci_upper, {rnd('t.zscore')} AS zscore
+FROM trends t LEFT JOIN ci c ON c.k = t.post_hits AND c.n = t.total_posts"""
     q["i1_checks"] = w + """
 SELECT 'pipeline_metrics_daily' AS table_name, count(*) AS n_rows,
        count(*) FILTER (WHERE NOT (fetched_threads >= 0 AND fetched_posts >= 0 AND total_tokens >= 0
@@ -394,3 +407,42 @@ FROM runs"""
 SELECT strftime(m.date, '%Y-%m-%d') AS date, m.board_key, r.status, r.is_recovered, m.fetched_posts
 FROM metrics m LEFT JOIN runs r ON r.date = m.date AND r.board_key = m.board_key"""
     return q
+
+
+def binomial_ci_ctes(pairs: str, alpha: float = 0.05, steps: int = 50) -> str:
+    """Clopper-Pearson bounds for the (k, n) rows of CTE ``pairs`` in plain SQL.
+
+    An independent check of the Spark kernel: bisection on binomial tail sums
+    (terms from ``lgamma``) instead of the incomplete-beta continued fraction.
+    lower: P(X >= k | n, p) = alpha/2;  upper: P(X <= k | n, p) = alpha/2.
+    """
+    a2 = alpha / 2.0
+
+    def term(p):
+        return (f"exp(lgamma(t.n + 1) - lgamma(t.j + 1) - lgamma(t.n - t.j + 1) "
+                f"+ t.j * ln({p}) + (t.n - t.j) * ln(1 - {p}))")
+
+    parts = [f""",
+cp_terms AS (SELECT k, n, CAST(j AS DOUBLE) AS j FROM {pairs}, range(0, n + 1) r(j)),
+lo_0 AS (SELECT k, n, 0.0 AS lo, 1.0 AS hi FROM {pairs}),
+up_0 AS (SELECT k, n, 0.0 AS lo, 1.0 AS hi FROM {pairs})"""]
+    for i in range(steps):
+        mid = "((b.lo + b.hi) / 2)"
+        parts.append(f""",
+lo_{i + 1} AS (
+  SELECT b.k, b.n,
+         CASE WHEN sum(CASE WHEN t.j >= b.k THEN {term(mid)} ELSE 0 END) < {a2} THEN {mid} ELSE b.lo END AS lo,
+         CASE WHEN sum(CASE WHEN t.j >= b.k THEN {term(mid)} ELSE 0 END) < {a2} THEN b.hi ELSE {mid} END AS hi
+  FROM lo_{i} b JOIN cp_terms t ON t.k = b.k AND t.n = b.n GROUP BY b.k, b.n, b.lo, b.hi),
+up_{i + 1} AS (
+  SELECT b.k, b.n,
+         CASE WHEN sum(CASE WHEN t.j <= b.k THEN {term(mid)} ELSE 0 END) > {a2} THEN {mid} ELSE b.lo END AS lo,
+         CASE WHEN sum(CASE WHEN t.j <= b.k THEN {term(mid)} ELSE 0 END) > {a2} THEN b.hi ELSE {mid} END AS hi
+  FROM up_{i} b JOIN cp_terms t ON t.k = b.k AND t.n = b.n GROUP BY b.k, b.n, b.lo, b.hi)""")
+    parts.append(f""",
+ci AS (
+  SELECT l.k, l.n,
+         CASE WHEN l.k = 0 THEN 0.0 ELSE (l.lo + l.hi) / 2 END AS ci_lower,
+         CASE WHEN l.k = l.n THEN 1.0 ELSE (u.lo + u.hi) / 2 END AS ci_upper
+  FROM lo_{steps} l JOIN up_{steps} u ON u.k = l.k AND u.n = l.n)""")
+    return "".join(parts)

@@ -4,8 +4,8 @@ Every query reads the driver tables (whole tables, whole texts) and returns a
 DataFrame whose columns match its oracle SQL in ``ORACLE``: dates as ISO text,
 doubles rounded to 9 decimals, terms by their normalised text (term ids are an
 implementation detail no other engine reproduces).  Queries without an ORACLE
-entry (HTML parsing, the exact binomial interval) get the driver's rows-only
-check and are covered by goldens in ``tests/``.
+entry (HTML parsing) get the driver's rows-only check and are covered by
+fixtures in ``tests/``.
 """
 
 from __future__ import annotations
