@@ -176,14 +176,15 @@ class WeeklyResult:
 
 def run_weekly(weeks: DataFrame, runs: DataFrame, daily_stats: DataFrame, metrics: DataFrame,
                trends: Optional[DataFrame] = None, regressions: Optional[DataFrame] = None,
-               alpha: float = S.DEFAULT_ALPHA) -> WeeklyResult:
+               alpha: float = S.DEFAULT_ALPHA, started_at=None) -> WeeklyResult:
     """W1 -> L6 -> W2/W3 -> W5 -> W6 -> W7 -> W13 -> W8 -> W14 for every
     (week_start_date, board_key) in ``weeks`` at once.
 
     ``weeks`` holds the Mondays to analyse (``dates.previous_week`` of execution
     dates).  A week without a valid day gives no term rows and a summary with 7
     invalid dates.  Rows failing the table checks are quarantined (W20) and, as in
-    a per-term try/except, neither stored nor used as history.
+    a per-term try/except, neither stored nor used as history.  ``started_at`` (a
+    timestamp) gives the summary's ``duration_sec``; without it the duration is 0.
     """
     from wordtide import schemas
 
@@ -218,16 +219,20 @@ def run_weekly(weeks: DataFrame, runs: DataFrame, daily_stats: DataFrame, metric
                 .withColumn("updated_at", F.localtimestamp()))
     base_reg = tables.align(regressions if regressions is not None else reg_rows.limit(0), r_schema)
     new_reg = tables.upsert(base_reg, tables.align(reg_rows, r_schema), SERIES, REGRESSION_COLS)
-    summary = weekly_summary(calendar, good, bad)
+    summary = weekly_summary(calendar, good, bad, started_at)
     return WeeklyResult(new_trends, new_reg, bad, summary, calendar)
 
 
-def weekly_summary(calendar: DataFrame, good: DataFrame, bad: DataFrame) -> DataFrame:
-    """W21 per (week, board): processed_terms, error_terms, invalid_dates."""
+def weekly_summary(calendar: DataFrame, good: DataFrame, bad: DataFrame, started_at=None) -> DataFrame:
+    """W21 per (week, board): processed_terms, error_terms, invalid_dates, duration_sec."""
+    from wordtide.operators.daily import duration_sec
+
+    start = F.lit(started_at).cast("timestamp_ntz") if started_at is not None else F.lit(None).cast("timestamp_ntz")
     inv = ledger.invalid_dates(calendar)
     g = good.groupBy(*WEEK).agg(F.count(F.lit(1)).alias("processed_terms"))
     b = bad.groupBy(*WEEK).agg(F.count(F.lit(1)).alias("error_terms"))
     return (inv.join(g, WEEK, "left").join(b, WEEK, "left")
             .select(*WEEK, F.coalesce("processed_terms", F.lit(0)).alias("processed_terms"),
                     F.coalesce("error_terms", F.lit(0)).alias("error_terms"),
-                    "valid_days", "invalid_dates"))
+                    "valid_days", "invalid_dates",
+                    duration_sec(start, F.localtimestamp()).alias("duration_sec")))

@@ -132,7 +132,9 @@ def weekly_job(spark: SparkSession, warehouse: str, weeks: DataFrame) -> weekly.
     metrics = read_table(spark, warehouse, "pipeline_metrics_daily")
     trends = read_table(spark, warehouse, "weekly_term_trends")
     regs = read_table(spark, warehouse, "term_regression_results")
-    out = weekly.run_weekly(weeks, runs, stats, metrics, trends, regs)
+    import datetime
+
+    out = weekly.run_weekly(weeks, runs, stats, metrics, trends, regs, started_at=datetime.datetime.now())
     new_trends = cut_lineage(out.trends)
     new_regs = cut_lineage(out.regressions)
     write_table(new_trends, warehouse, "weekly_term_trends")

@@ -252,7 +252,8 @@ summ AS (
   FROM calv GROUP BY 1, 2)"""
     q["w21_weekly_summary"] = w + cal + f"""
 SELECT {iso('s.week_start_date')} AS week_start_date, s.board_key,
-       coalesce(g.n_ok, 0) AS processed_terms, coalesce(g.n_bad, 0) AS error_terms, s.valid_days, s.invalid_dates
+       coalesce(g.n_ok, 0) AS processed_terms, coalesce(g.n_bad, 0) AS error_terms, s.valid_days, s.invalid_dates,
+       0 AS duration_sec
 FROM summ s LEFT JOIN (
   SELECT week_start_date, board_key,
          count(*) FILTER (WHERE appearance_rate BETWEEN 0 AND 1 AND post_hits >= 0 AND total_posts >= 0) AS n_ok,

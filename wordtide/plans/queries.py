@@ -126,7 +126,8 @@ def w21_weekly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = _weekly_job(spark, sf_dir)
     return out.summary.select(_d("week_start_date"), "board_key", "processed_terms", "error_terms",
                               F.col("valid_days").cast("int").alias("valid_days"),
-                              F.array_join(F.transform("invalid_dates", lambda d: iso(d)), ",").alias("invalid_dates"))
+                              F.array_join(F.transform("invalid_dates", lambda d: iso(d)), ",").alias("invalid_dates"),
+                              "duration_sec")
 
 
 def w22_weekly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
