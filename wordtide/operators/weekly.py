@@ -211,13 +211,15 @@ def run_weekly(weeks: DataFrame, runs: DataFrame, daily_stats: DataFrame, metric
     trend_rows = reg.select(*WEEK, "term_id", *TREND_COLS).withColumn("created_at", F.localtimestamp())
     t_schema, r_schema = schemas.WEEKLY_TERM_TRENDS, schemas.TERM_REGRESSION_RESULTS
     upd_trends = tables.align(trend_rows, t_schema)
-    base_trends = tables.align(trends if trends is not None else trend_rows.limit(0), t_schema)
+    spark = weeks.sparkSession
+    base_trends = tables.align(trends if trends is not None else spark.createDataFrame([], t_schema), t_schema)
     # Upsert only the week partitions being written (dynamic partition overwrite).
     base_trends = tables.affected_partitions(base_trends, upd_trends, ["week_start_date"])
     new_trends = tables.upsert(base_trends, upd_trends, ["week_start_date", "board_key", "term_id"], TREND_COLS)
     reg_rows = (latest_regressions(reg).withColumn("created_at", F.localtimestamp())
                 .withColumn("updated_at", F.localtimestamp()))
-    base_reg = tables.align(regressions if regressions is not None else reg_rows.limit(0), r_schema)
+    base_reg = tables.align(regressions if regressions is not None else spark.createDataFrame([], r_schema),
+                            r_schema)
     new_reg = tables.upsert(base_reg, tables.align(reg_rows, r_schema), SERIES, REGRESSION_COLS)
     summary = weekly_summary(calendar, good, bad, started_at)
     return WeeklyResult(new_trends, new_reg, bad, summary, calendar)

@@ -23,8 +23,18 @@ CONVERSATION_DAYS = 70
 # -----------------------------------------------------------------------------
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; one relation per (session, path), so repeated reads skip
+    the file listing and share one scan node in the plans."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def posts_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
