@@ -49,6 +49,10 @@ def digest(cols, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest(), lines
 
 
+SPARK_TO_DUCKDB = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+                   "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN", "DateType()": "DATE"}
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -61,11 +65,16 @@ def compare(spark, con, name, fn, sql, sf_dir):
         return out
     rel = con.sql(sql)
     dcols = list(rel.columns)
+    dtypes = {c: str(t) for c, t in zip(dcols, rel.types)}
+    stypes = {f.name: SPARK_TO_DUCKDB.get(str(f.dataType), str(f.dataType)) for f in sdf.schema.fields}
     drows = rel.fetchall()
     out["oracle_rows"] = len(drows)
     hs, ls = digest(scols, srows)
     hd, ld = digest(dcols, drows)
-    out["schema_ok"] = sorted(scols) == sorted(dcols)
+    out["schema_ok"] = sorted(scols) == sorted(dcols) and stypes == dtypes
+    if stypes != dtypes:
+        out["types"] = {c: (stypes.get(c), dtypes.get(c)) for c in set(stypes) | set(dtypes)
+                        if stypes.get(c) != dtypes.get(c)}
     out["hash_ok"] = hs == hd
     out["status"] = "ok" if (out["schema_ok"] and out["hash_ok"] and len(srows) == len(drows)) else "MISMATCH"
     if out["status"] != "ok":

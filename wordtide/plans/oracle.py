@@ -115,7 +115,8 @@ trends AS (
 def flagship_sql(limit: int) -> str:
     return weekly_ctes() + f"""
 SELECT strftime(week_start_date, '%Y-%m-%d') AS week_start_date, board_key, term, post_hits, total_posts,
-       (round(appearance_rate, 9) + 0.0) AS appearance_rate, (round(zscore, 9) + 0.0) AS zscore, rank
+       (round(appearance_rate, 9) + 0.0) AS appearance_rate, (round(zscore, 9) + 0.0) AS zscore,
+       CAST(rank AS INTEGER) AS rank
 FROM (SELECT *, row_number() OVER (PARTITION BY week_start_date, board_key
                                    ORDER BY round(zscore, 9) DESC NULLS LAST, term) AS rank
       FROM trends)
@@ -228,7 +229,7 @@ SELECT board_key, term, {', '.join(f'{rnd(c)} AS {c}' for c in REG_OUT)},
        {iso('analysis_start_date')} AS analysis_start_date, {iso('analysis_end_date')} AS analysis_end_date
 FROM latest"""
     q["w17_growth_ranking"] = reg + f"""
-SELECT board_key, term, {rnd('slope')} AS slope, rank FROM (
+SELECT board_key, term, {rnd('slope')} AS slope, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY board_key ORDER BY round(slope, 9) DESC, term) AS rank FROM latest)
 WHERE rank <= 5"""
     q["w16_w18_lookups"] = reg + f"""
@@ -274,7 +275,7 @@ SELECT strftime(m.date, '%Y-%m-%d') AS date, m.board_key,
        CAST(dayofyear(m.date) % 50 + 10 AS INTEGER) AS duration_sec
 FROM metrics m"""
     q["a9_top_terms"] = d + """
-SELECT strftime(date, '%Y-%m-%d') AS date, board_key, term, post_hits, rank FROM (
+SELECT strftime(date, '%Y-%m-%d') AS date, board_key, term, post_hits, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY date, board_key ORDER BY post_hits DESC, term) AS rank FROM stats)
 WHERE rank > 1 AND rank <= 4"""
     q["a10_metrics_lookup"] = d + """
