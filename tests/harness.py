@@ -29,13 +29,16 @@ def duckdb_con(sf_dir: str):
     return con
 
 
+STRICT = os.environ.get("HARNESS_STRICT") == "1"  # compare doubles bit for bit
+
+
 def _norm(v):
     if v is None:
         return "NULL"
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return repr(round(v, 9))
+        return repr(v) if STRICT else repr(round(v, 9))
     if isinstance(v, (list, tuple)):
         return "[" + ",".join(_norm(x) for x in v) + "]"
     if hasattr(v, "tolist"):
