@@ -381,6 +381,31 @@ SELECT {iso('t.week_start_date')} AS week_start_date, t.board_key, t.term, t.pos
        {rnd('t.appearance_rate')} AS appearance_rate, {rnd('c.ci_lower')} AS appearance_rate_ci_lower,
        {rnd('c.ci_upper')} AS appearance_rate_ci_upper, {rnd('t.zscore')} AS zscore
 FROM trends t LEFT JOIN ci c ON c.k = t.post_hits AND c.n = t.total_posts"""
+    lex = "WITH " + POSTS_LINEITEM.strip() + f""",
+nouns AS (SELECT DISTINCT string_split(p_name, ' ')[-1] AS surface FROM part),
+tok AS (SELECT row_number() OVER () AS rid, date, board_key, thread_path, {TOKENS_SQL} AS tokens FROM posts),
+occ AS (
+  SELECT o.rid, o.date, o.board_key, o.thread_path, {norm_sql('o.surface')} AS term
+  FROM (SELECT rid, date, board_key, thread_path, unnest(tokens) AS surface FROM tok) o
+  SEMI JOIN nouns n ON n.surface = o.surface),
+stats AS (
+  SELECT date, board_key, term, CAST(count(DISTINCT rid) AS INTEGER) AS post_hits,
+         CAST(count(DISTINCT thread_path) AS INTEGER) AS thread_hits
+  FROM occ WHERE term <> '' AND term NOT IN {BLOCKED_SQL} GROUP BY ALL),
+tm AS (
+  SELECT date, board_key, count(*) AS total_tokens,
+         count(*) FILTER (WHERE term = '' OR term IN {BLOCKED_SQL}) AS filtered_tokens
+  FROM occ GROUP BY ALL),
+pm AS (SELECT date, board_key, count(*) AS fetched_posts FROM posts GROUP BY ALL)"""
+    q["t2_lexicon_stats"] = lex + """
+SELECT strftime(date, '%Y-%m-%d') AS date, board_key, term, post_hits, thread_hits FROM stats"""
+    q["t2_lexicon_metrics"] = lex + f"""
+SELECT strftime(p.date, '%Y-%m-%d') AS date, p.board_key, CAST(p.fetched_posts AS INTEGER) AS fetched_posts,
+       CAST(coalesce(t.total_tokens, 0) AS INTEGER) AS total_tokens,
+       CAST(coalesce(t.filtered_tokens, 0) AS INTEGER) AS filtered_tokens,
+       {rnd('CASE WHEN coalesce(t.total_tokens, 0) = 0 THEN 0.0 ELSE t.filtered_tokens / CAST(t.total_tokens AS DOUBLE) END')}
+         AS filtered_rate
+FROM pm p LEFT JOIN tm t USING (date, board_key)"""
     q["i1_checks"] = w + """
 SELECT 'pipeline_metrics_daily' AS table_name, count(*) AS n_rows,
        count(*) FILTER (WHERE NOT (fetched_threads >= 0 AND fetched_posts >= 0 AND total_tokens >= 0

@@ -56,3 +56,21 @@ def weekly_with_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conversation_daily(spark: SparkSession, sf_dir: str) -> daily.DailyResult:
     posts = A.posts_from_conversations(spark, sf_dir)
     return daily_for_posts(spark, posts)
+
+
+def part_name_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A (surface, pos) lexicon derived from ``part`` names: the last word of a
+    name is tagged as a noun, the first as an adjective."""
+    from wordtide.operators.terms import NOUN_POS
+
+    part = A.table(spark, sf_dir, "part")
+    words = F.split(F.col("p_name"), " ")
+    nouns = part.select(F.element_at(words, -1).alias("surface"), F.lit(NOUN_POS).alias("pos"))
+    adjectives = part.select(F.element_at(words, 1).alias("surface"), F.lit("形容詞").alias("pos"))
+    return nouns.unionByName(adjectives).distinct()
+
+
+def lexicon_daily(spark: SparkSession, sf_dir: str) -> daily.DailyResult:
+    """Daily job with the T2 noun filter from ``part_name_lexicon``."""
+    posts = A.posts_from_lineitem(spark, sf_dir)
+    return daily_for_posts(spark, posts, lexicon=part_name_lexicon(spark, sf_dir))

@@ -190,6 +190,19 @@ def t_conversation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
                               "filtered_tokens", _r("filtered_rate"))
 
 
+def t2_lexicon_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only surfaces a (surface, pos) lexicon tags as nouns count as tokens."""
+    res = P.lexicon_daily(spark, sf_dir)
+    return res.stats.select(_d("date"), "board_key", F.col("normalized").alias("term"), "post_hits", "thread_hits")
+
+
+def t2_lexicon_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 + A4: token counters when only lexicon nouns are tokens."""
+    res = P.lexicon_daily(spark, sf_dir)
+    return res.metrics.select(_d("date"), "board_key", "fetched_posts", "total_tokens", "filtered_tokens",
+                              _r("filtered_rate"))
+
+
 def t3_document_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1 + T3 + T4 on whole documents: every distinct surface and its normalised term."""
     docs = A.table(spark, sf_dir, "documents")
@@ -415,6 +428,8 @@ QUERIES: dict[str, Query] = {
     "a10_metrics_lookup": a10_metrics_lookup,
     "t_conversation_stats": t_conversation_stats,
     "t_conversation_metrics": t_conversation_metrics,
+    "t2_lexicon_stats": t2_lexicon_stats,
+    "t2_lexicon_metrics": t2_lexicon_metrics,
     "t3_document_terms": t3_document_terms,
     "d3_dictionary": d3_dictionary,
     "d5_dictionary_terms": d5_dictionary_terms,
