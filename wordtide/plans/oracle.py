@@ -336,6 +336,34 @@ FROM threads WHERE thread_path <> ''"""
     q["s11_crawl_cutoff"] = "WITH " + POSTS_LINEITEM.strip() + CRAWL_SQL + """
 SELECT strftime(target_date, '%Y-%m-%d') AS target_date, board_key,
        count(DISTINCT thread_path) AS kept_threads, count(*) AS kept_posts
+FROM kept GROUP BY ALL"""
+    q["s12_crawl_missing_pages"] = "WITH " + POSTS_LINEITEM.strip() + """,
+ok AS (SELECT CAST(o_orderkey AS VARCHAR) AS thread_path, o_orderstatus <> 'P' AS page_ok FROM orders),
+lp AS (
+  SELECT * FROM posts
+  QUALIFY row_number() OVER (PARTITION BY board_key, thread_path ORDER BY post_no DESC, date DESC, content) <= 3),
+days AS (SELECT DISTINCT board_key, thread_path, date FROM lp),
+crawl_days AS (SELECT DISTINCT board_key, date AS target_date FROM lp),
+listing AS (
+  SELECT DISTINCT d.board_key, d.thread_path, CAST(d.date + CAST(k AS INTEGER) AS DATE) AS target_date
+  FROM days d, range(-1, 7) t(k)
+  SEMI JOIN crawl_days c ON c.board_key = d.board_key AND c.target_date = CAST(d.date + CAST(k AS INTEGER) AS DATE)),
+flag AS (
+  SELECT l.board_key, l.target_date, l.thread_path, -CAST(l.thread_path AS BIGINT) AS position,
+         coalesce(o.page_ok, false) AS page_ok,
+         coalesce(p.date = l.target_date AND o.page_ok, false) AS is_target,
+         coalesce(p.date = l.target_date + 1 AND o.page_ok, false) AS is_next
+  FROM listing l LEFT JOIN ok o ON o.thread_path = l.thread_path
+  LEFT JOIN lp p ON p.board_key = l.board_key AND p.thread_path = l.thread_path),
+act AS (
+  SELECT board_key, target_date, thread_path, position, page_ok, bool_or(is_target OR is_next) AS active
+  FROM flag GROUP BY ALL),
+cut AS (SELECT board_key, target_date, min(position) AS cutoff FROM act WHERE page_ok AND NOT active GROUP BY ALL),
+kept AS (
+  SELECT f.* FROM flag f LEFT JOIN cut c USING (board_key, target_date)
+  WHERE f.is_target AND f.page_ok AND (c.cutoff IS NULL OR f.position < c.cutoff))
+SELECT strftime(target_date, '%Y-%m-%d') AS target_date, board_key,
+       count(DISTINCT thread_path) AS kept_threads, count(*) AS kept_posts
 FROM kept GROUP BY ALL"""
     q["s14_dates"] = """
 SELECT strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS ts,

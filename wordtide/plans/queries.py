@@ -334,6 +334,29 @@ def s11_crawl_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(_d("date", "target_date"), "board_key", "kept_threads", "kept_posts"))
 
 
+def s12_crawl_missing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S11 + S12: as ``s11_crawl_cutoff``, but the page of a thread whose order is
+    still pending ('P') could not be fetched: it is skipped and does not end the scan."""
+    posts = X.latest_posts(A.posts_from_lineitem(spark, sf_dir), 3, thread_keys=("board_key", "thread_path"),
+                           tie_break=(F.desc("date"), F.asc("content")))
+    days = posts.select("board_key", "thread_path", "date").distinct()
+    orders = A.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("thread_path"), (F.col("o_orderstatus") != "P").alias("page_ok"))
+    listing = (days.select("board_key", "thread_path",
+                           F.explode(F.sequence(F.date_sub("date", 1), F.date_add("date", 6))).alias("target_date"))
+               .distinct()
+               .join(posts.select("board_key", F.col("date").alias("target_date")).distinct(),
+                     ["board_key", "target_date"], "left_semi")
+               .withColumn("position", -F.col("thread_path").cast("long"))
+               .join(orders, "thread_path", "left")
+               .withColumn("page_ok", F.coalesce("page_ok", F.lit(False))))
+    fetched = posts.join(orders.where("page_ok").select("thread_path"), "thread_path", "left_semi")
+    kept = X.collect_target_posts(listing, fetched.drop("date"), join_keys=("board_key", "thread_path"))
+    return (kept.groupBy("board_key", "date")
+            .agg(F.count_distinct("thread_path").alias("kept_threads"), F.count(F.lit(1)).alias("kept_posts"))
+            .select(_d("date", "target_date"), "board_key", "kept_threads", "kept_posts"))
+
+
 def s14_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S10 prefix, S14 JST target date, W1 previous week, W12 window for every ship time."""
     ts = A.table(spark, sf_dir, "lineitem").select("l_shipdate").distinct()
@@ -442,6 +465,7 @@ QUERIES: dict[str, Query] = {
     "s16_s18_urls": s16_s18_urls,
     "s2_page_decode": s2_page_decode,
     "s11_crawl_cutoff": s11_crawl_cutoff,
+    "s12_crawl_missing_pages": s12_crawl_missing_pages,
     "s14_dates": s14_dates,
     "u1_upsert": u1_upsert,
     "i1_checks": i1_checks,
