@@ -30,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; one relation per (session, path), so repeated reads skip
     the file listing and share one scan node in the plans."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
+    key = (spark, spark.sparkContext.applicationId, path)  # the session itself: ids are never recycled
     df = _TABLES.get(key)
     if df is None:
         df = _TABLES[key] = spark.read.parquet(path)
