@@ -235,7 +235,9 @@ def l1_l5_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 (append with key checks) + L5 (status update): recovered failures become success."""
     posts = A.posts_from_lineitem(spark, sf_dir)
     new = A.runs_for_posts(posts)
-    runs = ledger.append_runs(tables.align(new.limit(0), new.schema), new)
+    from wordtide import schemas
+
+    runs = ledger.append_runs(spark.createDataFrame([], schemas.PIPELINE_RUNS), new)
     upd = runs.where((F.col("status") == "failed") & F.col("is_recovered")).select("run_id", F.lit("success").alias("status"))
     out = ledger.update_status(runs, upd)
     return out.select("run_id", _d("target_date"), "board_key", "status", "is_recovered",
