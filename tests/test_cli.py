@@ -23,6 +23,13 @@ def test_cli_daily_then_weekly(spark, tmpdir_path):
     cli.main(["daily", "--posts", src, "--warehouse", wh] + sum([["--date", d] for d in days[5:]], []))
     m = jobs.read_table(spark, wh, "pipeline_metrics_daily")
     assert m.count() == posts.select("date", "board_key").distinct().count()
+    # A recorded run without any posts still gets a metrics row of zeros.
+    extra = spark.createDataFrame([("1996-02-01", "Z")], "target_date string, board_key string") \
+        .withColumn("target_date", F.col("target_date").cast("date"))
+    jobs.record_runs(spark, wh, extra)
+    cli.main(["daily", "--posts", src, "--warehouse", wh, "--date", "1996-02-01"])
+    z = jobs.read_table(spark, wh, "pipeline_metrics_daily").where("board_key = 'Z'").collect()
+    assert len(z) == 1 and (z[0].fetched_posts, z[0].total_tokens, z[0].filtered_rate) == (0, 0, 0.0)
     cli.main(["weekly", "--warehouse", wh, "--execution-date", "1996-01-09", "--execution-date", "1996-01-16"])
     t = jobs.read_table(spark, wh, "weekly_term_trends")
     assert sorted(str(r.week_start_date) for r in t.select("week_start_date").distinct().collect()) == \

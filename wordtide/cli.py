@@ -10,10 +10,10 @@ Without ``--date`` the daily task takes yesterday in JST (S14) of the current UT
 from __future__ import annotations
 
 import argparse
+import datetime
 
 from pyspark.sql import functions as F
 
-from wordtide.functions.dates import target_date_jst
 from wordtide.plans import jobs
 from wordtide.session import ensure_checkpoint_dir, get_spark
 
@@ -39,11 +39,13 @@ def main(argv=None) -> None:
     if args.cmd == "daily":
         posts = spark.read.parquet(args.posts)
         if args.date:
-            days = F.array(*[F.lit(x).cast("date") for x in args.date])
-            posts = posts.where(F.array_contains(days, F.col("date")))
-        else:
-            posts = posts.where(F.col("date") == target_date_jst(F.current_timestamp().cast("timestamp_ntz")))
-        jobs.daily_job(spark, posts, args.warehouse)
+            dates = args.date
+        else:  # S14: yesterday in JST (a scalar of the clock, computed on the driver)
+            jst = datetime.timezone(datetime.timedelta(hours=9))
+            dates = [str(datetime.datetime.now(jst).date() - datetime.timedelta(days=1))]
+        days = F.array(*[F.lit(x).cast("date") for x in dates])
+        posts = posts.where(F.array_contains(days, F.col("date")))
+        jobs.daily_job(spark, posts, args.warehouse, target_dates=dates)
     elif args.cmd == "weekly":
         boards = jobs.read_table(spark, args.warehouse, "pipeline_runs").select("board_key")
         jobs.weekly_job(spark, args.warehouse, jobs.weeks_for(args.execution_date, boards))

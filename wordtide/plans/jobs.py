@@ -93,15 +93,22 @@ def record_runs(spark: SparkSession, warehouse: str, runs: DataFrame) -> DataFra
 def daily_job(spark: SparkSession, posts: DataFrame, warehouse: str,
               lexicon: Optional[DataFrame] = None,
               tokenizer: Optional[Callable[[Column], Column]] = None,
-              prepare_terms: Optional[Callable[[DataFrame], DataFrame]] = None) -> daily.DailyResult:
-    """A12 end to end for every (date, board) in ``posts``.
+              prepare_terms: Optional[Callable[[DataFrame], DataFrame]] = None,
+              target_dates: Optional[Iterable[str]] = None) -> daily.DailyResult:
+    """A12 end to end for every (date, board) in ``posts``, plus every recorded run
+    of ``target_dates`` (a run without posts gets a metrics row of zeros).
 
     The tokenised posts (content dropped) are checkpointed once; the stats,
     metrics and dictionary branches all read that copy instead of re-scanning and
     re-tokenising the posts.
     """
     runs = read_table(spark, warehouse, "pipeline_runs")
-    days = posts.select("date", "board_key").distinct()
+    days = posts.select("date", "board_key")
+    if target_dates:
+        wanted = F.array(*[F.lit(d).cast("date") for d in target_dates])
+        days = days.unionByName(runs.where(F.array_contains(wanted, F.col("target_date")))
+                                .select(F.col("target_date").alias("date"), "board_key"))
+    days = days.distinct()
     targets = (days.join(runs.select(F.col("target_date").alias("date"), "board_key", "run_id",
                                      "started_at", "finished_at"), ["date", "board_key"], "left"))
     terms = read_table(spark, warehouse, "terms")
