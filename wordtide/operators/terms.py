@@ -53,8 +53,11 @@ def normalize_surfaces(surfaces: DataFrame, col: str = "surface") -> DataFrame:
     keys = surfaces.columns
     withn = surfaces.withColumn("normalized", normalize_after_nfkc(nfkc(F.col(col))))
     others = [c for c in keys if c != col]
-    return (withn.groupBy(col).agg(*[F.first(c).alias(c) for c in others],
-                                   F.first("normalized").alias("normalized"), F.count(F.lit(1)).alias("_rows"))
+    # One value per key, so max / collect_set just carry it; both run hash-based
+    # (collect_set as an object hash aggregate), so no sort of the vocabulary.
+    return (withn.groupBy(col).agg(*[F.max(c).alias(c) for c in others],
+                                   F.element_at(F.collect_set("normalized"), 1).alias("normalized"),
+                                   F.count(F.lit(1)).alias("_rows"))
             .where(F.col("_rows") > 0).drop("_rows"))
 
 
