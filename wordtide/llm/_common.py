@@ -51,13 +51,13 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], block: str, value: str, out:
     return sums.select(*keys, block, F.coalesce(F.sum("_sum").over(w), F.lit(0).cast("long")).alias(out))
 
 
-def null_safe(left: DataFrame, right: DataFrame, names: Sequence[str]):
-    """Join condition that matches nulls with nulls."""
-    cond = None
+def join_null_safe(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``names`` where nulls match nulls; keeps the left side's columns of these names."""
+    right = right.select(*[F.col(n).alias(f"_right_{n}") if n in names else n for n in right.columns])
+    cond = F.lit(True)
     for n in names:
-        c = left[n].eqNullSafe(right[n])
-        cond = c if cond is None else cond & c
-    return cond
+        cond = cond & left[n].eqNullSafe(right[f"_right_{n}"])
+    return left.join(right, cond, how).drop(*[f"_right_{n}" for n in names])
 
 
 def tokenizer_path(path: Optional[str] = None) -> str:

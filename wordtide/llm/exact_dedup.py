@@ -26,7 +26,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordtide.llm._common import null_safe, stage
+from wordtide.llm._common import join_null_safe, stage
 
 BLOCK_BYTES = 4096
 
@@ -97,17 +97,15 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     mult = base.groupBy("_id", "_sha").agg(F.count(F.lit(1)).alias("_rows"))
     texts = docs.join(twins, ["_n", "_h"]).select("_id", sha, "_n", "_text")
     named = block_names(texts, block_bytes).distinct()
-    named = stage(named.join(mult, null_safe(named, mult, ["_id", "_sha"])).select(
-        named["_id"], named["_sha"], "_n", "_name", "_rows"), "identities")
+    named = stage(join_null_safe(named, mult, ["_id", "_sha"]), "identities")
     groups = stage(named.groupBy("_n", "_name").agg(F.max("_id").alias("keep_id"), F.sum("_rows").alias("group_size"))
                    .where("group_size > 1"), "groups")
     found = stage(named.join(groups, ["_n", "_name"]).select("_id", "_sha", "keep_id", "group_size"), "found")
-    out = base.join(found, null_safe(base, found, ["_id", "_sha"]), "left")
-    in_group = F.col("group_size").isNotNull()
-    keep = F.when(in_group, F.col("keep_id")).otherwise(base["_id"])
-    return out.select(base["_id"].alias(id_col), keep.alias("keep_id"),
+    out = join_null_safe(base, found, ["_id", "_sha"], "left")
+    keep = F.when(F.col("group_size").isNotNull(), F.col("keep_id")).otherwise(F.col("_id"))
+    return out.select(F.col("_id").alias(id_col), keep.alias("keep_id"),
                       F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-                      base["_id"].eqNullSafe(keep).alias("kept"), base["_sha"].alias("text_sha256"))
+                      F.col("_id").eqNullSafe(keep).alias("kept"), F.col("_sha").alias("text_sha256"))
 
 
 def keep_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

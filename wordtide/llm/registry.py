@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from wordtide.llm import exact_dedup
+from wordtide.llm import exact_dedup, mixing, packing
 
 QUERIES = {
+    "op2_packing": packing.op2_packing,
+    "op4_mixing": mixing.op4_mixing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
