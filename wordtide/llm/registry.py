@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from wordtide.llm import exact_dedup, mixing, packing, token_count, warc
+from wordtide.llm import exact_dedup, mixing, near_dedup, packing, token_count, warc
 
 QUERIES = {
     "op2_packing": packing.op2_packing,
     "op4_mixing": mixing.op4_mixing,
     "op6_token_counts": token_count.op6_token_counts,
+    "op8_minhash_near_dedup": near_dedup.op8_minhash_near_dedup,
     "op9_warc": warc.op9_warc,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
