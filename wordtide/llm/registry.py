@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from wordtide.llm import exact_dedup, mixing, near_dedup, packing, token_count, warc
+from wordtide.llm import exact_dedup, mixing, near_dedup, packing, suffix_dedup, token_count, warc
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_packing": packing.op2_packing,
     "op4_mixing": mixing.op4_mixing,
     "op6_token_counts": token_count.op6_token_counts,
