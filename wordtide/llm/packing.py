@@ -162,7 +162,8 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_c
     id_type = tokens.schema["_id"].dataType.simpleString()
     totals = {r["_source"]: r["t"] for r in tokens.groupBy("_source").agg(F.sum("_n").alias("t")).collect()}  # one row per source
     plan = Schedule(totals, targets, windows * seq_len)
-    base = prefix_sums(tokens, ["_source"], "_part", "_n", "_base")
+    # staged, so its size is known: a small table is broadcast and the ids stay where they are
+    base = stage(prefix_sums(tokens, ["_source"], "_part", "_n", "_base"), "queue-offsets")
     placed = join_null_safe(tokens, base, ["_source", "_part"]).select(
         "_id", "_source", "_n", (F.col("_loc") + F.col("_base")).alias("_q"), "_ids")
 
