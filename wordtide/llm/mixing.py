@@ -218,7 +218,8 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     slot = ranges.mapInArrow(slots, "shard long, slot long, _s int, _block long, _take long")
     begin = F.greatest(F.col("_q"), F.col("_block") * block_words)
     end = F.least(F.col("_q") + F.col("_size"), F.col("_block") * block_words + F.col("_take"))
-    spans = pieces.join(slot, ["_s", "_block"]).select(
+    # the slots' size is not known to the planner: never broadcast them
+    spans = pieces.join(slot.hint("merge"), ["_s", "_block"]).select(
         "shard", "slot", F.col("_s").alias("source"), F.col("_block").alias("block"), "_part", "_row",
         (begin - F.col("_q")).alias("word"), (end - begin).alias("words")).where("words > 0")
     return docs, spans, plan
