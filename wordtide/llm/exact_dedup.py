@@ -37,8 +37,11 @@ def normalised(text: Column) -> Column:
 
 
 def _integer_names(df: DataFrame, cols: list[str], name: str) -> DataFrame:
-    """Distinct ``cols``, range-sorted, each with an integer that increases in sort order."""
-    distinct = df.select(*cols).distinct().orderBy(*cols)
+    """Distinct ``cols``, sorted within hash partitions, each with its own integer in that order.
+
+    A global sort would send samples of whole blocks to the driver, and only equality of names matters.
+    """
+    distinct = df.select(*cols).distinct().sortWithinPartitions(*cols)
     return stage(distinct.withColumn(name, F.monotonically_increasing_id()), "block-names")
 
 
