@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from wordtide.llm import ann, exact_dedup, mixing, near_dedup, packing, suffix_dedup, token_count, warc
+from wordtide.llm import ann, exact_dedup, mixing, near_dedup, packing, quality, suffix_dedup, token_count, warc
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_packing": packing.op2_packing,
+    "op3_quality": quality.op3_quality,
     "op4_mixing": mixing.op4_mixing,
     "op5_hilbert_ann": ann.op5_hilbert_ann,
     "op6_token_counts": token_count.op6_token_counts,
