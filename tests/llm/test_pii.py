@@ -1,0 +1,91 @@
+"""Surrogates: nothing real is left, formats and coreference hold, clean texts stay."""
+
+import re
+from collections import defaultdict
+
+import pytest
+
+from wordtide.llm import pii
+
+SF = "/root/testdata/sf0.01"
+#: the entities of the given tables, written independently of the operator's patterns
+PLANTED = re.compile(r"[\w.]+@[a-z]+\d\.example\.com|\+1 \(\d{3}\) 555-\d{4}|\b[46]\d{15}\b|\b\d+\.\d+\.\d+\.\d+\b|AKIA[A-Z0-9]{16}|"
+                     r"(?<=password=)[0-9a-f]+|(?<=token = \")[0-9a-f]+")
+
+
+def test_query_on_table(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    out = {r.doc_id: r for r in pii.op7_pii(spark, SF).collect()}
+    assert set(out) == set(docs)
+    real, pairs = {x for t in docs.values() for x in PLANTED.findall(t)}, defaultdict(set)
+    assert len(real) > 50
+    for d, t in docs.items():
+        before, after = PLANTED.split(t), PLANTED.split(out[d].text)
+        assert before == after  # all else is untouched
+        assert out[d].n_entities == len(PLANTED.findall(t))
+        for a, b in zip(PLANTED.findall(t), PLANTED.findall(out[d].text)):
+            assert b not in real and len(a) == len(b) or "@" in a or a.count(".") == 3
+            pairs[a].add(b)
+    assert all(len(v) == 1 for v in pairs.values())
+    assert len({b for v in pairs.values() for b in v}) == len(pairs)
+    assert all(pii.luhn(b) == 0 for a, v in pairs.items() if re.fullmatch(r"\d{16}", a) for b in v)
+
+
+def frame(spark, texts):
+    return spark.createDataFrame([(i, t, 0, "k") for i, t in enumerate(texts)], "doc_id long, text string, row int, kind string").repartition(3)
+
+
+def run(spark, texts, **kw):
+    return [r.text for r in sorted(pii.replace_entities(frame(spark, texts), **kw).collect())]
+
+
+def test_formats_and_coreference(spark):
+    texts = ["Call +1 (319) 555-5132 or +1-319-555-5132.", "Card 4425 4142 5915 7784, 4425414259157784; not 4425414259157785",
+             "Mail Jane.Doe@Corp.example.net and jane.doe@corp.example.net", "ip 10.1.2.3 v 1.2.3.4.5", "DE89 3704 0044 0532 0130 00",
+             "Mrs. Clara Weber met Herr Weber and Dr. Karl Weber.", "г-жа Анна Петрова", "王小明先生", "API_KEY: 'aB3dE6gH9k'", "123-45-6789",
+             "Licensed under version 2.0, section 4.1", None, "", "x" * 300_000 + " a@b.org", "+49 30 1234567"]
+    out = run(spark, texts)
+    a, b = re.findall(r"\+1[ -]\(?(\d{3})\)?[ -](\d{3}-\d{4})", out[0])
+    assert a == b and a[0] != "319" and a[1].startswith("555")
+    assert re.sub(r"\d{16}|(?:\d{4} ){3}\d{4}", "#", out[1]) == "Card #, #; not #"
+    c, d, e = (x.replace(" ", "") for x in re.findall(r"\d{16}|(?:\d{4} ){3}\d{4}", out[1]))
+    assert c == d != "4425414259157784" and pii.luhn(c) == 0 and c[0] == "4" and e == "4425414259157785"
+    m, n = re.findall(r"\S+@\S+", out[2])
+    assert m.lower() == n and m[0].isupper() and n.endswith(".example.net") and "jane" not in n
+    assert re.fullmatch(r"ip \d+\.\d+\.\d+\.\d+ v 1\.2\.3\.4\.5", out[3]) and "10.1.2.3" not in out[3]
+    assert re.fullmatch(r"DE\d\d( \d{4}){4} \d\d", out[4]) and pii.iban_rest(out[4].replace(" ", "")) == 1 and out[4] != texts[4]
+    w = re.fullmatch(r"Mrs\. (\w+) (\w+) met Herr (\w+) and Dr\. (\w+) (\w+)\.", out[5]).groups()
+    assert w[1] == w[2] == w[4] != "Weber" and w[0] in pii.GIVEN["latin", "f"] and w[3] in pii.GIVEN["latin", "m"]
+    assert re.fullmatch(r"г-жа [А-Я][а-я]+ [А-Я][а-я]+", out[6]) and "Петрова" not in out[6] and out[6].split()[1] in pii.GIVEN["cyrillic", "f"]
+    assert re.fullmatch(r"[一-鿿]+先生", out[7]) and "王小明" not in out[7]
+    assert re.fullmatch(r"API_KEY: '[a-z][A-Z]\d[a-z][A-Z]\d[a-z][A-Z]\d[a-z]'", out[8]) and out[8] != texts[8]
+    assert re.fullmatch(r"9\d\d-\d\d-\d{4}", out[9])
+    assert out[10] == texts[10] and out[11] is None and out[12] == ""
+    assert out[13].startswith("x" * 300_000 + " ") and "a@b.org" not in out[13]
+    assert re.fullmatch(r"\+49 \d\d \d{7}", out[14]) and out[14] != texts[14]
+    assert run(spark, texts) == out and run(spark, texts, key=b"other") != out
+
+
+def test_spans_repeats_and_empty(spark):
+    df = spark.createDataFrame([(5, "a@b.com 1.2.3.4"), (5, "a@b.com 1.2.3.4"), (None, "x 9.8.7.6")], "doc_id long, text string")
+    out = pii.replace_entities(df).collect()
+    assert sorted(r.n_entities for r in out) == [1, 2, 2]
+    for r in out:
+        for s in r.spans:
+            assert (s.kind == "email") == ("@" in r.text[s.start:s.end])
+    assert len({r.text for r in out if r.doc_id == 5}) == 1
+    assert pii.replace_entities(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("space", [25, 40])
+def test_collisions_are_resolved(spark, monkeypatch, space):
+    """With a tiny space of candidates many collide with each other and with real values."""
+    def tiny(key, kind, value, turn):
+        return f"v{pii.Stream(key, kind, value, turn).below(space + turn)}"
+
+    monkeypatch.setattr(pii, "surrogate", tiny)
+    found = spark.createDataFrame([("k", f"v{i}") for i in range(12)] + [("other", "v1")], "kind string, value string")
+    out = pii.surrogates(found).collect()
+    mine = [r for r in out if r.kind == "k"]
+    assert len(out) == 13 and len({r.surrogate for r in mine}) == 12
+    assert not {r.surrogate for r in mine} & {r.value for r in mine} and any(r.turn > 0 for r in mine)

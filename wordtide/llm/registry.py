@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wordtide.llm import ann, exact_dedup, mixing, near_dedup, packing, quality, suffix_dedup, token_count, warc
+from wordtide.llm import ann, exact_dedup, mixing, near_dedup, packing, pii, quality, suffix_dedup, token_count, warc
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_mixing": mixing.op4_mixing,
     "op5_hilbert_ann": ann.op5_hilbert_ann,
     "op6_token_counts": token_count.op6_token_counts,
+    "op7_pii": pii.op7_pii,
     "op8_minhash_near_dedup": near_dedup.op8_minhash_near_dedup,
     "op9_warc": warc.op9_warc,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
