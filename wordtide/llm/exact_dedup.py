@@ -113,11 +113,13 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, with all their columns; one row where an id repeats with the same text."""
-    kept = stage(exact_dedup(df, id_col, text_col).where("kept").select(
-        F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).distinct(), "kept")
+    kept = exact_dedup(df, id_col, text_col).where("kept").groupBy(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).count()
+    kept = stage(kept, "kept")
     rows = df.withColumn("_sha", F.sha2(normalised(F.col(text_col)).cast("binary"), 256))
     rows = rows.join(kept, rows[id_col].eqNullSafe(kept["_id"]) & (rows["_sha"] == kept["_sha"]), "left_semi")
-    return rows.dropDuplicates([id_col, "_sha"]).drop("_sha")
+    if not kept.where("count > 1").isEmpty():
+        rows = rows.dropDuplicates([id_col, "_sha"])
+    return rows.drop("_sha")
 
 
 def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:

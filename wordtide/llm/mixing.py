@@ -180,8 +180,9 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     """(documents, spans, plan).
 
     documents: (_id, _source, _size, _part, _row, _loc), one row per input row.
-    spans: what the mix is made of, in words: (shard, slot, source, block, _part, _row, word, words),
-    the ``words`` words from ``word`` of the document at (_part, _row), in slot ``slot`` of the shard.
+    spans: what the mix is made of, in words: (shard, slot, source, turn, block, _part, _row, word, words),
+    the ``words`` words from ``word`` of the document at (_part, _row), in slot ``slot`` of the shard and
+    pass ``turn`` over the source.
     """
     spark = df.sparkSession
     docs = sized(df, id_col, text_col, source_col)
@@ -212,15 +213,15 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
                 if plan.trim[s] and first + n == plan.slots[s]:
                     take[-1] = plan.trim[s]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, shard)), pa.array(j), pa.array(np.full(n, s, dtype=np.int32)), pa.array(block), pa.array(take)],
-                    ["shard", "slot", "_s", "_block", "_take"])
+                    [pa.array(np.full(n, shard)), pa.array(j), pa.array(np.full(n, s, dtype=np.int32)), pa.array(turn), pa.array(block), pa.array(take)],
+                    ["shard", "slot", "_s", "turn", "_block", "_take"])
 
-    slot = ranges.mapInArrow(slots, "shard long, slot long, _s int, _block long, _take long")
+    slot = ranges.mapInArrow(slots, "shard long, slot long, _s int, turn long, _block long, _take long")
     begin = F.greatest(F.col("_q"), F.col("_block") * block_words)
     end = F.least(F.col("_q") + F.col("_size"), F.col("_block") * block_words + F.col("_take"))
     # the slots' size is not known to the planner: never broadcast them
     spans = pieces.join(slot.hint("merge"), ["_s", "_block"]).select(
-        "shard", "slot", F.col("_s").alias("source"), F.col("_block").alias("block"), "_part", "_row",
+        "shard", "slot", F.col("_s").alias("source"), "turn", F.col("_block").alias("block"), "_part", "_row",
         (begin - F.col("_q")).alias("word"), (end - begin).alias("words")).where("words > 0")
     return docs, spans, plan
 
@@ -235,6 +236,41 @@ def taken_words(docs: DataFrame, spans: DataFrame, plan: Plan) -> DataFrame:
     return join_null_safe(out, info, ["_source"]).withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
 
 
+def mixed_rows(df: DataFrame, text_col: str = "text", chars_col: str = "n_chars", **options) -> DataFrame:
+    """``df`` as the mix takes it: one row per document taken, its text made of the words taken, pass after pass.
+
+    Pieces keep the white space between their words; a line break stands between pieces that were apart. The
+    rows are numbered in a staged copy, so texts and spans meet by an unambiguous key.
+    """
+    rows = stage(df.withColumn("_key", F.monotonically_increasing_id()), "numbered")
+    docs, spans, _ = mix(rows, "_key", text_col, **options)
+    key = docs.select("_part", "_row", F.col("_id").alias("_key"))
+    parts = spans.join(key, ["_part", "_row"]).groupBy("_key").agg(F.collect_list(F.struct("turn", "word", "words")).alias("_parts"))
+    names = [c for c in df.columns if c not in (text_col, chars_col)]
+    src = rows.join(stage(parts, "taken-words"), "_key").select(*names, F.col(text_col).cast("binary").alias("_text"), "_parts")
+
+    def cut(batches):
+        for b in batches:
+            texts = []
+            for text, parts in zip(b.column("_text"), b.column("_parts").to_pylist()):
+                body = text.as_buffer().to_pybytes()
+                at = np.append(word_starts(body), len(body))
+                out, last = [], None
+                for turn, word, n in sorted((p["turn"], p["word"], p["words"]) for p in parts):
+                    if out and last != (turn, word) and not out[-1][-1:].isspace():
+                        out.append(b"\n")
+                    out.append(body[at[word]:at[word + n]])
+                    last = (turn, word + n)
+                texts.append(b"".join(out).decode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(texts, pa.string())], [*names, text_col])
+
+    kinds = dict(df.dtypes)
+    out = src.mapInArrow(cut, ", ".join(f"`{c}` {kinds[c]}" for c in names) + f", `{text_col}` string")
+    if chars_col in df.columns:
+        out = out.withColumn(chars_col, F.length(text_col).cast(kinds[chars_col]))
+    return out.select(*df.columns)
+
+
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
     out = taken_words(*mix(spark.read.parquet(f"{sf_dir}/documents.parquet")))
     return out.select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"), "source_size", "target", "taken")

@@ -70,18 +70,19 @@ def text_features(text: bytes) -> Optional[list[float]]:
 
 
 def featured(df: DataFrame, id_col: str, text_col: str, host, path) -> DataFrame:
-    """(_id, _host, _path, features...) staged; all features are null without words."""
-    src = df.select(F.col(id_col).alias("_id"), host.cast("string").alias("_host"), path.cast("string").alias("_path"),
-                    F.col(text_col).cast("binary").alias("_text"))
+    """(_id, _hash, _host, _path, features...) staged; all features are null without words."""
+    src = df.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_hash"), host.cast("string").alias("_host"),
+                    path.cast("string").alias("_path"), F.col(text_col).cast("binary").alias("_text"))
     id_type = src.schema["_id"].dataType.simpleString()
 
     def run(batches):
         for b in batches:
             rows = [text_features(t.as_py()) if t.is_valid else None for t in b.column("_text")]
             cols = [pa.array([r[i] if r else None for r in rows], pa.float64()) for i in range(len(FEATURES))]
-            yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_host"), b.column("_path"), *cols], ["_id", "_host", "_path", *FEATURES])
+            names = ["_id", "_hash", "_host", "_path"]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *cols], [*names, *FEATURES])
 
-    return stage(src.mapInArrow(run, f"_id {id_type}, _host string, _path string, " + ", ".join(f"{f} double" for f in FEATURES)), "features")
+    return stage(src.mapInArrow(run, f"_id {id_type}, _hash long, _host string, _path string, " + ", ".join(f"{f} double" for f in FEATURES)), "features")
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> tuple[np.ndarray, float]:
@@ -142,7 +143,10 @@ def variance_ratio(groups: DataFrame, n: str, s: str, ss: str) -> tuple[float, f
 
 def classify(df: DataFrame, labels: DataFrame, host, path, id_col: str = "doc_id", text_col: str = "text",
              label_id: str = "doc_id", label_col: str = "quality", sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per input row: (id, doc_score, host_score, path_score, score, kept). ``host`` and ``path`` are columns of ``df``."""
+    """One row per input row: (id, doc_score, host_score, path_score, score, kept, text_hash).
+
+    ``host`` and ``path`` are columns of ``df``.
+    """
     rows, base = document_scores(featured(df, id_col, text_col, host, path), labels, label_id, label_col, sample)
     p = F.col("p")
     paths = rows.where(p.isNotNull()).groupBy("_host", "_path").agg(
@@ -156,7 +160,7 @@ def classify(df: DataFrame, labels: DataFrame, host, path, id_col: str = "doc_id
         (F.col("ss_p") - 2 * F.col("s_p") * F.col("s_h") / F.col("n_h") + F.col("n_p") * F.pow(F.col("s_h") / F.col("n_h"), 2)).alias("dd"))
     _, k_path = variance_ratio(about, "n_p", "d", "dd")
     sites = stage(join_null_safe(paths, hosts, ["_host"]).select("_host", "_path", "n_p", "s_p", "n_h", "s_h"), "site-sums")
-    out = join_null_safe(rows.select("_id", "_host", "_path", "p"), sites, ["_host", "_path"], "left")
+    out = join_null_safe(rows.select("_id", "_hash", "_host", "_path", "p"), sites, ["_host", "_path"], "left")
     mine, one = F.coalesce(p, F.lit(0.0)), F.when(p.isNotNull(), 1).otherwise(0)
     others = lambda s, n, k, prior: ((F.coalesce(F.col(s), F.lit(0.0)) - mine + k * prior)
                                      / (F.coalesce(F.col(n), F.lit(0)) - one + k))
@@ -166,12 +170,22 @@ def classify(df: DataFrame, labels: DataFrame, host, path, id_col: str = "doc_id
     score = 1 / (1 + F.exp(-(_logit(p) - _logit(F.lit(base)) + _logit(F.col("path_score")))))
     out = out.withColumn("score", F.when(p.isNotNull(), score).otherwise(0.0))
     return out.select(F.col("_id").alias(id_col), F.coalesce(p, F.lit(0.0)).alias("doc_score"), "host_score", "path_score", "score",
-                      (p.isNotNull() & (F.col("score") >= threshold)).alias("kept"))
+                      (p.isNotNull() & (F.col("score") >= threshold)).alias("kept"), F.col("_hash").alias("text_hash"))
+
+
+def keep_rows(df: DataFrame, labels: DataFrame, host, path, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` that are kept, with all their columns."""
+    kept = classify(df, labels, host, path, id_col, text_col, **options).where("kept")
+    kept = stage(kept.select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash")), "kept")
+    rows = df.withColumn("_text_hash", F.xxhash64(F.col(text_col)))
+    on = rows[id_col].eqNullSafe(kept["_id"]) & (rows["_text_hash"] == kept["_hash"])
+    return rows.join(kept, on, "left_semi").drop("_text_hash")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), host=F.col("source"), path=F.col("lang"))
+    out = classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), host=F.col("source"), path=F.col("lang"))
+    return out.drop("text_hash")
 
 
 def url_site(url) -> tuple:
