@@ -54,6 +54,8 @@ def token_queues(df: DataFrame, id_col: str, text_col: str, source_col: str,
     id_type = src.schema["_id"].dataType.simpleString()
 
     def tokenise(batches):
+        from array import array
+
         from pyspark import TaskContext
 
         part, encode, seen = TaskContext.get().partitionId(), make_encoder(path), {}
@@ -63,7 +65,8 @@ def token_queues(df: DataFrame, id_col: str, text_col: str, source_col: str,
                 sources = b.column("_source").to_pylist()
                 ids, loc = [], []
                 for s, enc in zip(sources, encode([t or "" for t in b.column("_text").to_pylist()])):
-                    arr = np.array([*enc, eod], dtype="<u2")
+                    arr = array("H", enc)
+                    arr.append(eod)
                     loc.append(seen.get(s, 0))
                     seen[s] = loc[-1] + len(arr)
                     ids.append(arr.tobytes())
