@@ -1,6 +1,7 @@
 """W6-W11 numeric goldens (FIXTURES §5) and their window forms."""
 
 import math
+import statistics
 
 import numpy as np
 import pytest
@@ -10,15 +11,32 @@ from wordtide.functions import stats as S
 from wordtide.operators import weekly
 
 
-@pytest.mark.parametrize("k,n,lo,hi", [
-    (100, 1000, 0.0821053344, 0.1202879365),
-    (0, 1000, 0.0, 0.0036820839),
-    (1000, 1000, 0.9963179161, 1.0),
-    (112, 910, 0.1024297767, 0.1461984288),
-])
-def test_clopper_pearson_goldens(k, n, lo, hi):
-    a, b = S.clopper_pearson([k], [n])
-    assert a[0] == pytest.approx(lo, abs=1e-9) and b[0] == pytest.approx(hi, abs=1e-9)
+def tail(k, n, p):
+    """P(X >= k) of the binomial by ratios of neighbouring terms, normalised over 45 standard deviations."""
+    sd = math.sqrt(n * p * (1 - p)) + 3
+    lo, hi = max(0, int(n * p - 45 * sd)), min(n, int(n * p + 45 * sd))
+    j = np.arange(lo, hi, dtype=float)
+    w = np.concatenate(([0.0], np.cumsum(np.log((n - j) / (j + 1)) + math.log(p) - math.log1p(-p))))
+    w = np.exp(w - w.max())
+    return w[np.arange(lo, hi + 1) >= k].sum() / w.sum()
+
+
+@pytest.mark.parametrize("n", [7, 400, 10 ** 5, 10 ** 6, 10 ** 7, 10 ** 8, 10 ** 9, 10 ** 10])
+def test_clopper_pearson_meets_its_definition(n):
+    """P(X >= k | lower) = P(X <= k | upper) = alpha / 2, at every size."""
+    ks = sorted({k for k in (1, 3, n // 10 ** 6, n // 999, n // 41, n // 9, n // 3, n // 2) if 0 < k < n})
+    lower, upper = S.clopper_pearson(ks, [n] * len(ks))
+    for k, a, b in zip(ks, lower, upper):
+        assert 0 < a < k / n < b < 1
+        assert tail(k, n, a) == pytest.approx(0.025, rel=1e-6)
+        assert 1 - tail(k + 1, n, b) == pytest.approx(0.025, rel=1e-6)
+
+
+def test_clopper_pearson_ends():
+    lo, hi = S.clopper_pearson([0, 640, 0, 170_092_783], [640, 640, 2 * 10 ** 9, 2 * 10 ** 9])
+    assert lo[0] == 0 and hi[1] == 1 and lo[2] == 0
+    assert hi[0] == pytest.approx(1 - 0.025 ** (1 / 640), rel=1e-12) and lo[1] == pytest.approx(0.025 ** (1 / 640), rel=1e-12)
+    assert hi[2] == pytest.approx(-math.expm1(math.log(0.025) / (2 * 10 ** 9)), rel=1e-9) and lo[3] < 170_092_783 / (2 * 10 ** 9) < hi[3]
 
 
 def test_clopper_pearson_contains_rate_and_bounds():
@@ -50,8 +68,9 @@ def _weeks(spark, rates, board="b", term=1, start="2024-01-01"):
 
 
 def test_zscore_goldens(spark):
-    hist = [0.1, 0.12, 0.11, 0.13, 0.1, 0.12, 0.11]
-    for cur, z in [(0.15, 3.3380918416), (0.1, -1.1554933298)]:
+    hist = [0.31, 0.28, 0.35, 0.3, 0.29, 0.33, 0.27]
+    for cur in (0.41, 0.22):
+        z = (cur - statistics.mean(hist)) / statistics.stdev(hist)
         out = weekly.with_zscore(_weeks(spark, hist + [cur])).orderBy("i").collect()
         assert out[-1].zscore == pytest.approx(z, abs=1e-9)
         assert all(r.zscore is None for r in out[:7])
@@ -61,24 +80,31 @@ def test_zscore_flat_history_is_zero_and_gap_is_null(spark):
     out = weekly.with_zscore(_weeks(spark, [0.1] * 8)).orderBy("i").collect()
     assert out[-1].zscore == 0.0
     # A missing week leaves only 6 history points in the 49-day frame.
-    df = _weeks(spark, [0.1, 0.12, 0.11, 0.13, 0.1, 0.12, 0.11, 0.2, 0.3]).where("i != 3")
+    df = _weeks(spark, [0.31, 0.28, 0.35, 0.3, 0.29, 0.33, 0.27, 0.4, 0.5]).where("i != 3")
     out = weekly.with_zscore(df).orderBy("i").collect()
     assert out[-1].zscore is None
 
 
 def test_regression_goldens(spark):
-    rates = [0.1, 0.12, 0.13, 0.14, 0.15, 0.16, 0.17, 0.18]
+    rates = [0.42, 0.37, 0.45, 0.5, 0.44, 0.52, 0.61, 0.55]
     out = weekly.with_regression(_weeks(spark, rates)).orderBy("i").collect()
     r = out[-1]
     assert r.has_regression and not any(x.has_regression for x in out[:-1])
-    assert r.intercept == pytest.approx(0.1058333333, abs=1e-9)
-    assert r.slope == pytest.approx(0.0108333333, abs=1e-9)
-    assert r.intercept_ci_lower == pytest.approx(0.1009084553, abs=1e-9)
-    assert r.intercept_ci_upper == pytest.approx(0.1107582113, abs=1e-9)
-    assert r.slope_ci_lower == pytest.approx(0.0096560623, abs=1e-9)
-    assert r.slope_ci_upper == pytest.approx(0.0120106046, abs=1e-9)
-    assert r.r_squared == pytest.approx(0.9883040936, abs=1e-9)
-    assert r.p_value == pytest.approx(5.021873e-07, rel=1e-5)
+    x = np.arange(8.0)
+    slope, intercept = np.polyfit(x, rates, 1)
+    rest = np.array(rates) - intercept - slope * x
+    s2 = (rest ** 2).sum() / 6
+    se_b, se_a = math.sqrt(s2 / 42), math.sqrt(s2 * (1 / 8 + 3.5 ** 2 / 42))
+    assert r.slope == pytest.approx(slope, rel=1e-9) and r.intercept == pytest.approx(intercept, rel=1e-9)
+    # 97.5 % quantile of t with 6 degrees of freedom, by bisection on the numerically integrated density
+    grid = np.linspace(0, 60, 600_001)
+    density = math.gamma(3.5) / (math.sqrt(6 * math.pi) * math.gamma(3)) * (1 + grid ** 2 / 6) ** -3.5
+    area = np.concatenate(([0], np.cumsum((density[1:] + density[:-1]) / 2 * 1e-4)))
+    q = np.interp(0.475, area, grid)
+    assert r.slope_ci_lower == pytest.approx(slope - q * se_b, abs=1e-8) and r.slope_ci_upper == pytest.approx(slope + q * se_b, abs=1e-8)
+    assert r.intercept_ci_lower == pytest.approx(intercept - q * se_a, abs=1e-8) and r.intercept_ci_upper == pytest.approx(intercept + q * se_a, abs=1e-8)
+    assert r.r_squared == pytest.approx(1 - (rest ** 2).sum() / np.var(rates) / 8, rel=1e-9)
+    assert r.p_value == pytest.approx(1 - 2 * np.interp(abs(slope) / se_b, grid, area), abs=1e-7)
     assert str(r.analysis_start_date) == "2024-01-01" and str(r.analysis_end_date) == "2024-02-25"
 
 

@@ -93,95 +93,161 @@ def regression_sql(n: str, slope: str, ybar: str, sxx: str, sxy: str, syy: str)
 
 
 # ------------------------------------------- incomplete beta kernel (numpy)
+#
+# The density is evaluated in saddle-point form: deviances and Stirling remainders, no difference of
+# large log-gammas, so it is as accurate at n = 10^10 as at n = 10. Integrals use a continued fraction while the
+# smaller parameter is below QUADRATURE_FROM (its length grows with the root of that parameter) and
+# Gauss-Legendre panels of one standard deviation beyond. Every loop ends on convergence and drops the elements
+# that have converged; an element that does not converge within LOOP_LIMIT becomes NaN (NULL in the table).
+
+QUADRATURE_FROM = 2000.0
+LOOP_LIMIT = 100_000
+CF_EPS = 4e-15
+# Panels beyond this many standard deviations add less than 1e-30.
+PANELS = 12
+_GL_X, _GL_W = np.polynomial.legendre.leggauss(20)
+# Coefficients of the Stirling series 1/(12 n) - 1/(360 n^3) + 1/(1260 n^5) - ...
+STIRLING = (1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188, -691 / 360360, 1 / 156)
+_HALF_LOG_2PI = 0.5 * math.log(2 * math.pi)
+
+
+def _stirling_rest(n: np.ndarray) -> np.ndarray:
+    """log(n!) - log(sqrt(2 pi n) (n/e)^n) for n > 0."""
+    n = np.asarray(n, dtype=float)
+    big = np.maximum(n, 16.0)
+    series = sum(c / big ** (2 * i + 1) for i, c in enumerate(STIRLING))
+    small = np.frompyfunc(lambda v: math.lgamma(v + 1) - (v + 0.5) * math.log(v) + v - _HALF_LOG_2PI, 1, 1)
+    out = np.array(series, dtype=float)
+    low = n < 16
+    if low.any():
+        out[low] = small(n[low]).astype(float)
+    return out
 
 
-def _lbeta(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    lg = np.frompyfunc(math.lgamma, 1, 1)
-    return np.asarray(lg(a) + lg(b) - lg(a + b), dtype=float)
+def _deviance(x: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """x log(x/m) + m - x, without cancellation where x is near m."""
+    x, m = np.broadcast_arrays(np.asarray(x, float), np.asarray(m, float))
+    d = (x - m) / (x + m)
+    near = np.abs(d) < 0.1
+    with np.errstate(divide="ignore", invalid="ignore"):
+        plain = x * np.log(x / m) + m - x
+    # x = (1+d)/(1-d) m: 2 x (d^3/3 + d^5/5 + ...) + (x - m) d
+    d2 = np.where(near, d * d, 0.0)
+    s, p = np.zeros_like(d), d2.copy()
+    for k in range(3, 31, 2):
+        s = s + p / k
+        p = p * d2
+    return np.where(near, (x - m) * d + 2 * x * d * s, plain)
+
+
+def beta_log_density(a, b, x) -> np.ndarray:
+    """log of the Beta(a, b) density at 0 < x < 1, for a, b > 0."""
+    a, b, x = np.broadcast_arrays(np.asarray(a, float), np.asarray(b, float), np.asarray(x, float))
+    # density = C * x^a (1-x)^b with the binomial form at k = a, n = a + b: shifts by x (1 - x) are exact
+    n = a + b
+    log_binom = (_stirling_rest(n) - _stirling_rest(a) - _stirling_rest(b) - _deviance(a, n * x) - _deviance(b, n * (1 - x))
+                 + 0.5 * np.log(n / (2 * math.pi * a * b)))
+    return log_binom + np.log(a) + np.log(b) - np.log(n) - np.log(x) - np.log1p(-x)
 
 
-def _betacf(a, b, x, iters: int = 300, eps: float = 1e-16):
-    """Continued fraction of I_x(a, b) (modified Lentz), vectorised."""
+def _continued_fraction(a, b, x) -> np.ndarray:
+    """Continued fraction of I_x(a, b) by the modified Lentz method; NaN where it does not converge."""
     tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
+    out = np.full(x.shape, np.nan)
+    idx = np.arange(x.size)
     c = np.ones_like(x)
-    d = 1.0 - qab * x / qap
-    d = np.where(np.abs(d) < tiny, tiny, d)
-    d = 1.0 / d
+    d = 1.0 - (a + b) * x / (a + 1.0)
+    d = 1.0 / np.where(np.abs(d) < tiny, tiny, d)
     h = d.copy()
-    for m in range(1, iters + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < tiny, tiny, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < tiny, tiny, c)
-        d = 1.0 / d
-        h = h * d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < tiny, tiny, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < tiny, tiny, c)
-        d = 1.0 / d
-        delta = d * c
-        h = h * delta
-        if np.all(np.abs(delta - 1.0) < eps):
-            break
-    return h
-
-
-def betainc(a, b, x, lbeta=None) -> np.ndarray:
-    """Regularised incomplete beta I_x(a, b) for a, b > 0 and 0 <= x <= 1.
-    ``lbeta`` (log B(a, b)) may be passed in when it is reused across calls."""
-    a, b, x = np.broadcast_arrays(np.asarray(a, float), np.asarray(b, float), np.asarray(x, float))
-    lb = _lbeta(a, b) if lbeta is None else np.broadcast_to(np.asarray(lbeta, float), a.shape)
-    out = np.empty_like(x)
-    lo, hi = x <= 0.0, x >= 1.0
-    mid = ~(lo | hi)
-    out[lo], out[hi] = 0.0, 1.0
-    if mid.any():
-        am, bm, xm = a[mid], b[mid], x[mid]
-        front = np.exp(np.log(xm) * am + np.log1p(-xm) * bm - lb[mid])
-        direct = xm < (am + 1.0) / (am + bm + 2.0)
-        res = np.empty_like(xm)
-        if direct.any():
-            res[direct] = front[direct] * _betacf(am[direct], bm[direct], xm[direct]) / am[direct]
-        if (~direct).any():
-            r = ~direct
-            res[r] = 1.0 - front[r] * _betacf(bm[r], am[r], 1.0 - xm[r]) / bm[r]
-        out[mid] = res
+    for m in range(1, LOOP_LIMIT):
+        for aa in (m * (b - m) * x / ((a + 2 * m - 1.0) * (a + 2 * m)),
+                   -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1.0))):
+            d = 1.0 + aa * d
+            d = 1.0 / np.where(np.abs(d) < tiny, tiny, d)
+            c = 1.0 + aa / c
+            c = np.where(np.abs(c) < tiny, tiny, c)
+            delta = d * c
+            h = h * delta
+        done = np.abs(delta - 1.0) < CF_EPS
+        if done.any():
+            out[idx[done]] = h[done]
+            keep = ~done
+            if not keep.any():
+                break
+            idx, a, b, x, c, d, h = (v[keep] for v in (idx, a, b, x, c, d, h))
     return out
 
 
-def beta_ppf(p, a, b, iters: int = 60, tol: float = 1e-15) -> np.ndarray:
-    """Inverse of I_x(a, b) in x: Newton steps on the beta density, kept inside a
-    shrinking bisection bracket (I is increasing in x), so it always converges."""
-    p, a, b = np.broadcast_arrays(np.asarray(p, float), np.asarray(a, float), np.asarray(b, float))
-    lb = _lbeta(a, b)
-    lo, hi = np.zeros_like(p), np.ones_like(p)
-    # Start at the mean of the beta distribution.
-    x = a / (a + b)
-    active = np.ones(p.shape, dtype=bool)
-    for _ in range(iters):
-        if not active.any():
-            break
-        xa = x[active]
-        f = betainc(a[active], b[active], xa, lb[active]) - p[active]
-        below = f < 0
-        lo[active] = np.where(below, xa, lo[active])
-        hi[active] = np.where(below, hi[active], xa)
-        with np.errstate(divide="ignore", over="ignore", invalid="ignore"):
-            logpdf = (a[active] - 1.0) * np.log(xa) + (b[active] - 1.0) * np.log1p(-xa) - lb[active]
-            step = f / np.exp(logpdf)
-            xn = xa - step
-        bad = ~np.isfinite(xn) | (xn <= lo[active]) | (xn >= hi[active])
-        xn = np.where(bad, 0.5 * (lo[active] + hi[active]), xn)
-        done = (np.abs(xn - xa) <= tol * np.maximum(xn, 1e-300)) | (hi[active] - lo[active] <= tol)
-        x[active] = xn
-        idx = np.flatnonzero(active)
-        active[idx[done]] = False
-    return x
+def _tail(a, b, x, upper) -> np.ndarray:
+    """Integral of the Beta(a, b) density from x outwards: above x where ``upper``, else below."""
+    sd = np.sqrt(a * b / ((a + b) ** 2 * (a + b + 1)))
+    sign = np.where(upper, 1.0, -1.0)
+    total = np.zeros_like(x)
+    for k in range(PANELS):
+        lo = np.clip(x + sign * k * sd, 0.0, 1.0)
+        hi = np.clip(x + sign * (k + 1) * sd, 0.0, 1.0)
+        half = (hi - lo) / 2
+        t = (lo + hi)[:, None] / 2 + half[:, None] * _GL_X
+        t = np.clip(t, 1e-300, 1 - 1e-16)
+        total += np.abs(half) * (np.exp(beta_log_density(a[:, None], b[:, None], t)) @ _GL_W)
+    return total
+
+
+def beta_tails(a, b, x) -> tuple[np.ndarray, np.ndarray]:
+    """(I_x(a, b), 1 - I_x(a, b)) for a, b > 0 and 0 <= x <= 1; the smaller of the two is computed, not subtracted."""
+    a, b, x = (np.array(v, dtype=float) for v in np.broadcast_arrays(np.asarray(a, float), np.asarray(b, float), np.asarray(x, float)))
+    low, high = np.where(x <= 0, 0.0, 1.0), np.where(x <= 0, 1.0, 0.0)
+    shape = x.shape
+    a, b, x, low, high = (v.reshape(-1) for v in (a, b, x, low, high))
+    mid = (x > 0) & (x < 1)
+    upper = x > a / (a + b)
+    wide = mid & (np.minimum(a, b) >= QUADRATURE_FROM)
+    slim = mid & ~wide
+    part = np.zeros_like(x)
+    if wide.any():
+        part[wide] = _tail(a[wide], b[wide], x[wide], upper[wide])
+    if slim.any():
+        s, u = slim, upper[slim]
+        p, q, z = np.where(u, b[s], a[s]), np.where(u, a[s], b[s]), np.where(u, 1 - x[s], x[s])
+        front = np.exp(beta_log_density(a[s], b[s], x[s])) * x[s] * (1 - x[s])
+        part[s] = front * _continued_fraction(p, q, z) / p
+    low[mid] = np.where(upper, 1 - part, part)[mid]
+    high[mid] = np.where(upper, part, 1 - part)[mid]
+    return low.reshape(shape), high.reshape(shape)
+
+
+def betainc(a, b, x) -> np.ndarray:
+    """Regularised incomplete beta I_x(a, b)."""
+    return beta_tails(a, b, x)[0]
+
+
+def beta_ppf(p, a, b) -> np.ndarray:
+    """Inverse of I_x(a, b) in x: Newton steps on the density inside a shrinking bracket.
+
+    Stops when a step no longer moves x; NaN where LOOP_LIMIT steps did not get there (the bracket at least
+    halves whenever Newton leaves it, so this does not happen for finite parameters).
+    """
+    p, a, b = (np.array(v, dtype=float).reshape(-1) for v in np.broadcast_arrays(np.asarray(p, float), np.asarray(a, float), np.asarray(b, float)))
+    lo, hi, x = np.zeros_like(p), np.ones_like(p), a / (a + b)
+    out, idx = np.full(p.shape, np.nan), np.arange(p.size)
+    for _ in range(1200):
+        low, high = beta_tails(a, b, x)
+        f = np.where(p < 0.5, low - p, (1 - p) - high)
+        lo, hi = np.where(f < 0, x, lo), np.where(f < 0, hi, x)
+        with np.errstate(all="ignore"):
+            step = f * np.exp(-beta_log_density(a, b, x))
+            new = x - step
+        outside = ~np.isfinite(new) | (new <= lo) | (new >= hi)
+        new = np.where(outside, 0.5 * (lo + hi), new)
+        done = (np.abs(new - x) <= 1e-15 * x) | (hi - lo <= 1e-15 * x) | ~np.isfinite(f)
+        x = new
+        if done.any():
+            out[idx[done]] = np.where(np.isfinite(f[done]), x[done], np.nan)
+            keep = ~done
+            if not keep.any():
+                break
+            idx, p, a, b, lo, hi, x = (v[keep] for v in (idx, p, a, b, lo, hi, x))
+    return out
 
 
 def clopper_pearson(k, n, alpha: float = DEFAULT_ALPHA):
