@@ -104,9 +104,12 @@ def test_schema_evolution_reads_false(spark):
 def test_decode_charsets(spark):
     body = "日本語テキスト".encode("shift_jis")
     df = spark.createDataFrame([(bytearray(body), None), (bytearray("é".encode("utf-8")), "utf-8"),
-                                (bytearray(b"\xff\xfe"), "utf-8")], "body binary, charset string")
+                                (bytearray(b"\xff\xfe"), "utf-8"), (bytearray(body), "no-such-charset"), (bytearray(b"\x81"), None),
+                                (None, "utf-8"), (bytearray("é".encode("latin-1")), "ISO-8859-1")], "body binary, charset string")
     got = [r.t for r in df.select(H.decode(F.col("body"), F.col("charset")).alias("t")).collect()]
     assert got[0] == "日本語テキスト" and got[1] == "é" and "�" in got[2]
+    assert got[3] == "日本語テキスト"  # an unknown charset falls back on the default
+    assert got[4] == "�" and got[5] is None and got[6] == "é"
 
 
 def test_append_terms_unique(spark):

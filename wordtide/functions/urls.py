@@ -37,26 +37,37 @@ def is_valid_url(url: Column) -> Column:
     return F.coalesce(url.rlike(VALID_URL_RE), F.lit(False))
 
 
-def _build_url_one(base: Optional[str], path: Optional[str]) -> Optional[str]:
-    if base is None or path is None:
-        return None
-    out = urljoin(base, path)
-    if not path and not out.endswith("/"):
-        out += "/"
-    return out
+def _join_url(base: Optional[str], path: Optional[str]) -> Optional[str]:
+    return None if base is None or path is None else urljoin(base, path)
 
 
 @F.pandas_udf(T.StringType())
-def _build_url_udf(base: pd.Series, path: pd.Series) -> pd.Series:
-    return pd.Series([_build_url_one(b, p) for b, p in zip(base, path)], dtype=object)
+def _join_url_udf(base: pd.Series, path: pd.Series) -> pd.Series:
+    return pd.Series([_join_url(b, p) for b, p in zip(base, path)], dtype=object)
 
 
 def build_url(base: Column, path: Column) -> Column:
-    """Resolve ``path`` against ``base`` with RFC 3986 rules (``urljoin``); an
-    empty path ends with '/'.  Arrow UDF: Spark has no URL-join builtin."""
-    return _build_url_udf(base, path)
-
-
-def root_relative_url(base: Column, path: Column) -> Column:
-    """S18 JVM fast path for a root-relative path without dot segments."""
-    return F.concat(F.regexp_extract(base, ORIGIN_RE, 1), path)
+    """Resolve ``path`` against ``base`` with RFC 3986 rules; an empty path ends with '/'.
+
+    Ordinary cases are JVM expressions: an empty path, an absolute http URL, ``//host``, ``/root``, ``?query``,
+    ``#fragment`` and ``relative`` paths without dot segments against an http base. Dot segments, other schemes and
+    parameters go to the Arrow UDF, which sees NULLs for all other rows.
+    """
+    http = base.rlike(r"^https?://[^/?#]+")
+    origin = F.regexp_extract(base, ORIGIN_RE, 1)
+    no_fragment = F.regexp_extract(base, r"^([^#]*)", 1)
+    no_query = F.regexp_extract(base, r"^([^?#]*)", 1)
+    folder = F.regexp_extract(url_path(base), r"^(.*/)", 1)
+    folder = F.when(folder == "", F.lit("/")).otherwise(folder)
+    dots = (path.rlike(r"(^|/)\.{1,2}([/?#]|$)") | url_path(base).rlike(r"(^|/)\.{1,2}(/|$)") | path.contains(";") | base.contains(";")
+            | path.rlike(r"//") | path.rlike(r"[?#]$") | base.rlike(r"[?#]$") | path.rlike(r"^[/?#].*[\x00-\x20]|[\x00-\x20]") | url_path(base).rlike(r"//"))
+    relative = path.rlike(r"^[^/?#:]+([/?#].*)?$")
+    plain = http & ~dots & ((path == "") | path.startswith("/") | path.startswith("?") | path.startswith("#") | relative)
+    joined = (F.when(path == "", base)
+              .when(path.startswith("/"), F.concat(origin, path))
+              .when(path.startswith("?"), F.concat(no_query, path))
+              .when(path.startswith("#"), F.concat(no_fragment, path))
+              .otherwise(F.concat(origin, folder, path)))
+    rest = _join_url_udf(F.when(~plain, base), F.when(~plain, path))
+    out = F.when(plain, joined).otherwise(rest)
+    return F.when((path == "") & ~out.endswith("/"), F.concat(out, F.lit("/"))).otherwise(out)

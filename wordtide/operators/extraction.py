@@ -13,7 +13,6 @@ from typing import Optional, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordtide.functions.dates import day_prefix
 from wordtide.sources import html as H
 
 # --- fixed values (the reference's board conventions) ------------------------
@@ -23,12 +22,13 @@ EXCLUDED_THREAD_TITLES = [
     "★ 5ちゃんねるから新しいお知らせです",
 ]
 # Title decoration: leading "<n>:  " and trailing " (<n>)".
-TITLE_PREFIX_RE = r"^\d+:\s*"
-TITLE_SUFFIX_RE = r"\s*\(\d+\)$"
+# Digits and white space are Unicode's, as in U+FF11 and U+3000, plus the separators U+001C..U+001F.
+TITLE_PREFIX_RE = r"(?U)^\d+:[\s\x{1c}-\x{1f}]*"
+TITLE_SUFFIX_RE = r"(?U)[\s\x{1c}-\x{1f}]*\(\d+\)$"
 # Thread path suffix selecting the last posts, e.g. /l50.
-PATH_LIMIT_SUFFIX_RE = r"/l\d+/?$"
-# Posts per thread page requested by the daily job.
-DEFAULT_MAX_POSTS = 300
+PATH_LIMIT_SUFFIX_RE = r"(?U)/l\d+/?$"
+# Posts per thread page that the crawl's own schedule asks for; the operators keep all unless told.
+JOB_MAX_POSTS = 300
 # -----------------------------------------------------------------------------
 
 CRAWL = ["board_key", "target_date"]
@@ -75,9 +75,9 @@ def parse_thread_pages(thread_pages: DataFrame, html_col: str = "html", keys: Se
     return p.where((F.col("date_text") != "") & (F.col("content") != ""))
 
 
-def latest_posts(posts: DataFrame, n: Optional[int] = DEFAULT_MAX_POSTS,
+def latest_posts(posts: DataFrame, n: Optional[int] = None,
                  thread_keys: Sequence[str] = ("thread_path",), tie_break: Sequence[Column] = ()) -> DataFrame:
-    """At most ``n`` newest posts (highest post_no) per thread.  The filter on
+    """At most ``n`` newest posts (highest post_no) per thread, all when ``n`` is None.  The filter on
     ``row_number`` lets Spark cut each group to ``n`` before the shuffle.
     ``tie_break`` orders posts sharing a number (deterministic results)."""
     if not n:
@@ -86,30 +86,38 @@ def latest_posts(posts: DataFrame, n: Optional[int] = DEFAULT_MAX_POSTS,
     return posts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def post_day(date_text: Column) -> Column:
+    """The day a post's display text begins with, NULL when it has no ``yyyy/MM/dd(``."""
+    return F.try_to_date(F.regexp_extract(date_text, r"^(\d{4}/\d{2}/\d{2})\(", 1), "yyyy/MM/dd")
+
+
 def collect_target_posts(listing: DataFrame, posts: DataFrame, join_keys: Sequence[str] = ("thread_path",)) -> DataFrame:
     """S10-S12 + S15 for many crawls at once.
 
     ``listing``: (board_key, target_date, position, thread_path, page_ok) — the
     threads of each crawl in board order; ``page_ok`` false means the page could
     not be fetched (S12: skipped, does not stop the scan).
-    ``posts``: (thread_path, post_no, date_text, content) of the fetched pages.
+    ``posts``: (join_keys..., post_no, date_text, content) of the fetched pages.
 
     Returns the posts of each crawl's target day, from the threads before the
     first fetched thread with neither target-day nor next-day posts (S11).
+
+    A crawl meets only the days it asks about: whether a thread is active is a join on (thread, day) with the
+    threads' distinct days, and the posts kept are an equi-join on (thread, day). No crawl sees a thread's other posts.
     """
-    tgt = day_prefix(F.col("target_date"))
-    nxt = day_prefix(F.date_add("target_date", 1))
     keys = list(join_keys)
     thread = [k for k in keys if k not in CRAWL]
-    lp = listing.join(posts, keys, "left")
-    flagged = lp.withColumn("_is_target", F.coalesce(F.col("date_text").startswith(tgt), F.lit(False)))
-    flagged = flagged.withColumn("_is_next", F.coalesce(F.col("date_text").startswith(nxt), F.lit(False)))
-    per_thread = (flagged.groupBy(*CRAWL, "position", *thread, "page_ok")
-                  .agg(F.bool_or(F.col("_is_target") | F.col("_is_next")).alias("_active")))
+    dated = posts.withColumn("_day", post_day(F.col("date_text"))).where(F.col("_day").isNotNull())
+    days = dated.select(*keys, "_day").distinct().withColumn("_seen", F.lit(True))
+    asked = listing.select(*CRAWL, "position", *thread, "page_ok",
+                           F.explode(F.array("target_date", F.date_add("target_date", 1))).alias("_day"))
+    per_thread = (asked.join(days, [*keys, "_day"], "left").groupBy(*CRAWL, "position", *thread, "page_ok")
+                  .agg(F.coalesce(F.bool_or("_seen"), F.lit(False)).alias("_active")))
     cutoff = (per_thread.where(F.col("page_ok") & ~F.col("_active"))
               .groupBy(*CRAWL).agg(F.min("position").alias("_cutoff")))
-    kept = (flagged.where(F.col("_is_target") & F.col("page_ok"))
-            .join(cutoff, CRAWL, "left")
-            .where(F.col("_cutoff").isNull() | (F.col("position") < F.col("_cutoff"))))
+    open_ = (listing.where("page_ok").join(cutoff, CRAWL, "left")
+             .where(F.col("_cutoff").isNull() | (F.col("position") < F.col("_cutoff")))
+             .withColumn("_day", F.col("target_date")).select(*CRAWL, "position", *thread, "_day"))
+    kept = open_.join(dated, [*keys, "_day"])
     return kept.select(F.col("target_date").alias("date"), "board_key", *thread, "post_no", "date_text",
                        "content", "position")

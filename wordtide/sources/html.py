@@ -9,6 +9,7 @@ small element tree below applies the usual implied-end rules (void elements, a
 
 from __future__ import annotations
 
+import codecs
 import re
 from html.parser import HTMLParser
 from typing import Optional
@@ -159,15 +160,16 @@ def board_links(html: Optional[str], container_tag: str = BOARD_CONTAINER_TAG,
 
 def thread_posts(html: Optional[str], post_tag: str = POST_TAG, post_class: Optional[str] = POST_CLASS,
                  date_tag: str = DATE_TAG, date_class: Optional[str] = DATE_CLASS,
-                 content_tag: str = CONTENT_TAG, content_class: Optional[str] = CONTENT_CLASS) -> list[dict]:
+                 content_tag: Optional[str] = CONTENT_TAG, content_class: Optional[str] = CONTENT_CLASS) -> list[dict]:
     """(date_text, content) per post element; content is the stripped text
-    nodes joined by newlines.  Posts lacking either are kept here, S9 drops them."""
+    nodes joined by newlines, of the first content element or, with ``content_tag`` None,
+    of the whole post.  Posts lacking either are kept here, S9 drops them."""
     out = []
     for el in parse(html).iter():
         if el.tag != post_tag or not _class_is(el, post_class):
             continue
         d = _first(el, date_tag, date_class)
-        c = _first(el, content_tag, content_class)
+        c = _first(el, content_tag, content_class) if content_tag else el
         out.append({"date_text": d.text() if d is not None else "",
                     "content": c.text("\n") if c is not None else ""})
     return out
@@ -191,7 +193,7 @@ def board_links_udf(container_tag: str = BOARD_CONTAINER_TAG, style_pattern: Opt
 
 def thread_posts_udf(post_tag: str = POST_TAG, post_class: Optional[str] = POST_CLASS,
                      date_tag: str = DATE_TAG, date_class: Optional[str] = DATE_CLASS,
-                     content_tag: str = CONTENT_TAG, content_class: Optional[str] = CONTENT_CLASS):
+                     content_tag: Optional[str] = CONTENT_TAG, content_class: Optional[str] = CONTENT_CLASS):
     @F.pandas_udf(POSTS_TYPE)
     def _posts(s: pd.Series) -> pd.Series:
         return pd.Series([None if h is None else thread_posts(h, post_tag, post_class, date_tag, date_class,
@@ -206,8 +208,15 @@ def html_text(s: pd.Series) -> pd.Series:
     return pd.Series([None if h is None else parse(h).text("\n") for h in s], dtype=object)
 
 
+# Charsets that Spark decodes itself when the bytes are well formed: UTF-8 text that encodes to the same bytes.
+UTF8_NAMES = ["utf-8", "utf8"]
+
+
 def decode_udf(default_charset: str = "shift_jis"):
-    """Bytes -> text with a per-row charset (NULL = default); bad bytes are replaced."""
+    """Bytes -> text with a per-row charset; bad bytes are replaced, never dropped.
+
+    A NULL or unknown charset falls back on the default, so a page with a misspelt charset is still a page.
+    """
 
     @F.pandas_udf(T.StringType())
     def _decode(body: pd.Series, charset: pd.Series) -> pd.Series:
@@ -217,13 +226,18 @@ def decode_udf(default_charset: str = "shift_jis"):
                 out.append(None)
                 continue
             try:
-                out.append(bytes(b).decode(cs or default_charset, "replace"))
+                codecs.lookup(cs or default_charset)
             except LookupError:
-                out.append(None)
+                cs = None
+            out.append(bytes(b).decode(cs or default_charset, "replace"))
         return pd.Series(out, dtype=object)
 
     return _decode
 
 
 def decode(body: Column, charset: Optional[Column] = None, default_charset: str = "shift_jis") -> Column:
-    return decode_udf(default_charset)(body, charset if charset is not None else F.lit(None).cast("string"))
+    """S2. Well-formed UTF-8 bodies are decoded in the JVM; only the others reach the Arrow UDF."""
+    cs = charset if charset is not None else F.lit(None).cast("string")
+    plain = F.lower(F.coalesce(cs, F.lit(default_charset))).isin(UTF8_NAMES) & F.is_valid_utf8(body.cast("string"))
+    rest = decode_udf(default_charset)(F.when(~F.coalesce(plain, F.lit(False)), body), cs)
+    return F.when(plain, body.cast("string")).otherwise(rest)
