@@ -120,3 +120,31 @@ def test_top_terms_limit_offset(spark):
     top = daily.top_terms_of_day(res.stats, limit=1, offset=1, tie_col="normalized").collect()
     assert [r.normalized for r in top] == ["bb"]
     assert daily.top_terms_of_day(res.stats, limit=0, offset=5).count() == 2
+
+
+def test_one_pass_over_the_posts_and_no_join_on_tokens(spark):
+    """With all broadcasts off, no exchange is keyed by a token and the counts scan the posts once."""
+    import re
+
+    posts = spark.range(1000).select(F.lit(D).cast("date").alias("date"), F.lit("b").alias("board_key"), F.col("id").cast("string").alias("thread_path"),
+                                     F.lit(1).alias("post_no"), F.concat(F.lit("every post has "), F.col("id")).alias("content"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counts = daily.term_counts(T.tokenize_posts(posts))
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    # (date, board, term) and (date, board, thread, term); date and board are literals here
+    assert len(keys) == 2 and "thread_path" in keys[1] and "Join" not in plan
+    got = {r.term: (r.post_hits, r.thread_hits, r.occurrences) for r in counts.where("term IN ('every', 'post')").collect()}
+    assert got == {"every": (1000, 1000, 1000), "post": (1000, 1000, 1000)}
+
+
+def test_counts_beyond_32_bits(spark):
+    counts = spark.createDataFrame([(D, "b", None, 5_000_000_000, 3, 0), (D, "b", "word", 4_000_000_000, 2, 6_000_000_000), (D, "b", "", 1, 1, 7)],
+                                   "date string, board_key string, term string, post_hits long, thread_hits long, occurrences long")
+    terms = spark.createDataFrame([(1, "word", False)], "term_id long, normalized string, is_blocked boolean")
+    m = daily.daily_metrics(counts.select("date", "board_key").distinct(), daily.day_metrics(counts, terms)).collect()[0]
+    assert (m.fetched_posts, m.total_tokens, m.filtered_tokens) == (5_000_000_000, 6_000_000_007, 7)
+    assert daily.term_stats(counts, terms).collect()[0].post_hits == 4_000_000_000

@@ -1,8 +1,8 @@
 """Text column functions: tokenising (T1), term normalisation.
 
-Everything except NFKC runs as built-in (JVM, codegen) expressions. NFKC has no
-Spark SQL builtin, so it is an Arrow-batched pandas UDF meant for *distinct*
-surfaces only (see ``operators.terms.normalize_surfaces``).
+Everything except NFKC runs as built-in (JVM) expressions. NFKC has no Spark SQL
+builtin; it is an Arrow-batched pandas UDF that sees token arrays with a non-ASCII
+token, or *distinct* surfaces (``operators.terms.normalize_surfaces``).
 """
 
 from __future__ import annotations
@@ -71,10 +71,14 @@ def _nfkc_one(x: Optional[str]) -> Optional[str]:
 
 
 @F.pandas_udf(T.StringType())
-def nfkc(s: pd.Series) -> pd.Series:
+def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(_nfkc_one)
 
 
+# Not for Catalyst to push below a distinct or a join into more rows.
+nfkc = _nfkc.asNondeterministic()
+
+
 def normalize_after_nfkc(c: Column) -> Column:
     """T3 minus NFKC, then T4: lower → delete symbols and long marks →
     collapse whitespace → trim → '' when at most one code point remains."""
@@ -85,18 +89,16 @@ def normalize_after_nfkc(c: Column) -> Column:
     return F.when(c.isNull(), F.lit("")).when(F.length(x) <= MAX_FILTERED_LENGTH, F.lit("")).otherwise(x)
 
 
-def is_ascii(c: Column) -> Column:
-    """ASCII text is NFKC-stable, so it can skip the Python UDF."""
-    return ~c.rlike(r"[^\x{00}-\x{7f}]")
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def nfkc_tokens(s: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None else [_nfkc_one(t) for t in x] for x in s], dtype=object)
 
 
-def normalize_term_py(term: Optional[str]) -> str:
-    """Scalar Python version of T3/T4 for goldens and small fixtures."""
-    import re
+def normalize_tokens(tokens: Column) -> Column:
+    """T3/T4 for every element of a token array; NULL stays NULL.
 
-    if not term:
-        return ""
-    x = unicodedata.normalize("NFKC", term).lower()
-    x = x.translate({ord(ch): None for ch in DELETED_SYMBOLS + DELETED_LONG_MARKS})
-    x = re.sub(r"\s+", " ", x).strip()
-    return "" if len(x) <= MAX_FILTERED_LENGTH else x
+    Only arrays with a non-ASCII token are sent to the Arrow UDF; the rest stays in the JVM.
+    """
+    wide = F.array_join(tokens, " ").rlike(r"[^\x{00}-\x{7f}]")
+    nf = F.when(wide, nfkc_tokens(F.when(wide, tokens))).otherwise(tokens)
+    return F.transform(nf, normalize_after_nfkc)

@@ -1,15 +1,16 @@
 """Daily aggregation (A1-A12): posts -> daily term stats and per-run metrics.
 
-Shuffle plan for the hits (A2/A3), all keyed so that a hot term, thread or a large
-group of identical posts is pre-aggregated map-side before any exchange:
+One pass over the posts makes the counts of every (date, board, term):
 
-  1. (date, board, thread, post_key, term, surface) -> copies   (identical posts)
-  2. (date, board, thread, post_key, term)          -> copies   (once per post)
-  3. (date, board, thread, term)                    -> sum      (posts in thread)
-  4. (date, board, term)                            -> sum, count = post_hits, thread_hits
+  1. tokens are normalised inside their array, so no token row is joined to a vocabulary;
+  2. each post yields its distinct terms (for hits) and all its tokens (for occurrences);
+  3. (date, board, thread, term) -> posts, occurrences        (partial aggregation map-side)
+  4. (date, board, term)         -> post_hits, thread_hits, occurrences
 
-Token counters (A4) come from (date, board, surface) counts, which partial
-aggregation collapses to one row per distinct surface per task.
+The term NULL stands for the posts themselves: its post_hits are the posts, its thread_hits the threads
+and its occurrences the tokenizer failures (A1). The term '' collects the tokens that normalise to nothing.
+The dictionary is joined at the (date, board, term) grain, where a word has one row per day and board however
+often it occurs, and the metrics (A4) are sums over the same table.
 """
 
 from __future__ import annotations
@@ -19,56 +20,87 @@ from typing import Callable, Optional
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wordtide.functions.text import nfkc, normalize_after_nfkc, normalize_tokens
 from wordtide.operators import terms as T
 
 DAY = ["date", "board_key"]
+# Copies of the noun list, so a frequent surface is spread over as many join keys.
+LEXICON_SALT = 32
 
 
-def post_metrics(tok: DataFrame) -> DataFrame:
-    """A1/A4 post side: threads, posts, parsed posts, tokenizer failures."""
-    return tok.groupBy(*DAY).agg(
-        F.count_distinct("thread_path").alias("fetched_threads"),
-        F.count(F.lit(1)).alias("fetched_posts"),
-        F.count(F.lit(1)).alias("parsed_posts"),
-        F.count_if(F.col("tokens").isNull()).alias("tokenize_fail_posts"),
-    )
-
-
-def surface_counts(tok: DataFrame) -> DataFrame:
-    """Occurrences per (date, board, surface)."""
-    return (tok.select(*DAY, F.explode("tokens").alias("surface"))
-            .groupBy(*DAY, "surface").agg(F.count(F.lit(1)).alias("n")))
+def _entries(items: Column, failed: Column, name: str) -> Column:
+    """Distinct items as hits, all items as occurrences, and one NULL entry for the post itself."""
+    def entry(value, hit, occ):
+        return F.struct(value.alias(name), F.lit(hit).cast("long").alias("hit"), occ.cast("long").alias("occ"))
 
+    none = F.array().cast(f"array<struct<{name}: string, hit: bigint, occ: bigint>>")
+    return F.concat(
+        F.array(entry(F.lit(None).cast("string"), 1, F.when(failed, 1).otherwise(0))),
+        F.coalesce(F.transform(F.array_distinct(items), lambda t: entry(t, 1, F.lit(0))), none),
+        F.coalesce(F.transform(items, lambda t: entry(t, 0, F.lit(1))), none))
 
-def post_surfaces(tok: DataFrame) -> DataFrame:
-    """Distinct surfaces of each post row."""
-    return tok.select(*DAY, "thread_path", "post_key",
-                      F.explode(F.array_distinct("tokens")).alias("surface"))
 
+def _by_day(per_thread: DataFrame) -> DataFrame:
+    return per_thread.groupBy(*DAY, "term").agg(
+        F.sum("hit").alias("post_hits"), F.count_if(F.col("hit") > 0).alias("thread_hits"), F.sum("occ").alias("occurrences"))
 
-def term_hits(psurf: DataFrame, mapped: DataFrame) -> DataFrame:
-    """A2/A3: post_hits (posts holding the term, repeats in a post count once,
-    identical copies count separately) and thread_hits per (date, board, term)."""
-    m = mapped.where("valid").select("surface", "term_id", "normalized")
-    occ = psurf.join(m, "surface")
-    per_copy = (occ.groupBy(*DAY, "thread_path", "post_key", "term_id", "normalized", "surface")
-                .agg(F.count(F.lit(1)).alias("copies")))
-    per_post = (per_copy.groupBy(*DAY, "thread_path", "post_key", "term_id", "normalized")
-                .agg(F.max("copies").alias("copies")))
-    per_thread = (per_post.groupBy(*DAY, "thread_path", "term_id", "normalized")
-                  .agg(F.sum("copies").alias("ph")))
-    return (per_thread.groupBy(*DAY, "term_id", "normalized")
-            .agg(F.sum("ph").cast("int").alias("post_hits"),
-                 F.count(F.lit(1)).cast("int").alias("thread_hits")))
 
+def term_counts(tok: DataFrame, lexicon: Optional[DataFrame] = None) -> DataFrame:
+    """(date, board_key, term, post_hits, thread_hits, occurrences); see the module text for the terms NULL and ''.
 
-def token_metrics(scounts: DataFrame, mapped: DataFrame) -> DataFrame:
-    """A4 token side: total_tokens (occurrences kept by T2) and filtered_tokens
-    (empty after normalisation, or blocked)."""
-    m = mapped.where("keep").select("surface", "filtered")
-    return (scounts.join(m, "surface")
-            .groupBy(*DAY).agg(F.sum("n").alias("total_tokens"),
-                               F.sum(F.when(F.col("filtered"), F.col("n")).otherwise(0)).alias("filtered_tokens")))
+    A post counts once for a term however often it holds it; identical posts count separately (A2/A3).
+    With a lexicon (T2) only surfaces tagged as nouns are tokens.
+    """
+    if lexicon is not None:
+        return _lexicon_counts(tok, lexicon)
+    # normalised once, before the array is used twice
+    rows = tok.select(*DAY, "thread_path", normalize_tokens(F.col("tokens")).alias("terms"), F.col("tokens").isNull().alias("_failed"))
+    rows = rows.select(*DAY, "thread_path", F.inline(_entries(F.filter("terms", lambda t: t.isNotNull()), F.col("_failed"), "term")))
+    return _by_day(rows.groupBy(*DAY, "thread_path", "term").agg(F.sum("hit").alias("hit"), F.sum("occ").alias("occ")))
+
+
+def _lexicon_counts(tok: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """``term_counts`` where surfaces are joined to a noun list: posts are reduced to (post, surface) first, and the
+    list is salted, so a surface that most posts hold is spread over ``LEXICON_SALT`` keys."""
+    post = [*DAY, "thread_path", "post_key"]
+    rows = tok.select(*post, F.inline(_entries(F.filter("tokens", lambda t: t != ""), F.col("tokens").isNull(), "surface")))
+    rows = rows.groupBy(*post, "surface").agg(F.sum("hit").alias("hit"), F.sum("occ").alias("occ"))
+    salt = F.pmod(F.xxhash64("thread_path", "post_key"), F.lit(LEXICON_SALT))
+    nouns = T.nouns(lexicon).withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(LEXICON_SALT - 1).cast("long"))))
+    words = rows.where("surface IS NOT NULL").withColumn("_salt", salt).join(nouns, ["surface", "_salt"])
+    words = words.withColumn("term", normalize_after_nfkc(nfkc(F.col("surface"))))
+    # two spellings of a term in one post count once; identical posts share the key and have the same spellings
+    words = words.groupBy(*post, "term").agg(F.max("hit").alias("hit"), F.sum("occ").alias("occ"))
+    posts = rows.where("surface IS NULL").select(*post, F.lit(None).cast("string").alias("term"), "hit", "occ")
+    both = words.unionByName(posts)
+    return _by_day(both.groupBy(*DAY, "thread_path", "term").agg(F.sum("hit").alias("hit"), F.sum("occ").alias("occ")))
+
+
+def is_term() -> Column:
+    return F.col("term").isNotNull() & (F.col("term") != "")
+
+
+def term_stats(counts: DataFrame, terms: DataFrame) -> DataFrame:
+    """A2/A3: (date, board_key, term_id, normalized, post_hits, thread_hits) of the terms that are not blocked."""
+    t = terms.where(~F.coalesce("is_blocked", F.lit(False))).select("normalized", "term_id")
+    return counts.where(is_term()).withColumnRenamed("term", "normalized").join(t, "normalized").select(
+        *DAY, "term_id", "normalized", "post_hits", "thread_hits")
+
+
+def day_metrics(counts: DataFrame, terms: DataFrame) -> DataFrame:
+    """A1 and A4 per (date, board): threads, posts, failures, tokens, filtered tokens (empty or blocked)."""
+    blocked = terms.where("is_blocked").select(F.col("normalized").alias("term"), F.lit(True).alias("_blocked"))
+    c = counts.join(blocked, "term", "left")
+    post, token = F.col("term").isNull(), F.col("term").isNotNull()
+
+    def total(cond, col):
+        return F.coalesce(F.sum(F.when(cond, F.col(col))), F.lit(0).cast("long"))
+
+    return c.groupBy(*DAY).agg(
+        total(post, "thread_hits").alias("fetched_threads"), total(post, "post_hits").alias("fetched_posts"),
+        total(post, "post_hits").alias("parsed_posts"), total(post, "occurrences").alias("tokenize_fail_posts"),
+        total(token, "occurrences").alias("total_tokens"),
+        total(token & ((F.col("term") == "") | F.col("_blocked")), "occurrences").alias("filtered_tokens"))
 
 
 def filtered_rate(filtered: Column, total: Column) -> Column:
@@ -82,7 +114,7 @@ def duration_sec(start: Column, end: Column) -> Column:
     return F.coalesce(F.floor(micros / 1_000_000).cast("int"), F.lit(0))
 
 
-def daily_metrics(targets: DataFrame, pm: DataFrame, tm: DataFrame) -> DataFrame:
+def daily_metrics(targets: DataFrame, metrics: DataFrame) -> DataFrame:
     """A8 rows: one per target (date, board) even without posts (zeros).
 
     ``targets`` holds (date, board_key[, run_id, started_at, finished_at]).
@@ -91,17 +123,17 @@ def daily_metrics(targets: DataFrame, pm: DataFrame, tm: DataFrame) -> DataFrame
     for c, typ in (("run_id", "string"), ("started_at", "timestamp_ntz"), ("finished_at", "timestamp_ntz")):
         if c not in t.columns:
             t = t.withColumn(c, F.lit(None).cast(typ))
-    j = t.select(*DAY, "run_id", "started_at", "finished_at").join(pm, DAY, "left").join(tm, DAY, "left")
+    j = t.select(*DAY, "run_id", "started_at", "finished_at").join(metrics, DAY, "left")
 
     def z(c):
-        return F.coalesce(F.col(c), F.lit(0)).cast("int")
+        return F.coalesce(F.col(c), F.lit(0)).cast("long")
 
     return j.select(
         *DAY, "run_id",
         z("fetched_threads").alias("fetched_threads"),
         z("fetched_posts").alias("fetched_posts"),
         z("parsed_posts").alias("parsed_posts"),
-        F.lit(0).alias("parse_fail_posts"),
+        F.lit(0).cast("long").alias("parse_fail_posts"),
         z("tokenize_fail_posts").alias("tokenize_fail_posts"),
         z("filtered_tokens").alias("filtered_tokens"),
         z("total_tokens").alias("total_tokens"),
@@ -112,52 +144,44 @@ def daily_metrics(targets: DataFrame, pm: DataFrame, tm: DataFrame) -> DataFrame
 
 
 class DailyResult:
-    """Outputs of one daily job: the updated dictionary, term stats and metrics."""
+    """Outputs of one daily job: the updated dictionary, term stats, metrics and the counts behind them."""
 
-    def __init__(self, terms: DataFrame, stats: DataFrame, metrics: DataFrame, mapped: DataFrame):
+    def __init__(self, terms: DataFrame, stats: DataFrame, metrics: DataFrame, counts: DataFrame):
         self.terms = terms
         self.stats = stats
         self.metrics = metrics
-        self.mapped = mapped
+        self.counts = counts
+
+    def days(self) -> DataFrame:
+        """The (date, board) pairs that have posts."""
+        return self.counts.where("term IS NULL").select(*DAY)
 
 
-def run_daily(posts: DataFrame, terms: DataFrame, targets: Optional[DataFrame] = None,
+def run_daily(posts: DataFrame, terms: DataFrame, targets: Optional[Callable[[DataFrame], DataFrame] | DataFrame] = None,
               lexicon: Optional[DataFrame] = None,
               tokenizer: Optional[Callable[[Column], Column]] = None,
-              prepare_terms: Optional[Callable[[DataFrame], DataFrame]] = None) -> DailyResult:
+              prepare_terms: Optional[Callable[[DataFrame], DataFrame]] = None,
+              materialize: Optional[Callable[[DataFrame, str], DataFrame]] = None) -> DailyResult:
     """T1 -> T3 -> D3 -> D6 -> A2/A3 and A4 for every (date, board) at once.
 
     ``stats`` has (date, board_key, term_id, normalized, post_hits, thread_hits,
     created_at); drop ``normalized`` before writing the declared table.
+    ``targets`` are the (date, board) pairs that get metrics, or a function of the pairs with posts.
     ``prepare_terms`` edits the grown dictionary before it is applied (e.g. blocks).
+    ``materialize(df, name)`` (e.g. ``session.stage``) is applied to the day-grain counts and to the dictionary, so
+    the posts are read once however many results are used.
     """
-    tok = T.tokenize_posts(posts, tokenizer)
-    tgt = targets if targets is not None else posts.select(*DAY).distinct()
-    return run_daily_tokens(tok, terms, tgt, lexicon, prepare_terms)
-
-
-def run_daily_tokens(tok: DataFrame, terms: DataFrame, targets: DataFrame,
-                     lexicon: Optional[DataFrame] = None,
-                     prepare_terms: Optional[Callable[[DataFrame], DataFrame]] = None,
-                     materialize: Optional[Callable[[DataFrame], DataFrame]] = None) -> DailyResult:
-    """The daily job from tokenised posts (date, board_key, thread_path, post_key, tokens).
-
-    ``materialize`` (e.g. a reliable checkpoint) is applied to the vocabulary-sized
-    surface map, which three branches read.
-    """
-    scounts = surface_counts(tok)
-    smap = T.surface_map(scounts.select("surface"), lexicon)
-    if materialize is not None:
-        smap = materialize(smap)
-    new_terms = T.get_or_create_terms(terms, smap.where("keep").select("normalized"))
+    keep = materialize or (lambda df, name: df)
+    counts = keep(term_counts(T.tokenize_posts(posts, tokenizer), lexicon), "term-counts")
+    new_terms = T.get_or_create_terms(terms, counts.where(is_term()).select(F.col("term").alias("normalized")))
     if prepare_terms is not None:
         new_terms = prepare_terms(new_terms)
-    if materialize is not None:
-        new_terms = materialize(new_terms)
-    mapped = T.map_surfaces_to_terms(smap, new_terms)
-    stats = term_hits(post_surfaces(tok), mapped).withColumn("created_at", F.localtimestamp())
-    metrics = daily_metrics(targets, post_metrics(tok), token_metrics(scounts, mapped))
-    return DailyResult(new_terms, stats, metrics, mapped)
+    new_terms = keep(new_terms, "dictionary")
+    stats = term_stats(counts, new_terms).withColumn("created_at", F.localtimestamp())
+    days = counts.where("term IS NULL").select(*DAY)
+    tgt = days if targets is None else targets(days) if callable(targets) else targets
+    metrics = daily_metrics(tgt, day_metrics(counts, new_terms))
+    return DailyResult(new_terms, stats, metrics, counts)
 
 
 def top_terms_of_day(stats: DataFrame, limit: Optional[int] = None, offset: int = 0,

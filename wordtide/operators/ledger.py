@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from wordtide.operators import tables
 
 # --- fixed values ------------------------------------------------------------
-RUN_STATUSES = ["success", "failed", "partial"]
 SUCCESS = "success"
 # -----------------------------------------------------------------------------
 

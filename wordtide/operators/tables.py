@@ -69,14 +69,21 @@ def upsert(existing: DataFrame, updates: DataFrame, keys: Sequence[str], update_
 
 
 def affected_partitions(existing: DataFrame, updates: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
-    """Rows of ``existing`` in partitions touched by ``updates`` (dynamic partition
-    pruning skips the rest of a partitioned table), to upsert and overwrite with
-    ``partitionOverwriteMode=dynamic``."""
-    return existing.join(updates.select(*partition_cols).distinct(), list(partition_cols), "left_semi")
+    """Rows of ``existing`` in partitions touched by ``updates``, to upsert and overwrite with
+    ``partitionOverwriteMode=dynamic``.
+
+    The scan is bounded by the smallest and largest value of each partition column as scalar subqueries, which
+    reach its partition filters however the join is planned; the semi join then takes the exact partitions.
+    """
+    touched = updates.select(*partition_cols).distinct()
+    for c in partition_cols:
+        existing = existing.where(F.col(c).between(touched.select(F.min(c)).scalar(), touched.select(F.max(c)).scalar()))
+    return existing.join(touched, list(partition_cols), "left_semi")
 
 
 # ------------------------------------------------------------------------ I1
 
+# --- fixed values (constraint names and predicates of the stored tables) -------
 CHECKS = {
     "pipeline_runs": [("check_pipeline_runs_status", "status IN ('success', 'failed', 'partial')")],
     "daily_term_stats": [("check_daily_term_stats_post_hits", "post_hits >= 0"),
@@ -96,6 +103,7 @@ CHECKS = {
     ] + [("check_pipeline_metrics_daily_filtered_rate", "filtered_rate >= 0 AND filtered_rate <= 1"),
          ("check_pipeline_metrics_daily_duration_sec", "duration_sec >= 0")],
 }
+# -------------------------------------------------------------------------------
 
 
 def violations(df: DataFrame, table: str) -> Column:

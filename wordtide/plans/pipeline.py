@@ -12,30 +12,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordtide.operators import daily, ledger, terms as T, weekly
+from wordtide.session import stage
 from wordtide.sources import adapters as A
 
 
 def daily_for_posts(spark: SparkSession, posts: DataFrame, lexicon: Optional[DataFrame] = None,
                     blocked_words=tuple(A.BLOCKED_WORDS)) -> daily.DailyResult:
-    """Daily job from an empty dictionary with the stop words blocked before counting."""
+    """Daily job from an empty dictionary with the stop words blocked before counting.
+
+    The counts and the dictionary are staged: one pass over the posts, whatever is asked of the result.
+    """
 
     def prepare(terms: DataFrame) -> DataFrame:
         return T.block_by_text(terms, list(blocked_words), A.BLOCK_REASON) if blocked_words else terms
 
-    runs = A.runs_for_posts(posts)
-    targets = runs.select(F.col("target_date").alias("date"), "board_key", "run_id", "started_at", "finished_at")
-    return daily.run_daily(posts, T.empty_terms(spark), targets=targets, lexicon=lexicon, prepare_terms=prepare)
+    def targets(days: DataFrame) -> DataFrame:
+        return ledger.runs_from_days(days).select(F.col("target_date").alias("date"), "board_key", "run_id", "started_at", "finished_at")
 
+    return daily.run_daily(posts, T.empty_terms(spark), targets=targets, lexicon=lexicon, prepare_terms=prepare, materialize=stage)
 
-def lineitem_daily(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, daily.DailyResult]:
-    posts = A.posts_from_lineitem(spark, sf_dir)
-    return posts, daily_for_posts(spark, posts)
+
+def lineitem_daily(spark: SparkSession, sf_dir: str) -> daily.DailyResult:
+    return daily_for_posts(spark, A.posts_from_lineitem(spark, sf_dir))
+
+
+def runs_of(res: daily.DailyResult) -> DataFrame:
+    """The adapter's ledger of the days that have posts."""
+    return ledger.runs_from_days(res.days())
 
 
-def weekly_rates(posts: DataFrame, res: daily.DailyResult) -> DataFrame:
+def weekly_rates(res: daily.DailyResult) -> DataFrame:
     """W2 + W3 + W5 over every week with a valid day, keyed by term text."""
-    runs = A.runs_for_posts(posts)
-    valid = ledger.valid_days(runs)
+    valid = ledger.valid_days(runs_of(res))
     stats = res.stats.select("date", "board_key", "term_id", "normalized", "post_hits", "thread_hits")
     agg = weekly.weekly_aggregation(stats, valid, term_cols=("term_id", "normalized"))
     totals = weekly.weekly_total_posts(res.metrics, valid)
@@ -44,8 +52,7 @@ def weekly_rates(posts: DataFrame, res: daily.DailyResult) -> DataFrame:
 
 def weekly_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship chain: weekly rates and z-scores for all weeks and boards."""
-    posts, res = lineitem_daily(spark, sf_dir)
-    return weekly.with_zscore(weekly_rates(posts, res))
+    return weekly.with_zscore(weekly_rates(lineitem_daily(spark, sf_dir)))
 
 
 def weekly_with_regression(spark: SparkSession, sf_dir: str) -> DataFrame:

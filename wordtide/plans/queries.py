@@ -3,9 +3,7 @@
 Every query reads the driver tables (whole tables, whole texts) and returns a
 DataFrame whose columns match its oracle SQL in ``ORACLE``: dates as ISO text,
 doubles rounded to 9 decimals, terms by their normalised text (term ids are an
-implementation detail no other engine reproduces).  Queries without an ORACLE
-entry (HTML parsing) get the driver's rows-only check and are covered by
-fixtures in ``tests/``.
+implementation detail no other engine reproduces).
 """
 
 from __future__ import annotations
@@ -19,8 +17,10 @@ from wordtide.functions import dates as Dt
 from wordtide.functions import urls as U
 from wordtide.functions.dates import iso
 from wordtide.operators import daily, extraction as X, ledger, tables, terms as T, weekly
+from wordtide.plans import edge_queries as edge
 from wordtide.plans import oracle as O
 from wordtide.plans import pipeline as P
+from wordtide.session import stage
 from wordtide.sources import adapters as A
 from wordtide.sources import html as H
 
@@ -45,16 +45,15 @@ def _d(c, name=None):
 def flagship_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W2 + W3 + W5 + W7 + W15: per (week, board) the top-10 terms by z-score."""
     t = P.weekly_trends(spark, sf_dir).withColumnRenamed("normalized", "term")
-    t = t.withColumn("_z", F.round("zscore", ROUND))
-    top = weekly.trending(t, TRENDING_LIMIT, order_col="_z", tie_col="term")
+    top = weekly.trending(t, TRENDING_LIMIT, tie_col="term")
     return top.select(_d("week_start_date"), "board_key", "term", "post_hits", "total_posts",
                       _r("appearance_rate"), _r("zscore"), "rank")
 
 
 def w2_weekly_aggregation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W2 + W3 + W4: weekly hits over valid days, totals over valid days and all days."""
-    posts, res = P.lineitem_daily(spark, sf_dir)
-    rates = P.weekly_rates(posts, res)
+    res = P.lineitem_daily(spark, sf_dir)
+    rates = P.weekly_rates(res)
     all_days = weekly.weekly_total_posts(res.metrics).withColumnRenamed("total_posts", "total_posts_all")
     return (rates.join(all_days, weekly.WEEK, "left")
             .select(_d("week_start_date"), "board_key", F.col("normalized").alias("term"), "post_hits",
@@ -80,10 +79,10 @@ def w8_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _latest(spark, sf_dir):
-    r = P.weekly_with_regression(spark, sf_dir)
-    latest = weekly.latest_regressions(r)
-    terms = r.select("term_id", "normalized").distinct()
-    return latest.join(terms, "term_id")
+    """W14 rows with their term text."""
+    res = P.lineitem_daily(spark, sf_dir)
+    r = weekly.with_regression(weekly.with_zscore(P.weekly_rates(res)))
+    return tables.with_term_text(weekly.latest_regressions(r), res.terms)
 
 
 def w14_latest_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,8 +94,8 @@ def w14_latest_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def w17_growth_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per board the 5 terms with the steepest latest slope."""
-    lt = _latest(spark, sf_dir).withColumn("_s", F.round("slope", ROUND)).withColumnRenamed("normalized", "term")
-    top = weekly.growth_ranking(lt, 5, order_col="_s", tie_col="term")
+    lt = _latest(spark, sf_dir).withColumnRenamed("normalized", "term")
+    top = weekly.growth_ranking(lt, 5, tie_col="term")
     return top.select("board_key", "term", _r("slope"), "rank")
 
 
@@ -115,10 +114,9 @@ def w16_w18_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _weekly_job(spark, sf_dir):
-    posts, res = P.lineitem_daily(spark, sf_dir)
-    runs = A.runs_for_posts(posts)
-    weeks = posts.select(Dt.week_start(F.col("date")).alias("week_start_date"), "board_key").distinct()
-    return weekly.run_weekly(weeks, runs, res.stats, res.metrics), res
+    res = P.lineitem_daily(spark, sf_dir)
+    weeks = res.days().select(Dt.week_start(F.col("date")).alias("week_start_date"), "board_key").distinct()
+    return weekly.run_weekly(weeks, P.runs_of(res), res.stats, res.metrics, materialize=stage), res
 
 
 def w21_weekly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +139,7 @@ def w22_weekly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def w6_binomial_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact interval for every distinct (post_hits, total_posts) of the weekly rows."""
-    t = P.weekly_trends(spark, sf_dir).select("post_hits", "total_posts").distinct()
+    t = P.weekly_rates(P.lineitem_daily(spark, sf_dir)).select("post_hits", "total_posts").distinct()
     ci = weekly.with_binomial_ci(t)
     return ci.select("post_hits", "total_posts", _r("appearance_rate_ci_lower"), _r("appearance_rate_ci_upper"))
 
@@ -151,13 +149,13 @@ def w6_binomial_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1-T5 + D3 + D6 + A2/A3: daily post and thread hits for every (date, board, term)."""
-    _, res = P.lineitem_daily(spark, sf_dir)
+    res = P.lineitem_daily(spark, sf_dir)
     return res.stats.select(_d("date"), "board_key", F.col("normalized").alias("term"), "post_hits", "thread_hits")
 
 
 def daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + A4 + A5 + A6 + A8: per-(date, board) run metrics."""
-    _, res = P.lineitem_daily(spark, sf_dir)
+    res = P.lineitem_daily(spark, sf_dir)
     return res.metrics.select(_d("date"), "board_key", "run_id", "fetched_threads",
                               "fetched_posts", "parsed_posts", "parse_fail_posts", "tokenize_fail_posts",
                               "filtered_tokens", "total_tokens", _r("filtered_rate"), "duration_sec")
@@ -165,14 +163,14 @@ def daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def a9_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A9 (limit 3, offset 1) for every (date, board), and A10 for one day."""
-    _, res = P.lineitem_daily(spark, sf_dir)
+    res = P.lineitem_daily(spark, sf_dir)
     top = daily.top_terms_of_day(res.stats, limit=3, offset=1, tie_col="normalized")
     return top.select(_d("date"), "board_key", F.col("normalized").alias("term"), "post_hits", "rank")
 
 
 def a10_metrics_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10: the metrics row of one (date, board)."""
-    _, res = P.lineitem_daily(spark, sf_dir)
+    res = P.lineitem_daily(spark, sf_dir)
     m = daily.metrics_lookup(res.metrics, "1996-03-04", "R")
     return m.select(_d("date"), "board_key", "fetched_posts", "total_tokens", "filtered_tokens")
 
@@ -212,22 +210,13 @@ def t3_document_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def d3_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids are dense 1..n, unique, one per term; D5/D6 blocked count."""
-    _, res = P.lineitem_daily(spark, sf_dir)
+    res = P.lineitem_daily(spark, sf_dir)
     return res.terms.agg(F.count(F.lit(1)).alias("n_terms"), F.min("term_id").alias("min_id"),
                          F.max("term_id").alias("max_id"), F.count_distinct("term_id").alias("n_ids"),
                          F.count_distinct("normalized").alias("n_texts"),
                          F.count_if("is_blocked").alias("n_blocked"))
 
 
-def d5_dictionary_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every dictionary term with its block flag and reason, looked up by id."""
-    _, res = P.lineitem_daily(spark, sf_dir)
-    t = res.terms
-    ids = t.select("term_id")
-    looked = t.join(ids, "term_id", "left_semi")  # D1 by id, set-wise
-    return looked.select("normalized", "is_blocked", "blocked_reason", "needs_review")
-
-
 # ----------------------------------------------------------------- ledger
 
 
@@ -277,18 +266,19 @@ def s3_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s7_page_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S7-S9 with article/h1/p parameters: one post per article, content as text lines."""
+    """S7-S9 with article/h1 parameters: one post per article, its whole text as lines."""
     pages = A.table(spark, sf_dir, "pages")
     posts = X.parse_thread_pages(pages, keys=["page_id"], post_tag="article", post_class=None,
-                                 date_tag="h1", date_class=None, content_tag="p", content_class=None)
+                                 date_tag="h1", date_class=None, content_tag=None)
     return posts.select("page_id", "post_no", "date_text", "content")
 
 
 def s8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S8 column function on whole pages: text lines and their count."""
+    """S8 column function on whole pages: the text's lines, length and hash."""
     pages = A.table(spark, sf_dir, "pages")
     t = pages.select("page_id", H.html_text(F.col("html")).alias("text"))
-    return t.select("page_id", F.size(F.split("text", "\n")).alias("n_lines"), F.length("text").alias("n_chars"))
+    return t.select("page_id", F.size(F.split("text", "\n")).alias("n_lines"), F.length("text").alias("n_chars"),
+                    F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
 def s16_s18_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,20 +297,22 @@ def s16_s18_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s2_page_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 + S2: page bodies as bytes decoded with their declared charset."""
+    """S1 + S2: page bodies as bytes, by turns UTF-8, Shift_JIS, without a charset (Shift_JIS is the default) and with a
+    charset nobody knows. Shift_JIS bodies hold half-width katakana, one byte each, where the page has non-ASCII letters."""
     pages = A.table(spark, sf_dir, "pages")
-    body = pages.select("page_id", F.encode("html", "UTF-8").alias("body"),
-                        F.lower(F.regexp_extract("html", r'<meta charset="([^"]+)"', 1)).alias("charset"))
+    kana_bytes = F.encode(F.regexp_replace("html", r"[^\x{00}-\x{7f}]", "\u00b1"), "ISO-8859-1")  # 0xB1 is U+FF71
+    turn = F.col("page_id") % 4
+    body = pages.select("page_id", F.when(turn == 0, F.encode("html", "UTF-8")).otherwise(kana_bytes).alias("body"),
+                        F.when(turn == 0, "utf-8").when(turn == 1, "shift_jis").when(turn == 3, "x-none").alias("charset"))
     txt = body.select("page_id", H.decode(F.col("body"), F.col("charset")).alias("text"))
-    return txt.select("page_id", F.length("text").alias("n_chars"))
+    return txt.select("page_id", F.length("text").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
 def s11_crawl_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S10-S13 + S15: each (board, day) is a crawl whose board page lists the threads
     active in the past week, newest thread first; the scan stops at the first thread
-    without posts on the day or the next day.  Threads keep their latest 3 posts."""
-    posts = X.latest_posts(A.posts_from_lineitem(spark, sf_dir), 3, thread_keys=("board_key", "thread_path"),
-                           tie_break=(F.desc("date"), F.asc("content")))
+    without posts on the day or the next day."""
+    posts = A.posts_from_lineitem(spark, sf_dir)
     days = posts.select("board_key", "thread_path", "date").distinct()
     listing = (days.select("board_key", "thread_path",
                            F.explode(F.sequence(F.date_sub("date", 1), F.date_add("date", 6))).alias("target_date"))
@@ -339,8 +331,7 @@ def s11_crawl_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s12_crawl_missing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S11 + S12: as ``s11_crawl_cutoff``, but the page of a thread whose order is
     still pending ('P') could not be fetched: it is skipped and does not end the scan."""
-    posts = X.latest_posts(A.posts_from_lineitem(spark, sf_dir), 3, thread_keys=("board_key", "thread_path"),
-                           tie_break=(F.desc("date"), F.asc("content")))
+    posts = A.posts_from_lineitem(spark, sf_dir)
     days = posts.select("board_key", "thread_path", "date").distinct()
     orders = A.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("thread_path"), (F.col("o_orderstatus") != "P").alias("page_ok"))
@@ -377,8 +368,8 @@ def s14_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def u1_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upsert 1997's rows recomputed over all days (W4 totals, z-score NULL) into
     the stored trends: matched keys change, unseen keys are inserted, others stay."""
-    posts, res = P.lineitem_daily(spark, sf_dir)
-    stored = weekly.with_zscore(P.weekly_rates(posts, res))
+    res = P.lineitem_daily(spark, sf_dir)
+    stored = weekly.with_zscore(P.weekly_rates(res))
     agg = weekly.weekly_aggregation(res.stats, term_cols=("term_id", "normalized"))
     upd = weekly.with_rates(agg, weekly.weekly_total_posts(res.metrics))
     upd = upd.where(F.year("week_start_date") == 1997).withColumn("zscore", F.lit(None).cast("double"))
@@ -390,53 +381,30 @@ def u1_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "total_posts", _r("appearance_rate"), _r("zscore"))
 
 
-def i1_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Check-constraint violations per table over daily metrics and weekly rates."""
-    posts, res = P.lineitem_daily(spark, sf_dir)
-    tr = P.weekly_rates(posts, res).withColumn("appearance_rate_ci_lower", F.lit(None).cast("double")) \
-        .withColumn("appearance_rate_ci_upper", F.lit(None).cast("double"))
-    out = []
-    for name, df in (("pipeline_metrics_daily", res.metrics), ("weekly_term_trends", tr),
-                     ("daily_term_stats", res.stats)):
-        v = df.withColumn("_v", tables.violations(df, name))
-        out.append(v.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
-                         F.count_if(F.size("_v") > 0).alias("n_violating")))
-    return out[0].unionByName(out[1]).unionByName(out[2])
-
-
 def i2_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(thread, post number) keys of the structured posts that occur more than once."""
     posts = A.posts_from_lineitem(spark, sf_dir)
     return tables.duplicate_keys(posts, ["thread_path", "post_no"])
 
 
-def i3_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Foreign-key orphans of lineitem -> part and lineitem -> orders."""
-    li = A.table(spark, sf_dir, "lineitem")
-    a = tables.orphans(li, A.table(spark, sf_dir, "part"), "l_partkey", "p_partkey")
-    b = tables.orphans(li, A.table(spark, sf_dir, "orders"), "l_orderkey", "o_orderkey")
-    return (a.agg(F.lit("l_partkey").alias("fk"), F.count(F.lit(1)).alias("n_orphans"))
-            .unionByName(b.agg(F.lit("l_orderkey").alias("fk"), F.count(F.lit(1)).alias("n_orphans"))))
-
-
 def i5_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I4 + I5: 1995 ledger rows written before ``is_recovered`` existed read as false."""
     runs = A.runs_for_posts(A.posts_from_lineitem(spark, sf_dir))
     old = runs.where(F.year("target_date") == 1995).drop("is_recovered")
-    new = runs.where(F.year("target_date") > 1995)
+    new = runs.where(F.year("target_date") != 1995)
     ev = tables.read_runs_evolved(old, new)
     return ev.select("run_id", "status", "is_recovered")
 
 
 def j4_runs_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 + J4: metrics with their run (left join) and stats with their term text."""
-    posts, res = P.lineitem_daily(spark, sf_dir)
-    runs = A.runs_for_posts(posts)
+    res = P.lineitem_daily(spark, sf_dir)
+    runs = P.runs_of(res)
     j = tables.runs_with_metrics(res.metrics, runs)
     return j.select(_d("date"), "board_key", "status", "is_recovered", "fetched_posts")
 
 
-QUERIES: dict[str, Query] = {
+QUERIES: dict[str, Query] = edge.QUERIES | {
     "flagship_trending": flagship_trending,
     "w2_weekly_aggregation": w2_weekly_aggregation,
     "w7_weekly_trends": w7_weekly_trends,
@@ -457,7 +425,6 @@ QUERIES: dict[str, Query] = {
     "t2_lexicon_metrics": t2_lexicon_metrics,
     "t3_document_terms": t3_document_terms,
     "d3_dictionary": d3_dictionary,
-    "d5_dictionary_terms": d5_dictionary_terms,
     "l1_l5_ledger": l1_l5_ledger,
     "l2_l4_lookups": l2_l4_lookups,
     "l6_collection_check": l6_collection_check,
@@ -470,11 +437,9 @@ QUERIES: dict[str, Query] = {
     "s12_crawl_missing_pages": s12_crawl_missing_pages,
     "s14_dates": s14_dates,
     "u1_upsert": u1_upsert,
-    "i1_checks": i1_checks,
     "i2_duplicate_keys": i2_duplicate_keys,
-    "i3_orphans": i3_orphans,
     "i5_schema_evolution": i5_schema_evolution,
     "j4_runs_metrics": j4_runs_metrics,
 }
 
-ORACLE: dict[str, str] = O.build(TRENDING_LIMIT)
+ORACLE: dict[str, str] = O.build(TRENDING_LIMIT) | edge.ORACLE

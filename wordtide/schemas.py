@@ -29,8 +29,8 @@ DAILY_TERM_STATS = T.StructType([
     T.StructField("date", T.DateType(), False),
     T.StructField("board_key", T.StringType(), False),
     T.StructField("term_id", T.LongType(), False),
-    T.StructField("post_hits", T.IntegerType(), False),
-    T.StructField("thread_hits", T.IntegerType(), False),
+    T.StructField("post_hits", T.LongType(), False),
+    T.StructField("thread_hits", T.LongType(), False),
     T.StructField("created_at", T.TimestampNTZType(), True),
 ])
 
@@ -38,8 +38,8 @@ WEEKLY_TERM_TRENDS = T.StructType([
     T.StructField("week_start_date", T.DateType(), False),
     T.StructField("board_key", T.StringType(), False),
     T.StructField("term_id", T.LongType(), False),
-    T.StructField("post_hits", T.IntegerType(), False),
-    T.StructField("total_posts", T.IntegerType(), False),
+    T.StructField("post_hits", T.LongType(), False),
+    T.StructField("total_posts", T.LongType(), False),
     T.StructField("appearance_rate", T.DoubleType(), False),
     T.StructField("appearance_rate_ci_lower", T.DoubleType(), True),
     T.StructField("appearance_rate_ci_upper", T.DoubleType(), True),
@@ -67,13 +67,13 @@ PIPELINE_METRICS_DAILY = T.StructType([
     T.StructField("date", T.DateType(), False),
     T.StructField("board_key", T.StringType(), False),
     T.StructField("run_id", T.StringType(), True),
-    T.StructField("fetched_threads", T.IntegerType(), False),
-    T.StructField("fetched_posts", T.IntegerType(), False),
-    T.StructField("parsed_posts", T.IntegerType(), False),
-    T.StructField("parse_fail_posts", T.IntegerType(), False),
-    T.StructField("tokenize_fail_posts", T.IntegerType(), False),
-    T.StructField("filtered_tokens", T.IntegerType(), False),
-    T.StructField("total_tokens", T.IntegerType(), False),
+    T.StructField("fetched_threads", T.LongType(), False),
+    T.StructField("fetched_posts", T.LongType(), False),
+    T.StructField("parsed_posts", T.LongType(), False),
+    T.StructField("parse_fail_posts", T.LongType(), False),
+    T.StructField("tokenize_fail_posts", T.LongType(), False),
+    T.StructField("filtered_tokens", T.LongType(), False),
+    T.StructField("total_tokens", T.LongType(), False),
     T.StructField("filtered_rate", T.DoubleType(), False),
     T.StructField("duration_sec", T.IntegerType(), False),
     T.StructField("created_at", T.TimestampNTZType(), True),
@@ -92,15 +92,3 @@ LEXICON = T.StructType([
     T.StructField("surface", T.StringType(), False),
     T.StructField("pos", T.StringType(), False),
 ])
-
-# Primary / unique keys.
-KEYS = {
-    "pipeline_runs": ["run_id"],
-    "pipeline_runs_unique": ["target_date", "board_key"],
-    "terms": ["term_id"],
-    "terms_unique": ["normalized"],
-    "daily_term_stats": ["date", "board_key", "term_id"],
-    "weekly_term_trends": ["week_start_date", "board_key", "term_id"],
-    "term_regression_results": ["board_key", "term_id"],
-    "pipeline_metrics_daily": ["date", "board_key"],
-}

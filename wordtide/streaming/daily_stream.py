@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wordtide import schemas
+from wordtide.operators import tables
 from wordtide.plans import jobs
+from wordtide.session import Stages
 
 
 def posts_path(warehouse: str) -> str:
@@ -38,9 +40,11 @@ def process_batch(batch: DataFrame, batch_id: int, warehouse: str, **job_kwargs)
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "date")
      .parquet(posts_path(warehouse)))
     stored = spark.read.parquet(posts_path(warehouse)).drop("batch_id")
-    days = jobs.cut_lineage(days)
-    affected = stored.join(days, ["date", "board_key"], "left_semi")
+    keep = Stages(spark)
+    days = keep(days, "batch-days")
+    affected = tables.affected_partitions(stored, days, ["date"]).join(days, ["date", "board_key"], "left_semi")
     jobs.daily_job(spark, affected, warehouse, **job_kwargs)
+    keep.drop()
 
 
 def start_daily_stream(spark: SparkSession, source_dir: str, warehouse: str, checkpoint_location: str,
