@@ -79,8 +79,39 @@ PATTERNS = [
     ("han_name", r"([一-鿿]{2,4}?)(?:" + "|".join(_HAN_TITLE) + r")"),
 ]
 FINDER = re.compile("|".join(f"(?P<{n}>{p})" for n, p in PATTERNS))
-#: what a text must hold for any pattern to match
-HINT = re.compile(r"[0-9@]|(?i:password|passwd|pwd|secret|token|api_?key)|" + "|".join(map(re.escape, [*_TITLE, *_HAN_TITLE])))
+#: what every match holds: one of these characters or strings
+HINT_CHARS = re.compile(r"[0-9@=:]+")
+HINT_STRINGS = ["AKIA", "ASIA", *_TITLE, *_HAN_TITLE]
+HINT_REACH = 160
+
+
+def hint_windows(text: str) -> list[tuple[int, int]]:
+    """Parts of the text that can hold a match: around each hint, widened to white space, merged."""
+    at = [m.span() for m in HINT_CHARS.finditer(text)]
+    extra = []
+    for h in HINT_STRINGS:
+        i = text.find(h)
+        while i >= 0:
+            extra.append((i, i + len(h)))
+            i = text.find(h, i + 1)
+    if extra:
+        at = sorted(at + extra)
+    out = []
+    for a, b in at:
+        if out and a - HINT_REACH <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b + HINT_REACH)
+        else:
+            out.append([a - HINT_REACH, b + HINT_REACH])
+    spans = []
+    for a, b in out:
+        a = max(text.rfind(" ", 0, a), text.rfind("\n", 0, a), 0) if a > 0 else 0
+        ends = [e for e in (text.find(" ", b), text.find("\n", b)) if e >= 0]
+        b = min(ends) if ends and b < len(text) else len(text)
+        if spans and a <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(b, spans[-1][1]))
+        else:
+            spans.append((a, b))
+    return spans
 
 
 def luhn(digits: str) -> int:
@@ -101,10 +132,12 @@ def script(word: str) -> str:
 
 def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, type, value) of the entities of a text, in order, not overlapping."""
-    if not text or not HINT.search(text):
-        return
-    at = 0
-    while m := FINDER.search(text, at):
+    for begin, end in hint_windows(text or ""):
+        yield from _entities_between(text, begin, end)
+
+
+def _entities_between(text: str, at: int, stop: int) -> Iterator[tuple[int, int, str, str]]:
+    while m := FINDER.search(text, at, stop):
         kind, at = m.lastgroup if m.lastgroup in _KINDS else next(k for k in _KINDS if m.group(k) is not None), m.end()
         raw, start = m.group(kind), m.start(kind)
         if kind == "email":
