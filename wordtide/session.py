@@ -83,7 +83,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it again.
+    """Write ``df`` as Parquet in the shared folder and read it again; deleted when the driver ends.
 
     Cuts lineage, survives lost executors, and gives later plans one narrow scan with a
     known size instead of the chain that made it.
@@ -91,6 +91,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
+    delete_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -111,26 +112,33 @@ class Stages:
             drop_path(self.spark, self.paths.pop())
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) of the Hadoop file system that ``path`` belongs to."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder through the file system it belongs to."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(conf).delete(p, True)
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.deleteOnExit(p)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
 
 
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, sorted; empty when the folder is not there."""
     if not path_exists(spark, path):
         return []
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return sorted(f.getPath().getName() for f in p.getFileSystem(conf).listStatus(p))
+    fs, p = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(p))
 
 
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
