@@ -48,7 +48,11 @@ def test_query_on_table(spark, sf):
     assert got(near_dedup.op8_minhash_near_dedup(spark, sf)) == brute(rows)
 
 
-def test_groups_chains_and_edge_cases(spark):
+@pytest.mark.parametrize("block", [None, 7])
+def test_groups_chains_and_edge_cases(spark, monkeypatch, block):
+    if block:
+        monkeypatch.setattr(near_dedup, "SKETCH_BLOCK", block)
+        monkeypatch.setattr(near_dedup, "SHINGLE_BLOCK", block * 100)
     rng = np.random.default_rng(5)
     word = lambda: "w" + str(rng.integers(10_000))
     rows, base = [], [word() for _ in range(120)]
@@ -95,6 +99,27 @@ def test_pigeonhole_guarantee():
     assert near_dedup.near(a0, a1, ones, b0, b1, ones).all()
 
 
+def test_owned_pairs_and_intersections():
+    """Every pair within the radius is owned by exactly one of the keys that both rows have."""
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 16, near_dedup.SYMBOLS).astype("<u2")
+    sig = np.stack([np.where(rng.random(near_dedup.SYMBOLS) < p, rng.integers(0, 1 << 16, near_dedup.SYMBOLS), base).astype("<u2")
+                    for p in rng.uniform(0, .6, 40)])
+    keys, n, comp = near_dedup.chunk_keys(sig), np.full(40, 9), np.arange(40)
+    owners = {}
+    for key in np.unique(keys):
+        rows = np.flatnonzero((keys == key).any(axis=1))
+        i, j = near_dedup.owned_pairs(int(key), sig[rows], n[rows], comp[rows], sig[rows], n[rows], comp[rows], 75)
+        for a, b in zip(rows[i], rows[j]):
+            owners.setdefault((a, b), []).append(key)
+    want = {(a, b) for a in range(40) for b in range(40) if a != b and (sig[a] != sig[b]).sum() <= near_dedup.RADIUS}
+    assert set(owners) == want and all(len(v) == 1 for v in owners.values())
+    sets = [np.unique(rng.integers(0, 400, 200).astype(np.uint64)) for _ in range(40)]
+    i, j = np.divmod(np.arange(1600), 40)
+    assert near_dedup.intersections(sets, i, j).tolist() == [len(set(sets[a]) & set(sets[b])) for a, b in zip(i, j)]
+    assert near_dedup.intersections(sets, i[:9], j[:9]).tolist() == near_dedup.intersections(sets, i, j)[:9].tolist()
+
+
 def test_buckets_of_any_size_across_batches(spark):
     """Star, small pairs and kept-aside rows together cover every bucket, however batches fall."""
     rng = np.random.default_rng(1)

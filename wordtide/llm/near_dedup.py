@@ -13,9 +13,11 @@ the two low bits of its 64 symbols; these differ in no more places than the symb
 pair above 31 is dropped at once and none within 31 is lost. A bucket of at most ``SMALL``
 rows gives its few pairs. A larger one gives only its star (first row with each other) and
 keeps its rows aside. When the star pairs are confirmed and joined into components, kept-aside
-buckets whose rows lie in one component are finished; the others compare rows of different
-components in blocks of ``BLOCK`` x ``BLOCK``, spread over tasks, so every pair that could still link
-two components is tried. Links inside a component are not needed for its members.
+buckets whose rows lie in one component are finished. In the others every pair of different components
+within the radius is tried. Pairs are never written out: blocks of ``SKETCH_BLOCK`` x ``SKETCH_BLOCK`` signatures
+first name the rows that have a pair to try; their texts are fetched, and blocks of ``SHINGLE_BLOCK`` x
+``SHINGLE_BLOCK`` shingles return only links that join components, fewer than they have rows. A pair is tried in
+one bucket, the first of those that both rows have. Links inside a component are not needed for its members.
 
 Confirmation: pairs are joined with the whole texts of both documents, and a link stands when
 100 * intersection >= 75 * union of the full shingle sets (64-bit shingle hashes).
@@ -46,7 +48,8 @@ CHUNKS, CHUNK_SYMBOLS = 16, 4
 SYMBOLS = CHUNKS * CHUNK_SYMBOLS
 RADIUS = 2 * CHUNKS - 1
 SMALL = 4
-BLOCK = 1024
+SKETCH_BLOCK = 8192
+SHINGLE_BLOCK = 1 << 19
 SEED = 7
 CACHED_WORDS = 1 << 20
 
@@ -167,7 +170,7 @@ def bucket_rows(nodes: DataFrame) -> DataFrame:
 
 def meet(rows: DataFrame, percent: int) -> DataFrame:
     """Stream sorted buckets: candidate pairs (kind 0: a, b) and the rows of large buckets (kind 1: a = key, b = node)."""
-    names = ["key", "node", "s0", "s1", "n"]
+    names, kinds = ["key", "node", "s0", "s1", "n"], ["kind", "a", "b"]
 
     def run(batches):
         carry, leader = None, None  # rows of the unfinished bucket; first row of a large bucket being streamed
@@ -206,18 +209,14 @@ def meet(rows: DataFrame, percent: int) -> DataFrame:
                 pairs.append(np.stack((node[i], node[j]), axis=1))
             pairs = np.unique(np.sort(np.concatenate(pairs), axis=1), axis=0)
             if len(pairs):
-                z = pa.array(np.zeros(len(pairs), np.int64))
-                yield pa.RecordBatch.from_arrays([z, pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), z, z, z], KINDS)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(pairs), np.int64)), pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], kinds)
             k = np.flatnonzero(large)
             if len(k):
-                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(k), np.int64)), *(pa.array(c[k]) for c in cols)], KINDS)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(k), np.int64)), pa.array(key[k]), pa.array(node[k])], kinds)
             leader = [h[-1] for h in head] if large[-1] else None
 
     return rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(
-        run, "kind long, a long, b long, s0 long, s1 long, n long")
-
-
-KINDS = ["kind", "a", "b", "s0", "s1", "n"]
+        run, "kind long, a long, b long")
 
 
 def _with_last(batches):
@@ -278,32 +277,127 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
-def cross_pairs(large: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in the large buckets, compared block by block."""
-    rows = large.select(F.col("a").alias("key"), F.col("b").alias("node"), "s0", "s1", "n")
-    rows = rows.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    rows = stage(rows, "large-buckets")
-    mixed = stage(rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("rows"))
-                  .where("x <> y").select("key", F.ceil(F.col("rows") / BLOCK).alias("blocks")), "mixed-buckets")
-    rows = rows.join(mixed, "key").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")))
+def owned_pairs(key: int, sig_x, n_x, comp_x, sig_y, n_y, comp_y, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (i, j) of two blocks of bucket ``key`` that are to be tried here: of different components, within
+    the radius, and with ``key`` as the first key that both have."""
+    chunk, omitted = key >> 50, key >> 48 & 3
+    x0, x1 = sketches(sig_x)
+    y0, y1 = sketches(sig_y)
+    out = []
+    for a in range(0, len(sig_x), 64):
+        r = slice(a, a + 64)
+        i, j = np.nonzero(near(x0[r, None], x1[r, None], n_x[r, None], y0, y1, n_y, percent) & (comp_x[r, None] != comp_y))
+        i += a
+        for k in range(0, len(i), 1 << 16):
+            u, v = i[k:k + (1 << 16)], j[k:k + (1 << 16)]
+            differ = (sig_x[u] != sig_y[v]).reshape(-1, CHUNKS, CHUNK_SYMBOLS)
+            apart = differ.sum(axis=2)
+            first = (apart <= 1).argmax(axis=1)
+            row = np.arange(len(u))
+            leaves = np.where(apart[row, first] == 0, 0, differ[row, first].argmax(axis=1))
+            own = (apart.sum(axis=1) <= RADIUS) & (first == chunk) & (leaves == omitted)
+            out.append(np.stack((u[own], v[own])))
+    i, j = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+    return i, j
+
+
+def intersections(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets[i] and sets[j]: the members of one set are marked, its partners count marks."""
+    out = np.zeros(len(i), dtype=np.int64)
+    if not len(i):
+        return out
+    size = np.array([len(s) for s in sets])
+    begin = np.cumsum(size) - size
+    _, member = np.unique(np.concatenate(sets), return_inverse=True)
+    mark = np.zeros(member.max() + 1, dtype=bool)
+    order = np.argsort(i, kind="stable")
+    cuts = np.flatnonzero(np.concatenate(([True], np.diff(i[order]) != 0, [True])))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        x = i[order[a]]
+        own = member[begin[x]:begin[x] + size[x]]
+        mark[own] = True
+        for c in range(a, b, 1024):
+            some = order[c:min(b, c + 1024)]
+            y = j[some]
+            first = np.cumsum(size[y]) - size[y]
+            place = np.arange(size[y].sum()) + np.repeat(begin[y] - first, size[y])
+            out[some] = np.add.reduceat(mark[member[place]].astype(np.int64), first)
+        mark[own] = False
+    return out
+
+
+def block_pairs(rows: DataFrame, weight, bound: int) -> DataFrame:
+    """``rows`` of (key, node, ...) dealt to pairs of blocks (i, j), i <= j, of about ``bound`` in ``weight`` each; ``mine`` is
+    the row's own block. A key of one block is not copied."""
+    count = stage(rows.groupBy("key").agg(F.ceil(F.sum(weight) / bound).alias("blocks")), "block-counts")
+    rows = rows.join(count, "key").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "s0", "s1", "n", "comp")
-
-    def compare(t: pa.Table) -> pa.Table:
-        i, j = t["i"][0].as_py(), t["j"][0].as_py()
-        cols = [t[c].to_numpy() for c in ("node", "s0", "s1", "n", "comp")]
-        mine = t["mine"].to_numpy()
-        left, right = [c[mine == i] for c in cols], [c[mine == j] for c in cols]
-        pairs = [np.zeros((0, 2), np.int64)]
-        for k in range(len(left[0])):
-            node, s0, s1, n, comp = (c[k] for c in left)
-            ok = near(s0, s1, n, right[1], right[2], right[3], percent) & (right[4] != comp)
-            other = right[0][ok]
-            pairs.append(np.stack((np.minimum(other, node), np.maximum(other, node)), axis=1))
-        pairs = np.unique(np.concatenate(pairs), axis=0)
-        return pa.table({"a": pairs[:, 0].copy(), "b": pairs[:, 1].copy()})
+    return rows.withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")).drop("blocks", "other")
+
+
+def cross_links(large: DataFrame, label: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between different components that meet in large buckets."""
+    rows = large.select(F.col("a").alias("key"), F.col("b").alias("node"))
+    rows = stage(rows.join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "large-buckets")
+    mixed = stage(rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key"), "mixed-buckets")
+    rows = stage(rows.join(mixed, "key", "left_semi"), "rows-of-mixed-buckets")
+    rows = block_pairs(rows, F.lit(1), SKETCH_BLOCK).join(nodes.select(F.col("_node").alias("node"), F.col("_n").alias("n"), F.col("_sig").alias("sig")), "node")
+
+    def sides(t: pa.Table):
+        key, i, j = (t[c][0].as_py() for c in ("key", "i", "j"))
+        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), "<u2").reshape(-1, SYMBOLS)
+        n, comp, mine = (t[c].to_numpy() for c in ("n", "comp", "mine"))
+        x, y = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
+        u, v = owned_pairs(key, sig[x], n[x], comp[x], sig[y], n[y], comp[y], percent)
+        return x[u], y[v]
+
+    def name(t: pa.Table) -> pa.Table:
+        """The rows of a block pair that have a pair to try."""
+        x, y = sides(t)
+        return t.take(pa.array(np.unique(np.concatenate((x, y))))).select(names)
+
+    names = ["key", "i", "j", "mine", "node", "comp", "n", "sig"]
+    schema = "key long, i long, j long, mine long, node long, comp long, n long, sig binary"
+    tried = rows.select(*names).groupBy("key", "i", "j").applyInArrow(name, schema).select("key", "node", "comp", "n", "sig")
+    tried = stage(tried.dropDuplicates(["key", "node"]), "rows-to-try")
+    parts = block_pairs(tried, F.col("n"), SHINGLE_BLOCK).join(nodes.select(F.col("_node").alias("node"), "_id", F.col("_set").alias("set")), "node")
+    parts = join_null_safe(parts, docs, ["_id"]).select(*names, "set", F.col("_text").alias("text"))
+
+    def confirm(t: pa.Table) -> pa.Table:
+        import xxhash
 
-    return rows.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+        shingler, sets, keep, seen = Shingler(words), [], [], set()
+        for r, (node, name_, text) in enumerate(zip(t["node"].to_pylist(), t["set"].to_pylist(), t["text"])):
+            if node in seen:
+                continue
+            s = shingler.shingles(text.as_py() or b"")
+            if xxhash.xxh3_128_digest(s.tobytes()) == name_:  # else another text under the same id
+                seen.add(node)
+                sets.append(s)
+                keep.append(r)
+        t = t.take(pa.array(keep, pa.int64()))
+        if not keep:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        x, y = sides(t)
+        node, comp, n = (t[c].to_numpy() for c in ("node", "comp", "n"))
+        both = intersections(sets, x, y)
+        linked = np.flatnonzero(100 * both >= percent * (n[x] + n[y] - both))
+        root, out = {}, []
+
+        def find(c):
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+
+        for k in linked:
+            p, q = find(comp[x[k]]), find(comp[y[k]])
+            if p != q:
+                root[max(p, q)] = min(p, q)
+                out.append(sorted((int(node[x[k]]), int(node[y[k]]))))
+        a, b = zip(*out) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return stage(parts.groupBy("key", "i", "j").applyInArrow(confirm, "a long, b long").distinct(), "cross-links")
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
@@ -321,11 +415,9 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     label = components(edges)
     large = met.where("kind = 1")
     if not large.isEmpty():
-        more = stage(cross_pairs(large, label, percent), "cross-pairs")
-        more = stage(more.join(pairs, ["a", "b"], "left_anti"), "new-pairs")
+        more = cross_links(large, label, nodes, docs, words, percent)
         if not more.isEmpty():
-            edges = edges.unionByName(links(more, nodes, docs, words, percent))
-            label = components(edges)
+            label = components(edges.unionByName(more))
     named = stage(label.join(nodes.select(F.col("_node").alias("node"), "_id"), "node"), "component-rows")
     lows = stage(named.groupBy("comp").agg(F.min("_id").alias("_low")), "component-ids")
     found = named.join(lows, "comp").select(F.col("node").alias("_node"), "_low", F.lit(True).alias("_linked"))
