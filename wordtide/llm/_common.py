@@ -1,44 +1,24 @@
-"""Helpers shared by the operators: staged tables, prefix sums, tokenizers, file access."""
+"""Helpers shared by the operators: Arrow batches, prefix sums, null-safe joins, tokenizers, file access."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from typing import Optional, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wordtide.session import checkpoint_dir, ensure_checkpoint_dir
+from wordtide.session import new_path, stage  # noqa: F401 - shared by the operators
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
+#: Arrow batches of this size keep several Python workers within an executor's memory.
+BATCH_BYTES = 16 << 20
 
-    Only a local master may run without it; then a temporary folder is set.
-    """
-    if not checkpoint_dir(spark):
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="wordtide-shared-"))
-    return ensure_checkpoint_dir(spark)
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other call uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it again.
-
-    Cuts lineage, survives lost executors and gives the next join a plain scan on
-    this side, so AQE can split a skewed key there.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def modest_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by ``BATCH_BYTES`` where the session has Spark's default of 64 MB."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key).rstrip("b") == str(64 << 20):
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def prefix_sums(df: DataFrame, keys: Sequence[str], block: str, value: str, out: str) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wordtide.llm._common import prefix_sums, stage
+from wordtide.llm._common import modest_batches, prefix_sums, stage
 
 K = 20
 CURVES = 16
@@ -84,6 +84,7 @@ def curve_keys(vectors: np.ndarray, top: float, curve: int, dims: int = DIMS, bi
 
 def usable(df: DataFrame, id_col: str, vec_col: str, every: int) -> DataFrame:
     """(id, vec, norm, asks): vectors that take part, as 64-bit floats in bytes."""
+    modest_batches(df.sparkSession)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where(
         F.col("id").isNotNull() & (F.size("v") > 0)
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0))

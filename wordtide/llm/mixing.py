@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordtide.llm._common import join_null_safe, prefix_sums, stage
+from wordtide.llm._common import join_null_safe, modest_batches, prefix_sums, stage
 
 BLOCK_WORDS = 64
 SHARD_BLOCKS = 1 << 18
@@ -54,6 +54,7 @@ def word_starts(data: bytes) -> np.ndarray:
 
 def sized(df: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """(_id, _source, _size, _part, _row, _loc): word counts and the place within the scan partition's stream."""
+    modest_batches(df.sparkSession)
     src = df.select(F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("_source"),
                     F.col(text_col).cast("binary").alias("_text"))
     id_type = src.schema["_id"].dataType.simpleString()

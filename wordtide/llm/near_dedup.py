@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.llm._common import join_null_safe, stage
+from wordtide.llm._common import join_null_safe, modest_batches, stage
 
 SHINGLE_WORDS = 5
 PERCENT = 75
@@ -51,7 +51,7 @@ SMALL = 4
 SKETCH_BLOCK = 8192
 SHINGLE_BLOCK = 1 << 19
 SEED = 7
-CACHED_WORDS = 1 << 20
+CACHED_WORDS = 1 << 18
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -403,6 +403,7 @@ def cross_links(large: DataFrame, label: DataFrame, nodes: DataFrame, docs: Data
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
                percent: int = PERCENT) -> DataFrame:
     """One row per input row: (id, n_shingles, component_id, kept)."""
+    modest_batches(df.sparkSession)
     if percent < PERCENT:
         raise ValueError(f"the signature's radius covers similarities of {PERCENT} percent or more")
     docs = df.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"))

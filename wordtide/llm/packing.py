@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordtide.llm._common import join_null_safe, make_encoder, prefix_sums, stage, tokenizer_path
+from wordtide.llm._common import join_null_safe, make_encoder, modest_batches, prefix_sums, stage, tokenizer_path
 
 SEQ_LEN = 2048
 EOD = 1
@@ -48,6 +48,7 @@ def token_queues(df: DataFrame, id_col: str, text_col: str, source_col: str,
     ``_loc`` counts the tokens of the same source before the row in its scan partition
     ``_part``; ``_ids`` holds the ids as little-endian unsigned 16-bit integers.
     """
+    modest_batches(df.sparkSession)
     path = tokenizer_path(tokenizer)
     src = df.select(F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("_source"),
                     F.col(text_col).alias("_text"))

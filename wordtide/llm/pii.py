@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.llm._common import stage
+from wordtide.llm._common import modest_batches, stage
 
 KEY = b"wordtide"
 
@@ -315,6 +315,7 @@ def surrogates(found: DataFrame, key: bytes = KEY) -> DataFrame:
 
 def replace_entities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: bytes = KEY) -> DataFrame:
     """(id, text, n_entities, spans): the text with surrogates, and where they stand in it."""
+    modest_batches(df.sparkSession)
     hits = stage(_hits(df, id_col, text_col, True).withColumn("row", F.monotonically_increasing_id()), "texts-with-entities")
     mentions = stage(hits.select("row", F.posexplode("ents").alias("i", "e")).select("row", "i", "e.kind", "e.value"), "mentions")
     found = stage(mentions.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("mentions")).select("kind", "value"), "entities")

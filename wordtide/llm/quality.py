@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.llm._common import join_null_safe, stage
+from wordtide.llm._common import join_null_safe, modest_batches, stage
 
 SAMPLE = 20_000
 THRESHOLD = 0.5
@@ -71,6 +71,7 @@ def text_features(text: bytes) -> Optional[list[float]]:
 
 def featured(df: DataFrame, id_col: str, text_col: str, host, path) -> DataFrame:
     """(_id, _hash, _host, _path, features...) staged; all features are null without words."""
+    modest_batches(df.sparkSession)
     src = df.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_hash"), host.cast("string").alias("_host"),
                     path.cast("string").alias("_path"), F.col(text_col).cast("binary").alias("_text"))
     id_type = src.schema["_id"].dataType.simpleString()

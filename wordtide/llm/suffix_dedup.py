@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.llm._common import stage
+from wordtide.llm._common import modest_batches, stage
 
 LENGTH = 100
 ANCHOR = 32
@@ -351,6 +351,7 @@ def _keyed(df: DataFrame, id_col: str, text_col: str):
 
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text, starts): the UTF-8 text and the packed starts (start << 8 | windows) of its repeated windows."""
+    modest_batches(df.sparkSession)
     docs, ids = _keyed(df, id_col, text_col)
     sent = docs.mapInArrow(_run_rows, "kind long, rank long, name long, key long, run long")
     met = sent.repartition("rank").sortWithinPartitions("rank", "name", "key", "run").mapInArrow(_meet_runs, "open long, key long, run long")

@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordtide.llm._common import make_encoder, new_path, open_fs, stage, tokenizer_path
+from wordtide.llm._common import make_encoder, modest_batches, new_path, open_fs, stage, tokenizer_path
+from wordtide.session import delete_on_exit
 
 EOD = 50256
 BLOCK_BYTES = 4 << 20
@@ -41,6 +42,7 @@ def write_flat(df: DataFrame, folder: str, id_col: str = "doc_id", text_col: str
 
     ``file_bytes`` is set on the last row of each file.
     """
+    modest_batches(df.sparkSession)
     path = tokenizer_path(tokenizer)
     src = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     id_type = src.schema["_id"].dataType.simpleString()
@@ -129,6 +131,7 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Write ``df`` as flat files, scan them, and name each document: (id, path, ordinal, first_token, n_tokens)."""
     folder = new_path(df.sparkSession, "tokens")
     side = write_flat(df, folder, id_col, text_col, **options)
+    delete_on_exit(df.sparkSession, folder)
     scan = {k: v for k, v in options.items() if k in ("eod", "dtype")}
     files = side.where("file_bytes IS NOT NULL").select("path", F.col("file_bytes").alias("bytes"))
     docs = scan_flat(files, folder, block_bytes=block_bytes, **scan)

@@ -34,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.llm._common import new_path, open_fs, stage
+from wordtide.llm._common import modest_batches, new_path, open_fs, stage
+from wordtide.session import delete_on_exit
 
 CHUNK = 1 << 16
 MAX_FILE_BYTES = 1 << 30
@@ -180,6 +181,7 @@ def with_revisits(df: DataFrame, id_col: str, url_col: str, body_col: str, min_r
 def write_warc(df: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", body_col: str = "html",
                min_revisit_bytes: int = MIN_REVISIT_BYTES, max_file_bytes: int = MAX_FILE_BYTES) -> DataFrame:
     """Write archives into ``folder``; returns the staged list of files (path, records, bytes)."""
+    modest_batches(df.sparkSession)
     rows = with_revisits(df, id_col, url_col, body_col, min_revisit_bytes)
 
     def write(batches):
@@ -254,7 +256,9 @@ def archive_round_trip(df: DataFrame, with_payload: bool = False, **options) ->
     """Write ``df`` as archives in the shared folder and read them back."""
     spark: SparkSession = df.sparkSession
     folder = new_path(spark, "warc")
-    return read_warc(write_warc(df, folder, **options), folder, with_payload)
+    files = write_warc(df, folder, **options)
+    delete_on_exit(spark, folder)
+    return read_warc(files, folder, with_payload)
 
 
 def op9_warc(spark, sf_dir: str) -> DataFrame:
