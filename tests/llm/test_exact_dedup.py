@@ -24,7 +24,7 @@ def test_cases(spark):
             (10, long + "y"), (11, "x" * 4096), (12, "X" * 4096), (13, "x" * 4097), (14, "x" * 8192), (15, "x" * 8192),
             (16, "y" * 4096 + "x" * 4096), (17, "x" * 4096 + "y" * 4096)]
     df = spark.createDataFrame([(i, t, t, 0) for i, t in rows], "doc_id long, text string, _text string, keep_id int")
-    for block in (4096, 7):
+    for block in (16384, 4096, 7):
         out = exact_dedup.exact_dedup(df, block_bytes=block)
         assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in out.collect()) == brute(rows)
     kept = exact_dedup.keep_rows(df)

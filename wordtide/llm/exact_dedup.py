@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from wordtide.llm._common import join_null_safe, stage
 
-BLOCK_BYTES = 4096
+BLOCK_BYTES = 16384
 
 
 def normalised(text: Column) -> Column:
