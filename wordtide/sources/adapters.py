@@ -37,11 +37,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a scan that has fewer splits than the session has cores.
+
+    The driver's files hold one row group each, which one task would read and tokenise alone. A
+    table with a split for every core, as any large one has, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def posts_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structured posts: one per lineitem; date = ship date, board = return flag,
     thread = order, post number = line number, text = part name."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
-                                                  "l_returnflag", "l_shipdate")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
+                                                         "l_returnflag", "l_shipdate"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     j = li.join(part, li["l_partkey"] == part["p_partkey"])
     return j.select(
@@ -57,7 +67,7 @@ def posts_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 def posts_from_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Free-text posts: board = role, thread = conversation, post = turn; the
     conversation id spreads posts over 70 days from 2024-01-01."""
-    c = table(spark, sf_dir, "conversations")
+    c = spread(table(spark, sf_dir, "conversations"))
     d = F.date_add(F.lit(CONVERSATION_EPOCH).cast("date"), (F.col("conv_id") % CONVERSATION_DAYS).cast("int"))
     return c.select(
         d.alias("date"),
