@@ -122,3 +122,17 @@ def test_append_terms_unique(spark):
         T.append_terms(t, spark.createDataFrame([(2, "python")], "term_id long, normalized string"))
     with pytest.raises(ValueError):
         T.append_terms(t, spark.createDataFrame([(1, "java")], "term_id long, normalized string"))
+
+
+def test_ranking_without_a_limit_spans_tasks(spark):
+    """One group with most rows, ties and NULLs: the same ranks as a window, dealt over several partitions."""
+    from pyspark.sql import Window
+
+    df = spark.range(3000).select(F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("g"), F.col("id"),
+                                  F.when(F.col("id") % 17 != 0, F.col("id") % 40).alias("v"))
+    order = [F.desc_nulls_last("v"), F.asc("id")]
+    want = {r.id: r["rank"] for r in df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy(*order))).collect()}
+    got = tables.ranked(df, ["g"], order)
+    assert {r.id: r["rank"] for r in got.collect()} == want
+    assert {r.id: r["rank"] for r in tables.ranked(df, ["g"], order, 7).collect()} == {i: k for i, k in want.items() if k <= 7}
+    assert tables.ranked(df.limit(0), ["g"], order).collect() == []

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordtide.functions.text import nfkc, normalize_after_nfkc, normalize_tokens
-from wordtide.operators import terms as T
+from wordtide.operators import tables, terms as T
 
 DAY = ["date", "board_key"]
 # Copies of the noun list, so a frequent surface is spread over as many join keys.
@@ -189,16 +189,12 @@ def top_terms_of_day(stats: DataFrame, limit: Optional[int] = None, offset: int
     """A9 for every (date, board): ``post_hits`` desc, ``term_id`` asc as tie-break.
 
     ``limit`` None or 0 means all rows, and then the offset is ignored (as in the
-    reference).  Implemented as a per-group ``row_number`` so Spark applies its
-    window group-limit before the shuffle.
+    reference). See ``tables.ranked`` for how either is planned.
     """
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*DAY).orderBy(F.desc("post_hits"), F.asc(tie_col))
-    ranked = stats.withColumn("rank", F.row_number().over(w))
+    order = [F.desc("post_hits"), F.asc(tie_col)]
     if not limit:
-        return ranked
-    return ranked.where((F.col("rank") > offset) & (F.col("rank") <= offset + limit))
+        return tables.ranked(stats, DAY, order)
+    return tables.ranked(stats, DAY, order, offset + limit).where(F.col("rank") > offset)
 
 
 def metrics_lookup(metrics: DataFrame, date, board_key: str) -> DataFrame:

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from typing import Iterable, Optional, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wordtide import schemas
+from wordtide.session import stage
 
 # ------------------------------------------------------------------------ U1
 
@@ -200,3 +201,26 @@ def runs_with_metrics(metrics: DataFrame, runs: DataFrame) -> DataFrame:
     """Metrics -> optional run (left join on run_id)."""
     r = runs.select("run_id", "status", "is_recovered", "started_at", "finished_at")
     return metrics.join(r, "run_id", "left")
+
+
+# ------------------------------------------------------------------------ ranking
+
+
+def ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], limit: Optional[int] = None) -> DataFrame:
+    """Add ``rank`` (1, 2, ..., by ``order`` within ``group``); with ``limit`` only the rows up to it.
+
+    With a limit Spark cuts every group before its shuffle. Without one, a window would sort a whole group in one
+    task; instead the rows are range-partitioned and sorted by (group, order), staged, and numbered by their place
+    in the partition plus the group's rows in earlier partitions, so one group may span many tasks.
+    """
+    if limit:
+        w = Window.partitionBy(*group).orderBy(*order)
+        return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+    by = [F.asc(c) for c in group] + list(order)
+    placed = stage(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_place", F.monotonically_increasing_id()), "ranked")
+    placed = placed.withColumn("_part", F.shiftright("_place", 33))
+    pieces = placed.groupBy(*group, "_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    out = placed.join(pieces, [*group, "_part"])
+    return out.withColumn("rank", (F.col("_place") - F.col("_first") + F.col("_before") + 1).cast("int")).select(*df.columns, "rank")

@@ -121,9 +121,7 @@ def with_history(current: DataFrame, history: Optional[DataFrame], keys=("week_s
 def trending(trends: DataFrame, limit: Optional[int] = 10, order_col: str = "zscore",
              tie_col: str = "term_id") -> DataFrame:
     """W15 for every (week, board): ``zscore`` desc nulls last, ``term_id`` asc; top ``limit``."""
-    w = Window.partitionBy(*WEEK).orderBy(F.desc_nulls_last(order_col), F.asc(tie_col))
-    ranked = trends.withColumn("rank", F.row_number().over(w))
-    return ranked.where(F.col("rank") <= limit) if limit else ranked
+    return tables.ranked(trends, WEEK, [F.desc_nulls_last(order_col), F.asc(tie_col)], limit)
 
 
 def term_history(trends: DataFrame, term_id, board_key: str, start, end, ascending: bool = True) -> DataFrame:
@@ -140,9 +138,7 @@ def term_history(trends: DataFrame, term_id, board_key: str, start, end, ascendi
 def growth_ranking(regressions: DataFrame, limit: Optional[int] = 10, order_col: str = "slope",
                    tie_col: str = "term_id") -> DataFrame:
     """W17 for every board: slope desc, term_id asc; top ``limit``."""
-    w = Window.partitionBy("board_key").orderBy(F.desc(order_col), F.asc(tie_col))
-    ranked = regressions.withColumn("rank", F.row_number().over(w))
-    return ranked.where(F.col("rank") <= limit) if limit else ranked
+    return tables.ranked(regressions, ["board_key"], [F.desc(order_col), F.asc(tie_col)], limit)
 
 
 def regression_lookup(regressions: DataFrame, board_key: str, term_id=None) -> DataFrame:

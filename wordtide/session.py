@@ -71,7 +71,8 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master may run without it; then a temporary folder is set.
     """
     if not checkpoint_dir(spark):
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="wordtide-shared-"))
     return ensure_checkpoint_dir(spark)
