@@ -64,6 +64,16 @@ def test_small_blocks_cover_neighbours(spark):
     assert out.groupBy("query_id").count().where("count <> 5").count() == 0
 
 
+def test_rest_finds_what_the_curves_miss(spark):
+    """Windows cover a twentieth of the table; most pairs of blocks of the clustered half can be skipped."""
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=(1500, 16)), rng.normal(size=(1, 16)) * 5 + rng.normal(size=(1500, 16)) * 0.1])
+    x[100:200] = np.round(x[100:200])  # ties
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    same(got(ann.nearest(df, k=7, curves=2, block=64, halo=8, rest_bytes=100 * 8 * 16)), brute(rows, k=7))
+
+
 @pytest.mark.parametrize("dims, bits", [(2, 4), (3, 3), (5, 2)])
 def test_hilbert_curve_visits_neighbours(dims, bits):
     grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), axis=-1).reshape(-1, dims)

@@ -1,25 +1,30 @@
-"""Nearest neighbours by largest inner product on shifted space-filling curves.
+"""Nearest neighbours by largest inner product: shifted space-filling curves for a bound, then an exact rest.
 
 Method: vectors are projected onto ``dims`` random orthonormal directions, once per curve with
 other directions and another random shift, quantised, and ordered by their Hilbert index. Vectors
 that are close end up close on most curves. Spark range-partitions (curve, key), so every vector
 gets its rank on every curve; ranks are cut into blocks of ``block`` rows, each widened by
 ``halo`` rows of its neighbours. A query is compared with its whole widened block on every
-curve in double precision; the best of all curves are merged and ranked again.
+curve in double precision; the k-th best score over all curves is the query's bound.
+
+Exact rest: rows and queries are cut into blocks along the first curve, and every pair of blocks is compared in
+full, except where no row can reach a bound: a pair is left out when its centroids, radii and largest norms show it,
+and within a pair a query when its own product with the row block's centroid and norm does. What reaches the bound is
+kept, so the result is exact, whatever the curves found; the curves only decide how much can be skipped.
 
 Inner product: the vectors get one more coordinate, sqrt(max norm^2 - norm^2), queries 0, which turns the
 largest inner product into the smallest distance, also where norms differ.
 
 Skew: identical vectors form one class, indexed once, so a vector that a third of all rows
 hold fills no block. A class keeps its smallest k + 1 ids: no query needs more, as ties go to
-smaller ids. Blocks follow ranks, so each group has at most block + 2 * halo rows. Work
-grows in proportion to the rows; the recall on a table is measured by ``recall`` (0.9 is asked for, see
-the README for figures); more curves or wider blocks raise it.
+smaller ids. Blocks follow ranks, so each group has at most block + 2 * halo rows. The curves' work grows in
+proportion to the rows; the rest's with queries times rows that cannot be skipped, which on isotropic vectors is all of
+them (see the README for figures).
 
 Defined cases: vectors that are null, empty, all zero, or hold a null or non-finite component take
 no part, nor do null ids or vectors whose length is not the table's most frequent one (the longer
-on ties); a row that repeats an id and vector counts once; with fewer than k candidates all that
-were found are returned; an empty table gives no rows; other columns are ignored.
+on ties); a row that repeats an id and vector counts once; with fewer than k other rows all of them
+are returned; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,6 +40,8 @@ K = 20
 CURVES = 16
 DIMS, BITS = 8, 7
 BLOCK, HALO = 4096, 1024
+#: Blocks of the exact rest: so many bytes of vectors, and so many row blocks whose queries form one query block.
+REST_BYTES, REST_QUERIES = 4 << 20, 8
 SEED = 11
 
 
@@ -104,12 +111,32 @@ def usable(df: DataFrame, id_col: str, vec_col: str, every: int) -> DataFrame:
 
 
 def nearest(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K, every: int = 20,
-            curves: int = CURVES, block: int = BLOCK, halo: int = HALO) -> DataFrame:
+            curves: int = CURVES, block: int = BLOCK, halo: int = HALO, rest_bytes: int = REST_BYTES) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest of every row whose id is divisible by ``every``."""
     rows = usable(df, id_col, vec_col, every)
     classes = stage(rows.groupBy("vec").agg(F.min("id").alias("rep"), F.max("asks").alias("asks"), F.max("norm").alias("norm")), "classes")
+    placed = curve_order(classes, curves)
+    found = rest(placed, curve_lists(placed, k, block, halo), k, rest_bytes)
+    # copies of the query itself: its class, unless it is alone
+    own = classes.where("asks").select(F.col("rep").alias("q"), F.col("rep").alias("c"), _self_product("vec").alias("score"))
+    members = rows.join(classes.select("vec", "rep"), "vec").select("rep", "id", "asks").distinct()
+    members = stage(members, "members")
+    by_class = Window.partitionBy("rep").orderBy("id")
+    few = members.withColumn("n", F.row_number().over(by_class)).where(F.col("n") <= k + 1).select(F.col("rep").alias("c"), "id")
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "id")
+    lists = found.unionByName(own).join(few, "c").withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
+    lists = stage(lists.select(F.col("q").alias("rep"), F.col("id").alias("vec_id"), "score", "n"), "class-lists")
+    # of the k + 1 best of its class, a query drops itself; ranks after it move up
+    asks = members.where("asks").select("rep", F.col("id").alias("query_id"))
+    me = lists.select("rep", F.col("vec_id").alias("query_id"), F.col("n").alias("mine"))
+    out = asks.join(me, ["rep", "query_id"], "left").join(lists, "rep").where("vec_id <> query_id")
+    rank = F.col("n") - F.when(F.col("mine") < F.col("n"), 1).otherwise(0)
+    return out.select("query_id", rank.cast("int").alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+
+
+def curve_order(classes: DataFrame, curves: int) -> DataFrame:
+    """(curve, place, rep, asks, vec): the place of every class on every curve."""
     top = classes.agg(F.max("norm")).first()[0] or 1.0
-    reps = classes.select("vec", "rep")
 
     def keys(batches):
         for b in batches:
@@ -141,8 +168,12 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k
         number, "part long, at long, curve long, rep long, asks boolean, vec binary")
     ordered = stage(ordered, "curve-order")
     base = stage(prefix_sums(ordered.withColumn("one", F.lit(1).cast("long")), ["curve"], "part", "one", "base"), "curve-offsets")
-    rank = F.col("at") + F.col("base")
-    placed = ordered.join(base, ["curve", "part"]).withColumn("own", F.floor(rank / block)).withColumn("off", rank % block)
+    return ordered.join(base, ["curve", "part"]).select("curve", (F.col("at") + F.col("base")).alias("place"), "rep", "asks", "vec")
+
+
+def curve_lists(placed: DataFrame, k: int, block: int, halo: int) -> DataFrame:
+    """(q, c, score): for every class that asks, the k best other classes of its widened block on every curve."""
+    placed = placed.withColumn("own", F.floor(F.col("place") / block)).withColumn("off", F.col("place") % block)
     near = F.array_compact(F.array(F.col("own"), F.when(F.col("off") < halo, F.col("own") - 1), F.when(F.col("off") >= block - halo, F.col("own") + 1)))
     spread = placed.withColumn("block", F.explode(near)).select("curve", "block", "rep", "vec", (F.col("asks") & (F.col("own") == F.col("block"))).alias("asks"))
 
@@ -171,22 +202,82 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k
         q, c, s = (np.concatenate(v) if v else np.zeros(0, d) for v, d in ((q, np.int64), (c, np.int64), (s, np.float64)))
         return pa.table({"q": q, "c": c, "score": s})
 
-    found = spread.groupBy("curve", "block").applyInArrow(compare, "q long, c long, score double").distinct()
-    # copies of the query itself: its class, unless it is alone
-    own = classes.where("asks").select(F.col("rep").alias("q"), F.col("rep").alias("c"), _self_product("vec").alias("score"))
-    members = rows.join(reps, "vec").select("rep", "id", "asks").distinct()
-    members = stage(members, "members")
-    by_class = Window.partitionBy("rep").orderBy("id")
-    few = members.withColumn("n", F.row_number().over(by_class)).where(F.col("n") <= k + 1).select(F.col("rep").alias("c"), "id")
-    order = Window.partitionBy("q").orderBy(F.desc("score"), "id")
-    lists = found.unionByName(own).join(few, "c").withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
-    lists = stage(lists.select(F.col("q").alias("rep"), F.col("id").alias("vec_id"), "score", "n"), "class-lists")
-    # of the k + 1 best of its class, a query drops itself; ranks after it move up
-    asks = members.where("asks").select("rep", F.col("id").alias("query_id"))
-    me = lists.select("rep", F.col("vec_id").alias("query_id"), F.col("n").alias("mine"))
-    out = asks.join(me, ["rep", "query_id"], "left").join(lists, "rep").where("vec_id <> query_id")
-    rank = F.col("n") - F.when(F.col("mine") < F.col("n"), 1).otherwise(0)
-    return out.select("query_id", rank.cast("int").alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    return spread.groupBy("curve", "block").applyInArrow(compare, "q long, c long, score double").dropDuplicates(["q", "c"])
+
+
+def rest(placed: DataFrame, lists: DataFrame, k: int, rest_bytes: int = REST_BYTES) -> DataFrame:
+    """(q, c, score): every class that can be among the k best others of a class that asks, by comparing blocks.
+
+    ``lists`` gives each query its bound: k classes reach the k-th of its scores, so a class below it is not needed.
+    """
+    d = (placed.select(F.length("vec").alias("n")).first() or [8])[0] // 8
+    size = max(1, rest_bytes // (8 * d))
+    by_score = Window.partitionBy("q").orderBy(F.desc("score"))
+    bounds = lists.withColumn("n", F.row_number().over(by_score)).where(F.col("n") == k).select(F.col("q").alias("rep"), F.col("score").alias("bound"))
+    line = placed.where("curve = 0").withColumn("b", F.floor(F.col("place") / size))
+    ask = line.where("asks").join(bounds, "rep", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
+    ask = ask.withColumn("b", F.floor(F.col("b") / REST_QUERIES))
+
+    def pack(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks().sort_by("rep")
+        x = np.frombuffer(b"".join(t["vec"].to_pylist())).reshape(t.num_rows, -1)
+        mid = x.mean(axis=0)
+        bound = t["bound"].to_numpy() if "bound" in t.column_names else np.zeros(0)
+        return pa.table({"b": t["b"][:1], "reps": [t["rep"].to_numpy().tobytes()], "vecs": [x.tobytes()], "bounds": [bound.tobytes()],
+                         "mid": [mid.tobytes()], "far": [np.sqrt(((x - mid) ** 2).sum(axis=1)).max()],
+                         "norm": [np.sqrt((x * x).sum(axis=1)).max()], "least": [bound.min() if len(bound) else 0.0]},
+                        schema=pa.schema([("b", pa.int64())] + [(n, pa.binary()) for n in ("reps", "vecs", "bounds", "mid")]
+                                         + [(n, pa.float64()) for n in ("far", "norm", "least")]))
+
+    packed = "b long, reps binary, vecs binary, bounds binary, mid binary, far double, norm double, least double"
+    rows = stage(line.select("b", "rep", "vec").groupBy("b").applyInArrow(pack, packed), "row-blocks")
+    queries = stage(ask.select("b", "rep", "vec", "bound").groupBy("b").applyInArrow(pack, packed), "query-blocks")
+
+    @F.pandas_udf("double")
+    def product(a, b):
+        import pandas as pd
+
+        return pd.Series([float(np.frombuffer(u) @ np.frombuffer(v)) for u, v in zip(a, b)], dtype="float64")
+
+    # |q . x| <= |q| |x|, and q . x = mid_q . mid_x + (q - mid_q) . mid_x + q . (x - mid_x)
+    ends = ("mid", "far", "norm")
+    pairs = queries.select(F.col("b").alias("s"), "least", *[F.col(n).alias(f"q_{n}") for n in ends]).crossJoin(
+        rows.select(F.col("b").alias("r"), *[F.col(n).alias(f"x_{n}") for n in ends]))
+    both = F.col("q_norm") * F.col("x_norm")
+    reach = F.least(both, product("q_mid", "x_mid") + F.col("q_far") * F.col("x_norm") + F.col("q_norm") * F.col("x_far"))
+    pairs = stage(pairs.where(reach + 1e-9 * both >= F.col("least")).select("s", "r"), "block-pairs")
+
+    def compare(batches):
+        for batch in batches:
+            for p in batch.to_pylist():
+                rep, x, mid = np.frombuffer(p["reps"], np.int64), np.frombuffer(p["vecs"]).reshape(-1, d), np.frombuffer(p["mid"])
+                name, ask, bound = np.frombuffer(p["q_reps"], np.int64), np.frombuffer(p["q_vecs"]).reshape(-1, d), np.frombuffer(p["q_bounds"])
+                norm = np.sqrt((ask * ask).sum(axis=1))
+                slack = 1e-14 * d * norm * p["norm"]  # rounding may hide a tie
+                may = np.flatnonzero(np.minimum(norm * p["norm"], ask @ mid + norm * p["far"]) + 1e5 * slack >= bound)
+                q, c, s = [], [], []
+                for a in range(0, len(may), 256):
+                    some = may[a:a + 256]
+                    score = ask[some] @ x.T
+                    score[rep[None, :] == name[some][:, None]] = -np.inf
+                    least = (bound - slack)[some]
+                    for j in np.flatnonzero((score >= least[:, None]).sum(axis=1) > k):  # many ties, or no bound
+                        least[j] = max(least[j], np.partition(score[j], len(rep) - k)[len(rep) - k] - 2 * slack[some[j]])
+                    i, j = np.nonzero((score >= least[:, None]) & (score > -np.inf))
+                    exact = (x[j] * ask[some[i]]).sum(axis=1)
+                    order = np.lexsort((rep[j], -exact, i))
+                    i, j, exact = i[order], j[order], exact[order]
+                    first = np.searchsorted(i, i)  # of k better ones with smaller ids none is left out
+                    keep = np.arange(len(i)) - first < k
+                    q.append(name[some[i[keep]]])
+                    c.append(rep[j[keep]])
+                    s.append(exact[keep])
+                if q:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (q, c, s)], ["q", "c", "score"])
+
+    work = pairs.join(queries.select(F.col("b").alias("s"), F.col("reps").alias("q_reps"), F.col("vecs").alias("q_vecs"), F.col("bounds").alias("q_bounds")), "s")
+    work = work.join(rows.select(F.col("b").alias("r"), "reps", "vecs", "mid", "far", "norm"), "r")
+    return work.drop("s", "r").mapInArrow(compare, "q long, c long, score double")
 
 
 def _self_product(col: str):
