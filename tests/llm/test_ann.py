@@ -2,6 +2,8 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from wordtide.llm import ann
 
@@ -74,6 +76,22 @@ def test_rest_finds_what_the_curves_miss(spark):
     same(got(ann.nearest(df, k=7, curves=2, block=64, halo=8, rest_bytes=100 * 8 * 16)), brute(rows, k=7))
 
 
+@pytest.mark.parametrize("large", [1e3, 1e12])
+def test_one_large_norm_leaves_the_curves_spread(spark, large):
+    """A table of 60 windows: the curves still find more than windows of neighbouring ids would."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 4))
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(3001, [large, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    classes = ann.usable(df, "vec_id", "embedding", 20).select("vec", F.col("id").alias("rep"), "asks", "norm")
+    found = ann.curve_lists(ann.curve_order(classes, 4), 20, 40, 5)
+    lists = Window.partitionBy("q").orderBy(F.desc("score"), "c")
+    found = found.where("c <> 3001").withColumn("n", F.row_number().over(lists)).where("n <= 20").select(F.col("q").alias("query_id"), F.col("c").alias("vec_id"))
+    assert ann.recall(df.where("vec_id <> 3001"), found) > 0.5
+    same(got(ann.nearest(df, curves=4, block=40, halo=5, rest_bytes=4 << 10)), brute(rows))
+
+
 @pytest.mark.parametrize("dims, bits", [(2, 4), (3, 3), (5, 2)])
 def test_hilbert_curve_visits_neighbours(dims, bits):
     grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims, indexing="ij"), axis=-1).reshape(-1, dims)

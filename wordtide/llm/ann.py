@@ -12,8 +12,10 @@ full, except where no row can reach a bound: a pair is left out when its centroi
 and within a pair a query when its own product with the row block's centroid and norm does. What reaches the bound is
 kept, so the result is exact, whatever the curves found; the curves only decide how much can be skipped.
 
-Inner product: the vectors get one more coordinate, sqrt(max norm^2 - norm^2), queries 0, which turns the
-largest inner product into the smallest distance, also where norms differ.
+Inner product: the vectors get one more coordinate, sqrt(top^2 - norm^2), queries 0, which turns the
+largest inner product into the smallest distance, also where norms differ. ``top`` is the 0.999 quantile of the norms;
+larger ones come last on every curve, in blocks of their own. Axes are quantised by their own quantiles over all
+vectors, so single large or distant vectors do not push the others into a few cells.
 
 Skew: identical vectors form one class, indexed once, so a vector that a third of all rows
 hold fills no block. A class keeps its smallest k + 1 ids: no query needs more, as ties go to
@@ -40,6 +42,7 @@ K = 20
 CURVES = 16
 DIMS, BITS = 8, 7
 BLOCK, HALO = 4096, 1024
+QUANTILES = 64
 #: Blocks of the exact rest: so many bytes of vectors, and so many row blocks whose queries form one query block.
 REST_BYTES, REST_QUERIES = 4 << 20, 8
 SEED = 11
@@ -72,21 +75,47 @@ def hilbert_index(grid: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def curve_keys(vectors: np.ndarray, top: float, curve: int, dims: int = DIMS, bits: int = BITS, seed: int = SEED) -> np.ndarray:
-    """Keys of vectors (rows, d) on one curve; ``top`` is the largest norm of the table."""
-    from math import sqrt
-
-    n, d = vectors.shape
+def projected(vectors: np.ndarray, top: float, curve: int, dims: int = DIMS, seed: int = SEED) -> np.ndarray:
+    """(rows, dims): the vectors (rows, d) along one curve's axes; norms from ``top`` on have no further coordinate."""
+    d = vectors.shape[1]
     rng = np.random.default_rng((seed, curve))
-    dims = min(dims, d + 1)
-    axes = np.linalg.qr(rng.normal(size=(d + 1, d + 1)))[0][:, :dims]
-    shift = rng.uniform(0, 1, dims)
-    rest = np.sqrt(np.maximum(top * top - np.einsum("ij,ij->i", vectors, vectors), 0))
-    y = (vectors @ axes[:-1] + rest[:, None] * axes[-1]) * (sqrt(d) / top)
-    unit = 0.5 * (1 + np.tanh(0.8 * y))  # about uniform for a normal coordinate
+    axes = np.linalg.qr(rng.normal(size=(d + 1, d + 1)))[0][:, :min(dims, d + 1)]
+    left = np.sqrt(np.maximum(top * top - np.einsum("ij,ij->i", vectors, vectors), 0))
+    return vectors @ axes[:-1] + left[:, None] * axes[-1]
+
+
+def curve_keys(vectors: np.ndarray, top: float, curve: int, cuts: np.ndarray, dims: int = DIMS, bits: int = BITS, seed: int = SEED) -> np.ndarray:
+    """Keys of vectors (rows, d) on one curve; ``cuts`` (dims, quantiles) spread every axis evenly over its cells.
+
+    Norms above ``top`` come after all others.
+    """
+    y = projected(vectors, top, curve, dims, seed)
+    shift = np.random.default_rng((seed, curve, 1)).uniform(0, 1, y.shape[1])
+    even = np.linspace(0, 1, cuts.shape[1])
+    unit = np.stack([np.interp(v, c, even) for v, c in zip(y.T, cuts)], axis=1)
     cells = 1 << bits
     grid = np.minimum((unit + shift) * (cells / 2), cells - 1).astype(np.int64)
-    return hilbert_index(grid, bits)
+    return hilbert_index(grid, bits) + np.where(np.einsum("ij,ij->i", vectors, vectors) > top * top * (1 + 1e-9), np.int64(1) << 62, 0)
+
+
+def axis_cuts(classes: DataFrame, top: float, curves: int) -> np.ndarray:
+    """(curves, dims, QUANTILES + 1): quantiles of every projected axis over all classes, by partial sketches."""
+    d = len(classes.first()["vec"]) // 8
+    dims = min(DIMS, d + 1)
+    names = [f"y{i}" for i in range(curves * dims)]
+
+    def project(batches):
+        for b in batches:
+            vec = b.column("vec")
+            if len(vec):
+                x = np.frombuffer(b"".join(vec.to_pylist())).reshape(len(vec), -1)
+                y = np.concatenate([projected(x, top, c) for c in range(curves)], axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in np.ascontiguousarray(y.T)], names)
+
+    at = [i / QUANTILES for i in range(QUANTILES + 1)]
+    marks = classes.select("vec").mapInArrow(project, ", ".join(f"{n} double" for n in names)).agg(
+        *[F.percentile_approx(n, at, 10 * QUANTILES).alias(n) for n in names]).first()
+    return np.array([marks[n] for n in names]).reshape(curves, dims, -1)
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str, every: int) -> DataFrame:
@@ -136,7 +165,9 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k
 
 def curve_order(classes: DataFrame, curves: int) -> DataFrame:
     """(curve, place, rep, asks, vec): the place of every class on every curve."""
-    top = classes.agg(F.max("norm")).first()[0] or 1.0
+    # the few largest norms form a class of their own, so that they neither squeeze the others nor widen their blocks
+    top = classes.agg(F.percentile_approx("norm", 0.999, 10_000)).first()[0]
+    cuts = axis_cuts(classes, top, curves) if top else None
 
     def keys(batches):
         for b in batches:
@@ -145,7 +176,7 @@ def curve_order(classes: DataFrame, curves: int) -> DataFrame:
                 continue
             x = np.frombuffer(b"".join(vec.to_pylist())).reshape(len(vec), -1)
             for c in range(curves):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), c)), pa.array(curve_keys(x, top, c)), b.column("rep"), b.column("asks"), vec],
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), c)), pa.array(curve_keys(x, top, c, cuts[c])), b.column("rep"), b.column("asks"), vec],
                                                  ["curve", "key", "rep", "asks", "vec"])
 
     def number(batches):
