@@ -43,6 +43,16 @@ def test_windows_miss_nothing():
         assert list(pii.entities(text)) == list(pii._entities_between(text, 0, len(text)))
 
 
+@pytest.mark.parametrize("text, kinds", [
+    ("123-45-6789 415-555-0100", ["ssn", "phone"]), ("123-45-6789 987-65-4321", ["ssn", "ssn"]), ("415-555-0100 2024", ["phone"]),
+    ("123-45-6789 1984-02-03", ["ssn"]), ("4111 1111 1111 1111 123", ["card"]), ("2024 4111 1111 1111 1111", ["card"]),
+    ("2024 415-555-0100", ["phone"]), ("4425 4142 5915 7785", []), ("4111-1111-1111-1111", ["card"])])
+def test_numbers_beside_other_digits(text, kinds):
+    found = list(pii.entities(text))
+    assert [e[2] for e in found] == kinds
+    assert all("4111111111111111" == e[3] for e in found if e[2] == "card")
+
+
 def frame(spark, texts):
     return spark.createDataFrame([(i, t, 0, "k") for i, t in enumerate(texts)], "doc_id long, text string, row int, kind string").repartition(3)
 

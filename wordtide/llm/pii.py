@@ -71,10 +71,10 @@ PATTERNS = [
     ("secret", r"(?i:\b(?:password|passwd|pwd|secret|token|api_?key)\b\s*[=:]\s*[\"']?)([^\s\"',;]{8,})"),
     ("access_key", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
-    ("card", r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-])"),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
     ("ip", r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)"),
     ("phone", r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}(?![\d])|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])"),
+    ("card", r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-])"),
     ("name", r"(?<!\w)(?:" + "|".join(sorted(_TITLE, key=len, reverse=True)) + r")\.? +((?:" + _NAME + r")(?: (?:" + _NAME + r")){0,2})(?!\w)"),
     ("han_name", r"([一-鿿]{2,4}?)(?:" + "|".join(_HAN_TITLE) + r")"),
 ]
@@ -150,9 +150,16 @@ def _entities_between(text: str, at: int, stop: int) -> Iterator[tuple[int, int,
         elif kind in ("access_key", "ip", "ssn"):
             yield start, m.end(), kind, raw
         elif kind == "card":
-            digits = re.sub(r"\D", "", raw)
-            if luhn(digits) == 0 and len(set(digits)) > 1:
-                yield start, m.end(), kind, digits
+            # the whole match, or a prefix that ends at a separator: a date or a code may follow
+            for end in [len(raw), *reversed([s.start() for s in re.finditer(r"[ -]", raw)])]:
+                digits = re.sub(r"\D", "", raw[:end])
+                if len(digits) >= 13 and luhn(digits) == 0 and len(set(digits)) > 1:
+                    at = start + end
+                    yield start, at, kind, digits
+                    break
+            else:  # its later digits may still be another entity
+                gap = re.search(r"[ -]", raw)
+                at = start + gap.end() if gap else m.end()
         elif kind == "iban":
             value = raw.replace(" ", "")
             if iban_rest(value) == 1:
