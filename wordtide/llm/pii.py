@@ -16,7 +16,8 @@ Types: e-mail, phone, payment card (Luhn), IBAN (mod 97), US social security num
 secrets (password=..., token = "..."), and names after an honorific, whose surrogates keep gender (from the honorific
 or a name list) and script (Latin, Cyrillic, Han). Surrogates keep what makes a value valid: check digits,
 octet ranges, country and scheme prefixes; e-mail domains go to the reserved example domains, North American
-numbers to the fictional 555 exchange.
+numbers to the fictional 555 exchange (to unassigned ones where that is used up). Letters outside ASCII stay in their
+script; secrets of symbols only become letters.
 
 Plan: entities are counted with partial aggregates, so one that a third of all rows holds is one row; joins have
 staged scans on both sides and AQE splits a hot entity. Only texts with entities are shuffled. Nothing
@@ -32,6 +33,8 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
+from functools import lru_cache
 from typing import Iterator, Optional
 
 import pyarrow as pa
@@ -212,7 +215,29 @@ class Stream:
             return chr(97 + self.below(26))
         if "A" <= c <= "Z":
             return chr(65 + self.below(26))
-        return c
+        if c <= "\x7f":
+            return c
+        near = neighbours(c)
+        return near[self.below(len(near))] if near else c
+
+    def letters(self, n: int) -> str:
+        return "".join(chr(97 + self.below(26)) for _ in range(n))
+
+    def digits(self, n: int) -> str:
+        return "".join(chr(48 + self.below(10)) for _ in range(n))
+
+
+@lru_cache(4096)
+def neighbours(c: str) -> str:
+    """Letters or digits of the script of ``c``: those of its kind in its part of the code table; none for symbols."""
+    kind = unicodedata.category(c)
+    if "一" <= c <= "鿿":
+        return "".join(map(chr, range(0x4E00, 0x9FA6)))
+    if kind[0] not in "LN":
+        return ""
+    first = ord(c) & ~63
+    some = [x for x in map(chr, range(first, first + 64)) if x > "\x7f" and unicodedata.category(x) == kind]
+    return "".join(x for x in some if x == c or len(x.upper()) == 1 and x.upper().lower() == x.lower())
 
 
 def _name(s: Stream, script_: str, turn: int) -> str:
@@ -222,35 +247,42 @@ def _name(s: Stream, script_: str, turn: int) -> str:
 
 
 def surrogate(key: bytes, kind: str, value: str, turn: int) -> str:
-    """Normalised surrogate of a normalised entity."""
-    s = Stream(key, kind, value, turn)
+    """Normalised surrogate of a normalised entity; longer after several refused tries, so there is always a free one."""
+    s, more = Stream(key, kind, value, turn), turn // 4
     if kind == "email":
         local, domain = value.split("@")
         labels, host = domain.split("."), Stream(key, "domain", domain, 0)
         top = labels[-1] if labels[-1] in ("com", "net", "org") else "org"
         front = ["".join(map(host.like, x)) for x in labels[:-2]]
-        return "".join(map(s.like, local)) + "@" + ".".join([*front, "example", top])
+        return "".join(map(s.like, local)) + s.letters(more) + "@" + ".".join([*front, "example", top])
     if kind == "secret":
         hexed = re.fullmatch(r"[0-9a-f]+", value)
-        return "".join("0123456789abcdef"[s.below(16)] if hexed else s.like(c) for c in value)
+        if hexed:
+            return "".join("0123456789abcdef"[s.below(16)] for _ in range(len(value) + more))
+        if not any(map(str.isalnum, value)):
+            return s.letters(len(value) + more)
+        return "".join(map(s.like, value)) + s.letters(more)
     if kind == "access_key":
-        return value[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[s.below(32)] for _ in value[4:])
+        return value[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[s.below(32)] for _ in range(len(value) - 4 + more))
+    if kind == "ip" and more > 4:  # so many addresses that hardly one is free: documentation range of the next version
+        return "2001:db8::" + ":".join(f"{s.below(65536):x}" for _ in range(4))
     if kind == "ip":
         return ".".join(str(1 + s.below(223 if i == 0 else 254)) for i in range(4))
     if kind == "ssn":
-        return f"{900 + s.below(100)}-{1 + s.below(99):02d}-{1 + s.below(9999):04d}"  # 9xx is never issued
+        return f"{900 + s.below(100)}-{1 + s.below(99):02d}-{1 + s.below(9999):04d}{s.digits(more)}"  # 9xx is never issued
     if kind == "card":
-        body = value[0] + "".join(s.like(c) for c in value[1:-1])
+        body = value[0] + "".join(s.like(c) for c in value[1:-1]) + s.digits(more)
         return body + str((10 - luhn(body + "0")) % 10)
     if kind == "iban":
-        body = "".join(map(s.like, value[4:]))
+        body = "".join(map(s.like, value[4:])) + s.digits(more)
         return f"{value[:2]}{98 - iban_rest(value[:2] + '00' + body):02d}{body}"
     if kind == "phone":
         plus, digits = ("+", value[1:]) if value[0] == "+" else ("", value)
         if len(digits) - (plus == "+") == 10 and (not plus or digits[0] == "1"):  # North America: area code, 555, line
-            return f"{plus}{digits[:-10]}{2 + s.below(8)}{s.below(100):02d}555{s.below(10_000):04d}"
+            exchange = f"{s.below(200):03d}" if more else "555"  # those from 0 and 1 are never assigned
+            return f"{plus}{digits[:-10]}{2 + s.below(8)}{s.below(100):02d}{exchange}{s.below(10_000):04d}{s.digits(max(0, more - 3))}"
         keep = 2 if plus else 1
-        return plus + digits[:keep] + "".join(map(s.like, digits[keep:]))
+        return plus + digits[:keep] + "".join(map(s.like, digits[keep:])) + s.digits(more)
     role, *_, script_ = kind.split("_")
     gender = kind.split("_")[1] if role == "given" else ""
     names = GIVEN.get((script_, gender), [])
@@ -263,7 +295,7 @@ def written(mention: str, value: str, kind: str) -> str:
     """``value`` in the format of ``mention``: separators and case."""
     if kind in ("phone", "card", "iban"):
         rest = iter(value.lstrip("+") if kind == "phone" else value)
-        return "".join(next(rest) if c.isalnum() else c for c in mention)
+        return "".join(next(rest) if c.isalnum() else c for c in mention) + "".join(rest)
     if kind == "email":
         if mention.isupper():
             return value.upper()
