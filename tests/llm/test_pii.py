@@ -148,3 +148,21 @@ def test_surrogates_widen_with_the_tries(kind, value):
         assert kind != "card" or pii.luhn(s) == 0
         assert kind != "iban" or pii.iban_rest(s) == 1
         assert pii.written(value, s, kind).casefold() == s.casefold()
+
+
+def test_names_are_one_entity_whatever_the_title(spark):
+    out = run(spark, ["Dr. Anna Schmidt", "Frau Anna Schmidt", "Herr Anna", "Mr. Schmidt Otto", "Prof. Zoe Schmidt", "Mrs. Zoe Schmidt"])
+    by = [re.findall(r"[A-Z]\w+", t)[1:] for t in sorted(out)]
+    # sorted: Dr, Frau, Herr, Mr, Mrs, Prof
+    assert by[0] == by[1] and by[2] == by[0][:1] and by[3][0] == by[0][1] == by[5][1] and by[4] == by[5]
+    assert by[4][0] in pii.GIVEN["latin", "f"] and len({w for ws in by for w in ws}) == 4
+
+
+def test_names_of_all_roles_get_different_surrogates(spark):
+    """More names of every role and gender than the lists hold, the lists' own names among them."""
+    real = pii.GIVEN["latin", "f"] + pii.GIVEN["latin", "m"]
+    kinds = ["given_f_latin", "given_x_latin", "given_m_latin", "surname_latin"]
+    rows = [(k, f"{n}{i}".casefold()) for i, k in enumerate(kinds) for n in real] + [("given_f_latin", n.casefold()) for n in real[:4]]
+    out = pii.surrogates(pii.distinct_entities(spark.createDataFrame(rows + rows[:9], "kind string, value string"))).collect()
+    assert {r.kind for r in out} == {"name_latin"} and len(out) == len(rows) == len({r.surrogate for r in out})
+    assert not {r.surrogate for r in out} & {v for _, v in rows}

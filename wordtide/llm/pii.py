@@ -1,7 +1,7 @@
 """Surrogate generation for personal data.
 
 Detected entities get keyed replacements of the same type and format. An entity is its
-normalised value (digits of a phone or card number, lower-case address, name token with gender and script), so
+normalised value (digits of a phone or card number, lower-case address, name token with script), so
 all its spellings in all documents get one surrogate, written in the format of each mention: case, separators,
 brackets and digit groups stay. Different entities get different surrogates, and no surrogate equals an
 entity of the corpus:
@@ -13,8 +13,8 @@ entity of the corpus:
   4. mentions fetch their surrogates by entity and are written into the texts by document.
 
 Types: e-mail, phone, payment card (Luhn), IBAN (mod 97), US social security number, IPv4, cloud access key, assigned
-secrets (password=..., token = "..."), and names after an honorific, whose surrogates keep gender (from the honorific
-or a name list) and script (Latin, Cyrillic, Han). Surrogates keep what makes a value valid: check digits,
+secrets (password=..., token = "..."), and names after an honorific, whose surrogates keep gender (from the honorifics
+of all mentions or a name list; none where mentions disagree), role (given anywhere, or surname) and script (Latin, Cyrillic, Han). Surrogates keep what makes a value valid: check digits,
 octet ranges, country and scheme prefixes; e-mail domains go to the reserved example domains, North American
 numbers to the fictional 555 exchange (to unassigned ones where that is used up). Letters outside ASCII stay in their
 script; secrets of symbols only become letters.
@@ -324,16 +324,44 @@ def _hits(df: DataFrame, id_col: str, text_col: str, with_entities: bool) -> Dat
     return src.mapInArrow(find, f"id {id_type}, text string{extra}")
 
 
+def entity_kind(kind: str = "kind") -> F.Column:
+    """The kind that makes a mention an entity: a name is one by script and value, whatever its role and gender there."""
+    k = F.col(kind)
+    return F.when(k.rlike("^(given|surname)_"), F.concat(F.lit("name_"), F.substring_index(k, "_", -1))).otherwise(k)
+
+
+def distinct_entities(mentions: DataFrame) -> DataFrame:
+    """(kind, value, form) of mentions (kind, value): ``form`` is the kind whose surrogates an entity gets.
+
+    A name that is given anywhere is a given name; its gender is what its mentions say, none if they disagree.
+    """
+    def any_(prefix):
+        return F.max(F.col("kind").startswith(prefix))
+
+    merged = mentions.withColumn("entity", entity_kind()).groupBy("entity", "value").agg(
+        any_("given_").alias("given"), any_("given_f").alias("f"), any_("given_m").alias("m"))
+    script_ = F.substring_index("entity", "_", -1)
+    gender = F.when(F.col("f") & ~F.col("m"), "f").when(F.col("m") & ~F.col("f"), "m").otherwise("x")
+    name = F.when(F.col("given"), F.concat(F.lit("given_"), gender, F.lit("_"), script_)).otherwise(F.concat(F.lit("surname_"), script_))
+    return merged.select(F.col("entity").alias("kind"), "value", F.when(F.col("entity").startswith("name_"), name).otherwise(F.col("entity")).alias("form"))
+
+
 def surrogates(found: DataFrame, key: bytes = KEY) -> DataFrame:
-    """(kind, value, turn, surrogate) for distinct (kind, value): distinct within a kind, and no value of that kind."""
+    """(kind, value, turn, surrogate) for distinct (kind, value): distinct within a kind, and no value of that kind.
+
+    A column ``form`` names the kind to generate, where it is not ``kind``.
+    """
+    if "form" not in found.columns:
+        found = found.withColumn("form", F.col("kind"))
+
     def generate(df):
         def run(batches):
             for b in batches:
-                rows = list(zip(*(b.column(c).to_pylist() for c in ("kind", "value", "turn"))))
-                yield pa.RecordBatch.from_arrays([b.column("kind"), b.column("value"), b.column("turn"),
+                rows = list(zip(*(b.column(c).to_pylist() for c in ("form", "value", "turn"))))
+                yield pa.RecordBatch.from_arrays([b.column("kind"), b.column("value"), b.column("form"), b.column("turn"),
                                                   pa.array([surrogate(key, k, v, t) for k, v, t in rows], pa.string())],
-                                                 ["kind", "value", "turn", "surrogate"])
-        return df.select("kind", "value", "turn").mapInArrow(run, "kind string, value string, turn int, surrogate string")
+                                                 ["kind", "value", "form", "turn", "surrogate"])
+        return df.select("kind", "value", "form", "turn").mapInArrow(run, "kind string, value string, form string, turn int, surrogate string")
 
     real = found.select("kind", F.col("value").alias("surrogate"))
     cur = stage(generate(found.withColumn("turn", F.lit(0))), "surrogates")
@@ -347,7 +375,7 @@ def surrogates(found: DataFrame, key: bytes = KEY) -> DataFrame:
             return cur.select("kind", "value", "turn", "surrogate")
         marked = cur.join(clash, ["kind", "surrogate"], "left")
         refused = F.coalesce(F.col("clash"), F.lit(False)) & ~F.col("value").eqNullSafe(F.col("owner"))
-        good = marked.where(~refused).select("kind", "value", "turn", "surrogate")
+        good = marked.where(~refused).select("kind", "value", "form", "turn", "surrogate")
         again = generate(marked.where(refused).withColumn("turn", F.col("turn") + 1))
         cur = stage(good.unionByName(again), "surrogates")
 
@@ -357,9 +385,9 @@ def replace_entities(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     modest_batches(df.sparkSession)
     hits = stage(_hits(df, id_col, text_col, True).withColumn("row", F.monotonically_increasing_id()), "texts-with-entities")
     mentions = stage(hits.select("row", F.posexplode("ents").alias("i", "e")).select("row", "i", "e.kind", "e.value"), "mentions")
-    found = stage(mentions.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("mentions")).select("kind", "value"), "entities")
+    found = stage(distinct_entities(mentions), "entities")
     names = stage(surrogates(found, key), "surrogate-table")
-    put = mentions.join(names, ["kind", "value"]).groupBy("row").agg(F.collect_list(F.struct("i", "surrogate")).alias("put"))
+    put = mentions.withColumn("kind", entity_kind()).join(names, ["kind", "value"]).groupBy("row").agg(F.collect_list(F.struct("i", "surrogate")).alias("put"))
     rows = hits.join(stage(put, "replacements"), "row")
     id_type = dict(rows.dtypes)["id"]
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
