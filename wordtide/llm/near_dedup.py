@@ -6,7 +6,8 @@ The join finds every such pair: the signature is split into 16 chunks of 4 symbo
 pigeonhole principle two signatures within 31 differences have a chunk with at most one.
 Each document enumerates that error: for each chunk it emits the four keys that leave one
 symbol out. Documents that share a key meet in a bucket. At a similarity of 0.75 a symbol
-differs with probability 1/4, and more than 31 differences have a probability below 1e-5.
+differs with probability 1/4, and more than 31 differences have a probability of 1.5e-5: so
+many links of pairs at the threshold are lost, fewer above it.
 
 Buckets. Rows are sorted by key and streamed, so no bucket is held in memory. Every row carries
 the two low bits of its 64 symbols; these differ in no more places than the symbols, so a
