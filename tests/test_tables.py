@@ -136,3 +136,13 @@ def test_ranking_without_a_limit_spans_tasks(spark):
     assert {r.id: r["rank"] for r in got.collect()} == want
     assert {r.id: r["rank"] for r in tables.ranked(df, ["g"], order, 7).collect()} == {i: k for i, k in want.items() if k <= 7}
     assert tables.ranked(df.limit(0), ["g"], order).collect() == []
+
+
+def test_ranked_keeps_null_groups(spark):
+    rows = [(g, b, i) for i, (g, b) in enumerate([("a", 1), ("a", None), (None, 1), (None, None)] * 5)]
+    df = spark.createDataFrame(rows, "g string, b int, id int").repartition(3)
+    want = {(g, b, i): 1 + sum((g, b) == r[:2] and r[2] > i for r in rows) for g, b, i in rows}
+    for limit in (None, 0, 9):
+        out = tables.ranked(df, ["g", "b"], [F.desc("id")], limit)
+        assert out.columns == ["g", "b", "id", "rank"]
+        assert {(r.g, r.b, r.id): r["rank"] for r in out.collect()} == want

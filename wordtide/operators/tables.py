@@ -222,5 +222,8 @@ def ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], limit:
     pieces = placed.groupBy(*group, "_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    out = placed.join(pieces, [*group, "_part"])
+    names = [*group, "_part"]  # groups may be null
+    pieces = pieces.withColumnsRenamed({n: f"_right_{n}" for n in names})
+    same = [F.col(n).eqNullSafe(F.col(f"_right_{n}")) for n in names]
+    out = placed.join(pieces, same)
     return out.withColumn("rank", (F.col("_place") - F.col("_first") + F.col("_before") + 1).cast("int")).select(*df.columns, "rank")
