@@ -94,3 +94,19 @@ def test_targets_cap_and_empty(spark):
     assert mixing.taken_words(*mixing.mix(df)).collect() == []
     df = spark.createDataFrame([(1, None, "a", 1), (2, " \n", None, 1)], "doc_id long, text string, source string, _size int")
     assert [r.taken for r in mixing.taken_words(*mixing.mix(df)).collect()] == [0, 0]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 65, 1000, 4097])
+def test_place_inverts_permute(n):
+    for key in (0, 5, 0x3FFFFFFFFFFFFFFF):
+        to = mixing.permute(np.arange(n), n, key)
+        assert [mixing.place(int(v), n, key) for v in to[:300]] == list(range(min(n, 300)))
+
+
+def test_plan_of_a_huge_source_does_not_walk_its_slots():
+    """10^13 words: the short block is found without trying 10^11 slots."""
+    plan = mixing.Plan({"a": 10**13 + 1}, {"a": 2 * 10**13 // 3}, 64, 1)
+    n, key = plan.blocks[0], plan.key(0, 0)
+    at = mixing.place(n - 1, n, key)
+    assert mixing.permute(np.array([at]), n, key)[0] == n - 1
+    assert (plan.part[0] - 1) * 64 + plan.trim[0] - (63 if at < plan.part[0] - 1 else 0) == plan.goal["a"]

@@ -117,6 +117,20 @@ def permute(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
+def place(value: int, n: int, key: int) -> int:
+    """The index that ``permute`` sends to ``value``: its rounds backwards, walking the cycle the other way."""
+    half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
+    mask, bits = np.uint64((1 << half) - 1), np.uint64(half)
+    x = np.array([value], dtype=np.uint64)
+    while True:
+        left, right = x >> bits, x & mask
+        for r in reversed(range(4)):
+            left, right = right ^ (_mix(left, (key * 4 + r + 1) & 0xFFFFFFFFFFFFFFFF) & mask), left
+        x = (left << bits) | right
+        if x[0] < n:
+            return int(x[0])
+
+
 class Plan:
     """Slots per source. ``size`` words in ``blocks`` blocks; ``passes`` whole passes, then ``part`` slots of
     the next, the last of them trimmed to ``trim`` words (0: not trimmed)."""
@@ -144,16 +158,14 @@ class Plan:
         n, short = self.blocks[i], self.sizes[self.order[i]] % self.words
         slots = -(-due // self.words)
         if short:  # one block is short: if it is among the slots, they may lack words
-            lot = 1 << 16
-            for a in range(0, slots, lot):
-                found = np.flatnonzero(permute(np.arange(a, min(slots, a + lot)), n, self.key(i, turn)) == n - 1)
-                if len(found):
-                    have = (slots - 1) * self.words + short
-                    if have < due:
-                        return slots + 1, due - have
-                    if a + found[0] == slots - 1:
-                        return slots, due - (slots - 1) * self.words
-                    return slots, due - ((slots - 2) * self.words + short)
+            at = place(n - 1, n, self.key(i, turn))
+            if at < slots:
+                have = (slots - 1) * self.words + short
+                if have < due:
+                    return slots + 1, due - have
+                if at == slots - 1:
+                    return slots, due - (slots - 1) * self.words
+                return slots, due - ((slots - 2) * self.words + short)
         return slots, due - (slots - 1) * self.words
 
     def draw(self, shard_blocks: int) -> list[tuple[int, int, int, int]]:
