@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wordtide.llm import ann, exact_dedup, mixing, near_dedup, packing, pii, quality, suffix_dedup, token_count, warc
+from wordtide.llm import ann, exact_dedup, mixing, near_dedup, packing, pii, quality, repair, suffix_dedup, token_count, warc
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_minhash_near_dedup": near_dedup.op8_minhash_near_dedup,
     "op9_warc": warc.op9_warc,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op13_repair": repair.op13_repair,
 }
 
 ORACLE = {
