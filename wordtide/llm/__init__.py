@@ -13,6 +13,8 @@ registered query on top of it:
   near_dedup.py     MinHash near-duplicates by a multi-index Hamming join
   warc.py           WARC writer and sequential reader
   exact_dedup.py    exact duplicates by deterministic block naming (native)
+  prefix_trie.py    prefix trie of conversations by the Euler-tour technique
+  centroids.py      centroid clustering with a table of pivot distances (LAESA)
   repair.py         token files compressed by Re-Pair grammars
   registry.py       the registered queries and their SQL
 """
