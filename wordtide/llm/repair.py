@@ -451,7 +451,9 @@ def read_files(files: DataFrame, id_type: str = "bigint") -> DataFrame:
                      pa.array(at), pa.array(crc, pa.int64()), pa.array([len(ids)] * len(n), pa.int64())],
                     ["part", "shard", *docs.column_names, "at", "crc", "n_ids"])
 
-    return files.select("part", "shard", "path").repartition("path").mapInArrow(
+    # a fixed number of tasks: rows of the list are small, what they stand for is not
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.select("part", "shard", "path").repartition(tasks, "path").mapInArrow(
         read, f"part int, shard int, number long, id {id_type}, before long, n long, closed boolean, at long, crc long, n_ids long")
 
 
