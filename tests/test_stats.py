@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wordtide.functions import stats as S
+from wordtide.functions.beta import binomial_bounds
 from wordtide.operators import weekly
 
 
@@ -54,11 +55,43 @@ def test_clopper_pearson_empty_total_is_null(spark):
     assert got[(3, 10)][0] < 0.3 < got[(3, 10)][1]
 
 
-def test_t_pvalue_series_and_closed_form(spark):
-    for t in [0.0, 0.5, 1.0, S.T_975_DF6, 10.0, 50.0]:
-        (row,) = spark.range(1).select(F.expr(S.pvalue_df6_sql(f"CAST({t!r} AS DOUBLE)")).alias("p")).collect()
-        assert row.p == pytest.approx(S.t_two_sided_p(t, 6), rel=1e-9, abs=1e-15)
-    assert S.t_two_sided_p(S.T_975_DF6, 6) == pytest.approx(0.05, abs=1e-12)
+@pytest.mark.parametrize("df", [1, 2, 3, 4, 6, 11, 30, 101])
+def test_t_tail_series_and_closed_form(spark, df):
+    ts = [0.0, 1e-9, 0.3, 1.0, S.T_975_DF6, 10.0, 50.0, 1e4]
+    rows = spark.createDataFrame([(t, df / (df + t * t)) for t in ts], "t double, x double").select("t", F.expr(S.t_tail_sql("x", df)).alias("p")).collect()
+    for r in rows:
+        assert r.p == pytest.approx(float(S.t_two_sided_p(r.t, df)), rel=1e-9, abs=1e-15)
+    with pytest.raises(ValueError):
+        S.t_tail_sql("x", 0)
+
+
+def test_t_quantiles():
+    assert S.t_quantile(0.95, 6) == pytest.approx(S.T_975_DF6, rel=1e-15)
+    assert S.t_quantile(0.95, 1) == pytest.approx(math.tan(0.475 * math.pi), rel=1e-13)
+    assert S.t_quantile(0.5, 2) == pytest.approx(math.sqrt(2 / 3), rel=1e-14)  # p = t / sqrt(2 + t^2)
+    for df in (1, 2, 3, 5, 10, 40, 200):
+        for central in (0.0, 0.1, 0.9, 0.99, 0.9999):
+            t = S.t_quantile(central, df)
+            assert float(S.t_two_sided_p(t, df)) == pytest.approx(1 - central, rel=1e-10)
+
+
+@pytest.mark.parametrize("points", [3, 4, 5, 13])
+def test_regression_of_any_length(spark, points):
+    rng = np.random.default_rng(points)
+    rates = (0.2 + 0.01 * np.arange(points + 2) + rng.normal(0, 0.02, points + 2)).tolist()
+    out = weekly.with_regression(_weeks(spark, rates), points=points).orderBy("i").collect()
+    assert [r.has_regression for r in out] == [i >= points - 1 for i in range(points + 2)]
+    for r in out[points - 1:]:
+        x, y = np.arange(points), np.array(rates[r.i - points + 1:r.i + 1])
+        slope, intercept = np.polyfit(x, y, 1)
+        rest = y - intercept - slope * x
+        se_b = math.sqrt((rest ** 2).sum() / (points - 2) / ((x - x.mean()) ** 2).sum())
+        assert r.slope == pytest.approx(slope, rel=1e-8) and r.intercept == pytest.approx(intercept, rel=1e-8)
+        assert r.p_value == pytest.approx(float(S.t_two_sided_p(slope / se_b, points - 2)), rel=1e-7)
+        assert float(S.t_two_sided_p((r.slope_ci_upper - r.slope) / se_b, points - 2)) == pytest.approx(0.05, rel=1e-7)
+        assert str(r.analysis_end_date - r.analysis_start_date).startswith(f"{7 * points - 1} days")
+    with pytest.raises(ValueError):
+        weekly.with_regression(_weeks(spark, rates), points=2)
 
 
 def _weeks(spark, rates, board="b", term=1, start="2024-01-01"):
@@ -120,3 +153,22 @@ def test_regression_needs_eight_consecutive_weeks(spark):
     out = weekly.with_regression(df).orderBy("i").collect()
     assert [r.i for r in out if r.has_regression] == []
     assert math.isfinite(out[-1].appearance_rate)
+
+
+def test_native_interval_equals_the_kernel(spark):
+    pairs = [(k, n) for n in (1, 2, 3, 7, 20, 100) for k in range(n + 1)] + [(0, 1000), (1, 1000), (500, 1000), (999, 1000), (3, 10 ** 5), (50_000, 10 ** 5),
+             (12, 10 ** 6), (999_990, 10 ** 6), (500_000, 10 ** 6), (1500, 10 ** 6), (2500, 10 ** 6), (7, 10 ** 10)]
+    bad = [(0, 0), (-1, 5), (6, 5), (None, 5), (2, None), (1, -3)]
+    for alpha in (0.05, 0.001):
+        df = spark.createDataFrame(pairs + bad, "k long, n long").repartition(8)
+        out = {(r.k, r.n): r for r in binomial_bounds(df, "k", "n", alpha).collect()}
+        lo, hi = S.clopper_pearson([k for k, _ in pairs], [n for _, n in pairs], alpha)
+        for p, a, b in zip(pairs, lo, hi):
+            assert out[p].lower == pytest.approx(a, rel=1e-11, abs=1e-300) and out[p].upper == pytest.approx(b, rel=1e-11), p
+        assert all((out[p].lower, out[p].upper) == (None, None) for p in bad)
+
+
+def test_interval_has_no_python_node(spark):
+    df = spark.createDataFrame([(1, 5)], "post_hits long, total_posts long")
+    plan = weekly.with_binomial_ci(df, native=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -34,10 +34,10 @@ def test_token_arrays_keep_nulls(spark):
 
 
 def test_regex_tokens_script_runs(spark):
-    df = spark.createDataFrame([("Python3とプログラミング言語の話 ok",), (None,)], "content string")
+    df = spark.createDataFrame([("Python3とプログラミング言語の話 ok",), (None,), ("",)], "content string")
     rows = df.select(regex_tokens(F.col("content")).alias("t")).collect()
     assert rows[0].t == ["Python3", "プログラミング", "言語", "話", "ok"]
-    assert rows[1].t is None
+    assert rows[1].t == rows[2].t == []  # no text is no failure
 
 
 def test_udf_tokenizer_isolates_failures(spark):
@@ -46,7 +46,8 @@ def test_udf_tokenizer_isolates_failures(spark):
             raise RuntimeError("tokenizer failure")
         return text.split()
 
-    df = spark.createDataFrame([("a b",), ("boom",), ("c",)], "content string")
+    df = spark.createDataFrame([("a b",), ("boom",), ("c",), (None,), ("",)], "content string")
     out = df.select("content", safe_udf_tokenizer(tok)(F.col("content")).alias("t")).collect()
     got = {r.content: r.t for r in out}
+    assert got[None] == got[""] == []
     assert got["a b"] == ["a", "b"] and got["boom"] is None and got["c"] == ["c"]

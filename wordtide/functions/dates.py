@@ -45,9 +45,9 @@ def previous_week(execution_date: Column) -> tuple[Column, Column]:
     return start, F.date_add(start, 6)
 
 
-def analysis_window(week: Column) -> tuple[Column, Column]:
-    """Regression window = [week - 49 days, week + 6 days]."""
-    return F.date_sub(week, HISTORY_DAYS), F.date_add(week, 6)
+def analysis_window(week: Column, days: int = HISTORY_DAYS) -> tuple[Column, Column]:
+    """Regression window = [week - 49 days, week + 6 days]; ``days`` for other numbers of weeks."""
+    return F.date_sub(week, days), F.date_add(week, 6)
 
 
 def iso(d: Column) -> Column:

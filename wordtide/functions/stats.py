@@ -9,7 +9,6 @@ vectorised numpy kernel behind an Arrow UDF, applied to *distinct* (k, n) pairs.
 from __future__ import annotations
 
 import math
-from math import comb
 
 import numpy as np
 import pandas as pd
@@ -22,7 +21,7 @@ DEFAULT_ALPHA = 0.05
 # z-score needs this many history weeks; a sd below the epsilon gives z = 0.
 ZSCORE_MIN_HISTORY = 7
 ZSCORE_SD_EPSILON = 1e-10
-# Regression needs exactly this many weekly points (x = 0..7).
+# The stored regression needs exactly this many weekly points (x = 0..7).
 REGRESSION_POINTS = 8
 # 97.5 % quantile of Student's t with 6 degrees of freedom (8 points - 2).
 T_975_DF6 = 2.4469118511449692
@@ -41,53 +40,105 @@ def zscore(current: Column, n_hist: Column, mean_hist: Column, sd_hist: Column)
 # ------------------------------------------------- OLS inference
 
 
-def _series_coefficients(terms: int = 25) -> list[float]:
-    # c_k = C(2k, k) / 4^k, the Taylor coefficients of (1 - x)^(-1/2); k >= 3.
-    return [comb(2 * k, k) / 4.0 ** k for k in range(3, 3 + terms)]
+def _central_weights(df: int) -> list[float]:
+    """u_0, u_1, ...: P(|T| <= t) for t = sqrt(df) tan(theta) is, with x = cos(theta)^2,
 
+    for even df  sin(theta) (u_0 + u_1 x + ...)                                 of df / 2 terms, u_j = u_(j-1) (2j - 1) / (2j);
+    for odd df   2 / pi (theta + sin(theta) cos(theta) (u_0 + u_1 x + ...))     of (df - 1) / 2 terms, u_j = u_(j-1) (2j) / (2j + 1).
+    """
+    out = []
+    for j in range(df // 2):
+        out.append(out[-1] * ((2 * j) / (2 * j + 1) if df % 2 else (2 * j - 1) / (2 * j)) if j else 1.0)
+    return out
 
-def pvalue_df6_sql(t: str) -> str:
-    """Two-sided p-value of Student's t with 6 df as a SQL expression of ``t``.
 
-    With x = 6 / (6 + t^2): p = I_x(3, 1/2) = 1 - sqrt(1-x) (1 + x/2 + 3x^2/8).
-    The closed form cancels for small x, where the tail series
-    sqrt(1-x) * sum_{k>=3} c_k x^k is used instead.  Works in Spark SQL and DuckDB.
-    """
-    x = f"(6.0 / (6.0 + ({t}) * ({t})))"
-    coeffs = _series_coefficients()
-    horner = repr(coeffs[-1])
-    for c in reversed(coeffs[:-1]):
-        horner = f"({repr(c)} + {x} * {horner})"
-    series = f"(sqrt(1.0 - {x}) * {x} * {x} * {x} * {horner})"
-    closed = f"(1.0 - sqrt(1.0 - {x}) * (1.0 + {x} / 2.0 + 3.0 * {x} * {x} / 8.0))"
-    return f"(CASE WHEN {x} < 0.2 THEN {series} ELSE {closed} END)"
+def t_central(t: float, df: int) -> float:
+    """P(|T| <= t) of Student's t with a whole number of degrees of freedom, t >= 0."""
+    theta = math.atan2(t, math.sqrt(df))
+    x, total = math.cos(theta) ** 2, 0.0
+    for u in reversed(_central_weights(df)):
+        total = total * x + u
+    return 2 / math.pi * (theta + math.sin(theta) * math.cos(theta) * total) if df % 2 else math.sin(theta) * total
+
+
+def t_quantile(central: float, df: int) -> float:
+    """t with P(|T| <= t) = ``central``: Newton from 0, where the concave distribution keeps every step short of the root."""
+    if df < 1 or not 0 <= central < 1:
+        raise ValueError("needs df >= 1 and a probability below 1")
+    front = 2 * math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(df * math.pi)
+    t = 0.0
+    for _ in range(10_000):
+        step = (central - t_central(t, df)) / (front * (1 + t * t / df) ** (-(df + 1) / 2))
+        if step <= 1e-15 * t:
+            break
+        t += step
+    return t
+
 
+#: The tail series below this x, with so many terms; the closed form above, where the tail is not small.
+TAIL_SERIES_BELOW, TAIL_TERMS = 0.6, 90
 
-def regression_sql(n: str, slope: str, ybar: str, sxx: str, sxy: str, syy: str) -> dict[str, str]:
-    """OLS on x = 0..n-1 from window aggregates, as SQL expressions (Spark and DuckDB).
+
+def _horner(coefficients: list[float], x: str) -> str:
+    out = repr(coefficients[-1])
+    for c in reversed(coefficients[:-1]):
+        out = f"({c!r} + {x} * {out})"
+    return out
+
+
+def t_tail_sql(x: str, df: int) -> str:
+    """Two-sided p-value of Student's t as a SQL expression of x = df / (df + t^2), for Spark and DuckDB.
+
+    p = I_x(df/2, 1/2). The closed form (a finite sum, see ``_central_weights``) cancels for small x; there the
+    series x^a / B(a, 1/2) * sum c_k x^k / (a + k), a = df/2, c_k = C(2k, k) / 4^k, has positive terms only.
+    """
+    if df < 1:
+        raise ValueError("Student's t needs at least one degree of freedom")
+    a, c, terms = df / 2, 1.0, []
+    front = math.exp(math.lgamma(a + 0.5) - math.lgamma(a)) / math.sqrt(math.pi)
+    for k in range(TAIL_TERMS):
+        terms.append(front * c / (a + k))
+        c *= (2 * k + 1) / (2 * k + 2)
+    series = f"(power({x}, {a!r}) * {_horner(terms, x)})"
+    weights = _central_weights(df)
+    poly = _horner(weights, x) if weights else "0.0"
+    if df % 2:
+        closed = f"(1.0 - {2 / math.pi!r} * (asin(sqrt(1.0 - {x})) + sqrt({x} * (1.0 - {x})) * {poly}))"
+    else:
+        closed = f"(1.0 - sqrt(1.0 - {x}) * {poly})"
+    return f"(CASE WHEN {x} < {TAIL_SERIES_BELOW} THEN {series} ELSE {closed} END)"
+
+
+def regression_sql(points: int, slope: str, ybar: str, sxx: str, sxy: str, syy: str, alpha: float = DEFAULT_ALPHA) -> dict[str, str]:
+    """OLS on x = 0..points-1 from window aggregates, as SQL expressions (Spark and DuckDB).
 
     x is regressed in absolute week numbers; slope and the sums of squares do not
     depend on the origin, and the intercept at x = 0 of the frame is
-    ybar - slope * (n - 1) / 2.  Only the n = 8 case is stored, so the t quantile
-    is the df = 6 literal.  A zero residual variance gives p = 0 for a non-zero
-    slope and NULL (not NaN) for a flat series.
+    ybar - slope * (points - 1) / 2.  The t quantile of points - 2 degrees of freedom is a literal; ``t_x`` is the
+    argument of the tail (``t_tail_sql``), to be kept as a column of that name.  A zero residual variance
+    gives p = 0 for a non-zero slope and NULL (not NaN) for a flat series.
     """
-    s2 = f"greatest(({syy} - {sxy} * {sxy} / {sxx}) / ({n} - 2), 0.0)"
+    df = points - 2
+    if df < 1:
+        raise ValueError("a regression with intervals needs at least 3 points")
+    quantile = T_975_DF6 if (df, alpha) == (6, DEFAULT_ALPHA) else t_quantile(1 - alpha, df)
+    # what is left of the difference below 1e-14 of the sum of squares is rounding: the points lie on a line
+    rest = f"({syy} - {sxy} * {sxy} / {sxx})"
+    s2 = f"(CASE WHEN {rest} <= 1e-14 * {syy} THEN 0.0 ELSE {rest} / {df}.0 END)"
     se_b = f"sqrt({s2} / {sxx})"
-    xbar = f"(({n} - 1) / 2.0)"
-    se_a = f"sqrt({s2} * (1.0 / {n} + {xbar} * {xbar} / {sxx}))"
-    intercept = f"({ybar} - {slope} * {xbar})"
-    t = f"({slope} / {se_b})"
+    xbar = (points - 1) / 2.0
+    se_a = f"sqrt({s2} * ({1 / points!r} + {xbar * xbar!r} / {sxx}))"  # no quotient of decimal literals
+    intercept = f"({ybar} - {slope} * {xbar!r})"
     return {
         "intercept": intercept,
         "slope": slope,
-        "intercept_ci_lower": f"({intercept} - {T_975_DF6} * {se_a})",
-        "intercept_ci_upper": f"({intercept} + {T_975_DF6} * {se_a})",
-        "slope_ci_lower": f"({slope} - {T_975_DF6} * {se_b})",
-        "slope_ci_upper": f"({slope} + {T_975_DF6} * {se_b})",
-        "p_value": (f"(CASE WHEN {sxx} <= 0 THEN NULL WHEN {s2} = 0 THEN "
-                    f"(CASE WHEN {slope} = 0 THEN NULL ELSE 0.0 END) "
-                    f"ELSE least(greatest({pvalue_df6_sql(t)}, 0.0), 1.0) END)"),
+        "intercept_ci_lower": f"({intercept} - {quantile!r} * {se_a})",
+        "intercept_ci_upper": f"({intercept} + {quantile!r} * {se_a})",
+        "slope_ci_lower": f"({slope} - {quantile!r} * {se_b})",
+        "slope_ci_upper": f"({slope} + {quantile!r} * {se_b})",
+        # df / (df + t^2) with t = slope / se_b; 0 where the residuals vanish, NULL for a flat series
+        "t_x": f"({df}.0 * {s2} / nullif({df}.0 * {s2} + {slope} * {slope} * {sxx}, 0.0))",
+        "p_value": f"(CASE WHEN {sxx} <= 0 OR ({s2} = 0 AND {slope} = 0) THEN NULL ELSE least(greatest({t_tail_sql('t_x', df)}, 0.0), 1.0) END)",
         "r_squared": f"(CASE WHEN {syy} = 0 OR {sxx} = 0 THEN NULL ELSE {sxy} * {sxy} / ({sxx} * {syy}) END)",
     }
 

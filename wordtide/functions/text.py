@@ -37,23 +37,23 @@ TOKEN_PATTERN_RE2 = r"[\p{Latin}\p{Nd}]+|\p{Han}+|[\p{Katakana}ー]+"
 
 
 def regex_tokens(content: Column, pattern: str = TOKEN_PATTERN) -> Column:
-    """Surfaces in text order; NULL content gives NULL (a tokenizer failure)."""
-    return F.regexp_extract_all(content, F.lit(pattern), F.lit(0))
+    """Surfaces in text order; null and empty texts have none (T5: that is no failure)."""
+    return F.coalesce(F.regexp_extract_all(content, F.lit(pattern), F.lit(0)), F.array().cast("array<string>"))
 
 
 def safe_udf_tokenizer(fn: Callable[[str], Iterable[str]]):
     """Wrap a per-text Python tokenizer as a pandas UDF returning array<string>.
 
     T5: an exception on one text yields NULL for that row (counted as a
-    tokenizer failure) and the other rows go on.
+    tokenizer failure) and the other rows go on. Null and empty texts have no tokens.
     """
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def _tok(s: pd.Series) -> pd.Series:
         out = []
         for text in s:
-            if text is None:
-                out.append(None)
+            if not text:
+                out.append([])
                 continue
             try:
                 out.append([t for t in fn(text)])

@@ -3,7 +3,7 @@
 One pass over the posts makes the counts of every (date, board, term):
 
   1. tokens are normalised inside their array, so no token row is joined to a vocabulary;
-  2. each post yields its distinct terms (for hits) and all its tokens (for occurrences);
+  2. each post yields a row per token, of which the first of its kind in the sorted array is the hit;
   3. (date, board, thread, term) -> posts, occurrences        (partial aggregation map-side)
   4. (date, board, term)         -> post_hits, thread_hits, occurrences
 
@@ -11,33 +11,42 @@ The term NULL stands for the posts themselves: its post_hits are the posts, its
 and its occurrences the tokenizer failures (A1). The term '' collects the tokens that normalise to nothing.
 The dictionary is joined at the (date, board, term) grain, where a word has one row per day and board however
 often it occurs, and the metrics (A4) are sums over the same table.
+
+Where only the metrics are asked for, no term is counted: sizes of the posts' arrays are summed per thread and day
+(``day_totals``), with the blocked words as a filter inside the array.
 """
 
 from __future__ import annotations
 
-from typing import Callable, Optional
+from functools import cached_property
+from typing import Callable, Iterable, Optional
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordtide.functions.text import nfkc, normalize_after_nfkc, normalize_tokens
-from wordtide.operators import tables, terms as T
+from wordtide.operators import segment, tables, terms as T
 
 DAY = ["date", "board_key"]
 # Copies of the noun list, so a frequent surface is spread over as many join keys.
 LEXICON_SALT = 32
+# Blocked words up to this many are a filter inside the token array; more are joined to the counts.
+BLOCKED_LITERALS = 10_000
+
 
+def _entries(rows: DataFrame, items: Column, name: str, keep: list[str]) -> DataFrame:
+    """Per post: one row per item (occ 1; hit 1 where it is the first of its kind), and NULL for the post itself
+    (occ 1 if the tokenizer failed). ``items`` NULL is a failure. Equal items stand together in the sorted array."""
+    rows = rows.select(*keep, F.sort_array(items).alias("_s"))
 
-def _entries(items: Column, failed: Column, name: str) -> Column:
-    """Distinct items as hits, all items as occurrences, and one NULL entry for the post itself."""
     def entry(value, hit, occ):
-        return F.struct(value.alias(name), F.lit(hit).cast("long").alias("hit"), occ.cast("long").alias("occ"))
+        return F.struct(value.alias(name), hit.cast("long").alias("hit"), occ.cast("long").alias("occ"))
 
+    one = F.lit(1)
+    found = F.transform("_s", lambda x, i: entry(x, F.when((i > 0) & (x == F.get(F.col("_s"), i - 1)), 0).otherwise(1), one))
     none = F.array().cast(f"array<struct<{name}: string, hit: bigint, occ: bigint>>")
-    return F.concat(
-        F.array(entry(F.lit(None).cast("string"), 1, F.when(failed, 1).otherwise(0))),
-        F.coalesce(F.transform(F.array_distinct(items), lambda t: entry(t, 1, F.lit(0))), none),
-        F.coalesce(F.transform(items, lambda t: entry(t, 0, F.lit(1))), none))
+    post = F.array(entry(F.lit(None).cast("string"), one, F.when(F.col("_s").isNull(), 1).otherwise(0)))
+    return rows.select(*keep, F.inline(F.concat(post, F.coalesce(found, none))))
 
 
 def _by_day(per_thread: DataFrame) -> DataFrame:
@@ -45,34 +54,40 @@ def _by_day(per_thread: DataFrame) -> DataFrame:
         F.sum("hit").alias("post_hits"), F.count_if(F.col("hit") > 0).alias("thread_hits"), F.sum("occ").alias("occurrences"))
 
 
-def term_counts(tok: DataFrame, lexicon: Optional[DataFrame] = None) -> DataFrame:
+def term_counts(tok: DataFrame, words: Optional[DataFrame] = None) -> DataFrame:
     """(date, board_key, term, post_hits, thread_hits, occurrences); see the module text for the terms NULL and ''.
 
     A post counts once for a term however often it holds it; identical posts count separately (A2/A3).
-    With a lexicon (T2) only surfaces tagged as nouns are tokens.
+    ``words`` (surface, noun, times) says which nouns a surface stands for (T2): itself where a noun list
+    tags it, or the nouns that it is segmented into. Other surfaces are no tokens.
     """
-    if lexicon is not None:
-        return _lexicon_counts(tok, lexicon)
+    if words is not None:
+        return _word_counts(tok, words)
     # normalised once, before the array is used twice
-    rows = tok.select(*DAY, "thread_path", normalize_tokens(F.col("tokens")).alias("terms"), F.col("tokens").isNull().alias("_failed"))
-    rows = rows.select(*DAY, "thread_path", F.inline(_entries(F.filter("terms", lambda t: t.isNotNull()), F.col("_failed"), "term")))
+    rows = tok.select(*DAY, "thread_path", normalize_tokens(F.col("tokens")).alias("terms"))
+    rows = _entries(rows, F.filter("terms", lambda t: t.isNotNull()), "term", [*DAY, "thread_path"])
     return _by_day(rows.groupBy(*DAY, "thread_path", "term").agg(F.sum("hit").alias("hit"), F.sum("occ").alias("occ")))
 
 
-def _lexicon_counts(tok: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """``term_counts`` where surfaces are joined to a noun list: posts are reduced to (post, surface) first, and the
+def noun_list(lexicon: DataFrame) -> DataFrame:
+    """(surface, noun, times) of a (surface, pos) lexicon: its nouns stand for themselves."""
+    return T.nouns(lexicon).select("surface", F.col("surface").alias("noun"), F.lit(1).cast("long").alias("times"))
+
+
+def _word_counts(tok: DataFrame, words: DataFrame) -> DataFrame:
+    """``term_counts`` where surfaces are joined to ``words``: posts are reduced to (post, surface) first, and the
     list is salted, so a surface that most posts hold is spread over ``LEXICON_SALT`` keys."""
     post = [*DAY, "thread_path", "post_key"]
-    rows = tok.select(*post, F.inline(_entries(F.filter("tokens", lambda t: t != ""), F.col("tokens").isNull(), "surface")))
+    rows = _entries(tok, F.filter("tokens", lambda t: t != ""), "surface", post)
     rows = rows.groupBy(*post, "surface").agg(F.sum("hit").alias("hit"), F.sum("occ").alias("occ"))
     salt = F.pmod(F.xxhash64("thread_path", "post_key"), F.lit(LEXICON_SALT))
-    nouns = T.nouns(lexicon).withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(LEXICON_SALT - 1).cast("long"))))
-    words = rows.where("surface IS NOT NULL").withColumn("_salt", salt).join(nouns, ["surface", "_salt"])
-    words = words.withColumn("term", normalize_after_nfkc(nfkc(F.col("surface"))))
+    nouns = words.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(LEXICON_SALT - 1).cast("long"))))
+    found = rows.where("surface IS NOT NULL").withColumn("_salt", salt).join(nouns, ["surface", "_salt"])
+    found = found.select(*post, normalize_after_nfkc(nfkc(F.col("noun"))).alias("term"), "hit", (F.col("occ") * F.col("times")).alias("occ"))
     # two spellings of a term in one post count once; identical posts share the key and have the same spellings
-    words = words.groupBy(*post, "term").agg(F.max("hit").alias("hit"), F.sum("occ").alias("occ"))
+    found = found.groupBy(*post, "term").agg(F.max("hit").alias("hit"), F.sum("occ").alias("occ"))
     posts = rows.where("surface IS NULL").select(*post, F.lit(None).cast("string").alias("term"), "hit", "occ")
-    both = words.unionByName(posts)
+    both = found.unionByName(posts)
     return _by_day(both.groupBy(*DAY, "thread_path", "term").agg(F.sum("hit").alias("hit"), F.sum("occ").alias("occ")))
 
 
@@ -87,6 +102,9 @@ def term_stats(counts: DataFrame, terms: DataFrame) -> DataFrame:
         *DAY, "term_id", "normalized", "post_hits", "thread_hits")
 
 
+TOTALS = ["fetched_threads", "fetched_posts", "parsed_posts", "tokenize_fail_posts", "total_tokens", "filtered_tokens"]
+
+
 def day_metrics(counts: DataFrame, terms: DataFrame) -> DataFrame:
     """A1 and A4 per (date, board): threads, posts, failures, tokens, filtered tokens (empty or blocked)."""
     blocked = terms.where("is_blocked").select(F.col("normalized").alias("term"), F.lit(True).alias("_blocked"))
@@ -96,11 +114,22 @@ def day_metrics(counts: DataFrame, terms: DataFrame) -> DataFrame:
     def total(cond, col):
         return F.coalesce(F.sum(F.when(cond, F.col(col))), F.lit(0).cast("long"))
 
-    return c.groupBy(*DAY).agg(
-        total(post, "thread_hits").alias("fetched_threads"), total(post, "post_hits").alias("fetched_posts"),
-        total(post, "post_hits").alias("parsed_posts"), total(post, "occurrences").alias("tokenize_fail_posts"),
-        total(token, "occurrences").alias("total_tokens"),
-        total(token & ((F.col("term") == "") | F.col("_blocked")), "occurrences").alias("filtered_tokens"))
+    sums = [total(post, "thread_hits"), total(post, "post_hits"), total(post, "post_hits"), total(post, "occurrences"), total(token, "occurrences"),
+            total(token & ((F.col("term") == "") | F.col("_blocked")), "occurrences")]
+    return c.groupBy(*DAY).agg(*[x.alias(n) for x, n in zip(sums, TOTALS)])
+
+
+def day_totals(tok: DataFrame, blocked: Iterable[str] = ()) -> DataFrame:
+    """``day_metrics`` straight from the posts, for blocked words given as a list: no token becomes a row."""
+    blocked = list(blocked)
+    rows = tok.select(*DAY, "thread_path", normalize_tokens(F.col("tokens")).alias("terms"))
+    none = F.lit(0).cast("long")
+    drop = F.filter("terms", lambda t: (t == "") | t.isin(blocked) if blocked else t == "")
+    rows = rows.groupBy(*DAY, "thread_path").agg(
+        F.count(F.lit(1)).alias("posts"), F.count_if(F.col("terms").isNull()).alias("failed"),
+        F.coalesce(F.sum(F.size(F.filter("terms", lambda t: t.isNotNull()))), none).alias("tokens"), F.coalesce(F.sum(F.size(drop)), none).alias("dropped"))
+    sums = [F.count(F.lit(1)), F.sum("posts"), F.sum("posts"), F.sum("failed"), F.sum("tokens"), F.sum("dropped")]
+    return rows.groupBy(*DAY).agg(*[x.alias(n) for x, n in zip(sums, TOTALS)])
 
 
 def filtered_rate(filtered: Column, total: Column) -> Column:
@@ -144,44 +173,85 @@ def daily_metrics(targets: DataFrame, metrics: DataFrame) -> DataFrame:
 
 
 class DailyResult:
-    """Outputs of one daily job: the updated dictionary, term stats, metrics and the counts behind them."""
-
-    def __init__(self, terms: DataFrame, stats: DataFrame, metrics: DataFrame, counts: DataFrame):
-        self.terms = terms
-        self.stats = stats
-        self.metrics = metrics
-        self.counts = counts
+    """Outputs of one daily job, each made when it is first asked for: the counts at (date, board, term) grain, the
+    updated dictionary, term stats and metrics. See ``run_daily`` for the parameters."""
+
+    def __init__(self, tok, stored, targets, words, prepare, keep, block_words, block_reason):
+        self._tok, self._stored, self._targets, self._words = tok, stored, targets, words
+        self._prepare, self._keep, self._block, self._reason = prepare, keep, list(block_words), block_reason
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        return self._keep(term_counts(self._tok, self._words), "term-counts")
+
+    @cached_property
+    def terms(self) -> DataFrame:
+        new = T.get_or_create_terms(self._stored, self.counts.where(is_term()).select(F.col("term").alias("normalized")))
+        if self._block:
+            new = T.block_by_text(new, self._block, self._reason)
+        if self._prepare is not None:
+            new = self._prepare(new)
+        return self._keep(new, "dictionary")
+
+    @cached_property
+    def stats(self) -> DataFrame:
+        return term_stats(self.counts, self.terms).withColumn("created_at", F.localtimestamp())
+
+    def _blocked_words(self) -> Optional[list[str]]:
+        """The blocked words as a list, if they are known without the dictionary and few."""
+        if self._words is not None or self._prepare is not None:
+            return None
+        rows = self._stored.where("is_blocked").select("normalized").limit(BLOCKED_LITERALS + 1).collect()
+        return [r.normalized for r in rows] + self._block if len(rows) <= BLOCKED_LITERALS else None
+
+    @cached_property
+    def totals(self) -> DataFrame:
+        """A1/A4 per (date, board): from the counts where they are made anyway, else from the posts."""
+        if "counts" not in self.__dict__ and (blocked := self._blocked_words()) is not None:
+            return self._keep(day_totals(self._tok, blocked), "day-totals")
+        return day_metrics(self.counts, self.terms)
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        t = self._targets
+        return daily_metrics(self.days() if t is None else t(self.days()) if callable(t) else t, self.totals)
 
     def days(self) -> DataFrame:
         """The (date, board) pairs that have posts."""
-        return self.counts.where("term IS NULL").select(*DAY)
+        if "counts" in self.__dict__:
+            return self.counts.where("term IS NULL").select(*DAY)
+        return self.totals.select(*DAY)
 
 
 def run_daily(posts: DataFrame, terms: DataFrame, targets: Optional[Callable[[DataFrame], DataFrame] | DataFrame] = None,
               lexicon: Optional[DataFrame] = None,
               tokenizer: Optional[Callable[[Column], Column]] = None,
               prepare_terms: Optional[Callable[[DataFrame], DataFrame]] = None,
-              materialize: Optional[Callable[[DataFrame, str], DataFrame]] = None) -> DailyResult:
+              materialize: Optional[Callable[[DataFrame, str], DataFrame]] = None,
+              segmenter: Optional[Callable[[DataFrame], DataFrame]] = None,
+              block_words: Iterable[str] = (), block_reason: Optional[str] = None) -> DailyResult:
     """T1 -> T3 -> D3 -> D6 -> A2/A3 and A4 for every (date, board) at once.
 
     ``stats`` has (date, board_key, term_id, normalized, post_hits, thread_hits,
     created_at); drop ``normalized`` before writing the declared table.
     ``targets`` are the (date, board) pairs that get metrics, or a function of the pairs with posts.
-    ``prepare_terms`` edits the grown dictionary before it is applied (e.g. blocks).
+    ``block_words`` are blocked in the grown dictionary before it is applied; ``prepare_terms`` edits it in any way.
     ``materialize(df, name)`` (e.g. ``session.stage``) is applied to the day-grain counts and to the dictionary, so
     the posts are read once however many results are used.
+    ``lexicon`` keeps the surfaces it tags as nouns; ``segmenter`` (e.g. ``segment.segment`` with a lexicon and connection
+    costs) cuts runs of letters into words, (run) -> (run, words), and the nouns among them count.
     """
     keep = materialize or (lambda df, name: df)
-    counts = keep(term_counts(T.tokenize_posts(posts, tokenizer), lexicon), "term-counts")
-    new_terms = T.get_or_create_terms(terms, counts.where(is_term()).select(F.col("term").alias("normalized")))
-    if prepare_terms is not None:
-        new_terms = prepare_terms(new_terms)
-    new_terms = keep(new_terms, "dictionary")
-    stats = term_stats(counts, new_terms).withColumn("created_at", F.localtimestamp())
-    days = counts.where("term IS NULL").select(*DAY)
-    tgt = days if targets is None else targets(days) if callable(targets) else targets
-    metrics = daily_metrics(tgt, day_metrics(counts, new_terms))
-    return DailyResult(new_terms, stats, metrics, counts)
+    words = None
+    if segmenter is not None:
+        tok = T.tokenize_posts(posts, segment.runs)
+        runs = tok.select(F.explode("tokens").alias("run")).distinct()
+        words = keep(segment.nouns_of_runs(segmenter(runs)), "segmented-runs")
+    else:
+        tok = T.tokenize_posts(posts, tokenizer)
+        if lexicon is not None:
+            words = noun_list(lexicon)
+    return DailyResult(tok, terms, targets, words, prepare_terms, keep, block_words, block_reason)
 
 
 def top_terms_of_day(stats: DataFrame, limit: Optional[int] = None, offset: int = 0,

@@ -114,9 +114,13 @@ def violations(df: DataFrame, table: str) -> Column:
     return F.filter(F.array(*items), lambda x: x.isNotNull())
 
 
-def split_valid(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
-    """W20-style quarantine: (good rows, bad rows with a ``violations`` column)."""
-    v = df.withColumn("violations", violations(df, table))
+def split_valid(df: DataFrame, table: str, errors: Optional[Column] = None) -> tuple[DataFrame, DataFrame]:
+    """W20-style quarantine: (good rows, bad rows with a ``violations`` column).
+
+    ``errors`` is an array of further reasons, why a row's values could not be computed.
+    """
+    found = violations(df, table)
+    v = df.withColumn("violations", found if errors is None else F.concat(errors, found))
     return v.where(F.size("violations") == 0).drop("violations"), v.where(F.size("violations") > 0)
 
 

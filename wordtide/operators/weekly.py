@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordtide.functions import stats as S
+from wordtide.functions.beta import binomial_bounds
 from wordtide.functions.dates import HISTORY_DAYS, analysis_window, week_start
 from wordtide.operators import ledger, tables
 
@@ -36,8 +37,8 @@ def weekly_aggregation(daily_stats: DataFrame, valid: Optional[DataFrame] = None
         d = d.join(valid, ["date", "board_key"], "left_semi")
     return (d.withColumn("week_start_date", week_start(F.col("date")))
             .groupBy(*WEEK, *term_cols)
-            .agg(F.sum("post_hits").cast("long").alias("post_hits"),
-                 F.sum("thread_hits").cast("long").alias("thread_hits")))
+            .agg(F.try_sum("post_hits").cast("long").alias("post_hits"),  # NULL beyond 64 bits, see ``errors_of``
+                 F.try_sum("thread_hits").cast("long").alias("thread_hits")))
 
 
 def weekly_total_posts(metrics: DataFrame, valid: Optional[DataFrame] = None) -> DataFrame:
@@ -50,8 +51,8 @@ def weekly_total_posts(metrics: DataFrame, valid: Optional[DataFrame] = None) ->
 
 
 def appearance_rate(post_hits: Column, total_posts: Column) -> Column:
-    """post_hits / total_posts, 0.0 when total is 0."""
-    return F.coalesce(F.try_divide(post_hits.cast("double"), total_posts.cast("double")), F.lit(0.0))
+    """post_hits / total_posts, 0.0 when total is 0; NULL where the hits could not be summed."""
+    return F.when(post_hits.isNotNull(), F.coalesce(F.try_divide(post_hits.cast("double"), total_posts.cast("double")), F.lit(0.0)))
 
 
 def with_rates(agg: DataFrame, totals: DataFrame) -> DataFrame:
@@ -62,14 +63,20 @@ def with_rates(agg: DataFrame, totals: DataFrame) -> DataFrame:
 
 
 def with_binomial_ci(df: DataFrame, k: str = "post_hits", n: str = "total_posts",
-                     alpha: float = S.DEFAULT_ALPHA, materialize=None) -> DataFrame:
-    """Exact Clopper-Pearson interval, computed once per distinct (k, n) pair in
-    the Arrow UDF and joined back (a hot pair is split by AQE's skew join).
+                     alpha: float = S.DEFAULT_ALPHA, materialize=None, native: bool = False) -> DataFrame:
+    """Exact Clopper-Pearson interval, computed once per distinct (k, n) pair and joined back (a hot pair is
+    split by AQE's skew join). The Arrow kernel solves all pairs of a batch together; ``native`` uses column
+    expressions only (``functions.beta``), several times slower, for sessions without Python workers.
     ``materialize(df, name)`` keeps the pairs' intervals, so later uses do not solve them again."""
     pairs = df.select(F.col(k).alias("_k"), F.col(n).alias("_n")).distinct()
-    ci = pairs.withColumn("_ci", S.binomial_ci_udf(alpha)(F.col("_k"), F.col("_n")))
-    ci = ci.select("_k", "_n", F.col("_ci.lower").alias("appearance_rate_ci_lower"),
-                   F.col("_ci.upper").alias("appearance_rate_ci_upper"))
+    if native:
+        # pairs are small and dear: a fixed number of tasks
+        spark = df.sparkSession
+        tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        ci = binomial_bounds(pairs.repartition(tasks, "_k", "_n"), "_k", "_n", alpha)
+    else:
+        ci = pairs.withColumn("_ci", S.binomial_ci_udf(alpha)(F.col("_k"), F.col("_n"))).select("_k", "_n", "_ci.lower", "_ci.upper")
+    ci = ci.select("_k", "_n", F.col("lower").alias("appearance_rate_ci_lower"), F.col("upper").alias("appearance_rate_ci_upper"))
     if materialize is not None:
         ci = materialize(ci, "binomial-intervals")
     return (df.join(ci, (df[k] == ci["_k"]) & (df[n] == ci["_n"]), "left").drop("_k", "_n"))
@@ -87,10 +94,11 @@ def with_zscore(trends: DataFrame, rate: str = "appearance_rate", series=SERIES)
                                                 F.stddev_samp(r).over(w)))
 
 
-def with_regression(trends: DataFrame, rate: str = "appearance_rate", series=SERIES) -> DataFrame:
-    """OLS of the rate on x = 0..7 for every week that has exactly 8 weekly
-    rows in [week - 49 d, week]; NULL columns elsewhere."""
-    w = Window.partitionBy(*series).orderBy(_day_number()).rangeBetween(-HISTORY_DAYS, 0)
+def with_regression(trends: DataFrame, rate: str = "appearance_rate", series=SERIES, points: int = S.REGRESSION_POINTS) -> DataFrame:
+    """OLS of the rate on x = 0..points-1 for every week that ends a stretch of ``points`` weekly rows without a
+    gap; NULL columns elsewhere. Any number of points from 3 on; 8 are what is stored."""
+    days = 7 * (points - 1)
+    w = Window.partitionBy(*series).orderBy(_day_number()).rangeBetween(-days, 0)
     x = ((_day_number() - F.unix_date(F.lit(EPOCH_MONDAY).cast("date"))) / 7).cast("double")
     y = F.col(rate)
     agg = {
@@ -99,14 +107,15 @@ def with_regression(trends: DataFrame, rate: str = "appearance_rate", series=SER
         "_sxy": F.regr_sxy(y, x).over(w), "_syy": F.regr_syy(y, x).over(w),
     }
     df = trends.withColumns(agg)
-    exprs = S.regression_sql("_n", "_slope", "_ybar", "_sxx", "_sxy", "_syy")
-    ok = F.col("_n") == S.REGRESSION_POINTS
-    start, end = analysis_window(F.col("week_start_date"))
+    exprs = S.regression_sql(points, "_slope", "_ybar", "_sxx", "_sxy", "_syy")
+    ok = F.col("_n") == points
+    start, end = analysis_window(F.col("week_start_date"), days)
+    df = df.withColumn("t_x", F.when(ok, F.expr(exprs.pop("t_x"))))
     cols = {name: F.when(ok, F.expr(e)) for name, e in exprs.items()}
     cols["has_regression"] = ok
     cols["analysis_start_date"] = start
     cols["analysis_end_date"] = end
-    return df.withColumns(cols).drop(*agg.keys())
+    return df.withColumns(cols).drop("t_x", *agg.keys())
 
 
 def with_history(current: DataFrame, history: Optional[DataFrame], keys=("week_start_date",) + tuple(SERIES)) -> DataFrame:
@@ -149,6 +158,25 @@ def regression_lookup(regressions: DataFrame, board_key: str, term_id=None) -> D
     return regressions.where(cond)
 
 
+def errors_of(df: DataFrame, alpha: float = S.DEFAULT_ALPHA) -> Column:
+    """Why the kernels have no result for a row, empty if they do. A kernel never raises: it gives NULL, and the reason is told here."""
+    k, n = F.col("post_hits"), F.col("total_posts")
+    reasons = {
+        "sum: post_hits exceed 64 bits": k.isNull(),
+        "interval: post_hits outside 0 to total_posts": (n > 0) & ((k < 0) | (k > n)),
+        "interval: no convergence": (n > 0) & (k >= 0) & (k <= n) & (F.col("appearance_rate_ci_lower").isNull() | F.col("appearance_rate_ci_upper").isNull()),
+    }
+    return F.filter(F.array(*[F.when(c, r) for r, c in reasons.items()]), lambda x: x.isNotNull())
+
+
+def regression_errors(reg: DataFrame) -> Column:
+    """W20 for the regression of a week that has one: a coefficient or bound that is not a finite number."""
+    odd = F.lit(False)
+    for c in ("intercept", "slope", "intercept_ci_lower", "intercept_ci_upper", "slope_ci_lower", "slope_ci_upper"):
+        odd = odd | F.col(c).isNull() | F.isnan(c) | (F.abs(c) == float("inf"))
+    return F.when(F.col("has_regression") & odd, "regression: not finite")
+
+
 REGRESSION_COLS = ["intercept", "slope", "intercept_ci_lower", "intercept_ci_upper", "slope_ci_lower",
                    "slope_ci_upper", "p_value", "analysis_start_date", "analysis_end_date"]
 TREND_COLS = ["post_hits", "total_posts", "appearance_rate", "appearance_rate_ci_lower",
@@ -168,7 +196,7 @@ class WeeklyResult:
     def __init__(self, trends, regressions, quarantine, summary, calendar):
         self.trends = trends            # upserted weekly_term_trends (affected week partitions)
         self.regressions = regressions  # upserted term_regression_results
-        self.quarantine = quarantine    # rows failing the checks (W20)
+        self.quarantine = quarantine    # rows failing the checks or a kernel, with the reasons in ``violations`` (W20)
         self.summary = summary          # W21 per (week, board)
         self.calendar = calendar        # L6 per (week, board, date)
 
@@ -181,8 +209,8 @@ def run_weekly(weeks: DataFrame, runs: DataFrame, daily_stats: DataFrame, metric
 
     ``weeks`` holds the Mondays to analyse (``dates.previous_week`` of execution
     dates).  A week without a valid day gives no term rows and a summary with 7
-    invalid dates.  Rows failing the table checks are quarantined (W20) and, as in
-    a per-term try/except, neither stored nor used as history.  ``started_at`` (a
+    invalid dates.  Rows failing the table checks, and rows for which a kernel has no result (``errors_of``),
+    are quarantined with their reasons (W20) and, as in a per-term try/except, neither stored nor used as history.  ``started_at`` (a
     timestamp) gives the summary's ``duration_sec``; without it the duration is 0.
     ``materialize(df, name)`` (e.g. ``session.stage``) is applied to the week's rows and to the series with z-scores
     and regressions, which the trends, regressions, summary and affected partitions all read.
@@ -200,7 +228,7 @@ def run_weekly(weeks: DataFrame, runs: DataFrame, daily_stats: DataFrame, metric
     rates = keep(with_rates(agg, totals), "weekly-rates")
     cur = with_binomial_ci(rates, alpha=alpha, materialize=materialize)
     cur = cur.select(*WEEK, "term_id", *[c for c in TREND_COLS if c != "zscore"])
-    good, bad = tables.split_valid(cur, "weekly_term_trends")
+    good, bad = tables.split_valid(cur, "weekly_term_trends", errors_of(cur, alpha))
     hist = None
     if trends is not None:
         # Only the 7 weeks before the earliest analysed week are history; the range
@@ -213,7 +241,10 @@ def run_weekly(weeks: DataFrame, runs: DataFrame, daily_stats: DataFrame, metric
     zs = with_zscore(series.withColumnRenamed("zscore", "_stored_z"))
     zs = (zs.withColumn("zscore", F.when(F.col("_current"), F.col("zscore")).otherwise(F.col("_stored_z")))
           .drop("_stored_z"))
-    reg = keep(with_regression(zs).where("_current"), "weekly-series")
+    reg = with_regression(zs).where("_current")
+    failed = regression_errors(reg)
+    reg = keep(reg.withColumn("regression_error", failed).withColumn("has_regression", F.col("has_regression") & failed.isNull()), "weekly-series")
+    no_line = reg.where("regression_error IS NOT NULL").select(*[c for c in bad.columns if c != "violations"], F.array("regression_error").alias("violations"))
     trend_rows = reg.select(*WEEK, "term_id", *TREND_COLS).withColumn("created_at", F.localtimestamp())
     t_schema, r_schema = schemas.WEEKLY_TERM_TRENDS, schemas.TERM_REGRESSION_RESULTS
     upd_trends = tables.align(trend_rows, t_schema)
@@ -228,7 +259,7 @@ def run_weekly(weeks: DataFrame, runs: DataFrame, daily_stats: DataFrame, metric
                             r_schema)
     new_reg = tables.upsert(base_reg, tables.align(reg_rows, r_schema), SERIES, REGRESSION_COLS)
     summary = weekly_summary(calendar, good, bad, started_at)
-    return WeeklyResult(new_trends, new_reg, bad, summary, calendar)
+    return WeeklyResult(new_trends, new_reg, bad.unionByName(no_line), summary, calendar)
 
 
 def weekly_summary(calendar: DataFrame, good: DataFrame, bad: DataFrame, started_at=None) -> DataFrame:

@@ -127,22 +127,26 @@ WHERE l.conv_id % 11 <> 0 AND (c.cutoff IS NULL OR l.conv_id > c.cutoff) AND tri
 
 
 def t5_tokenizer_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T5: a Python tokenizer that raises on texts of odd length; those posts count as failures, the others go on."""
+    """T5: a Python tokenizer that raises on texts of odd length; those posts count as failures, the others go on. Turns 2
+    and 3 lose their text (null, empty): no tokens, no failure."""
     def split_words(text):
         if len(text) % 2:
             raise ValueError("odd")
         return text.split(" ")
 
     tok = safe_udf_tokenizer(split_words)
-    res = daily.run_daily(A.posts_from_conversations(spark, sf_dir), T.empty_terms(spark), tokenizer=tok, materialize=stage)
+    posts = A.posts_from_conversations(spark, sf_dir).withColumn(
+        "content", F.when(F.col("post_no") == 2, None).when(F.col("post_no") == 3, "").otherwise(F.col("content")))
+    res = daily.run_daily(posts, T.empty_terms(spark), tokenizer=tok, materialize=stage)
     return res.metrics.select(_d("date"), "board_key", "parsed_posts", "tokenize_fail_posts", "total_tokens")
 
 
-T5_SQL = f"""WITH {O.POSTS_CONVERSATIONS}
+T5_SQL = f"""WITH {O.POSTS_CONVERSATIONS},
+p AS (SELECT date, board_key, CASE WHEN post_no NOT IN (2, 3) THEN content END AS t FROM posts)
 SELECT strftime(date, '%Y-%m-%d') AS date, board_key, count(*) AS parsed_posts,
-       count(*) FILTER (WHERE content IS NULL OR length(content) % 2 = 1) AS tokenize_fail_posts,
-       CAST(coalesce(sum(len(string_split(content, ' '))) FILTER (WHERE length(content) % 2 = 0), 0) AS BIGINT) AS total_tokens
-FROM posts GROUP BY ALL"""
+       count(*) FILTER (WHERE length(t) % 2 = 1) AS tokenize_fail_posts,
+       CAST(coalesce(sum(len(string_split(t, ' '))) FILTER (WHERE length(t) % 2 = 0 AND t <> ''), 0) AS BIGINT) AS total_tokens
+FROM p GROUP BY ALL"""
 
 TERMS_SQL = DAILY + f""",
 dict AS (SELECT DISTINCT t AS normalized FROM (SELECT unnest(nterms) AS t FROM normed) WHERE t <> '')"""
@@ -303,6 +307,40 @@ FROM (SELECT DISTINCT CAST(date_trunc('week', date) AS DATE) AS week_start_date,
 LEFT JOIN j USING (week_start_date, board_key) GROUP BY ALL"""
 
 
+def w20_error_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily rows spoilt so that kernels fail (hits that overflow when summed, negative hits, days without metrics):
+    per week and board, how many terms were not stored for which reason, and how many were."""
+    res = P.lineitem_daily(spark, sf_dir)
+    day, first = F.dayofmonth("date"), F.substring("normalized", 1, 1)
+    hits = F.when((day == 13) & (first == "g"), F.lit((1 << 63) - 1)).when((day == 17) & (first == "r"), -F.col("post_hits")).otherwise(F.col("post_hits"))
+    metrics = res.metrics.where(day % 4 != 0)
+    weeks = res.days().select(week_start(F.col("date")).alias("week_start_date"), "board_key").distinct()
+    out = weekly.run_weekly(weeks, P.runs_of(res), res.stats.withColumn("post_hits", hits), metrics, materialize=stage)
+    why = out.quarantine.select("week_start_date", "board_key", F.explode("violations").alias("reason"))
+    both = why.unionByName(out.trends.select("week_start_date", "board_key", F.lit("stored").alias("reason")))
+    return both.groupBy(_d("week_start_date"), "board_key", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+W20_REASONS_SQL = DAILY + """,
+spoilt AS (
+  SELECT date, board_key, term, CASE WHEN day(date) = 13 AND term[1] = 'g' THEN 9223372036854775807::HUGEINT
+    WHEN day(date) = 17 AND term[1] = 'r' THEN -post_hits ELSE post_hits END AS post_hits FROM stats),
+wagg AS (
+  SELECT CAST(date_trunc('week', s.date) AS DATE) AS week, s.board_key, s.term, sum(s.post_hits) AS h
+  FROM spoilt s SEMI JOIN valid v ON s.date = v.date AND s.board_key = v.board_key GROUP BY 1, 2, 3),
+wtot AS (
+  SELECT CAST(date_trunc('week', m.date) AS DATE) AS week, m.board_key, sum(m.fetched_posts) AS n
+  FROM metrics m SEMI JOIN valid v ON m.date = v.date AND m.board_key = v.board_key WHERE day(m.date) % 4 <> 0 GROUP BY 1, 2),
+j AS (SELECT a.*, coalesce(n, 0) AS n, h > 9223372036854775807 AS big FROM wagg a LEFT JOIN wtot USING (week, board_key)),
+r AS (
+  SELECT week, board_key, unnest(CASE WHEN big THEN ['sum: post_hits exceed 64 bits'] ELSE
+    list_filter([CASE WHEN n > 0 AND (h < 0 OR h > n) THEN 'interval: post_hits outside 0 to total_posts' END,
+                 CASE WHEN h < 0 THEN 'check_weekly_term_trends_post_hits' END,
+                 CASE WHEN n > 0 AND (h < 0 OR h > n) THEN 'check_weekly_term_trends_appearance_rate' END,
+                 CASE WHEN h >= 0 AND (n = 0 OR h <= n) THEN 'stored' END], lambda x: x IS NOT NULL) END) AS reason FROM j)
+SELECT strftime(week, '%Y-%m-%d') AS week_start_date, board_key, reason, count(*) AS n FROM r GROUP BY ALL"""
+
+
 # ------------------------------------------------------------------ integrity
 
 
@@ -406,6 +444,7 @@ QUERIES = {
     "w14_stored_regressions": w14_stored_regressions,
     "w19_append_trends": w19_append_trends,
     "w20_quarantine": w20_quarantine,
+    "w20_error_reasons": w20_error_reasons,
     "i1_checks": i1_checks,
     "i3_orphans": i3_orphans,
     "i4_run_defaults": i4_run_defaults,
@@ -424,6 +463,7 @@ ORACLE = {
     "w14_stored_regressions": W14_SQL,
     "w19_append_trends": W19_SQL,
     "w20_quarantine": W20_SQL,
+    "w20_error_reasons": W20_REASONS_SQL,
     "i1_checks": I1_SQL,
     "i3_orphans": I3_SQL,
     "i4_run_defaults": I4_SQL,

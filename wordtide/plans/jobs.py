@@ -5,6 +5,7 @@ Tables live as Parquet under one shared ``warehouse`` folder:
   terms/                      dictionary            } kept as numbered folders, each written once:
   pipeline_runs/              ledger                } ``<n>.base`` holds a whole table, ``<n>.delta`` rows
   term_regression_results/    latest regressions    } added since
+  weekly_errors/              rows not stored, why  }
   daily_term_stats/           partitioned by date
   pipeline_metrics_daily/     partitioned by date
   weekly_term_trends/         partitioned by week_start_date
@@ -43,6 +44,7 @@ SCHEMAS = {
     "pipeline_metrics_daily": schemas.PIPELINE_METRICS_DAILY,
     "weekly_term_trends": schemas.WEEKLY_TERM_TRENDS,
     "term_regression_results": schemas.TERM_REGRESSION_RESULTS,
+    "weekly_errors": schemas.WEEKLY_ERRORS,
 }
 
 
@@ -173,7 +175,11 @@ def weekly_job(spark: SparkSession, warehouse: str, weeks: DataFrame) -> list:
     out = weekly.run_weekly(weeks, runs, stats, metrics, trends, regs, started_at=datetime.datetime.now(), materialize=keep)
     new_trends = keep(out.trends, "trends")
     new_regs = keep(out.regressions, "regressions")
+    errors = keep(out.quarantine.select("week_start_date", "board_key", "term_id", F.col("violations").alias("reasons"),
+                                        F.localtimestamp().alias("created_at")), "errors")
     summary = out.summary.collect()
+    if not errors.isEmpty():
+        write_folder(tables.align(errors, schemas.WEEKLY_ERRORS), warehouse, "weekly_errors", "delta")
     write_partitions(new_trends, warehouse, "weekly_term_trends")
     write_folder(new_regs, warehouse, "term_regression_results", "base")
     keep.drop()

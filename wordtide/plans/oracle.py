@@ -171,6 +171,48 @@ latest AS (
   QUALIFY row_number() OVER (PARTITION BY board_key, term ORDER BY week_start_date DESC) = 1)"""
 
 
+def regression_points_sql(points: tuple) -> str:
+    """W8-W12 over any number of points: sums over the list of rates; the distribution of |T| by Simpson's rule on
+    C cos(u)^(df - 1) over the angle, quantiles by bisection on it."""
+    total = lambda e: f"list_sum(list_transform(range(points), lambda i: {e}))"
+    y, n = "ys[i + 1]", 2000
+
+    def inside(angle: str) -> str:
+        """P(|T| <= sqrt(df) tan(angle)): twice the integral from 0 to angle."""
+        f = f"power(cos({angle} * k / {n}.0), df - 1) * (CASE WHEN k IN (0, {n}) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END)"
+        return f"(2 * c * {angle} / {3 * n}.0 * list_sum(list_transform(range({n + 1}), lambda k: {f})))"
+
+    frames = " UNION ALL ".join(
+        f"SELECT {p} AS points, *, list(appearance_rate) OVER (PARTITION BY board_key, term ORDER BY dnum RANGE BETWEEN {7 * (p - 1)} PRECEDING AND CURRENT ROW) AS ys "
+        f"FROM rates" for p in points)
+    return weekly_ctes().replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+df AS (
+  SELECT p AS points, p - 2 AS df, exp(lgamma((p - 1) / 2.0) - lgamma((p - 2) / 2.0)) / sqrt(pi()) AS c FROM (VALUES {', '.join(f'({p})' for p in points)}) v(p)),
+bis AS (
+  SELECT points, df, c, 0 AS step, 0.0::DOUBLE AS lo, pi() / 2 AS hi FROM df
+  UNION ALL
+  SELECT points, df, c, step + 1, CASE WHEN {inside('mid')} < 0.95 THEN mid ELSE lo END, CASE WHEN {inside('mid')} < 0.95 THEN hi ELSE mid END
+  FROM (SELECT *, (lo + hi) / 2 AS mid FROM bis) WHERE step < 60),
+q AS (SELECT points, df, c, sqrt(df) * tan((lo + hi) / 2) AS q FROM bis WHERE step = 60),
+fr AS ({frames}),
+line AS (
+  SELECT *, {total(f"(i - (points - 1) / 2.0) * {y}")} / (points * (points * points - 1) / 12.0) AS slope, list_sum(ys) / points AS _ybar,
+         points * (points * points - 1) / 12.0 AS _sxx FROM fr JOIN q USING (points) WHERE len(ys) = points),
+resid AS (
+  SELECT *, _ybar - (points - 1) / 2.0 * slope AS intercept, {total(f"power({y} - _ybar - slope * (i - (points - 1) / 2.0), 2)")} AS _sse,
+         {total(f"power({y} - _ybar, 2)")} AS _sst, list_max(ys) = list_min(ys) AS _flat FROM line),
+err AS (
+  SELECT *, sqrt(_sse / df / _sxx) AS _se_b, sqrt(_sse / df * (1.0 / points + power((points - 1) / 2.0, 2) / _sxx)) AS _se_a FROM resid),
+angle AS (SELECT *, atan2(abs(slope), _se_b * sqrt(df)) AS _angle FROM err)
+SELECT points, {iso('week_start_date')} AS week_start_date, board_key, term, {rnd('intercept')} AS intercept, {rnd('slope')} AS slope,
+       {rnd('intercept - q * _se_a')} AS intercept_ci_lower, {rnd('intercept + q * _se_a')} AS intercept_ci_upper,
+       {rnd('slope - q * _se_b')} AS slope_ci_lower, {rnd('slope + q * _se_b')} AS slope_ci_upper,
+       CASE WHEN NOT _flat THEN {rnd(f"greatest(1.0 - {inside('_angle')}, 0.0)")} END AS p_value,
+       CASE WHEN NOT _flat THEN {rnd('1.0 - _sse / _sst')} END AS r_squared,
+       {iso('CAST(week_start_date - 7 * (points - 1) AS DATE)')} AS analysis_start_date, {iso('CAST(week_start_date + 6 AS DATE)')} AS analysis_end_date
+FROM angle"""
+
+
 REG_OUT = ["intercept", "slope", "intercept_ci_lower", "intercept_ci_upper", "slope_ci_lower",
            "slope_ci_upper", "p_value"]
 
@@ -252,6 +294,7 @@ SELECT {iso('week_start_date')} AS week_start_date, board_key, term,
        {', '.join(f'{rnd(c)} AS {c}' for c in REG_OUT + ['r_squared'])},
        {iso('analysis_start_date')} AS analysis_start_date, {iso('analysis_end_date')} AS analysis_end_date
 FROM regcols"""
+    q["w9_regression_points"] = regression_points_sql((3, 5, 8, 13))
     q["w14_latest_regression"] = reg + f"""
 SELECT board_key, term, {', '.join(f'{rnd(c)} AS {c}' for c in REG_OUT)},
        {iso('analysis_start_date')} AS analysis_start_date, {iso('analysis_end_date')} AS analysis_end_date
@@ -358,6 +401,10 @@ SELECT page_id, position,
 FROM threads WHERE thread_path <> ''"""
     kana = "CASE WHEN page_id % 4 = 0 THEN html ELSE regexp_replace(html, '[^\\x00-\\x7f]', 'ｱ', 'g') END"
     q["s2_page_decode"] = f"SELECT page_id, CAST(length({kana}) AS INTEGER) AS n_chars, md5({kana}) AS text_md5 FROM pages"
+    q["s1_page_files"] = """
+SELECT 'host' || (page_id % 5) || '/' || page_id || '.html' AS path, strlen(html) AS size, sha256(html) AS body_sha256,
+       CAST(length(html) AS INTEGER) AS n_chars, CAST(NULL AS VARCHAR) AS error
+FROM pages WHERE page_id % 13 <> 0 AND page_id % 5 <> 3 AND html <> ''"""
     q["s7_page_posts"] = f"""
 SELECT page_id, CAST(1 AS INTEGER) AS post_no, {html_lines_sql("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')")} AS date_text,
        {html_lines_sql("regexp_extract(html, '<article>(.*?)</article>', 1, 's')")} AS content
@@ -434,6 +481,15 @@ SELECT p.post_hits, p.total_posts, {rnd('c.ci_lower')} AS appearance_rate_ci_low
        {rnd('c.ci_upper')} AS appearance_rate_ci_upper
 FROM (SELECT DISTINCT post_hits, total_posts FROM rates) p
 LEFT JOIN ci c ON c.k = p.post_hits AND c.n = p.total_posts"""
+    conv = daily_ctes(POSTS_CONVERSATIONS)
+    q["w6_native_ci"] = conv + """,
+t AS (
+  SELECT s.post_hits, m.fetched_posts, count(*) AS n_terms FROM stats s JOIN metrics m ON m.date = s.date AND m.board_key IS NOT DISTINCT FROM s.board_key GROUP BY ALL),
+pairs AS (SELECT DISTINCT post_hits AS k, fetched_posts AS n FROM t WHERE post_hits <= fetched_posts)
+""" + binomial_ci_ctes("pairs") + f"""
+SELECT t.post_hits, t.fetched_posts, CAST(t.n_terms AS BIGINT) AS n_terms, {rnd('c.ci_lower')} AS appearance_rate_ci_lower,
+       {rnd('c.ci_upper')} AS appearance_rate_ci_upper
+FROM t LEFT JOIN ci c ON c.k = t.post_hits AND c.n = t.fetched_posts"""
     q["w22_weekly_job"] = ci + f"""
 SELECT {iso('t.week_start_date')} AS week_start_date, t.board_key, t.term, t.post_hits, t.total_posts,
        {rnd('t.appearance_rate')} AS appearance_rate, {rnd('c.ci_lower')} AS appearance_rate_ci_lower,

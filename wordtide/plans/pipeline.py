@@ -17,19 +17,17 @@ from wordtide.sources import adapters as A
 
 
 def daily_for_posts(spark: SparkSession, posts: DataFrame, lexicon: Optional[DataFrame] = None,
-                    blocked_words=tuple(A.BLOCKED_WORDS)) -> daily.DailyResult:
+                    blocked_words=tuple(A.BLOCKED_WORDS), segmenter=None) -> daily.DailyResult:
     """Daily job from an empty dictionary with the stop words blocked before counting.
 
-    The counts and the dictionary are staged: one pass over the posts, whatever is asked of the result.
+    What is asked of the result is staged, so the posts are read once for it.
     """
 
-    def prepare(terms: DataFrame) -> DataFrame:
-        return T.block_by_text(terms, list(blocked_words), A.BLOCK_REASON) if blocked_words else terms
-
     def targets(days: DataFrame) -> DataFrame:
         return ledger.runs_from_days(days).select(F.col("target_date").alias("date"), "board_key", "run_id", "started_at", "finished_at")
 
-    return daily.run_daily(posts, T.empty_terms(spark), targets=targets, lexicon=lexicon, prepare_terms=prepare, materialize=stage)
+    return daily.run_daily(posts, T.empty_terms(spark), targets=targets, lexicon=lexicon, materialize=stage, segmenter=segmenter,
+                           block_words=blocked_words, block_reason=A.BLOCK_REASON)
 
 
 def lineitem_daily(spark: SparkSession, sf_dir: str) -> daily.DailyResult:

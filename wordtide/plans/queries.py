@@ -20,9 +20,11 @@ from wordtide.operators import daily, extraction as X, ledger, tables, terms as
 from wordtide.plans import edge_queries as edge
 from wordtide.plans import oracle as O
 from wordtide.plans import pipeline as P
-from wordtide.session import stage
+from wordtide.plans import segment_queries as seg
+from wordtide.session import delete_on_exit, new_path, stage
 from wordtide.sources import adapters as A
 from wordtide.sources import html as H
+from wordtide.sources.page_files import read_pages, write_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -147,6 +149,15 @@ def w6_binomial_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ daily
 
 
+def w6_native_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W6 in column expressions: the interval for every distinct (hits, posts) of a day and role in ``conversations``."""
+    res = P.conversation_daily(spark, sf_dir)
+    t = res.stats.groupBy("date", "board_key", "post_hits").agg(F.count(F.lit(1)).alias("n_terms"))
+    t = t.join(res.metrics.select("date", "board_key", "fetched_posts"), ["date", "board_key"]).groupBy("post_hits", "fetched_posts").agg(F.sum("n_terms").alias("n_terms"))
+    ci = weekly.with_binomial_ci(t, "post_hits", "fetched_posts", native=True)
+    return ci.select("post_hits", "fetched_posts", "n_terms", _r("appearance_rate_ci_lower"), _r("appearance_rate_ci_upper"))
+
+
 def daily_term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1-T5 + D3 + D6 + A2/A3: daily post and thread hits for every (date, board, term)."""
     res = P.lineitem_daily(spark, sf_dir)
@@ -308,6 +319,20 @@ def s2_page_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return txt.select("page_id", F.length("text").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+def s1_page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2 + S8: the pages are written as raw files into folders, read back as a table with two folders and the
+    empty files excluded by filters on the listing, and decoded."""
+    folder = new_path(spark, "page-files")
+    pages = A.table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("host"), F.col("page_id") % 5, F.lit("/"), F.col("page_id"), F.lit(".html")).alias("name"),
+        F.when(F.col("page_id") % 13 != 0, F.encode("html", "UTF-8")).alias("body"))
+    write_pages(pages, folder, "name", "body").write.format("noop").mode("overwrite").save()
+    delete_on_exit(spark, folder)
+    got = read_pages(spark, folder, "utf-8").where((F.col("size") > 0) & F.col("path").startswith("host") & F.col("path").endswith(".html"))
+    got = got.where(~F.col("path").startswith("host3/"))
+    return got.select("path", "size", F.sha2("body", 256).alias("body_sha256"), F.length("html").alias("n_chars"), "error")
+
+
 def s11_crawl_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S10-S13 + S15: each (board, day) is a crawl whose board page lists the threads
     active in the past week, newest thread first; the scan stops at the first thread
@@ -365,6 +390,20 @@ def s14_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------------- tables
 
 
+POINTS = (3, 5, 8, 13)
+
+
+def w9_regression_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W8-W12 for other numbers of weekly points: OLS, t-intervals and p-value over 3, 5, 8 and 13 weeks."""
+    rates = stage(P.weekly_rates(P.lineitem_daily(spark, sf_dir)), "weekly-rates")
+    out = None
+    for n in POINTS:
+        r = weekly.with_regression(rates, points=n).where("has_regression").withColumn("points", F.lit(n))
+        out = r if out is None else out.unionByName(r)
+    return out.select("points", _d("week_start_date"), "board_key", F.col("normalized").alias("term"),
+                      *[_r(c) for c in REG_OUT + ["r_squared"]], _d("analysis_start_date"), _d("analysis_end_date"))
+
+
 def u1_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upsert 1997's rows recomputed over all days (W4 totals, z-score NULL) into
     the stored trends: matched keys change, unseen keys are inserted, others stay."""
@@ -404,17 +443,19 @@ def j4_runs_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(_d("date"), "board_key", "status", "is_recovered", "fetched_posts")
 
 
-QUERIES: dict[str, Query] = edge.QUERIES | {
+QUERIES: dict[str, Query] = edge.QUERIES | seg.QUERIES | {
     "flagship_trending": flagship_trending,
     "w2_weekly_aggregation": w2_weekly_aggregation,
     "w7_weekly_trends": w7_weekly_trends,
     "w8_regression": w8_regression,
+    "w9_regression_points": w9_regression_points,
     "w14_latest_regression": w14_latest_regression,
     "w17_growth_ranking": w17_growth_ranking,
     "w16_w18_lookups": w16_w18_lookups,
     "w21_weekly_summary": w21_weekly_summary,
     "w22_weekly_job": w22_weekly_job,
     "w6_binomial_ci": w6_binomial_ci,
+    "w6_native_ci": w6_native_ci,
     "a_daily_term_stats": daily_term_stats,
     "a_daily_metrics": daily_metrics,
     "a9_top_terms": a9_top_terms,
@@ -432,6 +473,7 @@ QUERIES: dict[str, Query] = edge.QUERIES | {
     "s7_page_posts": s7_page_posts,
     "s8_page_text": s8_page_text,
     "s16_s18_urls": s16_s18_urls,
+    "s1_page_files": s1_page_files,
     "s2_page_decode": s2_page_decode,
     "s11_crawl_cutoff": s11_crawl_cutoff,
     "s12_crawl_missing_pages": s12_crawl_missing_pages,
@@ -442,4 +484,4 @@ QUERIES: dict[str, Query] = edge.QUERIES | {
     "j4_runs_metrics": j4_runs_metrics,
 }
 
-ORACLE: dict[str, str] = O.build(TRENDING_LIMIT) | edge.ORACLE
+ORACLE: dict[str, str] = O.build(TRENDING_LIMIT) | edge.ORACLE | seg.ORACLE

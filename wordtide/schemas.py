@@ -92,3 +92,11 @@ LEXICON = T.StructType([
     T.StructField("surface", T.StringType(), False),
     T.StructField("pos", T.StringType(), False),
 ])
+
+WEEKLY_ERRORS = T.StructType([
+    T.StructField("week_start_date", T.DateType(), False),
+    T.StructField("board_key", T.StringType(), False),
+    T.StructField("term_id", T.LongType(), False),
+    T.StructField("reasons", T.ArrayType(T.StringType()), False),
+    T.StructField("created_at", T.TimestampNTZType(), True),
+])
