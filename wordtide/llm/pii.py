@@ -34,7 +34,6 @@ import hashlib
 import hmac
 import re
 import unicodedata
-from functools import lru_cache
 from typing import Iterator, Optional
 
 import pyarrow as pa
@@ -82,39 +81,39 @@ PATTERNS = [
     ("han_name", r"([一-鿿]{2,4}?)(?:" + "|".join(_HAN_TITLE) + r")"),
 ]
 FINDER = re.compile("|".join(f"(?P<{n}>{p})" for n, p in PATTERNS))
-#: what every match holds: one of these characters or strings
+#: every match holds one of these characters or strings in its first word; of a secret, after the blanks that follow that word
 HINT_CHARS = re.compile(r"[0-9@=:]+")
 HINT_STRINGS = ["AKIA", "ASIA", *_TITLE, *_HAN_TITLE]
-HINT_REACH = 160
+#: the rest of a word and 19 more: no match has more words (a card number of 19 single digits)
+AHEAD = re.compile(r"\S*(?:\s+\S+){0,19}")
 
 
 def hint_windows(text: str) -> list[tuple[int, int]]:
-    """Parts of the text that can hold a match: around each hint, widened to white space, merged."""
-    at = [m.span() for m in HINT_CHARS.finditer(text)]
+    """Disjoint parts of the text that hold every match whole: from the first word a hint can belong to, 20 words on."""
+    at = [m.start() for m in HINT_CHARS.finditer(text)]
     extra = []
     for h in HINT_STRINGS:
         i = text.find(h)
         while i >= 0:
-            extra.append((i, i + len(h)))
+            extra.append(i)
             i = text.find(h, i + 1)
     if extra:
         at = sorted(at + extra)
-    out = []
-    for a, b in at:
-        if out and a - HINT_REACH <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b + HINT_REACH)
-        else:
-            out.append([a - HINT_REACH, b + HINT_REACH])
     spans = []
-    for a, b in out:
-        a = max(text.rfind(" ", 0, a), text.rfind("\n", 0, a), 0) if a > 0 else 0
-        ends = [e for e in (text.find(" ", b), text.find("\n", b)) if e >= 0]
-        b = min(ends) if ends and b < len(text) else len(text)
-        if spans and a <= spans[-1][1]:
-            spans[-1] = (spans[-1][0], max(b, spans[-1][1]))
-        else:
-            spans.append((a, b))
-    return spans
+    for a in at:
+        low = spans[-1][1] if spans else 0
+        end = AHEAD.match(text, a).end()
+        if a >= low:
+            word = a
+            if text[a] in "=:":
+                while word > low and text[word - 1].isspace():
+                    word -= 1
+            begin = max(text.rfind(" ", low, word), text.rfind("\n", low, word))
+            if begin >= 0 or not spans:
+                spans.append([max(begin, 0), end])
+                continue
+        spans[-1][1] = max(spans[-1][1], end)  # the word may begin in the last part
+    return [(a, b) for a, b in spans]
 
 
 def luhn(digits: str) -> int:
@@ -217,6 +216,8 @@ class Stream:
             return chr(65 + self.below(26))
         if c <= "\x7f":
             return c
+        if "一" <= c <= "鿿":
+            return chr(0x4E00 + self.below(0x9FA6 - 0x4E00))
         near = neighbours(c)
         return near[self.below(len(near))] if near else c
 
@@ -227,12 +228,9 @@ class Stream:
         return "".join(chr(48 + self.below(10)) for _ in range(n))
 
 
-@lru_cache(4096)
 def neighbours(c: str) -> str:
     """Letters or digits of the script of ``c``: those of its kind in its part of the code table; none for symbols."""
     kind = unicodedata.category(c)
-    if "一" <= c <= "鿿":
-        return "".join(map(chr, range(0x4E00, 0x9FA6)))
     if kind[0] not in "LN":
         return ""
     first = ord(c) & ~63
