@@ -101,3 +101,19 @@ def test_fast_and_slow_encoders_agree(spark):
     texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
     texts += ["", " ", "  a  b ", "don't we'll I'M", "1234567890 12,5", "tab\t\n\r\n x", "é" * 20, "“q” – … ‘s’", "a" * 499, " x­", "²³¼"]
     assert make_encoder(tokenizer_path())(texts) == [x[:-1] for x in brute_ids(texts)]
+
+
+def test_vocabulary_over_16_bits(spark, tmp_path):
+    """Ids from 100,000 on travel whole."""
+    import json
+
+    spec = {"version": "1.0", "truncation": None, "padding": None, "added_tokens": [], "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"},
+            "post_processor": None, "decoder": None,
+            "model": {"type": "WordLevel", "vocab": {"?": 0, **{f"w{i}": i for i in range(2, 100_002)}}, "unk_token": "?"}}
+    path = tmp_path / "wide.json"
+    path.write_text(json.dumps(spec))
+    rng = np.random.default_rng(0)
+    rows = [(d, " ".join(f"w{i}" for i in rng.integers(60_000, 100_000, 50 + 900 * (d % 7)))) for d in range(20)]
+    df = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string").repartition(3)
+    out = packing.pieces_digest(packing.pack(df, tokenizer=str(path))).collect()
+    check(out, {d: [*(int(w[1:]) for w in t.split()), 1] for d, t in rows})

@@ -40,6 +40,14 @@ def join_null_safe(left: DataFrame, right: DataFrame, names: Sequence[str], how:
     return left.join(right, cond, how).drop(*[f"_right_{n}" for n in names])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as keep it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def tokenizer_path(path: Optional[str] = None) -> str:
     """Path of the byte-level BPE vocabulary (``tokenizers`` JSON); a parameter everywhere."""
     if path:
@@ -91,6 +99,7 @@ def make_encoder(path: str, special_as_text: bool = False):
             out.append(fast(t) if plain else slow(t))
         return out
 
+    encode.size = tok.get_vocab_size()
     return encode
 
 

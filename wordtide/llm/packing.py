@@ -46,7 +46,8 @@ def token_queues(df: DataFrame, id_col: str, text_col: str, source_col: str,
     """Tokenised rows: (_id, _source, _n, _part, _loc, _ids).
 
     ``_loc`` counts the tokens of the same source before the row in its scan partition
-    ``_part``; ``_ids`` holds the ids as little-endian unsigned 16-bit integers.
+    ``_part``; ``_ids`` holds the ids as little-endian unsigned integers, of 16 bits where the
+    vocabulary allows, else 32.
     """
     modest_batches(df.sparkSession)
     path = tokenizer_path(tokenizer)
@@ -60,18 +61,19 @@ def token_queues(df: DataFrame, id_col: str, text_col: str, source_col: str,
         from pyspark import TaskContext
 
         part, encode, seen = TaskContext.get().partitionId(), make_encoder(path), {}
+        kind = "H" if max(encode.size - 1, eod) < 1 << 16 else "I"
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 b = batch.slice(a, 256)
                 sources = b.column("_source").to_pylist()
                 ids, loc = [], []
                 for s, enc in zip(sources, encode([t or "" for t in b.column("_text").to_pylist()])):
-                    arr = array("H", enc)
+                    arr = array(kind, enc)
                     arr.append(eod)
                     loc.append(seen.get(s, 0))
                     seen[s] = loc[-1] + len(arr)
                     ids.append(arr.tobytes())
-                n = np.array([len(x) // 2 for x in ids], dtype=np.int64)
+                n = np.array([len(x) for x in ids], dtype=np.int64) // array(kind).itemsize
                 yield pa.RecordBatch.from_arrays(
                     [b.column("_id"), pa.array(sources, pa.string()), pa.array(n), pa.array(np.full(len(n), part)),
                      pa.array(loc, pa.int64()), pa.array(ids, pa.binary())],
@@ -186,7 +188,11 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_c
                 continue
             i, p, s, q, at, ln = (np.array(x, dtype=np.int64) for x in zip(*rows))
             ids = batch.column("_ids")
-            parts = [ids[int(r)].as_buffer()[2 * int(a):2 * int(a + m)].to_pybytes() for r, a, m in zip(i, at, ln)]
+            parts = []
+            for r, a, m, n in zip(i.tolist(), at.tolist(), ln.tolist(), batch.column("_n").take(pa.array(i)).to_pylist()):
+                whole = ids[r].as_buffer()
+                width = whole.size // n
+                parts.append(whole[width * a:width * (a + m)].to_pybytes())
             idx = pa.array(i)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(p), pa.array(s), pa.array(q), batch.column("_id").take(idx), batch.column("_source").take(idx),
@@ -223,8 +229,10 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_c
             off.append(before[w, k] + edges - cuts[w])
         row, start, length, win, off = map(np.concatenate, (row, start, length, win, off))
         buf = t["_ids"].combine_chunks()
-        ids = [np.frombuffer(buf[int(r)].as_buffer(), "<u2")[a:a + m].astype("<u4").tobytes()
-               for r, a, m in zip(row, start, length)]
+        ids = []
+        for r, a, m in zip(row.tolist(), start.tolist(), length.tolist()):
+            part = buf[r].as_buffer()
+            ids.append(np.frombuffer(part, f"<u{part.size // int(ln[r])}")[a:a + m].astype("<u4").tobytes())
         idx = pa.array(row)
         return pa.Table.from_arrays(
             [t["_id"].take(idx), pa.array(start + at[row]), pa.array(length), pa.array(ids, pa.binary()),
