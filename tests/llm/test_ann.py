@@ -35,7 +35,10 @@ def test_query_on_table_is_exact_where_a_block_holds_all(spark):
 
 
 def test_recall_on_larger_table(spark):
-    df = spark.read.parquet("/root/testdata/check_s/embeddings.parquet")
+    rng = np.random.default_rng(11)
+    home = rng.normal(size=(40, 32))
+    x = home[rng.integers(0, 40, 10_000)] + 0.5 * rng.normal(size=(10_000, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(8)
     out = ann.nearest(df).cache()
     assert ann.recall(df, out) >= 0.95
     n = {r.query_id: r["count"] for r in out.groupBy("query_id").count().collect()}

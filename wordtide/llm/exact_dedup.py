@@ -26,7 +26,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordtide.llm._common import join_null_safe, stage
+from wordtide.llm._common import free_name, join_null_safe, stage
 
 BLOCK_BYTES = 16384
 
@@ -115,11 +115,12 @@ def keep_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """The rows of ``df`` that stay, with all their columns; one row where an id repeats with the same text."""
     kept = exact_dedup(df, id_col, text_col).where("kept").groupBy(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).count()
     kept = stage(kept, "kept")
-    rows = df.withColumn("_sha", F.sha2(normalised(F.col(text_col)).cast("binary"), 256))
-    rows = rows.join(kept, rows[id_col].eqNullSafe(kept["_id"]) & (rows["_sha"] == kept["_sha"]), "left_semi")
+    sha = free_name(df, "_sha")
+    rows = df.withColumn(sha, F.sha2(normalised(F.col(text_col)).cast("binary"), 256))
+    rows = rows.join(kept, rows[id_col].eqNullSafe(kept["_id"]) & (rows[sha] == kept["_sha"]), "left_semi")
     if not kept.where("count > 1").isEmpty():
-        rows = rows.dropDuplicates([id_col, "_sha"])
-    return rows.drop("_sha")
+        rows = rows.dropDuplicates([id_col, sha])
+    return rows.drop(sha)
 
 
 def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:

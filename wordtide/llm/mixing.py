@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordtide.llm._common import join_null_safe, modest_batches, prefix_sums, stage
+from wordtide.llm._common import free_name, join_null_safe, modest_batches, prefix_sums, stage
 
 BLOCK_WORDS = 64
 SHARD_BLOCKS = 1 << 18
@@ -255,17 +255,18 @@ def mixed_rows(df: DataFrame, text_col: str = "text", chars_col: str = "n_chars"
     Pieces keep the white space between their words; a line break stands between pieces that were apart. The
     rows are numbered in a staged copy, so texts and spans meet by an unambiguous key.
     """
-    rows = stage(df.withColumn("_key", F.monotonically_increasing_id()), "numbered")
-    docs, spans, _ = mix(rows, "_key", text_col, **options)
-    key = docs.select("_part", "_row", F.col("_id").alias("_key"))
-    parts = spans.join(key, ["_part", "_row"]).groupBy("_key").agg(F.collect_list(F.struct("turn", "word", "words")).alias("_parts"))
+    key_, text_, parts_ = (free_name(df, c) for c in ("_key", "_text", "_parts"))
+    rows = stage(df.withColumn(key_, F.monotonically_increasing_id()), "numbered")
+    docs, spans, _ = mix(rows, key_, text_col, **options)
+    key = docs.select("_part", "_row", F.col("_id").alias(key_))
+    parts = spans.join(key, ["_part", "_row"]).groupBy(key_).agg(F.collect_list(F.struct("turn", "word", "words")).alias(parts_))
     names = [c for c in df.columns if c not in (text_col, chars_col)]
-    src = rows.join(stage(parts, "taken-words"), "_key").select(*names, F.col(text_col).cast("binary").alias("_text"), "_parts")
+    src = rows.join(stage(parts, "taken-words"), key_).select(*names, F.col(text_col).cast("binary").alias(text_), parts_)
 
     def cut(batches):
         for b in batches:
             texts = []
-            for text, parts in zip(b.column("_text"), b.column("_parts").to_pylist()):
+            for text, parts in zip(b.column(text_), b.column(parts_).to_pylist()):
                 body = text.as_buffer().to_pybytes()
                 at = np.append(word_starts(body), len(body))
                 out, last = [], None

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.llm._common import join_null_safe, modest_batches, stage
+from wordtide.llm._common import free_name, join_null_safe, modest_batches, stage
 
 SHINGLE_WORDS = 5
 PERCENT = 75
@@ -432,9 +432,18 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
 
 
 def keep_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, with all their columns."""
-    kept = stage(near_dedup(df, id_col, text_col).where("kept").select(F.col(id_col).alias("_kept")).distinct(), "kept")
-    return df.join(kept, df[id_col].eqNullSafe(kept["_kept"]), "left_semi")
+    """The rows of ``df`` that stay, with all their columns: of a component one row, of the smallest id (null last), then of the
+    smallest SHA-256 of its text. A row without words stays, once if it is repeated."""
+    sha = F.sha2(F.col(text_col).cast("binary"), 256)
+    rows = df.select(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), sha.alias("sha")).alias("row"), F.col(text_col).alias("text"))
+    kept = near_dedup(rows, "row", "text").where("kept").groupBy("row").count()
+    kept = stage(kept.select(F.col("row.id").alias("_id"), F.col("row.sha").alias("_sha"), "count"), "kept")
+    name = free_name(df, "_sha")
+    rows = df.withColumn(name, sha)
+    rows = rows.join(kept, rows[id_col].eqNullSafe(kept["_id"]) & rows[name].eqNullSafe(kept["_sha"]), "left_semi")
+    if not kept.where("count > 1").isEmpty():
+        rows = rows.dropDuplicates([id_col, name])
+    return rows.drop(name)
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

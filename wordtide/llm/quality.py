@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtide.llm._common import join_null_safe, modest_batches, stage
+from wordtide.llm._common import free_name, join_null_safe, modest_batches, stage
 
 SAMPLE = 20_000
 THRESHOLD = 0.5
@@ -181,9 +181,10 @@ def keep_rows(df: DataFrame, labels: DataFrame, host, path, id_col: str = "doc_i
     """The rows of ``df`` that are kept, with all their columns."""
     kept = classify(df, labels, host, path, id_col, text_col, **options).where("kept")
     kept = stage(kept.select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash")), "kept")
-    rows = df.withColumn("_text_hash", F.xxhash64(F.col(text_col)))
-    on = rows[id_col].eqNullSafe(kept["_id"]) & (rows["_text_hash"] == kept["_hash"])
-    return rows.join(kept, on, "left_semi").drop("_text_hash")
+    name = free_name(df, "_text_hash")
+    rows = df.withColumn(name, F.xxhash64(F.col(text_col)))
+    on = rows[id_col].eqNullSafe(kept["_id"]) & (rows[name] == kept["_hash"])
+    return rows.join(kept, on, "left_semi").drop(name)
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
