@@ -434,6 +434,9 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
 def keep_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, with all their columns: of a component one row, of the smallest id (null last), then of the
     smallest SHA-256 of its text. A row without words stays, once if it is repeated."""
+    if df.groupBy(id_col).count().where("count > 1").isEmpty():  # an id names a row
+        kept = stage(near_dedup(df, id_col, text_col).where("kept").select(F.col(id_col).alias("_id")), "kept")
+        return df.join(kept, df[id_col].eqNullSafe(kept["_id"]), "left_semi")
     sha = F.sha2(F.col(text_col).cast("binary"), 256)
     rows = df.select(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), sha.alias("sha")).alias("row"), F.col(text_col).alias("text"))
     kept = near_dedup(rows, "row", "text").where("kept").groupBy("row").count()
