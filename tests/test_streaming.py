@@ -1,5 +1,6 @@
 """The streaming daily job equals the batch daily query on the same posts."""
 
+import datetime as dt
 import os
 
 from pyspark.sql import functions as F
@@ -17,9 +18,9 @@ def test_stream_matches_batch(spark, tmpdir_path):
     posts = (A.posts_from_lineitem(spark, SF).where(F.col("date").between("1996-01-01", "1996-02-29"))
              .select(*[f.name for f in schemas.POSTS.fields]))
     src = os.path.join(tmpdir_path, "incoming")
-    # Two files that split most days across micro-batches (odd / even threads).
-    posts.where(F.col("thread_path").cast("long") % 2 == 0).coalesce(1).write.parquet(src + "/a")
-    posts.where(F.col("thread_path").cast("long") % 2 == 1).coalesce(1).write.parquet(src + "/b")
+    # Three files that split most days, and threads, across micro-batches.
+    for i, name in enumerate("abc"):
+        posts.where(F.pmod(F.xxhash64("thread_path", "post_no"), F.lit(3)) == i).coalesce(1).write.parquet(f"{src}/{name}")
     wh = os.path.join(tmpdir_path, "wh")
     q = start_daily_stream(spark, src + "/*", wh, os.path.join(tmpdir_path, "ckpt"), max_files_per_trigger=1,
                            prepare_terms=A.blocked_dictionary)
@@ -35,3 +36,24 @@ def test_stream_matches_batch(spark, tmpdir_path):
            for r in E.queries()["a_daily_term_stats"](spark, SF).collect()
            if "1996-01-01" <= r.date <= "1996-02-29"}
     assert got == exp and len(got) > 0
+
+
+def test_late_batches_read_only_new_posts(spark, tmpdir_path):
+    """Three batches of one day's posts equal one job over them all; a batch run again changes nothing; earlier posts are not needed."""
+    def posts(*texts):
+        return spark.createDataFrame([(dt.date(2025, 1, 1), "b", f"/t{n % 2}", n, None, c) for n, c in texts], schemas.POSTS)
+
+    batches = [[(1, "alpha beta alpha"), (2, "beta")], [(3, "alpha"), (4, None)], [(5, "gamma beta"), (6, "old")]]
+    for i, b in enumerate(batches):
+        jobs.late_posts_job(spark, posts(*b), f"{tmpdir_path}/late", i, prepare_terms=A.blocked_dictionary)
+    jobs.late_posts_job(spark, posts(*batches[1]), f"{tmpdir_path}/late", 1, prepare_terms=A.blocked_dictionary)
+    jobs.daily_job(spark, posts(*sum(batches, [])), f"{tmpdir_path}/whole", prepare_terms=A.blocked_dictionary)
+
+    def stored(warehouse):
+        terms = {r.term_id: r.normalized for r in jobs.read_table(spark, warehouse, "terms").collect()}
+        stats = sorted((terms[r.term_id], r.post_hits, r.thread_hits) for r in jobs.read_table(spark, warehouse, "daily_term_stats").collect())
+        (m,) = jobs.read_table(spark, warehouse, "pipeline_metrics_daily").collect()
+        return stats, (m.fetched_threads, m.fetched_posts, m.total_tokens, m.filtered_tokens, m.tokenize_fail_posts)
+
+    assert stored(f"{tmpdir_path}/late") == stored(f"{tmpdir_path}/whole")
+    assert not os.path.exists(f"{tmpdir_path}/late/posts")

@@ -49,13 +49,24 @@ def _entries(rows: DataFrame, items: Column, name: str, keep: list[str]) -> Data
     return rows.select(*keep, F.inline(F.concat(post, F.coalesce(found, none))))
 
 
-def _by_day(per_thread: DataFrame) -> DataFrame:
+def by_day(per_thread: DataFrame) -> DataFrame:
+    """(date, board, term) counts of (date, board, thread, term) rows, at most one a key."""
     return per_thread.groupBy(*DAY, "term").agg(
         F.sum("hit").alias("post_hits"), F.count_if(F.col("hit") > 0).alias("thread_hits"), F.sum("occ").alias("occurrences"))
 
 
+def merge_counts(parts: DataFrame) -> DataFrame:
+    """One row per (date, board, thread, term): the counts of any posts add up, whichever batch they came in."""
+    return parts.groupBy(*DAY, "thread_path", "term").agg(F.sum("hit").alias("hit"), F.sum("occ").alias("occ"))
+
+
 def term_counts(tok: DataFrame, words: Optional[DataFrame] = None) -> DataFrame:
-    """(date, board_key, term, post_hits, thread_hits, occurrences); see the module text for the terms NULL and ''.
+    """(date, board_key, term, post_hits, thread_hits, occurrences); see the module text for the terms NULL and ''."""
+    return by_day(thread_counts(tok, words))
+
+
+def thread_counts(tok: DataFrame, words: Optional[DataFrame] = None) -> DataFrame:
+    """(date, board_key, thread_path, term, hit, occ): posts that hold the term and its occurrences, per thread.
 
     A post counts once for a term however often it holds it; identical posts count separately (A2/A3).
     ``words`` (surface, noun, times) says which nouns a surface stands for (T2): itself where a noun list
@@ -66,7 +77,7 @@ def term_counts(tok: DataFrame, words: Optional[DataFrame] = None) -> DataFrame:
     # normalised once, before the array is used twice
     rows = tok.select(*DAY, "thread_path", normalize_tokens(F.col("tokens")).alias("terms"))
     rows = _entries(rows, F.filter("terms", lambda t: t.isNotNull()), "term", [*DAY, "thread_path"])
-    return _by_day(rows.groupBy(*DAY, "thread_path", "term").agg(F.sum("hit").alias("hit"), F.sum("occ").alias("occ")))
+    return merge_counts(rows)
 
 
 def noun_list(lexicon: DataFrame) -> DataFrame:
@@ -75,7 +86,7 @@ def noun_list(lexicon: DataFrame) -> DataFrame:
 
 
 def _word_counts(tok: DataFrame, words: DataFrame) -> DataFrame:
-    """``term_counts`` where surfaces are joined to ``words``: posts are reduced to (post, surface) first, and the
+    """``thread_counts`` where surfaces are joined to ``words``: posts are reduced to (post, surface) first, and the
     list is salted, so a surface that most posts hold is spread over ``LEXICON_SALT`` keys."""
     post = [*DAY, "thread_path", "post_key"]
     rows = _entries(tok, F.filter("tokens", lambda t: t != ""), "surface", post)
@@ -87,8 +98,7 @@ def _word_counts(tok: DataFrame, words: DataFrame) -> DataFrame:
     # two spellings of a term in one post count once; identical posts share the key and have the same spellings
     found = found.groupBy(*post, "term").agg(F.max("hit").alias("hit"), F.sum("occ").alias("occ"))
     posts = rows.where("surface IS NULL").select(*post, F.lit(None).cast("string").alias("term"), "hit", "occ")
-    both = found.unionByName(posts)
-    return _by_day(both.groupBy(*DAY, "thread_path", "term").agg(F.sum("hit").alias("hit"), F.sum("occ").alias("occ")))
+    return merge_counts(found.unionByName(posts).drop("post_key"))
 
 
 def is_term() -> Column:
@@ -242,16 +252,26 @@ def run_daily(posts: DataFrame, terms: DataFrame, targets: Optional[Callable[[Da
     costs) cuts runs of letters into words, (run) -> (run, words), and the nouns among them count.
     """
     keep = materialize or (lambda df, name: df)
-    words = None
+    tok, words = tokens_of(posts, lexicon, tokenizer, segmenter, keep)
+    return DailyResult(tok, terms, targets, words, prepare_terms, keep, block_words, block_reason)
+
+
+def tokens_of(posts: DataFrame, lexicon=None, tokenizer=None, segmenter=None, keep=lambda df, name: df) -> tuple[DataFrame, Optional[DataFrame]]:
+    """(posts with tokens, the nouns that surfaces stand for or None), see ``run_daily``."""
     if segmenter is not None:
         tok = T.tokenize_posts(posts, segment.runs)
         runs = tok.select(F.explode("tokens").alias("run")).distinct()
-        words = keep(segment.nouns_of_runs(segmenter(runs)), "segmented-runs")
-    else:
-        tok = T.tokenize_posts(posts, tokenizer)
-        if lexicon is not None:
-            words = noun_list(lexicon)
-    return DailyResult(tok, terms, targets, words, prepare_terms, keep, block_words, block_reason)
+        return tok, keep(segment.nouns_of_runs(segmenter(runs)), "segmented-runs")
+    return T.tokenize_posts(posts, tokenizer), None if lexicon is None else noun_list(lexicon)
+
+
+def run_merged(parts: DataFrame, terms: DataFrame, targets=None, prepare_terms=None, materialize=None,
+               block_words: Iterable[str] = (), block_reason: Optional[str] = None) -> DailyResult:
+    """A12 from stored ``thread_counts`` of any number of batches; parameters as in ``run_daily``."""
+    keep = materialize or (lambda df, name: df)
+    res = DailyResult(None, terms, targets, None, prepare_terms, keep, block_words, block_reason)
+    res.counts = keep(by_day(merge_counts(parts)), "term-counts")
+    return res
 
 
 def top_terms_of_day(stats: DataFrame, limit: Optional[int] = None, offset: int = 0,

@@ -9,6 +9,7 @@ Tables live as Parquet under one shared ``warehouse`` folder:
   daily_term_stats/           partitioned by date
   pipeline_metrics_daily/     partitioned by date
   weekly_term_trends/         partitioned by week_start_date
+  day_state/                  counts of late batches, partitioned by batch_id and date
 
 A numbered folder counts once its ``_SUCCESS`` file is there, and a base is deleted only after the next one counts.
 A job that stops at any point therefore leaves the last complete state: term ids are never lost or given
@@ -134,6 +135,35 @@ def daily_job(spark: SparkSession, posts: DataFrame, warehouse: str,
     and metrics come from these.
     """
     keep = Stages(spark)
+    stored = read_table(spark, warehouse, "terms")
+    res = daily.run_daily(posts, stored, _targets(spark, warehouse, target_dates), lexicon, tokenizer, prepare_terms, materialize=keep)
+    _store_daily(spark, warehouse, stored, res, keep)
+
+
+def late_posts_job(spark: SparkSession, posts: DataFrame, warehouse: str, batch_id: int, lexicon: Optional[DataFrame] = None,
+                   tokenizer: Optional[Callable[[Column], Column]] = None,
+                   prepare_terms: Optional[Callable[[DataFrame], DataFrame]] = None,
+                   target_dates: Optional[Iterable[str]] = None) -> None:
+    """A7/A12 for posts that arrive in batches, each post in one: only the new posts are read.
+
+    ``day_state`` keeps the (date, board, thread, term) counts of every batch; they add up, so a day that gets late posts is
+    made again from its counts. A batch that is run again replaces its own counts.
+    """
+    keep = Stages(spark)
+    parts = keep(daily.thread_counts(*daily.tokens_of(posts, lexicon, tokenizer, keep=keep)), "batch-counts")
+    days = keep(parts.select(*daily.DAY).distinct(), "batch-days")
+    path = _path(warehouse, "day_state")
+    (parts.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id", "date").parquet(path))
+    state = spark.read.schema(schemas.DAY_STATE).parquet(path)
+    state = tables.affected_partitions(state, days, ["date"]).join(days, daily.DAY, "left_semi")
+    stored = read_table(spark, warehouse, "terms")
+    res = daily.run_merged(state, stored, _targets(spark, warehouse, target_dates), prepare_terms, materialize=keep)
+    _store_daily(spark, warehouse, stored, res, keep)
+
+
+def _targets(spark: SparkSession, warehouse: str, target_dates: Optional[Iterable[str]]) -> Callable[[DataFrame], DataFrame]:
+    """The (date, board) pairs that get metrics: those with posts, and the recorded runs of ``target_dates``."""
     runs = read_table(spark, warehouse, "pipeline_runs")
 
     def targets(days: DataFrame) -> DataFrame:
@@ -144,8 +174,11 @@ def daily_job(spark: SparkSession, posts: DataFrame, warehouse: str,
         return days.join(runs.select(F.col("target_date").alias("date"), "board_key", "run_id",
                                      "started_at", "finished_at"), ["date", "board_key"], "left")
 
-    stored = read_table(spark, warehouse, "terms")
-    res = daily.run_daily(posts, stored, targets, lexicon, tokenizer, prepare_terms, materialize=keep)
+    return targets
+
+
+def _store_daily(spark: SparkSession, warehouse: str, stored: DataFrame, res: daily.DailyResult, keep: Stages) -> None:
+    res.counts  # read the posts once: stats and metrics both come from the counts
     store_terms(spark, warehouse, stored, res.terms)
     upsert_table(spark, warehouse, "daily_term_stats", res.stats.drop("normalized"),
                  ["date", "board_key", "term_id"], ["post_hits", "thread_hits"], keep)

@@ -100,3 +100,13 @@ WEEKLY_ERRORS = T.StructType([
     T.StructField("reasons", T.ArrayType(T.StringType()), False),
     T.StructField("created_at", T.TimestampNTZType(), True),
 ])
+
+DAY_STATE = T.StructType([
+    T.StructField("board_key", T.StringType(), True),
+    T.StructField("thread_path", T.StringType(), True),
+    T.StructField("term", T.StringType(), True),
+    T.StructField("hit", T.LongType(), True),
+    T.StructField("occ", T.LongType(), True),
+    T.StructField("batch_id", T.LongType(), True),
+    T.StructField("date", T.DateType(), True),
+])

@@ -1,16 +1,15 @@
 """The daily job as a Structured Streaming query.
 
 New post files arriving in a folder are processed in micro-batches.  Daily stats
-are a function of *all* posts of a (date, board), so each micro-batch:
+are a function of *all* posts of a (date, board), and their counts per thread and term add up, so each
+micro-batch (``jobs.late_posts_job``):
 
-  1. stores its posts under ``posts/batch_id=<id>`` (overwrite: a retried batch
-     rewrites the same folder, so the effect is exactly once);
-  2. re-reads every stored post of the (date, board) pairs it touched
-     (partition-pruned by date) and runs the daily job on them, which upserts
-     exactly those days' stats and metrics.
+  1. reads its own posts only and stores their counts under ``day_state/batch_id=<id>`` (overwrite: a
+     retried batch rewrites the same folder, so the effect is exactly once);
+  2. adds up the stored counts of the (date, board) pairs it touched (partition-pruned by date) and
+     upserts exactly those days' stats and metrics.
 
-Days that receive late posts are simply recomputed, so the stored result always
-equals a batch run over the same posts.
+The stored result always equals a batch run over the same posts.
 """
 
 from __future__ import annotations
@@ -18,33 +17,15 @@ from __future__ import annotations
 from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wordtide import schemas
-from wordtide.operators import tables
 from wordtide.plans import jobs
-from wordtide.session import Stages
-
-
-def posts_path(warehouse: str) -> str:
-    return f"{warehouse.rstrip('/')}/posts"
 
 
 def process_batch(batch: DataFrame, batch_id: int, warehouse: str, **job_kwargs) -> None:
-    spark = batch.sparkSession
-    days = batch.select("date", "board_key").distinct()
-    if days.isEmpty():
-        return
-    (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "date")
-     .parquet(posts_path(warehouse)))
-    stored = spark.read.parquet(posts_path(warehouse)).drop("batch_id")
-    keep = Stages(spark)
-    days = keep(days, "batch-days")
-    affected = tables.affected_partitions(stored, days, ["date"]).join(days, ["date", "board_key"], "left_semi")
-    jobs.daily_job(spark, affected, warehouse, **job_kwargs)
-    keep.drop()
+    if not batch.isEmpty():
+        jobs.late_posts_job(batch.sparkSession, batch, warehouse, batch_id, **job_kwargs)
 
 
 def start_daily_stream(spark: SparkSession, source_dir: str, warehouse: str, checkpoint_location: str,
