@@ -1,5 +1,7 @@
 """Extraction from our own board/thread page fixtures and URL goldens."""
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from wordtide.functions import dates as Dt
@@ -214,3 +216,37 @@ def test_crawl_meets_only_the_days_it_asks_for(spark):
                                      F.lit(0).alias("position"), F.lit("/T").alias("thread_path"), F.lit(True).alias("page_ok"))
     out = X.collect_target_posts(listing, posts)
     assert out.count() == 600 and out.groupBy("date").count().where("count <> 20").count() == 0
+
+
+def test_listing_of_days_equals_listing_of_rows(spark):
+    from wordtide.functions import dates as Dt
+
+    base = F.lit("2025-01-01").cast("date")
+    day = F.date_add(base, (F.col("id") * 7 % 11).cast("int"))
+    posts = spark.range(60).select(F.concat(F.lit("/"), F.col("id") % 9).alias("thread_path"), F.col("id").cast("int").alias("post_no"),
+                                   Dt.post_date_text(day.cast("timestamp")).alias("date_text"), F.lit("x").alias("content"))
+    rows = spark.range(9).select(F.lit("b").alias("board_key"), F.explode(F.transform(F.sequence(F.lit(0), F.lit(12)), lambda i: F.date_add(base, i))).alias("target_date"),
+                                 F.col("id").alias("position"), F.concat(F.lit("/"), F.col("id")).alias("thread_path"),
+                                 (F.col("id") % 4 != 3).alias("page_ok"))
+    packed = rows.groupBy("board_key", "position", "thread_path", "page_ok").agg(F.collect_list("target_date").alias("target_dates"))
+    kept = [sorted(map(tuple, X.collect_target_posts(x, posts).collect())) for x in (rows, packed)]
+    assert kept[0] == kept[1] and kept[0]
+    # by the rule itself: per crawl the fetched threads in order until one has no post of the day or the next
+    have = {(p.thread_path, p.date_text[:10].replace("/", "-")) for p in posts.collect()}
+    want = 0
+    for i in range(13):
+        d, e = (str(datetime.date(2025, 1, 1) + datetime.timedelta(days=i + k)) for k in (0, 1))
+        for t in range(9):
+            if t % 4 == 3:
+                continue
+            if (f"/{t}", d) not in have and (f"/{t}", e) not in have:
+                break
+            want += sum(p.thread_path == f"/{t}" and p.date_text[:10].replace("/", "-") == d for p in posts.collect())
+    assert want == len(kept[0])
+
+
+def test_listing_of_rows_that_repeat(spark):
+    posts = spark.createDataFrame([("/T", 1, "2025/03/04(火) 10:00:00.00", "a")], "thread_path string, post_no int, date_text string, content string")
+    row = ("b", datetime.date(2025, 3, 4), 0, "/T", True)
+    listing = spark.createDataFrame([row, row], "board_key string, target_date date, position int, thread_path string, page_ok boolean")
+    assert X.collect_target_posts(listing, posts).count() == 2

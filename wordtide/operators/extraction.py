@@ -8,7 +8,7 @@ position of a fetched thread without target-day or next-day posts, then a filter
 
 from __future__ import annotations
 
-from typing import Optional, Sequence
+from typing import Callable, Optional, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -91,33 +91,47 @@ def post_day(date_text: Column) -> Column:
     return F.try_to_date(F.regexp_extract(date_text, r"^(\d{4}/\d{2}/\d{2})\(", 1), "yyyy/MM/dd")
 
 
-def collect_target_posts(listing: DataFrame, posts: DataFrame, join_keys: Sequence[str] = ("thread_path",)) -> DataFrame:
+def collect_target_posts(listing: DataFrame, posts: DataFrame, join_keys: Sequence[str] = ("thread_path",),
+                         materialize: Optional[Callable[[DataFrame, str], DataFrame]] = None) -> DataFrame:
     """S10-S12 + S15 for many crawls at once.
 
     ``listing``: (board_key, target_date, position, thread_path, page_ok) — the
     threads of each crawl in board order; ``page_ok`` false means the page could
-    not be fetched (S12: skipped, does not stop the scan).
+    not be fetched (S12: skipped, does not stop the scan). Instead of ``target_date`` it may hold ``target_dates``, an
+    array of the days whose crawls list the thread at that position.
     ``posts``: (join_keys..., post_no, date_text, content) of the fetched pages.
+    ``materialize(df, name)`` (e.g. ``session.stage``) is applied to the threads that are open, whose posts are kept: where the scans
+    stop early these are few, and the posts are then not shuffled.
 
     Returns the posts of each crawl's target day, from the threads before the
     first fetched thread with neither target-day nor next-day posts (S11).
 
-    A crawl meets only the days it asks about: whether a thread is active is a join on (thread, day) with the
-    threads' distinct days, and the posts kept are an equi-join on (thread, day). No crawl sees a thread's other posts.
+    A listed thread is one row with the array of its target days and meets one row with the array of its posts' days, so what is
+    shuffled grows with the threads and not with the days that list them. Both arrays are bounded by the calendar. The
+    posts kept are an equi-join on (thread, day).
     """
     keys = list(join_keys)
     thread = [k for k in keys if k not in CRAWL]
     dated = posts.withColumn("_day", post_day(F.col("date_text"))).where(F.col("_day").isNotNull())
-    days = dated.select(*keys, "_day").distinct().withColumn("_seen", F.lit(True))
-    asked = listing.select(*CRAWL, "position", *thread, "page_ok",
-                           F.explode(F.array("target_date", F.date_add("target_date", 1))).alias("_day"))
-    per_thread = (asked.join(days, [*keys, "_day"], "left").groupBy(*CRAWL, "position", *thread, "page_ok")
-                  .agg(F.coalesce(F.bool_or("_seen"), F.lit(False)).alias("_active")))
-    cutoff = (per_thread.where(F.col("page_ok") & ~F.col("_active"))
+    days = dated.groupBy(*keys).agg(F.collect_set("_day").alias("_days"))
+    place = ["board_key", "position", *thread]
+    per_crawl = [k for k in keys if k == "target_date"]  # pages of their own for every crawl
+    if per_crawl:
+        listing = listing.withColumn("target_dates", F.array("target_date"))
+    elif "target_dates" not in listing.columns:
+        listing = listing.groupBy(*place, "page_ok").agg(F.collect_list("target_date").alias("target_dates"))
+    fetched = listing.where("page_ok").select(*place, *per_crawl, "target_dates").join(days, keys, "left")
+    seen = F.coalesce("_days", F.array().cast("array<date>"))
+    quiet = F.array_except("target_dates", F.concat(seen, F.transform(seen, lambda d: F.date_sub(d, 1))))
+    cutoff = (fetched.select("board_key", "position", F.explode(quiet).alias("target_date"))
               .groupBy(*CRAWL).agg(F.min("position").alias("_cutoff")))
-    open_ = (listing.where("page_ok").join(cutoff, CRAWL, "left")
+    # threads without target-day posts have nothing to keep; one row per crawl is a calendar of the boards
+    asked = F.filter("target_dates", lambda d: F.array_contains("_days", d))
+    open_ = (fetched.select(*place, F.explode(asked).alias("target_date")).join(F.broadcast(cutoff), CRAWL, "left")
              .where(F.col("_cutoff").isNull() | (F.col("position") < F.col("_cutoff")))
-             .withColumn("_day", F.col("target_date")).select(*CRAWL, "position", *thread, "_day"))
-    kept = open_.join(dated, [*keys, "_day"])
+             .select(*CRAWL, "position", *thread))
+    if materialize is not None:
+        open_ = materialize(open_, "open-threads")
+    kept = open_.withColumn("_day", F.col("target_date")).join(dated, [*keys, "_day"])
     return kept.select(F.col("target_date").alias("date"), "board_key", *thread, "post_no", "date_text",
                        "content", "position")

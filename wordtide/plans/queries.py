@@ -333,21 +333,25 @@ def s1_page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("path", "size", F.sha2("body", 256).alias("body_sha256"), F.length("html").alias("n_chars"), "error")
 
 
+def _active_threads(posts: DataFrame) -> DataFrame:
+    """Per (board, thread) the days whose board page lists it, one row each: it has posts in the week up to the next day.
+
+    Days on which the board has no post are no crawl; they need not be taken out, as nothing is kept for them.
+    """
+    days = posts.groupBy("board_key", "thread_path").agg(F.collect_set("date").alias("_dates"))
+    listed = F.flatten(F.transform("_dates", lambda d: F.sequence(F.date_sub(d, 1), F.date_add(d, 6))))
+    return days.select("board_key", "thread_path", F.array_distinct(listed).alias("target_dates"),
+                       (-F.col("thread_path").cast("long")).alias("position"))
+
+
 def s11_crawl_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S10-S13 + S15: each (board, day) is a crawl whose board page lists the threads
     active in the past week, newest thread first; the scan stops at the first thread
     without posts on the day or the next day."""
     posts = A.posts_from_lineitem(spark, sf_dir)
-    days = posts.select("board_key", "thread_path", "date").distinct()
-    listing = (days.select("board_key", "thread_path",
-                           F.explode(F.sequence(F.date_sub("date", 1), F.date_add("date", 6))).alias("target_date"))
-               .distinct()
-               .join(posts.select("board_key", F.col("date").alias("target_date")).distinct(),
-                     ["board_key", "target_date"], "left_semi")
-               .withColumn("position", -F.col("thread_path").cast("long"))
-               .withColumn("page_ok", F.lit(True)))
+    listing = _active_threads(posts).select("*", F.lit(True).alias("page_ok"))
     # Thread pages are per board here, so posts join on (board_key, thread_path).
-    kept = X.collect_target_posts(listing, posts.drop("date"), join_keys=("board_key", "thread_path"))
+    kept = X.collect_target_posts(listing, posts.drop("date"), join_keys=("board_key", "thread_path"), materialize=stage)
     return (kept.groupBy("board_key", "date")
             .agg(F.count_distinct("thread_path").alias("kept_threads"), F.count(F.lit(1)).alias("kept_posts"))
             .select(_d("date", "target_date"), "board_key", "kept_threads", "kept_posts"))
@@ -357,19 +361,12 @@ def s12_crawl_missing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S11 + S12: as ``s11_crawl_cutoff``, but the page of a thread whose order is
     still pending ('P') could not be fetched: it is skipped and does not end the scan."""
     posts = A.posts_from_lineitem(spark, sf_dir)
-    days = posts.select("board_key", "thread_path", "date").distinct()
     orders = A.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("thread_path"), (F.col("o_orderstatus") != "P").alias("page_ok"))
-    listing = (days.select("board_key", "thread_path",
-                           F.explode(F.sequence(F.date_sub("date", 1), F.date_add("date", 6))).alias("target_date"))
-               .distinct()
-               .join(posts.select("board_key", F.col("date").alias("target_date")).distinct(),
-                     ["board_key", "target_date"], "left_semi")
-               .withColumn("position", -F.col("thread_path").cast("long"))
-               .join(orders, "thread_path", "left")
+    listing = (_active_threads(posts).join(orders, "thread_path", "left")
                .withColumn("page_ok", F.coalesce("page_ok", F.lit(False))))
     fetched = posts.join(orders.where("page_ok").select("thread_path"), "thread_path", "left_semi")
-    kept = X.collect_target_posts(listing, fetched.drop("date"), join_keys=("board_key", "thread_path"))
+    kept = X.collect_target_posts(listing, fetched.drop("date"), join_keys=("board_key", "thread_path"), materialize=stage)
     return (kept.groupBy("board_key", "date")
             .agg(F.count_distinct("thread_path").alias("kept_threads"), F.count(F.lit(1)).alias("kept_posts"))
             .select(_d("date", "target_date"), "board_key", "kept_threads", "kept_posts"))
