@@ -148,3 +148,13 @@ def test_counts_beyond_32_bits(spark):
     m = daily.daily_metrics(counts.select("date", "board_key").distinct(), daily.day_metrics(counts, terms)).collect()[0]
     assert (m.fetched_posts, m.total_tokens, m.filtered_tokens) == (5_000_000_000, 6_000_000_007, 7)
     assert daily.term_stats(counts, terms).collect()[0].post_hits == 4_000_000_000
+
+
+def test_noun_list_is_not_multiplied(spark):
+    # copies made in the plan are missing from Spark's size estimate, so the broadcast outgrew the driver
+    posts = spark.createDataFrame([("b", "t", 1, "alpha beta alpha")], "board_key string, thread_path string, post_no int, content string")
+    tok = T.tokenize_posts(posts.withColumn("date", F.lit("2025-01-01").cast("date")))
+    words = spark.createDataFrame([("alpha", "alp", 2), ("alpha", "ha", 1)], "surface string, noun string, times long")
+    out = daily.thread_counts(tok, words)
+    assert "Generate explode" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.term, r.hit, r.occ) for r in out.collect()} == {(None, 1, 0), ("alp", 1, 4), ("ha", 1, 2)}

@@ -28,8 +28,6 @@ from wordtide.functions.text import nfkc, normalize_after_nfkc, normalize_tokens
 from wordtide.operators import segment, tables, terms as T
 
 DAY = ["date", "board_key"]
-# Copies of the noun list, so a frequent surface is spread over as many join keys.
-LEXICON_SALT = 32
 # Blocked words up to this many are a filter inside the token array; more are joined to the counts.
 BLOCKED_LITERALS = 10_000
 
@@ -86,14 +84,13 @@ def noun_list(lexicon: DataFrame) -> DataFrame:
 
 
 def _word_counts(tok: DataFrame, words: DataFrame) -> DataFrame:
-    """``thread_counts`` where surfaces are joined to ``words``: posts are reduced to (post, surface) first, and the
-    list is salted, so a surface that most posts hold is spread over ``LEXICON_SALT`` keys."""
+    """``thread_counts`` where surfaces are joined to ``words``: posts are reduced to (post, surface) first. A surface that
+    most posts hold is split by AQE's skew join. The list is joined as it is: copies of it made here would not be in
+    the size Spark estimates, so it would send many times its broadcast limit through the driver."""
     post = [*DAY, "thread_path", "post_key"]
     rows = _entries(tok, F.filter("tokens", lambda t: t != ""), "surface", post)
     rows = rows.groupBy(*post, "surface").agg(F.sum("hit").alias("hit"), F.sum("occ").alias("occ"))
-    salt = F.pmod(F.xxhash64("thread_path", "post_key"), F.lit(LEXICON_SALT))
-    nouns = words.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(LEXICON_SALT - 1).cast("long"))))
-    found = rows.where("surface IS NOT NULL").withColumn("_salt", salt).join(nouns, ["surface", "_salt"])
+    found = rows.where("surface IS NOT NULL").join(words, "surface")
     found = found.select(*post, normalize_after_nfkc(nfkc(F.col("noun"))).alias("term"), "hit", (F.col("occ") * F.col("times")).alias("occ"))
     # two spellings of a term in one post count once; identical posts share the key and have the same spellings
     found = found.groupBy(*post, "term").agg(F.max("hit").alias("hit"), F.sum("occ").alias("occ"))
