@@ -29,3 +29,13 @@ def test_entry_runs(spark):
     assert df.columns == ["week_start_date", "board_key", "term", "post_hits", "total_posts",
                           "appearance_rate", "zscore", "rank"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["w7_weekly_trends", "w16_w18_lookups", "w21_weekly_summary", "w20_quarantine", "w20_error_reasons", "i1_checks"])
+def test_weekly_queries_read_the_posts_once(spark, monkeypatch, name):
+    from wordtide.plans import pipeline as P
+
+    names, kept = [], P.stage
+    monkeypatch.setattr(P, "stage", lambda df, what: names.append(what) or kept(df, what))
+    E.queries()[name](spark, SF)
+    assert sorted(names) == ["dictionary", "term-counts"]  # no second pass for the days or the metrics

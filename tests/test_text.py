@@ -51,3 +51,13 @@ def test_udf_tokenizer_isolates_failures(spark):
     got = {r.content: r.t for r in out}
     assert got[None] == got[""] == []
     assert got["a b"] == ["a", "b"] and got["boom"] is None and got["c"] == ["c"]
+
+
+def test_normalize_tokens_sends_no_null_arrays(spark):
+    # an Arrow list column walks over all NULLs since its last value at every row, so a batch of plain posts took quadratic time
+    df = spark.createDataFrame([(["ab", "Q"],), (["Ａb", None, "x"],), (None,), (["ab\n", "a1"],)], "t array<string>")
+    df = df.select(normalize_tokens(F.col("t")).alias("n"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    sent = next(line for line in plan.splitlines() if "ArrowEvalPython" in line)
+    assert "ELSE []" in sent, sent
+    assert [r.n for r in df.collect()] == [["ab", ""], ["ab", "", ""], None, ["ab", "a1"]]

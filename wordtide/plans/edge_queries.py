@@ -285,9 +285,9 @@ def w20_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid days whose metrics are missing (days of the month divisible by 4) give weeks with more hits than
     posts; such terms are counted as errors and not stored."""
     res = P.lineitem_daily(spark, sf_dir)
+    stats = res.stats  # before the metrics, see ``P.weekly_rates``
     metrics = res.metrics.where(F.dayofmonth("date") % 4 != 0)
-    weeks = res.days().select(week_start(F.col("date")).alias("week_start_date"), "board_key").distinct()
-    out = weekly.run_weekly(weeks, P.runs_of(res), res.stats, metrics, materialize=stage)
+    out = weekly.run_weekly(P.weeks_of(res), P.runs_of(res), stats, metrics, materialize=stage)
     stored = out.trends.groupBy("week_start_date", "board_key").agg(F.count(F.lit(1)).alias("stored"))
     return out.summary.join(stored, ["week_start_date", "board_key"], "left").select(
         _d("week_start_date"), "board_key", "processed_terms", "error_terms", F.coalesce("stored", F.lit(0)).alias("stored"))
@@ -313,9 +313,9 @@ def w20_error_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = P.lineitem_daily(spark, sf_dir)
     day, first = F.dayofmonth("date"), F.substring("normalized", 1, 1)
     hits = F.when((day == 13) & (first == "g"), F.lit((1 << 63) - 1)).when((day == 17) & (first == "r"), -F.col("post_hits")).otherwise(F.col("post_hits"))
+    stats = res.stats.withColumn("post_hits", hits)  # before the metrics, see ``P.weekly_rates``
     metrics = res.metrics.where(day % 4 != 0)
-    weeks = res.days().select(week_start(F.col("date")).alias("week_start_date"), "board_key").distinct()
-    out = weekly.run_weekly(weeks, P.runs_of(res), res.stats.withColumn("post_hits", hits), metrics, materialize=stage)
+    out = weekly.run_weekly(P.weeks_of(res), P.runs_of(res), stats, metrics, materialize=stage)
     why = out.quarantine.select("week_start_date", "board_key", F.explode("violations").alias("reason"))
     both = why.unionByName(out.trends.select("week_start_date", "board_key", F.lit("stored").alias("reason")))
     return both.groupBy(_d("week_start_date"), "board_key", "reason").agg(F.count(F.lit(1)).alias("n"))
@@ -348,9 +348,10 @@ def i1_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per violated check of all five tables, over rows that are spoilt by rule."""
     res = P.lineitem_daily(spark, sf_dir)
     dom = F.dayofmonth("date")
-    runs = P.runs_of(res).withColumn("status", F.when(F.dayofmonth("target_date") == 10, "unknown").otherwise(F.col("status")))
+    # the stats before the runs, see ``P.weekly_rates``
     stats = res.stats.withColumn("post_hits", F.when(dom == 3, -F.col("post_hits")).otherwise(F.col("post_hits"))) \
         .withColumn("thread_hits", F.when(dom == 5, F.lit(-1)).when(dom == 6, F.lit(None)).otherwise(F.col("thread_hits")))
+    runs = P.runs_of(res).withColumn("status", F.when(F.dayofmonth("target_date") == 10, "unknown").otherwise(F.col("status")))
     metrics = res.metrics.withColumn("filtered_rate", F.when(dom == 7, F.col("filtered_rate") + 1.5).when(dom == 8, F.lit(float("nan")))
                                      .otherwise(F.col("filtered_rate"))).withColumn("duration_sec", F.when(dom == 9, F.lit(-5)).otherwise(F.col("duration_sec"))) \
         .withColumn("total_tokens", F.when(dom == 9, -F.col("fetched_posts")).otherwise(F.col("total_tokens")))

@@ -11,6 +11,7 @@ from typing import Optional
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordtide.functions.dates import week_start
 from wordtide.operators import daily, ledger, terms as T, weekly
 from wordtide.session import stage
 from wordtide.sources import adapters as A
@@ -40,14 +41,22 @@ def runs_of(res: daily.DailyResult) -> DataFrame:
 
 
 def weekly_rates(res: daily.DailyResult) -> DataFrame:
-    """W2 + W3 + W5 over every week with a valid day, keyed by term text."""
-    valid = ledger.valid_days(runs_of(res))
+    """W2 + W3 + W5 over every week with a valid day, keyed by term text.
+
+    The stats come first: days and metrics then follow from the same counts, in no pass over the posts of their own.
+    """
     stats = res.stats.select("date", "board_key", "term_id", "normalized", "post_hits", "thread_hits")
+    valid = ledger.valid_days(runs_of(res))
     agg = weekly.weekly_aggregation(stats, valid, term_cols=("term_id", "normalized"))
     totals = weekly.weekly_total_posts(res.metrics, valid)
     return weekly.with_rates(agg, totals)
 
 
+def weeks_of(res: daily.DailyResult) -> DataFrame:
+    """The (week, board) pairs that have posts."""
+    return res.days().select(week_start(F.col("date")).alias("week_start_date"), "board_key").distinct()
+
+
 def weekly_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship chain: weekly rates and z-scores for all weeks and boards."""
     return weekly.with_zscore(weekly_rates(lineitem_daily(spark, sf_dir)))

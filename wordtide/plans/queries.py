@@ -80,9 +80,9 @@ def w8_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
                     *[_r(c) for c in REG_OUT + ["r_squared"]], _d("analysis_start_date"), _d("analysis_end_date"))
 
 
-def _latest(spark, sf_dir):
+def _latest(spark, sf_dir, res=None):
     """W14 rows with their term text."""
-    res = P.lineitem_daily(spark, sf_dir)
+    res = res or P.lineitem_daily(spark, sf_dir)
     r = weekly.with_regression(weekly.with_zscore(P.weekly_rates(res)))
     return tables.with_term_text(weekly.latest_regressions(r), res.terms)
 
@@ -103,12 +103,13 @@ def w17_growth_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def w16_w18_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W16 (one term's weekly history in a range) and W18 (its regression row)."""
-    t = P.weekly_trends(spark, sf_dir)
+    res = P.lineitem_daily(spark, sf_dir)  # one daily job for both lookups
+    t = weekly.with_zscore(P.weekly_rates(res))
     # D2 (lookup by text) then W16 for that term.
     hist = weekly.term_history(t.where(F.col("normalized") == "ring"), None, "A", "1996-01-01", "1996-12-31")
     h = hist.select(F.lit("history").alias("lookup"), _d("week_start_date"), "board_key",
                     F.col("normalized").alias("term"), _r("appearance_rate", "value"))
-    lt = _latest(spark, sf_dir)
+    lt = _latest(spark, sf_dir, res)
     rl = weekly.regression_lookup(lt.where(F.col("normalized") == "gear"), "R")
     r = rl.select(F.lit("regression").alias("lookup"), _d("analysis_start_date", "week_start_date"), "board_key",
                   F.col("normalized").alias("term"), _r("slope", "value"))
@@ -117,8 +118,8 @@ def w16_w18_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _weekly_job(spark, sf_dir):
     res = P.lineitem_daily(spark, sf_dir)
-    weeks = res.days().select(Dt.week_start(F.col("date")).alias("week_start_date"), "board_key").distinct()
-    return weekly.run_weekly(weeks, P.runs_of(res), res.stats, res.metrics, materialize=stage), res
+    stats = res.stats  # before the days, see ``P.weekly_rates``
+    return weekly.run_weekly(P.weeks_of(res), P.runs_of(res), stats, res.metrics, materialize=stage), res
 
 
 def w21_weekly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
