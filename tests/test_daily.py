@@ -158,3 +158,26 @@ def test_noun_list_is_not_multiplied(spark):
     out = daily.thread_counts(tok, words)
     assert "Generate explode" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert {(r.term, r.hit, r.occ) for r in out.collect()} == {(None, 1, 0), ("alp", 1, 4), ("ha", 1, 2)}
+
+
+def test_posts_are_unrolled_in_compiled_code(spark):
+    rows = [(D, "prog", "/t1", ["cd", "ab", "cd"]), (D, "prog", "/t1", ["ab"]), (D, "prog", "/t2", []), (D, "prog", "/t3", None)]
+    tok = spark.createDataFrame(rows, "date string, board_key string, thread_path string, tokens array<string>")
+    counts = daily.thread_counts(tok)
+    got = {(r.thread_path, r.term): (r.hit, r.occ) for r in counts.collect()}
+    assert got == {("/t1", None): (2, 0), ("/t1", "ab"): (2, 2), ("/t1", "cd"): (1, 2), ("/t2", None): (1, 0), ("/t3", None): (1, 1)}
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate posexplode" in plan and "inline" not in plan, plan
+
+
+def test_posts_are_dealt_over_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    from wordtide.session import path_bytes
+    from wordtide.sources import adapters as A
+
+    spark.range(5000).selectExpr("id AS conv_id", "0 AS turn", "'user' AS role", "uuid() AS text").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    size, cores = path_bytes(spark, f"{tmp_path}/conversations.parquet"), spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(A, "TASK_BYTES", size // (3 * cores) + 1)
+    posts = A.posts_from_conversations(spark, str(tmp_path))
+    assert 2 * cores < posts.rdd.getNumPartitions() <= 3 * cores and posts.count() == 5000
+    monkeypatch.setattr(A, "MOST_WAVES", 2)
+    assert A.posts_from_conversations(spark, str(tmp_path)).rdd.getNumPartitions() == 2 * cores

@@ -1,9 +1,10 @@
 """Tokenising and term normalisation (goldens from FIXTURES §3)."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from wordtide.functions.text import normalize_tokens, regex_tokens, safe_udf_tokenizer
+from wordtide.functions.text import nfkc_tokens, normalize_tokens, regex_tokens, safe_udf_tokenizer
 from wordtide.operators.terms import normalize_surfaces
 
 GOLDENS = [
@@ -61,3 +62,25 @@ def test_normalize_tokens_sends_no_null_arrays(spark):
     sent = next(line for line in plan.splitlines() if "ArrowEvalPython" in line)
     assert "ELSE []" in sent, sent
     assert [r.n for r in df.collect()] == [["ab", ""], ["ab", "", ""], None, ["ab", "a1"]]
+
+
+def test_nfkc_of_a_batch_without_values_is_the_batch():
+    # a Python list per post cost as much as counting it
+    empty = pa.array([[], []], pa.list_(pa.string()))
+    assert nfkc_tokens.func(empty) is empty
+    mixed = pa.array([["Ａb", None], [], None, ["①"]], pa.list_(pa.string()))
+    assert nfkc_tokens.func(mixed).to_pylist() == [["Ab", None], [], None, ["1"]]
+
+
+def test_plain_arrays_are_not_stepped_through(spark):
+    arrays = [["ab", "c1"], ["ab", ""], ["", "ab"], [" ab"], ["ab "], ["a b"], ["ab cd"], ["ab  cd"], [None], ["ab", None], ["x"], ["x", "yz"], ["yz", "x", "yz"],
+              [""], [], ["ab\n"], ["ab\tcd"], ["Ab"], ["Ａ", "bc"], [" "], ["ab", " ", "cd"]]
+    df = spark.createDataFrame(list(enumerate(arrays)), "i int, t array<string>")
+    one = normalize_surfaces(df.select("i", F.posexplode("t").alias("p", "surface")))
+    expected = {i: [] for i in range(len(arrays))}
+    for r in one.orderBy("i", "p").collect():
+        expected[r.i].append(r.normalized)
+    df = df.select("i", normalize_tokens(F.col("t")).alias("n"))
+    assert {r.i: r.n for r in df.collect()} == expected
+    top = df._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+    assert "THEN t" in top.split("transform(")[0], top

@@ -10,7 +10,10 @@ from __future__ import annotations
 import unicodedata
 from typing import Callable, Iterable, Optional
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,6 +84,8 @@ nfkc = _nfkc.asNondeterministic()
 
 # Tokens that normalisation leaves as they are.
 PLAIN_TOKEN = r"^[a-z0-9]{%d,}\z" % (MAX_FILTERED_LENGTH + 1)
+# What normalisation changes in tokens between blanks: another character, or a token that is empty or too short.
+ODD_CHARACTER, SHORT_TOKEN = "[^a-z0-9 ]", " [^ ]{0,%d} " % MAX_FILTERED_LENGTH
 
 
 def normalize_after_nfkc(c: Column) -> Column:
@@ -95,19 +100,26 @@ def normalize_after_nfkc(c: Column) -> Column:
     return F.when(c.rlike(PLAIN_TOKEN), c).when(c.isNull(), F.lit("")).when(F.length(x) <= MAX_FILTERED_LENGTH, F.lit("")).otherwise(x)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def nfkc_tokens(s: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None else [_nfkc_one(t) for t in x] for x in s], dtype=object)
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def nfkc_tokens(tokens: pa.Array) -> pa.Array:
+    values = tokens.flatten()
+    if not len(values):  # a batch of plain posts: nothing to do, and no Python object per post
+        return tokens
+    out = pa.array([_nfkc_one(t) for t in values.to_pylist()], pa.string())
+    offsets = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False))])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), out, mask=pc.is_null(tokens) if tokens.null_count else None)
 
 
 def normalize_tokens(tokens: Column) -> Column:
-    """T3/T4 for every element of a token array; NULL stays NULL.
+    """T3/T4 for every element of a token array; NULL stays NULL, and no element of the result is NULL.
 
-    Only arrays with a non-ASCII token are sent to the Arrow UDF; the rest stays in the JVM. In its place goes an empty
-    array: an Arrow batch is measured at every row, and a list column then walks over all NULLs since its last value
-    again, which makes a batch without values quadratic in its rows.
+    A look at the joined tokens finds the arrays of plain ones, which stay as they are: Spark interprets a step through
+    the elements. Only arrays with a non-ASCII token are sent to the Arrow UDF; the rest stays in the JVM. In its place goes
+    an empty array: an Arrow batch is measured at every row, and a list column then walks over all NULLs since its last
+    value again, which makes a batch without values quadratic in its rows.
     """
-    joined = F.array_join(tokens, " ")
+    joined = F.concat(F.lit(" "), F.array_join(tokens, " ", "?"), F.lit(" "))  # a NULL element is not plain
+    plain = ~(joined.rlike(ODD_CHARACTER) | joined.rlike(SHORT_TOKEN))
     wide = F.octet_length(joined) > F.length(joined)
     nf = F.when(wide, nfkc_tokens(F.when(wide, tokens).otherwise(F.array().cast("array<string>")))).otherwise(tokens)
-    return F.transform(nf, normalize_after_nfkc)
+    return F.when(plain, tokens).otherwise(F.transform(nf, normalize_after_nfkc))

@@ -34,17 +34,16 @@ BLOCKED_LITERALS = 10_000
 
 def _entries(rows: DataFrame, items: Column, name: str, keep: list[str]) -> DataFrame:
     """Per post: one row per item (occ 1; hit 1 where it is the first of its kind), and NULL for the post itself
-    (occ 1 if the tokenizer failed). ``items`` NULL is a failure. Equal items stand together in the sorted array."""
-    rows = rows.select(*keep, F.sort_array(items).alias("_s"))
-
-    def entry(value, hit, occ):
-        return F.struct(value.alias(name), hit.cast("long").alias("hit"), occ.cast("long").alias("occ"))
-
-    one = F.lit(1)
-    found = F.transform("_s", lambda x, i: entry(x, F.when((i > 0) & (x == F.get(F.col("_s"), i - 1)), 0).otherwise(1), one))
-    none = F.array().cast(f"array<struct<{name}: string, hit: bigint, occ: bigint>>")
-    post = F.array(entry(F.lit(None).cast("string"), one, F.when(F.col("_s").isNull(), 1).otherwise(0)))
-    return rows.select(*keep, F.inline(F.concat(post, F.coalesce(found, none))))
+    (occ 1 if the tokenizer failed). ``items`` NULL is a failure; its elements are not NULL. Equal items stand together in
+    the sorted array, after the NULL. A row is made when the array is unrolled: arrays of structs would be interpreted.
+    The array is never empty; with ``_outer`` Spark does not send a filter that says so below the joins."""
+    none = F.array().cast("array<string>")
+    found = F.sort_array(F.concat(F.array(F.lit(None).cast("string")), F.coalesce("_s", none)))
+    rows = rows.select(*keep, items.alias("_s")).select(*keep, F.col("_s").isNull().alias("_failed"), found.alias("_s"))
+    rows = rows.select(*keep, "_failed", "_s", F.posexplode_outer("_s").alias("_i", name))
+    post, again = F.col("_i") == 0, F.col(name).eqNullSafe(F.get("_s", F.col("_i") - 1))
+    return rows.select(*keep, name, F.when(post | ~again, 1).otherwise(0).cast("long").alias("hit"),
+                       F.when(~post | F.col("_failed"), 1).otherwise(0).cast("long").alias("occ"))
 
 
 def by_day(per_thread: DataFrame) -> DataFrame:
@@ -72,9 +71,8 @@ def thread_counts(tok: DataFrame, words: Optional[DataFrame] = None) -> DataFram
     """
     if words is not None:
         return _word_counts(tok, words)
-    # normalised once, before the array is used twice
     rows = tok.select(*DAY, "thread_path", normalize_tokens(F.col("tokens")).alias("terms"))
-    rows = _entries(rows, F.filter("terms", lambda t: t.isNotNull()), "term", [*DAY, "thread_path"])
+    rows = _entries(rows, F.col("terms"), "term", [*DAY, "thread_path"])
     return merge_counts(rows)
 
 

@@ -134,6 +134,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file, or of all files in a folder."""
+    fs, p = _file_system(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, sorted; empty when the folder is not there."""
     if not path_exists(spark, path):
