@@ -55,6 +55,30 @@ def test_clopper_pearson_empty_total_is_null(spark):
     assert got[(3, 10)][0] < 0.3 < got[(3, 10)][1]
 
 
+@pytest.mark.parametrize("native", [False, True])
+def test_interval_pairs_are_dealt_over_tasks(spark, tmp_path, native):
+    # they are small enough for AQE to put all in one partition, which one worker solved alone
+    df = spark.createDataFrame([(i, 100_000 + i % 7) for i in range(400)], "post_hits long, total_posts long")
+
+    def keep(ci, name):
+        ci.write.parquet(f"{tmp_path}/ci")
+        return spark.read.parquet(f"{tmp_path}/ci")
+
+    out = weekly.with_binomial_ci(df, materialize=keep, native=native)
+    assert out.count() == 400 and out.where("appearance_rate_ci_lower IS NULL OR appearance_rate_ci_upper IS NULL").count() == 0
+    assert len(list(tmp_path.glob("ci/*.parquet"))) >= spark.sparkContext.defaultParallelism
+
+
+def test_interval_integrates_few_whole_tails(monkeypatch):
+    # each is 12 panels; Newton from the mean took one per step, over 8 for a bound
+    whole, tails = [], S._tail
+    monkeypatch.setattr(S, "_tail", lambda a, *rest: whole.append(len(a)) or tails(a, *rest))
+    k, n = np.arange(5_000, 15_000, 100), np.full(100, 150_000)
+    lower, upper = S.clopper_pearson(k, n)
+    assert sum(whole) <= 2 * 2 * len(k), whole
+    assert np.allclose(S.betainc(k, n - k + 1, lower), 0.025, rtol=1e-12) and np.allclose(1 - S.betainc(k + 1, n - k, upper), 0.025, rtol=1e-10)
+
+
 @pytest.mark.parametrize("df", [1, 2, 3, 4, 6, 11, 30, 101])
 def test_t_tail_series_and_closed_form(spark, df):
     ts = [0.0, 1e-9, 0.3, 1.0, S.T_975_DF6, 10.0, 50.0, 1e4]

@@ -68,14 +68,15 @@ def with_binomial_ci(df: DataFrame, k: str = "post_hits", n: str = "total_posts"
     split by AQE's skew join). The Arrow kernel solves all pairs of a batch together; ``native`` uses column
     expressions only (``functions.beta``), several times slower, for sessions without Python workers.
     ``materialize(df, name)`` keeps the pairs' intervals, so later uses do not solve them again."""
-    pairs = df.select(F.col(k).alias("_k"), F.col(n).alias("_n")).distinct()
+    # pairs are small and dear: a fixed number of tasks, where AQE would solve them in one (it would also after a
+    # repartition by the pair: the distinct has made that one already, so Spark drops it)
+    spark, pairs = df.sparkSession, df.select(F.col(k).alias("_k"), F.col(n).alias("_n")).distinct()
+    tasks = spark.sparkContext.defaultParallelism  # a task of the kernel costs a Python worker its start
     if native:
-        # pairs are small and dear: a fixed number of tasks
-        spark = df.sparkSession
-        tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        ci = binomial_bounds(pairs.repartition(tasks, "_k", "_n"), "_k", "_n", alpha)
+        tasks = max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        ci = binomial_bounds(pairs.repartition(tasks), "_k", "_n", alpha)
     else:
-        ci = pairs.withColumn("_ci", S.binomial_ci_udf(alpha)(F.col("_k"), F.col("_n"))).select("_k", "_n", "_ci.lower", "_ci.upper")
+        ci = pairs.repartition(tasks).withColumn("_ci", S.binomial_ci_udf(alpha)(F.col("_k"), F.col("_n"))).select("_k", "_n", "_ci.lower", "_ci.upper")
     ci = ci.select("_k", "_n", F.col("lower").alias("appearance_rate_ci_lower"), F.col("upper").alias("appearance_rate_ci_upper"))
     if materialize is not None:
         ci = materialize(ci, "binomial-intervals")
