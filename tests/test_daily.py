@@ -181,3 +181,40 @@ def test_posts_are_dealt_over_tasks_of_bounded_size(spark, tmp_path, monkeypatch
     assert 2 * cores < posts.rdd.getNumPartitions() <= 3 * cores and posts.count() == 5000
     monkeypatch.setattr(A, "MOST_WAVES", 2)
     assert A.posts_from_conversations(spark, str(tmp_path)).rdd.getNumPartitions() == 2 * cores
+
+
+def test_posts_are_shuffled_by_thread_and_lone_threads_need_no_key_per_term(spark):
+    """The counts equal those of (thread, term) rows, on threads with one post, several posts, copies and NULL keys."""
+    rows = [(D, "b", "t1", ["x1", "y1", "x1"]), (D, "b", "t1", ["x1"]), (D, "b", "t1", ["x1"]), (D, "b", "t2", ["x1", ""]), (D, "c", "t1", ["x1", "x1"]),
+            ("2025-01-02", "b", "t1", ["X1", "x1"]), (D, "b", None, ["y1"]), (D, "b", None, ["y1"]), (D, None, "t4", ["z1"]), (None, "b", "t5", ["z1", None]),
+            (D, "b", "t6", None), (D, "b", "t7", []), (D, "b", "t8", None), (D, "b", "t8", ["ｘ１"])] + [(D, "b", "hot", ["x1", "w%d" % (i % 3)]) for i in range(6000)]
+    tok = spark.createDataFrame(rows, "date string, board_key string, thread_path string, tokens array<string>")
+    counts = daily.term_counts(tok)
+    assert sorted(map(str, counts.collect())) == sorted(map(str, daily.by_day(daily.thread_counts(tok)).collect()))
+    got = {(r.date, r.board_key, r.term): (r.post_hits, r.thread_hits, r.occurrences) for r in counts.collect()}
+    assert got[D, "b", "x1"] == (6005, 4, 6006) and got[D, "b", None] == (6009 + 1, 7, 2) and got[D, "b", "y1"] == (3, 2, 3)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("posexplode") < plan.rindex("hashpartitioning(thread_path_bucket"), plan  # posts cross the shuffle, not tokens
+
+
+def test_terms_are_made_once_per_part(spark):
+    from wordtide.sources import adapters as A
+
+    sf = "/root/testdata/sf0.001"
+    posts = A.posts_from_lineitem(spark, sf, terms=True)
+    counts = daily.term_counts(*daily.tokens_of(posts))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Join") < plan.index("regexp_extract_all") and plan.index("Join") < plan.index("ArrowEvalPython"), plan
+    plain = daily.term_counts(*daily.tokens_of(A.posts_from_lineitem(spark, sf)))
+    assert counts.exceptAll(plain).isEmpty() and plain.exceptAll(counts).isEmpty()
+    # a tokenizer that is given decides, whatever terms the posts bring
+    tok, _ = daily.tokens_of(posts, tokenizer=pipe_tokens)
+    assert "terms" not in tok.columns
+
+
+def test_a_large_part_table_is_not_broadcast(spark, monkeypatch):
+    from wordtide.sources import adapters as A
+
+    monkeypatch.setattr(A, "MOST_BROADCAST", 0)
+    plan = A.posts_from_lineitem(spark, "/root/testdata/sf0.001", terms=True)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan, plan

@@ -4,8 +4,10 @@ One pass over the posts makes the counts of every (date, board, term):
 
   1. tokens are normalised inside their array, so no token row is joined to a vocabulary;
   2. each post yields a row per token, of which the first of its kind in the sorted array is the hit;
-  3. (date, board, thread, term) -> posts, occurrences        (partial aggregation map-side)
-  4. (date, board, term)         -> post_hits, thread_hits, occurrences
+  3. posts are brought together by (date, board, thread); the terms of a thread with one post that day are its thread's
+     hits already, so they are summed per (date, board, term) at once, map-side;
+  4. (date, board, thread, term) -> posts, occurrences        (the threads with several posts that day)
+  5. (date, board, term)         -> post_hits, thread_hits, occurrences
 
 The term NULL stands for the posts themselves: its post_hits are the posts, its thread_hits the threads
 and its occurrences the tokenizer failures (A1). The term '' collects the tokens that normalise to nothing.
@@ -21,7 +23,7 @@ from __future__ import annotations
 from functools import cached_property
 from typing import Callable, Iterable, Optional
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordtide.functions.text import nfkc, normalize_after_nfkc, normalize_tokens
@@ -46,6 +48,13 @@ def _entries(rows: DataFrame, items: Column, name: str, keep: list[str]) -> Data
                        F.when(~post | F.col("_failed"), 1).otherwise(0).cast("long").alias("occ"))
 
 
+def _terms_of(tok: DataFrame) -> DataFrame:
+    """(date, board_key, thread_path, terms): normalised tokens per post, NULL after a tokenizer failure. Posts that bring
+    their ``terms`` (``terms.text_terms`` made where a text is stored once for many posts) keep them."""
+    terms = F.col("terms") if "terms" in tok.columns else normalize_tokens(F.col("tokens"))
+    return tok.select(*DAY, "thread_path", terms.alias("terms"))
+
+
 def by_day(per_thread: DataFrame) -> DataFrame:
     """(date, board, term) counts of (date, board, thread, term) rows, at most one a key."""
     return per_thread.groupBy(*DAY, "term").agg(
@@ -58,8 +67,22 @@ def merge_counts(parts: DataFrame) -> DataFrame:
 
 
 def term_counts(tok: DataFrame, words: Optional[DataFrame] = None) -> DataFrame:
-    """(date, board_key, term, post_hits, thread_hits, occurrences); see the module text for the terms NULL and ''."""
-    return by_day(thread_counts(tok, words))
+    """(date, board_key, term, post_hits, thread_hits, occurrences); see the module text for the terms NULL and ''.
+
+    Posts are shuffled, not their tokens, by a bucket of their thread and day. A key per (thread, term) is made only for
+    threads with several posts on a day; the buckets keep it in the task that has the thread, without a second shuffle."""
+    if words is not None:
+        return by_day(thread_counts(tok, words))
+    bucket = F.pmod(F.xxhash64(*DAY, "thread_path"), F.lit(T.id_buckets(tok.sparkSession)))
+    rows = _terms_of(tok).withColumn("thread_path_bucket", bucket).repartition("thread_path_bucket")
+    posts = F.count(F.lit(1)).over(Window.partitionBy(*DAY, "thread_path", "thread_path_bucket"))
+    rows = rows.withColumn("_lone", posts == 1).withColumn("thread_path", F.when(~F.col("_lone"), F.col("thread_path")))
+    key = ["thread_path_bucket", *DAY, "thread_path", "_lone"]
+    rows = _entries(rows, F.col("terms"), "term", key)
+    rows = rows.groupBy(*key, "term").agg(F.sum("hit").alias("hit"), F.sum("occ").alias("occ"))
+    threads = F.when(F.col("_lone"), F.col("hit")).otherwise((F.col("hit") > 0).cast("long"))
+    return rows.groupBy(*DAY, "term").agg(
+        F.sum("hit").alias("post_hits"), F.sum(threads).alias("thread_hits"), F.sum("occ").alias("occurrences"))
 
 
 def thread_counts(tok: DataFrame, words: Optional[DataFrame] = None) -> DataFrame:
@@ -71,7 +94,7 @@ def thread_counts(tok: DataFrame, words: Optional[DataFrame] = None) -> DataFram
     """
     if words is not None:
         return _word_counts(tok, words)
-    rows = tok.select(*DAY, "thread_path", normalize_tokens(F.col("tokens")).alias("terms"))
+    rows = _terms_of(tok)
     rows = _entries(rows, F.col("terms"), "term", [*DAY, "thread_path"])
     return merge_counts(rows)
 
@@ -127,7 +150,7 @@ def day_metrics(counts: DataFrame, terms: DataFrame) -> DataFrame:
 def day_totals(tok: DataFrame, blocked: Iterable[str] = ()) -> DataFrame:
     """``day_metrics`` straight from the posts, for blocked words given as a list: no token becomes a row."""
     blocked = list(blocked)
-    rows = tok.select(*DAY, "thread_path", normalize_tokens(F.col("tokens")).alias("terms"))
+    rows = _terms_of(tok)
     none = F.lit(0).cast("long")
     drop = F.filter("terms", lambda t: (t == "") | t.isin(blocked) if blocked else t == "")
     rows = rows.groupBy(*DAY, "thread_path").agg(
@@ -243,6 +266,7 @@ def run_daily(posts: DataFrame, terms: DataFrame, targets: Optional[Callable[[Da
     ``block_words`` are blocked in the grown dictionary before it is applied; ``prepare_terms`` edits it in any way.
     ``materialize(df, name)`` (e.g. ``session.stage``) is applied to the day-grain counts and to the dictionary, so
     the posts are read once however many results are used.
+    Posts with a column ``terms`` are not tokenised again, unless a tokenizer, lexicon or segmenter is given.
     ``lexicon`` keeps the surfaces it tags as nouns; ``segmenter`` (e.g. ``segment.segment`` with a lexicon and connection
     costs) cuts runs of letters into words, (run) -> (run, words), and the nouns among them count.
     """
@@ -253,6 +277,8 @@ def run_daily(posts: DataFrame, terms: DataFrame, targets: Optional[Callable[[Da
 
 def tokens_of(posts: DataFrame, lexicon=None, tokenizer=None, segmenter=None, keep=lambda df, name: df) -> tuple[DataFrame, Optional[DataFrame]]:
     """(posts with tokens, the nouns that surfaces stand for or None), see ``run_daily``."""
+    if tokenizer is not None:
+        posts = posts.drop("terms")
     if segmenter is not None:
         tok = T.tokenize_posts(posts, segment.runs)
         runs = tok.select(F.explode("tokens").alias("run")).distinct()

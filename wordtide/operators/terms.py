@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordtide import schemas
-from wordtide.functions.text import nfkc, normalize_after_nfkc, regex_tokens
+from wordtide.functions.text import nfkc, normalize_after_nfkc, normalize_tokens, regex_tokens
 
 # --- fixed values ------------------------------------------------------------
 # Part-of-speech tag kept from a lexicon (noun).
@@ -46,6 +46,11 @@ def tokenize_posts(posts: DataFrame, tokenizer: Optional[Callable[[Column], Colu
             .withColumn("post_key", F.xxhash64(F.col("post_no"), F.col(content_col))))
 
 
+def text_terms(content: Column) -> Column:
+    """T1 + T3/T4: the normalised terms of a text in the default tokenizer, in text order."""
+    return normalize_tokens(regex_tokens(content))
+
+
 # ------------------------------------------------------------------- T2 / T3
 
 

@@ -32,7 +32,7 @@ def daily_for_posts(spark: SparkSession, posts: DataFrame, lexicon: Optional[Dat
 
 
 def lineitem_daily(spark: SparkSession, sf_dir: str) -> daily.DailyResult:
-    return daily_for_posts(spark, A.posts_from_lineitem(spark, sf_dir))
+    return daily_for_posts(spark, A.posts_from_lineitem(spark, sf_dir, terms=True))
 
 
 def runs_of(res: daily.DailyResult) -> DataFrame:
